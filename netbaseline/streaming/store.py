@@ -1,0 +1,68 @@
+"""A keyed result table kept as one Parquet snapshot per micro-batch.
+
+Plain Parquet has no MERGE, so each micro-batch writes the whole merged
+table as a new folder ``batch=<id>`` below the store root; Spark's commit
+protocol adds ``_SUCCESS`` when the folder is complete.  Readers take the
+highest complete folder.  A replayed batch finds its own folder complete and
+does nothing, or incomplete and rewrites it from the folder before it, so the
+sink is idempotent.  The store root belongs in a shared file system (the
+cluster's checkpoint folder or a table location), never a local temp folder.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+PREFIX = "batch="
+
+
+class SnapshotStore:
+    def __init__(self, spark: SparkSession, root: str, retain: int | None = 3):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.retain = retain
+
+    # Hadoop FileSystem calls, as any PySpark job lists and cleans folders on HDFS / S3.
+    def _fs_path(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _folder(self, batch_id: int) -> str:
+        return f"{self.root}/{PREFIX}{int(batch_id):020d}"
+
+    def committed(self) -> list[int]:
+        fs, root = self._fs_path(self.root)
+        if not fs.exists(root):
+            return []
+        out = []
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith(PREFIX):
+                if fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                    out.append(int(name[len(PREFIX):]))
+        return sorted(out)
+
+    def is_committed(self, batch_id: int) -> bool:
+        fs, p = self._fs_path(self._folder(batch_id) + "/_SUCCESS")
+        return fs.exists(p)
+
+    def read(self, batch_id: int) -> DataFrame:
+        return self.spark.read.parquet(self._folder(batch_id))
+
+    def latest(self, before: int | None = None) -> DataFrame | None:
+        versions = [v for v in self.committed() if before is None or v < before]
+        return self.read(versions[-1]) if versions else None
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(self._folder(batch_id))
+        self._expire(batch_id)
+
+    def _expire(self, newest: int) -> None:
+        """Drop complete snapshots older than the ``retain`` newest ones."""
+        if not self.retain:
+            return
+        versions = [v for v in self.committed() if v <= newest]
+        for v in versions[:-self.retain]:
+            fs, p = self._fs_path(self._folder(v))
+            fs.delete(p, True)
