@@ -86,7 +86,8 @@ def flows_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFram
         F.round(F.col("value") * 100).cast("bigint").alias("in_flow"),
         (F.get_json_object("props", "$.k").cast("bigint") * 100).alias("out_flow"),
         F.unix_millis(ts).alias("r_time"),
-        ts.alias("ts"),
+        # event time is r_time, as for parsed messages (whole milliseconds)
+        F.timestamp_millis(F.unix_millis(ts)).alias("ts"),
         *[F.col(c) for c in keep],
     )
 
