@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from statistics import NormalDist
 
 from pyspark.sql import Column, functions as F
@@ -57,17 +58,41 @@ def z_for_confidence(level: float | None) -> float:
     return NormalDist().inv_cdf((1.0 + level) / 2.0)
 
 
+_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def _fixed_offset_seconds(zone: str) -> int | None:
+    """Seconds east of UTC for ``UTC``/``Z``/``+hh:mm``/``-hh:mm``; None for named (DST) zones."""
+    z = zone.strip().upper()
+    if z in ("UTC", "Z", "GMT", "+00:00", "-00:00"):
+        return 0
+    m = re.fullmatch(r"([+-])(\d{1,2}):?(\d{2})", z)
+    if not m:
+        return None
+    secs = int(m.group(2)) * 3600 + int(m.group(3)) * 60
+    return secs if m.group(1) == "+" else -secs
+
+
 def instant_from_ntz(x, zone: str = "UTC") -> Column:
     """A wall-clock TIMESTAMP_NTZ read in ``zone``, as an instant (TIMESTAMP).
 
-    Independent of ``spark.sql.session.timeZone``.
+    Independent of ``spark.sql.session.timeZone``.  Fixed offsets are plain
+    microsecond arithmetic; named zones go through ``convert_timezone``.
     """
-    return F.convert_timezone(F.lit(zone), F.current_timezone(), _c(x).cast("timestamp_ntz")).cast("timestamp")
+    off = _fixed_offset_seconds(zone)
+    c = _c(x).cast("timestamp_ntz")
+    if off is None:
+        return F.convert_timezone(F.lit(zone), F.current_timezone(), c).cast("timestamp")
+    micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), c) - F.lit(off * 1_000_000)
+    return F.timestamp_micros(micros)
 
 
 def local_ntz(x, zone: str = MODEL_ZONE) -> Column:
     """The wall-clock time of an instant in ``zone`` (TIMESTAMP_NTZ)."""
-    return F.convert_timezone(F.current_timezone(), F.lit(zone), _c(x).cast("timestamp_ntz"))
+    off = _fixed_offset_seconds(zone)
+    if off is None:
+        return F.convert_timezone(F.current_timezone(), F.lit(zone), _c(x).cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(x)) + F.lit(off * 1_000_000), F.expr(_EPOCH_NTZ))
 
 
 def zone_date(x, fmt: str = "yyyy-MM-dd", zone: str = MODEL_ZONE) -> Column:

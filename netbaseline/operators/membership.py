@@ -18,6 +18,6 @@ def keep_known_assets(flows: DataFrame, assets: DataFrame, key: str = "src_id",
     partial aggregation instead (see ``plans.baseline``), where the rows are
     already few and a hot asset is one row per window.
     """
-    ids = assets.select(F.col(asset_col).alias("__asset")).distinct()
+    ids = assets.select(F.col(asset_col).alias("__asset"))  # repeats do not matter to a semi join
     side, small = bounded_broadcast(ids, max_broadcast_rows)
     return flows.join(side, flows[key] == F.col("__asset"), "left_semi"), small

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from netbaseline.functions.convert import to_boolean, to_int
 from netbaseline.functions.text import blank_aware_equals
-from netbaseline.operators.sizing import bounded_broadcast
+from netbaseline.operators.sizing import bounded_broadcast, broadcast_if, is_small
 
 # The model this job computes is type 1, child type 1, and it
 # runs only while both switches are 1.
@@ -35,30 +35,35 @@ def active_model(params: DataFrame) -> DataFrame:
 
 
 def resolve_assets(params: DataFrame, members: DataFrame, parity: bool = False,
-                   max_broadcast_rows: int | None = None) -> DataFrame:
+                   model_ids: list[str] | None = None, distinct: bool = True) -> DataFrame:
     """``(model_id, entity_id)`` for the asset groups listed in each model's parameters.
 
     The group list is the comma-separated text at ``$.model_entity_group`` of
     ``model_alt_params``; groups match exactly.  ``parity=True`` matches a
     group when its id is a substring of the list (so ``grp_1`` matches
     ``grp_12``), evaluated as a join against the (small, size-checked)
-    parameter rows.
+    parameter rows.  ``model_ids`` restricts the models resolved.  With
+    ``distinct=False`` a pair may repeat (an asset in two listed groups),
+    which a semi join ignores; this saves a shuffle.
     """
     groups = F.get_json_object(F.col("model_alt_params"), GROUP_LIST_PATH)
+    small = is_small(params)
+    if model_ids is not None:
+        params = params.where(F.col("id").isin(list(model_ids)))
     if not parity:
         wanted = (params.select(F.col("id").alias("model_id"),
                                 F.explode(F.split(groups, ",")).alias("group_id"))
                   .select("model_id", F.trim("group_id").alias("group_id"))
-                  .where(F.col("group_id") != "")
-                  .distinct())
-        side, _ = bounded_broadcast(wanted, **({"max_rows": max_broadcast_rows} if max_broadcast_rows else {}))
-        pairs = members.join(side, "group_id")
+                  .where(F.col("group_id") != ""))
+        # one row per (model, listed group): bounded by the checked parameter table
+        pairs = members.join(broadcast_if(wanted, small), "group_id")
     else:
-        side, small = bounded_broadcast(params.select(F.col("id").alias("model_id"), groups.alias("group_list")))
         if not small:
             raise ValueError("parity group matching needs a parameter table of bounded size")
+        side = F.broadcast(params.select(F.col("id").alias("model_id"), groups.alias("group_list")))
         pairs = members.join(side, F.col("group_list").contains(F.col("group_id")))
-    return pairs.select("model_id", "entity_id").where(F.col("entity_id").isNotNull()).distinct()
+    pairs = pairs.select("model_id", "entity_id").where(F.col("entity_id").isNotNull())
+    return pairs.distinct() if distinct else pairs
 
 
 def _changed(new: Column, old: Column) -> Column:
@@ -112,6 +117,7 @@ def clear_history(results: DataFrame, changes: DataFrame, time_col: str = "time"
     """Result rows that survive the history clears: none written before a clear of their model."""
     clears = (changes.where("clear_history").groupBy(F.col("id").alias("__mid"))
               .agg(F.max("modify_time").alias("__cleared_at")))
-    side, _ = bounded_broadcast(clears)
+    # one row per model id of the (checked) versions table
+    side = broadcast_if(clears, is_small(changes))
     cond = (F.col("modeling_params_id") == F.col("__mid")) & (F.col("__cleared_at") > F.col(time_col))
     return results.join(side, cond, "left_anti")

@@ -18,7 +18,7 @@ from netbaseline.functions.ids import result_id
 from netbaseline.functions.network import internal_flag
 from netbaseline.functions.time import MODEL_ZONE, local_ntz, slot_key
 from netbaseline.operators.params import active_models
-from netbaseline.operators.sizing import bounded_broadcast
+from netbaseline.operators.sizing import broadcast_if, is_small
 from netbaseline.schema import RESULT_SCHEMA
 
 RESULT_COLUMNS = [f.name for f in RESULT_SCHEMA.fields]
@@ -59,7 +59,7 @@ def slot_rows(bounds: DataFrame, model_id, span, zone: str = MODEL_ZONE, parity:
 
 def gate(slots: DataFrame, params: DataFrame) -> DataFrame:
     """Keep slot rows whose model is switched on in the given (fresh) parameters."""
-    on, _ = bounded_broadcast(active_models(params).select(F.col("id").alias("__mid")).distinct())
+    on = broadcast_if(active_models(params).select(F.col("id").alias("__mid")).distinct(), is_small(params))
     return slots.join(on, slots["modeling_params_id"] == F.col("__mid"), "left_semi")
 
 
@@ -68,21 +68,26 @@ def horizon(slots: DataFrame, current: DataFrame | None, params: DataFrame) -> D
 
     The first write is the earliest ``time`` of the model in the result table
     or in this batch; history days come from ``model_history_data_span``
-    (1 when unset).
+    (1 when unset).  Rows of models without parameters pass (the gate is
+    separate).  The limits are one row per switched-on model: the size is
+    checked on the parameter side, so no pass over the slots is spent on it.
     """
-    times = slots.select("modeling_params_id", "time")
-    if current is not None:
-        times = times.unionByName(current.select("modeling_params_id", "time"))
-    first = times.groupBy("modeling_params_id").agg(F.min("time").alias("first_write"))
     days = (active_models(params)
             .groupBy(F.col("id").alias("modeling_params_id"))
             .agg(F.max(F.coalesce(to_int("model_history_data_span"), F.lit(1))).alias("history_days")))
-    limits = (first.join(days, "modeling_params_id", "left")
+    if not is_small(params):
+        raise ValueError("the parameter table is too large to broadcast its per-model limits")
+    days = F.broadcast(days)
+    times = slots.select("modeling_params_id", "time")
+    if current is not None:
+        times = times.unionByName(current.select("modeling_params_id", "time"))
+    # At most one row per row of ``days`` (inner join on its key): bounded, so broadcast.
+    limits = (times.groupBy("modeling_params_id").agg(F.min("time").alias("first_write"))
+              .join(days, "modeling_params_id")
               .select("modeling_params_id",
-                      F.expr("timestampadd(DAY, 2 * coalesce(history_days, 1), first_write)").alias("__until")))
-    side, _ = bounded_broadcast(limits)
-    return (slots.join(side, "modeling_params_id", "left")
-            .where(F.col("time") <= F.col("__until"))
+                      F.expr("timestampadd(DAY, 2 * history_days, first_write)").alias("__until")))
+    return (slots.join(F.broadcast(limits), "modeling_params_id", "left")
+            .where(F.col("__until").isNull() | (F.col("time") <= F.col("__until")))
             .drop("__until"))
 
 

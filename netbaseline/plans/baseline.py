@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, functions as F
 from netbaseline.functions.convert import to_int
 from netbaseline.functions.time import MODEL_ZONE, window_lengths, z_for_confidence
 from netbaseline.operators.aggregate import interval_bounds, level1, level2, split_directions
-from netbaseline.operators.params import active_model, resolve_assets
+from netbaseline.operators.params import ACTIVE_PREDICATE, resolve_assets
 from netbaseline.operators.profile import gate, horizon, slot_rows, upsert_results
-from netbaseline.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from netbaseline.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, remember_size
 
 
 @dataclass(frozen=True)
@@ -34,11 +34,14 @@ def model_config(params: DataFrame, parity: bool = False) -> ModelConfig | None:
     ``parity=True`` keeps z at 1.96 whatever the configured confidence, as
     the reference does.
     """
-    row = (active_model(params)
-           .select("id", to_int("model_result_span").alias("span"),
-                   F.col("model_confidence_interval").cast("double").alias("conf"),
-                   to_int("model_history_data_span").alias("hist"))
-           .first())
+    # One job: the row count (to size-check the control table once) and the model in force.
+    fields = F.struct(F.col("id"), to_int("model_result_span").alias("span"),
+                      F.col("model_confidence_interval").cast("double").alias("conf"),
+                      to_int("model_history_data_span").alias("hist"))
+    order = F.when(ACTIVE_PREDICATE(), F.struct(F.col("modify_time"), F.col("id")))
+    got = params.agg(F.count(F.lit(1)).alias("n"), F.max_by(fields, order).alias("p")).first()
+    remember_size(params, got["n"])
+    row = got["p"]
     if row is None:
         return None
     z = 1.96 if parity else z_for_confidence(row["conf"])
@@ -60,7 +63,8 @@ def baseline_bounds(flows: DataFrame, assets: DataFrame | None, interval: str |
     if assets is None:
         l1 = level1(flows, d1)
     else:
-        ids = assets.select(F.col("entity_id").alias("__asset")).distinct()
+        # a semi join ignores repeated keys on its right side: no distinct (and no shuffle) needed
+        ids = assets.select(F.col("entity_id").alias("__asset"))
         side, small = bounded_broadcast(ids, max_broadcast_rows)
         if small:
             l1 = level1(flows.join(side, F.col("src_id") == F.col("__asset"), "left_semi"), d1)
@@ -78,8 +82,7 @@ def baseline_slots(flows: DataFrame, params: DataFrame, members: DataFrame, inte
     config = config or model_config(params, parity)
     if config is None:
         return None
-    model = params.where(F.col("id") == config.model_id)
-    assets = resolve_assets(model, members, parity=parity)
+    assets = resolve_assets(params, members, parity=parity, model_ids=[config.model_id], distinct=False)
     bounds = baseline_bounds(flows, assets, interval, config.z, parity, zone, max_broadcast_rows)
     return slot_rows(bounds, config.model_id, config.result_span, zone, parity)
 

@@ -70,8 +70,26 @@ MODELING_PARAMS_ROWS = [
 TEST_INTERVAL = "360m"
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
+    """Literal rows as a SQL ``VALUES`` relation (evaluated in the JVM, no Python workers)."""
+    def lit(v, t):
+        if v is None:
+            return f"CAST(NULL AS {t})"
+        if isinstance(v, dt.datetime):
+            return f"TIMESTAMP_NTZ '{v:%Y-%m-%d %H:%M:%S}'"
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"CAST({v!r} AS {t})"
+    types = [f.dataType.simpleString() for f in schema.fields]
+    values = ", ".join("(" + ", ".join(lit(v, t) for v, t in zip(r, types)) + ")" for r in rows)
+    names = [f.name for f in schema.fields]
+    cols = ", ".join(f"CAST(c{i} AS {t}) AS {n}" for i, (n, t) in enumerate(zip(names, types)))
+    aliases = ", ".join(f"c{i}" for i in range(len(names)))
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({aliases})")
+
+
 def modeling_params_fixture(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MODELING_PARAMS_ROWS, MODELING_PARAMS_SCHEMA)
+    return local_table(spark, MODELING_PARAMS_ROWS, MODELING_PARAMS_SCHEMA)
 
 
 def _sql_literal(v) -> str:

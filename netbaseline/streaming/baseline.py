@@ -62,7 +62,7 @@ def start_stream_baseline(flows: DataFrame, params_reader: Callable[[], DataFram
     cfg = model_config(params, parity)
     if cfg is None:
         raise ValueError("no model is switched on")
-    assets = resolve_assets(params.where(F.col("id") == cfg.model_id), members, parity=parity)
+    assets = resolve_assets(params, members, parity=parity, model_ids=[cfg.model_id], distinct=False)
     bounds = baseline_bounds(flows, assets, interval, cfg.z, parity, zone)
     store = SnapshotStore(flows.sparkSession, store_root)
     writer = (bounds.writeStream.outputMode("append")
