@@ -314,6 +314,24 @@ def q_f15(spark, sf_dir):
                        result_id(F.lit("msf_base"), "src_id", "protocol", F.lit(0)).alias("id"))
 
 
+def q_o04_sql_entry(spark, sf_dir):
+    from netbaseline.functions.time import zone_date
+    from netbaseline.operators.membership import keep_known_assets
+    from netbaseline.plans.sql import sql_bounds
+    _, flows, params, members = _inputs(spark, sf_dir)
+    kept, _ = keep_known_assets(flows, resolve_assets(active_model(params), members))
+    b = sql_bounds(kept, TEST_INTERVAL, z=1.96).withColumn("c_date", zone_date(F.col("w2.end")))
+    return _bounds_cols(b)
+
+
+def q_f12(spark, sf_dir):
+    from netbaseline.functions.bounds import interval_text
+    ev = _events(spark, sf_dir)
+    k = F.get_json_object("props", "$.k").cast("double")
+    lo, hi = kib_bounds(F.col("value") * 100.0 - k * 37.0, F.col("value") * 100.0 + k * 37.0)
+    return ev.select("event_id", interval_text(lo, hi).alias("value"))
+
+
 def q_o14_o18(spark, sf_dir):
     from netbaseline.streaming.baseline import stream_bounds_from_files
     return _bounds_cols(stream_bounds_from_files(spark, sf_dir))
@@ -347,6 +365,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "f10_slot_key": q_f10,
     "f11_normalised": q_f11,
     "f15_result_id": q_f15,
+    "o04_sql_entry": q_o04_sql_entry,
+    "f12_interval_text": q_f12,
     "o14_o18_stream_baseline": q_o14_o18,
 }
 
@@ -733,6 +753,12 @@ SELECT event_id,
        CASE WHEN {_r2(lo_b)} < 0 THEN 0.0 ELSE {_r2(_r2(lo_b) + ' / 1024')} END AS lo,
        {_r2(_r2(hi_b) + ' / 1024')} AS hi
 FROM events"""
+    f12 = f"""
+SELECT event_id, CAST(lo AS VARCHAR) || '-' || CAST(hi AS VARCHAR) AS value FROM (
+  SELECT event_id,
+         CASE WHEN {_r2(lo_b)} < 0 THEN 0.0 ELSE {_r2(_r2(lo_b) + ' / 1024')} END AS lo,
+         {_r2(_r2(hi_b) + ' / 1024')} AS hi
+  FROM events)"""
     f15 = _with(FLOWS_SQL) + """
 SELECT src_id, protocol,
        'msf_' || substr(sha256(concat_ws('|', 'msf_base', src_id, coalesce(protocol, ''), '0')), 1, 22) AS id
@@ -765,5 +791,7 @@ FROM (SELECT DISTINCT src_id, protocol FROM flows)"""
         "f10_slot_key": f10,
         "f11_normalised": f11,
         "f15_result_id": f15,
+        "o04_sql_entry": o13,
+        "f12_interval_text": f12,
         "o14_o18_stream_baseline": _stream_sql(),
     }
