@@ -69,7 +69,11 @@ def baseline_bounds(flows: DataFrame, assets: DataFrame | None, interval: str |
         if small:
             l1 = level1(flows.join(side, F.col("src_id") == F.col("__asset"), "left_semi"), d1)
         else:
-            l1 = level1(flows, d1).join(side, F.col("src_id") == F.col("__asset"), "left_semi")
+            # An inner join with the distinct ids, not a semi join: Catalyst pushes a
+            # semi join on grouping keys back below the aggregate, onto the raw rows.
+            l1 = (level1(flows, d1)
+                  .join(ids.distinct(), F.col("src_id") == F.col("__asset"), "inner")
+                  .drop("__asset"))
     rows = split_directions(l1, parity)
     return interval_bounds(level2(rows, d2), z=z, integer_mean=parity, zone=zone)
 
