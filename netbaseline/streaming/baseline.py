@@ -20,13 +20,16 @@ from netbaseline.operators.params import clear_history, diff_params, resolve_ass
 from netbaseline.operators.profile import gate, horizon, slot_rows, upsert_results
 from netbaseline.plans.baseline import baseline_bounds, model_config
 from netbaseline.session import fresh_folder
-from netbaseline.streaming.store import SnapshotStore
+from netbaseline.streaming.store import SnapshotStore, mirror_to_jdbc
 
 
 def make_batch_sink(store: SnapshotStore, params_reader: Callable[[], DataFrame],
                     versions_reader: Callable[[], DataFrame] | None = None,
-                    parity: bool = False, zone: str = MODEL_ZONE):
-    """The ``foreachBatch`` function: bounds of one micro-batch -> new result snapshot."""
+                    parity: bool = False, zone: str = MODEL_ZONE, jdbc_options: dict | None = None):
+    """The ``foreachBatch`` function: bounds of one micro-batch -> new result snapshot.
+
+    With ``jdbc_options`` each new snapshot is also copied to a JDBC table.
+    """
 
     def sink(bounds: DataFrame, batch_id: int) -> None:
         if store.is_committed(batch_id):
@@ -43,6 +46,8 @@ def make_batch_sink(store: SnapshotStore, params_reader: Callable[[], DataFrame]
             slots = slot_rows(bounds, cfg.model_id, cfg.result_span, zone, parity)
             slots = horizon(gate(slots, params), current, params)
             store.write(upsert_results(current, slots, parity), batch_id)
+            if jdbc_options:
+                mirror_to_jdbc(store.read(batch_id), jdbc_options)
         finally:
             bounds.unpersist()
 
@@ -52,7 +57,8 @@ def make_batch_sink(store: SnapshotStore, params_reader: Callable[[], DataFrame]
 def start_stream_baseline(flows: DataFrame, params_reader: Callable[[], DataFrame], members: DataFrame,
                           interval: str | None, store_root: str, checkpoint: str,
                           versions_reader: Callable[[], DataFrame] | None = None,
-                          parity: bool = False, zone: str = MODEL_ZONE, trigger: dict | None = None):
+                          parity: bool = False, zone: str = MODEL_ZONE, trigger: dict | None = None,
+                          jdbc_options: dict | None = None):
     """Start the streaming job; returns the ``StreamingQuery``.
 
     The asset set is resolved from the control tables at start; restart the
@@ -67,7 +73,7 @@ def start_stream_baseline(flows: DataFrame, params_reader: Callable[[], DataFram
     store = SnapshotStore(flows.sparkSession, store_root)
     writer = (bounds.writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(make_batch_sink(store, params_reader, versions_reader, parity, zone)))
+              .foreachBatch(make_batch_sink(store, params_reader, versions_reader, parity, zone, jdbc_options)))
     writer = writer.trigger(**(trigger or {"processingTime": "30 seconds"}))
     return writer.start()
 

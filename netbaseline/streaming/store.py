@@ -66,3 +66,19 @@ class SnapshotStore:
         for v in versions[:-self.retain]:
             fs, p = self._fs_path(self._folder(v))
             fs.delete(p, True)
+
+
+def mirror_to_jdbc(results: DataFrame, options: dict) -> None:
+    """Copy a result snapshot to a JDBC table (profile as JSON text), replacing its rows.
+
+    ``options`` are Spark's JDBC options (``url``, ``dbtable``, ``user``,
+    ``password``, ``driver``...).  The snapshot is the whole keyed table, so a
+    truncate-and-insert is the upsert; the JDBC driver jar must be on the
+    class path (it is not in this repository's test environment).
+    """
+    from pyspark.sql import functions as F
+    out = results.withColumn("flow", F.to_json(F.col("flow")))
+    writer = out.write.format("jdbc").mode("overwrite").option("truncate", "true")
+    for k, v in options.items():
+        writer = writer.option(k, v)
+    writer.save()
