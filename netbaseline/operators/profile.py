@@ -99,75 +99,111 @@ def upsert_results(current: DataFrame | None, slots: DataFrame, parity: bool = F
     """The result table after merging ``slots`` into ``current`` (keyed upsert).
 
     Work per key is bounded by the number of distinct slots (24 hours, 7 days
-    or 12 months): new rows are first reduced to one per (key, slot) - the
-    value of the latest window wins - and only then grouped by key together
-    with the stored slots.  Keys not touched by ``slots`` pass unchanged.
+    or 12 months).  New rows are first reduced to one per key, slot and
+    series (address, area) with fixed-width buffers only (bounds of the
+    latest window, first and last window end), so this step is a hash
+    aggregate with a map-side partial.  Then they are grouped by key together
+    with the stored slots: the latest window wins per slot (ties by address,
+    area, direction), stored slots keep their place, new ones are appended by
+    first window end.  Keys not touched by ``slots`` pass unchanged.
     """
     key = key_columns(parity)
     spark = slots.sparkSession
     if current is None:
         current = empty_results(spark)
-    order = F.struct(F.col("window_end"), F.col("src_ip"), F.col("area_id"))
-    new = (slots.groupBy(*key, "name")
-           .agg(F.max_by("value", order).alias("value"),
-                F.min("window_end").alias("first_seen"),
-                F.min(F.struct(F.col("window_end"), F.col("src_ip"), F.col("in_out"), F.col("time"),
-                               F.col("up_down").alias("dir"))).alias("first_row")))
+    us = F.unix_micros(F.col("window_end"))
+    series = ["name", "src_ip", "area_id"] + (["up_down"] if parity else [])
+    new = (slots.groupBy(*key, *series)
+           .agg(F.max_by("lo", us).alias("lo"), F.max_by("hi", us).alias("hi"),
+                F.min(us).alias("first_us"), F.max(us).alias("last_us"),
+                F.min("time").alias("first_time"), F.min("in_out").alias("in_out")))
+    dir_col = F.col("up_down") if parity else F.lit(None).cast("int")
+    entry_fields = ["is_new", "pos", "first_us", "last_us", "first_time", "in_out", "name", "src_ip", "area_id",
+                    "dir", "lo", "hi", "value"]
     new_entries = new.select(
-        *key,
-        F.lit(True).alias("is_new"), F.lit(None).cast("int").alias("pos"),
-        "first_seen", "name", "value",
-        F.lit(None).cast("string").alias("old_id"),
-        F.col("first_row").alias("first_row"),
+        *key, F.lit(True).alias("is_new"), F.lit(None).cast("int").alias("pos"),
+        "first_us", "last_us", "first_time", F.col("in_out").cast("int").alias("in_out"),
+        "name", F.col("src_ip"), F.col("area_id").cast("int").alias("area_id"),
+        dir_col.cast("int").alias("dir"), F.col("lo").cast("double").alias("lo"),
+        F.col("hi").cast("double").alias("hi"), F.lit(None).cast("string").alias("value"),
+        F.lit(None).cast(_OLD_ROW).alias("old_row"),
     )
     old = current.select(*key, "id", "src_ip", "up_down", "in_out", "time",
                          F.posexplode_outer("flow").alias("pos", "slot"))
-    first_row_type = new_entries.schema["first_row"].dataType
     old_entries = old.select(
-        *key,
-        F.lit(False).alias("is_new"), F.col("pos").cast("int").alias("pos"),
-        F.lit(None).cast("timestamp").alias("first_seen"),
-        F.col("slot.name").alias("name"), F.col("slot.value").alias("value"),
-        F.col("id").alias("old_id"),
-        F.struct(F.lit(None).cast("timestamp").alias("window_end"), F.col("src_ip"), F.col("in_out"),
-                 F.col("time"), F.col("up_down").alias("dir")).cast(first_row_type).alias("first_row"),
+        *key, F.lit(False).alias("is_new"), F.col("pos").cast("int").alias("pos"),
+        F.lit(None).cast("long").alias("first_us"), F.lit(None).cast("long").alias("last_us"),
+        F.lit(None).cast("timestamp_ntz").alias("first_time"), F.lit(None).cast("int").alias("in_out"),
+        F.col("slot.name").alias("name"), F.lit(None).cast("string").alias("src_ip"),
+        F.lit(None).cast("int").alias("area_id"), F.lit(None).cast("int").alias("dir"),
+        F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"),
+        F.col("slot.value").alias("value"),
+        F.struct("id", "src_ip", "in_out", "time", F.col("up_down").alias("dir")).cast(_OLD_ROW).alias("old_row"),
     )
-    entries = new_entries.unionByName(old_entries)
-    e = F.struct("is_new", "pos", "first_seen", "name", "value")
-    grouped = entries.groupBy(*key).agg(
-        F.collect_list(e).alias("es"),
-        F.max("old_id").alias("old_id"),
-        F.max(F.when(~F.col("is_new"), F.col("first_row"))).alias("old_row"),
-        F.min(F.when(F.col("is_new"), F.col("first_row"))).alias("new_row"),
+    grouped = new_entries.unionByName(old_entries).groupBy(*key).agg(
+        F.collect_list(F.struct(*entry_fields)).alias("es"),
+        F.max("old_row").alias("old_row"),
     )
-    new_map = F.map_from_entries(F.transform(F.filter("es", lambda x: x["is_new"]),
-                                             lambda x: F.struct(x["name"], x["value"])))
-    old_names = F.transform(F.filter("es", lambda x: ~x["is_new"] & x["name"].isNotNull()), lambda x: x["name"])
+    # Staged selects: each intermediate array is computed once per key.
+    es = F.col("es")
+    staged = grouped.select(
+        *key, "old_row",
+        F.filter(es, lambda e: e["is_new"]).alias("new_es"),
+        F.filter(es, lambda e: ~e["is_new"] & e["name"].isNotNull()).alias("old_es"))
+    new_es = F.col("new_es")
+
+    def latest(n):
+        return F.array_max(F.transform(F.filter(new_es, lambda e: e["name"] == n),
+                                       lambda e: F.struct(e["last_us"].alias("u"), e["src_ip"].alias("ip"),
+                                                          e["area_id"].alias("a"), e["dir"].alias("d"),
+                                                          e["lo"].alias("lo"), e["hi"].alias("hi"))))
+
+    def first_seen(n):
+        return F.array_min(F.transform(F.filter(new_es, lambda e: e["name"] == n), lambda e: e["first_us"]))
+
+    staged = staged.select(
+        *key, "old_row", "old_es",
+        F.transform(F.array_distinct(F.transform(new_es, lambda e: e["name"])),
+                    lambda n: F.struct(n.alias("name"), first_seen(n).alias("first_us"), latest(n).alias("last")))
+        .alias("per_name"),
+        F.array_min(F.transform(new_es, lambda e: F.struct(
+            e["first_us"].alias("u"), e["src_ip"].alias("ip"), e["dir"].alias("d"), e["first_time"].alias("t"),
+            e["in_out"].alias("io")))).alias("first_new"))
+    staged = staged.select(
+        *key, "old_row", "old_es", "first_new",
+        F.transform("per_name", lambda x: F.struct(x["first_us"].alias("k"), x["name"].alias("name"),
+                                                   interval_text(x["last"]["lo"], x["last"]["hi"]).alias("value")))
+        .alias("new_slots"))
+    staged = staged.select(
+        *key, "old_row", "old_es", "first_new", "new_slots",
+        F.map_from_entries(F.transform("new_slots", lambda x: F.struct(x["name"], x["value"]))).alias("new_map"),
+        F.transform("old_es", lambda e: e["name"]).alias("old_names"))
     kept = F.transform(
-        F.array_sort(F.transform(F.filter("es", lambda x: ~x["is_new"] & x["name"].isNotNull()),
-                                 lambda x: F.struct(x["pos"].alias("k"), x["name"].alias("name"),
-                                                    x["value"].alias("value")))),
+        F.array_sort(F.transform("old_es", lambda e: F.struct(e["pos"].alias("k"), e["name"].alias("name"),
+                                                              e["value"].alias("value")))),
         lambda x: F.struct(x["name"].alias("name"),
-                           F.coalesce(F.try_element_at(new_map, x["name"]), x["value"]).alias("value")))
+                           F.coalesce(F.try_element_at(F.col("new_map"), x["name"]), x["value"]).alias("value")))
     added = F.transform(
-        F.array_sort(F.transform(F.filter("es", lambda x: x["is_new"] & ~F.array_contains(old_names, x["name"])),
-                                 lambda x: F.struct(x["first_seen"].alias("k"), x["name"].alias("name"),
-                                                    x["value"].alias("value")))),
+        F.array_sort(F.filter("new_slots", lambda x: ~F.array_contains(F.col("old_names"), x["name"]))),
         lambda x: F.struct(x["name"].alias("name"), x["value"].alias("value")))
-    row = F.coalesce(F.col("old_row"), F.col("new_row"))
-    out = grouped.select(
-        F.coalesce(F.col("old_id"), result_id(*[F.col(k) for k in key])).alias("id"),
+    old_row = F.col("old_row")
+    first_new = F.col("first_new")
+    out = staged.select(
+        F.coalesce(old_row["id"], result_id(*[F.col(k) for k in key])).alias("id"),
         F.col("modeling_params_id"), F.col("src_id"),
-        row["src_ip"].alias("src_ip"),
+        F.when(old_row.isNotNull(), old_row["src_ip"]).otherwise(first_new["ip"]).alias("src_ip"),
         F.col("protocol"),
         F.concat(kept, added).cast(RESULT_SCHEMA["flow"].dataType).alias("flow"),
-        (row["dir"] if parity else F.col("up_down")).cast("int").alias("up_down"),
-        row["in_out"].cast("int").alias("in_out"),
-        row["time"].alias("time"),
+        (F.coalesce(old_row["dir"], first_new["d"]) if parity else F.col("up_down")).cast("int").alias("up_down"),
+        F.when(old_row.isNotNull(), old_row["in_out"]).otherwise(first_new["io"]).cast("int").alias("in_out"),
+        F.when(old_row.isNotNull(), old_row["time"]).otherwise(first_new["t"]).alias("time"),
     )
     return out.select(*RESULT_COLUMNS)
 
 
+_OLD_ROW = "struct<id:string,src_ip:string,in_out:int,time:timestamp_ntz,dir:int>"
+
+
 def explode_profiles(results: DataFrame) -> DataFrame:
     """One row per profile slot: key columns, ``pos``, ``name``, ``value`` and numeric ``lo`` / ``hi``."""
     num = r"(-?[0-9.]+(?:E-?[0-9]+)?)"

@@ -17,7 +17,7 @@ from netbaseline.functions.time import MODEL_ZONE, window_lengths, z_for_confide
 from netbaseline.operators.aggregate import interval_bounds, level1, level2, split_directions
 from netbaseline.operators.params import ACTIVE_PREDICATE, resolve_assets
 from netbaseline.operators.profile import gate, horizon, slot_rows, upsert_results
-from netbaseline.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, remember_size
+from netbaseline.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if, is_small, remember_size
 
 
 @dataclass(frozen=True)
@@ -49,6 +49,11 @@ def model_config(params: DataFrame, parity: bool = False) -> ModelConfig | None:
                        row["hist"] if row["hist"] is not None else 1)
 
 
+def model_assets(params: DataFrame, members: DataFrame, config: ModelConfig, parity: bool = False) -> DataFrame:
+    """The asset ids of the model in force (pairs may repeat; fine for the semi join)."""
+    return resolve_assets(params, members, parity=parity, model_ids=[config.model_id], distinct=False)
+
+
 def baseline_bounds(flows: DataFrame, assets: DataFrame | None, interval: str | None, z: float = 1.96,
                     parity: bool = False, zone: str = MODEL_ZONE,
                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
@@ -65,7 +70,8 @@ def baseline_bounds(flows: DataFrame, assets: DataFrame | None, interval: str |
     else:
         # a semi join ignores repeated keys on its right side: no distinct (and no shuffle) needed
         ids = assets.select(F.col("entity_id").alias("__asset"))
-        side, small = bounded_broadcast(ids, max_broadcast_rows)
+        small = is_small(assets, max_broadcast_rows)  # remembered per assets DataFrame
+        side = broadcast_if(ids, small)
         if small:
             l1 = level1(flows.join(side, F.col("src_id") == F.col("__asset"), "left_semi"), d1)
         else:
@@ -81,12 +87,18 @@ def baseline_bounds(flows: DataFrame, assets: DataFrame | None, interval: str |
 def baseline_slots(flows: DataFrame, params: DataFrame, members: DataFrame, interval: str | None,
                    parity: bool = False, zone: str = MODEL_ZONE,
                    config: ModelConfig | None = None,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame | None:
-    """Slot rows of the model in force (before gate and horizon); None if no model is on."""
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                   assets: DataFrame | None = None) -> DataFrame | None:
+    """Slot rows of the model in force (before gate and horizon); None if no model is on.
+
+    ``assets`` (from :func:`model_assets`) may be passed to share one resolved
+    and size-checked asset set between several runs.
+    """
     config = config or model_config(params, parity)
     if config is None:
         return None
-    assets = resolve_assets(params, members, parity=parity, model_ids=[config.model_id], distinct=False)
+    if assets is None:
+        assets = model_assets(params, members, config, parity)
     bounds = baseline_bounds(flows, assets, interval, config.z, parity, zone, max_broadcast_rows)
     return slot_rows(bounds, config.model_id, config.result_span, zone, parity)
 

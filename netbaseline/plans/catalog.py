@@ -23,7 +23,7 @@ from netbaseline.functions.time import MODEL_ZONE, local_ntz, slot_key, window_l
 from netbaseline.operators.aggregate import interval_bounds, level1, level2, split_directions
 from netbaseline.operators.params import active_model, active_models, clear_history, diff_params, resolve_assets
 from netbaseline.operators.profile import explode_profiles, gate, horizon, slot_rows, upsert_results
-from netbaseline.plans.baseline import baseline_bounds, baseline_slots, model_config
+from netbaseline.plans.baseline import baseline_bounds, baseline_slots, model_assets, model_config
 from netbaseline.sources.control import (
     TEST_INTERVAL, group_members_from_events, modeling_params_fixture, modeling_params_sql,
     param_versions_from_events,
@@ -175,8 +175,9 @@ def q_o10_o19(spark, sf_dir):
     first = flows.where(F.col("ts").cast("timestamp_ntz") < split)
     second = flows.where(F.col("ts").cast("timestamp_ntz") >= split)
     cfg = model_config(params)
-    s1 = baseline_slots(first, params, members, TEST_INTERVAL, config=cfg)
-    s2 = baseline_slots(second, params, members, TEST_INTERVAL, config=cfg)
+    assets = model_assets(params, members, cfg)
+    s1 = baseline_slots(first, params, members, TEST_INTERVAL, config=cfg, assets=assets)
+    s2 = baseline_slots(second, params, members, TEST_INTERVAL, config=cfg, assets=assets)
     stored = upsert_results(None, s1)
     merged = upsert_results(stored, s2)
     return explode_profiles(merged).select("src_id", "protocol", "up_down", "pos", "name", "lo", "hi")
@@ -186,10 +187,11 @@ def q_o20(spark, sf_dir):
     ev, flows, params, members = _inputs(spark, sf_dir)
     split = F.lit(SPLIT_AT).cast("timestamp_ntz")
     cfg = model_config(params)
+    assets = model_assets(params, members, cfg)
     s1 = baseline_slots(flows.where(F.col("ts").cast("timestamp_ntz") < split), params, members, TEST_INTERVAL,
-                        config=cfg)
+                        config=cfg, assets=assets)
     s2 = baseline_slots(flows.where(F.col("ts").cast("timestamp_ntz") >= split), params, members, TEST_INTERVAL,
-                        config=cfg)
+                        config=cfg, assets=assets)
     return _result_cols(upsert_results(upsert_results(None, s1), s2))
 
 
@@ -233,10 +235,11 @@ def q_o24(spark, sf_dir):
     ev, flows, params, members = _inputs(spark, sf_dir)
     split = F.lit(SPLIT_AT).cast("timestamp_ntz")
     cfg = model_config(params)
+    assets = model_assets(params, members, cfg)
     s1 = baseline_slots(flows.where(F.col("ts").cast("timestamp_ntz") < split), params, members, TEST_INTERVAL,
-                        config=cfg)
+                        config=cfg, assets=assets)
     s2 = baseline_slots(flows.where(F.col("ts").cast("timestamp_ntz") >= split), params, members, TEST_INTERVAL,
-                        config=cfg)
+                        config=cfg, assets=assets)
     stored = upsert_results(None, s1)
     changes = diff_params(param_versions_from_events(ev)).where(F.col("modify_time") < split)
     return _result_cols(upsert_results(clear_history(stored, changes), s2))

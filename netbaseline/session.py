@@ -8,16 +8,25 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app_name: str = "netbaseline") -> SparkSession:
+                  app_name: str = "netbaseline", rocksdb_state: bool = False) -> SparkSession:
     """A session with the settings the engine expects.
 
     On a cluster, pass ``master=None`` and let ``spark-submit`` decide; the
     shuffle width then should be sized to the input (about 128-256 MB per
-    partition after the partial aggregation).
+    partition after the partial aggregation).  ``rocksdb_state=True`` keeps
+    streaming state (one open window per series and level) off the JVM heap
+    with incremental commits: the choice for a cluster with millions of
+    series; on small local runs its per-partition start-up costs more than it
+    saves.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if rocksdb_state:
+        builder = (builder
+                   .config("spark.sql.streaming.stateStore.providerClass",
+                           "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+                   .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"))
     return (builder
             .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
             .config("spark.sql.adaptive.enabled", "true")

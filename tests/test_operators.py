@@ -106,7 +106,8 @@ SLOT_SCHEMA = ("modeling_params_id string, src_id string, src_ip string, area_id
 
 def slot(src, name, value, hours, ip="10.0.0.1", up_down=0):
     t = T0 + dt.timedelta(hours=hours)
-    return ("m", src, ip, 1, "TCP", up_down, t, name, None, None, value, 0, t + dt.timedelta(hours=8))
+    lo, hi = (float(x) for x in value.split("-"))
+    return ("m", src, ip, 1, "TCP", up_down, t, name, lo, hi, value, 0, t + dt.timedelta(hours=8))
 
 
 def test_upsert_replaces_in_place_and_appends(spark):
