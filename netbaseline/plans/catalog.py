@@ -335,6 +335,11 @@ def q_f12(spark, sf_dir):
     return ev.select("event_id", interval_text(lo, hi).alias("value"))
 
 
+def q_o20_o22_stream(spark, sf_dir):
+    from netbaseline.streaming.baseline import stream_results_from_files
+    return _result_cols(stream_results_from_files(spark, sf_dir))
+
+
 def q_o14_o18(spark, sf_dir):
     from netbaseline.streaming.baseline import stream_bounds_from_files
     return _bounds_cols(stream_bounds_from_files(spark, sf_dir))
@@ -371,6 +376,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "o04_sql_entry": q_o04_sql_entry,
     "f12_interval_text": q_f12,
     "o14_o18_stream_baseline": q_o14_o18,
+    "o20_o22_stream_sink": q_o20_o22_stream,
 }
 
 
@@ -593,6 +599,22 @@ closed AS (
         "FROM bounds", "FROM closed")
 
 
+def _stream_sink_sql() -> str:
+    # Finished windows only (watermark = latest event time - 5 s), then the horizon of the
+    # model in force (first write + 2 * history days), then the result rows.
+    return _with(FLOWS_SQL, KEPT_SQL, _levels_sql("kept"), _slots_sql(""), f"""
+closed_slots AS (
+  SELECT * FROM slots
+  WHERE (b2 + 1) * {W2_US} <= (SELECT epoch_us(max(ts)) - 5000000 FROM events)),
+limits AS (
+  SELECT s.modeling_params_id,
+         min(s.time) + to_days(CAST(2 * max(coalesce(a.model_history_data_span, 1)) AS INTEGER)) AS until
+  FROM closed_slots s JOIN actives a ON a.id = s.modeling_params_id GROUP BY s.modeling_params_id),
+written AS (
+  SELECT s.* FROM closed_slots s JOIN limits l USING (modeling_params_id) WHERE s.time <= l.until),""",
+                 _results_sql("written")) + RESULT_SELECT
+
+
 def oracle_sql() -> dict[str, str]:
     k = "event_id % 100"
     src_o01 = "'ast_' || CAST(user_id AS VARCHAR)"
@@ -797,4 +819,5 @@ FROM (SELECT DISTINCT src_id, protocol FROM flows)"""
         "o04_sql_entry": o13,
         "f12_interval_text": f12,
         "o14_o18_stream_baseline": _stream_sql(),
+        "o20_o22_stream_sink": _stream_sink_sql(),
     }

@@ -1,6 +1,9 @@
 """Structured Streaming form of the baseline job."""
 
 from netbaseline.streaming.store import SnapshotStore
-from netbaseline.streaming.baseline import start_stream_baseline, stream_bounds_from_files, make_batch_sink
+from netbaseline.streaming.baseline import (
+    start_stream_baseline, stream_bounds_from_files, stream_results_from_files, make_batch_sink,
+)
 
-__all__ = ["SnapshotStore", "start_stream_baseline", "stream_bounds_from_files", "make_batch_sink"]
+__all__ = ["SnapshotStore", "start_stream_baseline", "stream_bounds_from_files", "stream_results_from_files",
+           "make_batch_sink"]

@@ -102,3 +102,27 @@ def stream_bounds_from_files(spark: SparkSession, sf_dir: str, interval: str | N
          .start(f"{out}/data"))
     q.awaitTermination()
     return spark.read.parquet(f"{out}/data")
+
+
+def stream_results_from_files(spark: SparkSession, sf_dir: str, interval: str | None = None) -> DataFrame:
+    """Run the whole streaming job over the test ``events`` file and read the final result snapshot.
+
+    The job resolves its asset set, runs the two window levels as an
+    append-mode query and merges each micro-batch of finished windows in
+    ``foreachBatch`` (gate, horizon, upsert) into a snapshot store.
+    """
+    from netbaseline.sources.control import TEST_INTERVAL, group_members_from_events, modeling_params_fixture
+    from netbaseline.sources.flows import flows_from_events
+
+    static = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    events = spark.readStream.schema(static.schema).parquet(f"{sf_dir.rstrip('/')}/events*.parquet")
+    out = fresh_folder(spark, "stream-results")
+    q = start_stream_baseline(flows_from_events(events), lambda: modeling_params_fixture(spark),
+                              group_members_from_events(static), interval or TEST_INTERVAL,
+                              f"{out}/results", f"{out}/_checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    latest = SnapshotStore(spark, f"{out}/results").latest()
+    if latest is None:
+        from netbaseline.operators.profile import empty_results
+        return empty_results(spark)
+    return latest
