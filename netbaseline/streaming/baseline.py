@@ -12,6 +12,7 @@ writes a new snapshot.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -23,6 +24,26 @@ from netbaseline.session import fresh_folder
 from netbaseline.streaming.store import SnapshotStore, mirror_to_jdbc
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession, n: int | None):
+    """Set the shuffle width only while a streaming query starts.
+
+    A stateful query fixes its number of state partitions from
+    ``spark.sql.shuffle.partitions`` at its first start (kept in the
+    checkpoint afterwards); size it to the stream, not to the session default.
+    """
+    if not n:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(int(n)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def make_batch_sink(store: SnapshotStore, params_reader: Callable[[], DataFrame],
                     versions_reader: Callable[[], DataFrame] | None = None,
                     parity: bool = False, zone: str = MODEL_ZONE, jdbc_options: dict | None = None):
@@ -58,7 +79,7 @@ def start_stream_baseline(flows: DataFrame, params_reader: Callable[[], DataFram
                           interval: str | None, store_root: str, checkpoint: str,
                           versions_reader: Callable[[], DataFrame] | None = None,
                           parity: bool = False, zone: str = MODEL_ZONE, trigger: dict | None = None,
-                          jdbc_options: dict | None = None):
+                          jdbc_options: dict | None = None, state_partitions: int | None = None):
     """Start the streaming job; returns the ``StreamingQuery``.
 
     The asset set is resolved from the control tables at start; restart the
@@ -75,7 +96,8 @@ def start_stream_baseline(flows: DataFrame, params_reader: Callable[[], DataFram
               .option("checkpointLocation", checkpoint)
               .foreachBatch(make_batch_sink(store, params_reader, versions_reader, parity, zone, jdbc_options)))
     writer = writer.trigger(**(trigger or {"processingTime": "30 seconds"}))
-    return writer.start()
+    with _state_partitions(flows.sparkSession, state_partitions):
+        return writer.start()
 
 
 def stream_bounds_from_files(spark: SparkSession, sf_dir: str, interval: str | None = None) -> DataFrame:
@@ -96,10 +118,11 @@ def stream_bounds_from_files(spark: SparkSession, sf_dir: str, interval: str | N
     assets = resolve_assets(active_model(params), group_members_from_events(static))
     bounds = baseline_bounds(flows_from_events(events), assets, interval or TEST_INTERVAL, z=1.96)
     out = fresh_folder(spark, "stream-bounds")
-    q = (bounds.writeStream.outputMode("append").format("parquet")
-         .option("checkpointLocation", f"{out}/_checkpoint")
-         .trigger(availableNow=True)
-         .start(f"{out}/data"))
+    with _state_partitions(spark, spark.sparkContext.defaultParallelism):
+        q = (bounds.writeStream.outputMode("append").format("parquet")
+             .option("checkpointLocation", f"{out}/_checkpoint")
+             .trigger(availableNow=True)
+             .start(f"{out}/data"))
     q.awaitTermination()
     return spark.read.parquet(f"{out}/data")
 
@@ -119,7 +142,8 @@ def stream_results_from_files(spark: SparkSession, sf_dir: str, interval: str |
     out = fresh_folder(spark, "stream-results")
     q = start_stream_baseline(flows_from_events(events), lambda: modeling_params_fixture(spark),
                               group_members_from_events(static), interval or TEST_INTERVAL,
-                              f"{out}/results", f"{out}/_checkpoint", trigger={"availableNow": True})
+                              f"{out}/results", f"{out}/_checkpoint", trigger={"availableNow": True},
+                              state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     latest = SnapshotStore(spark, f"{out}/results").latest()
     if latest is None:
