@@ -100,3 +100,28 @@ def test_stream_job_matches_batch_and_replay_is_idempotent(spark, scratch):
     bounds = baseline_bounds(flows_from_events(events), None, TEST_INTERVAL)
     sink(bounds, last)
     assert sorted(map(str, store.read(last).collect())) == sorted(map(str, before))
+
+
+def test_sink_applies_history_clear(spark, scratch):
+    from netbaseline.operators import active_model
+    from netbaseline.plans.catalog import SPLIT_AT
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    params = modeling_params_fixture(spark)
+    assets = resolve_assets(active_model(params), group_members_from_events(events))
+    bounds = baseline_bounds(flows_from_events(events), assets, TEST_INTERVAL)
+    split = F.lit(SPLIT_AT).cast("timestamp")
+    store = SnapshotStore(spark, f"{scratch}/results")
+    schema = ("id string, modify_time timestamp_ntz, model_result_span int, model_rate_timeunit string, "
+              "model_rate_timeunit_num int, model_update int, model_history_data_span int")
+    # update mode 1 -> 0 after the first batch's writes: a clear of model msf_base
+    versions = spark.createDataFrame([("msf_base", dt.datetime(2023, 12, 1), 1, "mm", 360, 1, 7),
+                                      ("msf_base", dt.datetime(2024, 1, 10), 1, "mm", 360, 0, 7)], schema)
+    sink = make_batch_sink(store, lambda: modeling_params_fixture(spark), lambda: versions)
+    sink(bounds.where(F.col("w2.end") <= split), 0)
+    first = store.read(0)
+    assert first.count() > 0
+    sink(bounds.where(F.col("w2.end") > split), 1)
+    after = store.read(1)
+    # every row now was (re)written after the clear; none keeps a first write from before it
+    assert after.where(F.col("time") < F.lit(dt.datetime(2024, 1, 10))).count() == 0
+    assert after.count() > 0
