@@ -19,8 +19,8 @@ from netbaseline.functions.convert import round2, to_boolean, to_int
 from netbaseline.functions.ids import result_id
 from netbaseline.functions.network import internal_flag
 from netbaseline.functions.text import blank_aware_equals, blank_aware_equals_ci, is_blank, to_text
-from netbaseline.functions.time import MODEL_ZONE, local_ntz, slot_key, window_lengths, zone_date
-from netbaseline.operators.aggregate import interval_bounds, level1, level2, split_directions
+from netbaseline.functions.time import local_ntz, slot_key, window_lengths, zone_date
+from netbaseline.operators.aggregate import level1, level2, split_directions
 from netbaseline.operators.params import active_model, active_models, clear_history, diff_params, resolve_assets
 from netbaseline.operators.profile import explode_profiles, gate, horizon, slot_rows, upsert_results
 from netbaseline.plans.baseline import baseline_bounds, baseline_slots, model_assets, model_config
