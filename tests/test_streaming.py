@@ -125,3 +125,30 @@ def test_sink_applies_history_clear(spark, scratch):
     # every row now was (re)written after the clear; none keeps a first write from before it
     assert after.where(F.col("time") < F.lit(dt.datetime(2024, 1, 10))).count() == 0
     assert after.count() > 0
+
+
+def test_text_message_stream_source(spark, scratch):
+    """S1 without Kafka: JSON lines read as a file stream, parsed once, same bounds as batch."""
+    from netbaseline.sources import messages_from_events, parse_flows, read_flow_messages
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    top = events.agg(F.max("event_id")).first()[0] + 1
+    for i in range(2):
+        part = events.where((F.col("event_id") >= top * i // 2) & (F.col("event_id") < top * (i + 1) // 2))
+        messages_from_events(part).coalesce(1).write.text(f"{scratch}/msgs/part{i}")
+        time.sleep(0.05)
+    sentinel = messages_from_events(events.where("user_id = 0").limit(1).withColumn(
+        "ts", F.lit(dt.datetime(2030, 1, 1)).cast("timestamp_ntz")), plant_edges=False)
+    sentinel.coalesce(1).write.text(f"{scratch}/msgs/part2")
+    params = modeling_params_fixture(spark)
+    assets = resolve_assets(active_model(params), group_members_from_events(events))
+    stream = parse_flows(read_flow_messages(spark, "text", stream=True, options={"maxFilesPerTrigger": 1},
+                                            path=f"{scratch}/msgs/part*"))
+    q = (baseline_bounds(stream, assets, TEST_INTERVAL).writeStream.outputMode("append").format("parquet")
+         .option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start(f"{scratch}/out"))
+    q.awaitTermination()
+    got = spark.read.parquet(f"{scratch}/out").select(*BOUND_COLS, F.col("w2.end").alias("end"))
+    batch_msgs = read_flow_messages(spark, "text", stream=False, path=f"{scratch}/msgs/part[01]")
+    want = baseline_bounds(parse_flows(batch_msgs), assets, TEST_INTERVAL).select(
+        *BOUND_COLS, F.col("w2.end").alias("end"))
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
