@@ -49,21 +49,25 @@ def make_batch_sink(store: SnapshotStore, params_reader: Callable[[], DataFrame]
                     parity: bool = False, zone: str = MODEL_ZONE, jdbc_options: dict | None = None):
     """The ``foreachBatch`` function: bounds of one micro-batch -> new result snapshot.
 
-    With ``jdbc_options`` each new snapshot is also copied to a JDBC table.
+    A micro-batch in which no window finished writes nothing (the control
+    checks, like the reference's, run when results arrive).  With
+    ``jdbc_options`` each new snapshot is also copied to a JDBC table.
     """
 
     def sink(bounds: DataFrame, batch_id: int) -> None:
         if store.is_committed(batch_id):
             return  # replay of a batch already written
-        params = params_reader()
-        cfg = model_config(params, parity)
-        if cfg is None:
-            return  # no model switched on: nothing is written
-        current = store.latest(before=batch_id)
-        if versions_reader is not None and current is not None:
-            current = clear_history(current, diff_params(versions_reader(), parity))
         bounds = bounds.persist()
         try:
+            if bounds.isEmpty():
+                return  # no window finished: the table is unchanged, nothing is rewritten
+            params = params_reader()
+            cfg = model_config(params, parity)
+            if cfg is None:
+                return  # no model switched on: nothing is written
+            current = store.latest(before=batch_id)
+            if versions_reader is not None and current is not None:
+                current = clear_history(current, diff_params(versions_reader(), parity))
             slots = slot_rows(bounds, cfg.model_id, cfg.result_span, zone, parity)
             slots = horizon(gate(slots, params), current, params)
             store.write(upsert_results(current, slots, parity), batch_id)
