@@ -57,13 +57,21 @@ def slot_rows(bounds: DataFrame, model_id, span, zone: str = MODEL_ZONE, parity:
     )
 
 
-def gate(slots: DataFrame, params: DataFrame) -> DataFrame:
-    """Keep slot rows whose model is switched on in the given (fresh) parameters."""
+def gate(slots: DataFrame, params: DataFrame, model_id: str | None = None) -> DataFrame:
+    """Keep slot rows whose model is switched on in the given (fresh) parameters.
+
+    With ``model_id`` (all rows belong to that model) the test is one
+    uncorrelated ``EXISTS`` evaluated once; otherwise a semi join on the
+    model id against the switched-on ids (size-checked, broadcast).
+    """
+    if model_id is not None:
+        return slots.where(active_models(params).where(F.col("id") == model_id).exists())
     on = broadcast_if(active_models(params).select(F.col("id").alias("__mid")).distinct(), is_small(params))
     return slots.join(on, slots["modeling_params_id"] == F.col("__mid"), "left_semi")
 
 
-def horizon(slots: DataFrame, current: DataFrame | None, params: DataFrame) -> DataFrame:
+def horizon(slots: DataFrame, current: DataFrame | None, params: DataFrame,
+            model_id: str | None = None) -> DataFrame:
     """Keep slot rows no later than ``first write + 2 * history days`` of their model.
 
     The first write is the earliest ``time`` of the model in the result table
@@ -71,19 +79,25 @@ def horizon(slots: DataFrame, current: DataFrame | None, params: DataFrame) -> D
     (1 when unset).  Rows of models without parameters pass (the gate is
     separate).  The limits are one row per switched-on model: the size is
     checked on the parameter side, so no pass over the slots is spent on it.
+    With ``model_id`` (all rows of one model) the limit is a scalar subquery
+    evaluated once; otherwise a broadcast join on the model id.
     """
     days = (active_models(params)
             .groupBy(F.col("id").alias("modeling_params_id"))
             .agg(F.max(F.coalesce(to_int("model_history_data_span"), F.lit(1))).alias("history_days")))
     if not is_small(params):
         raise ValueError("the parameter table is too large to broadcast its per-model limits")
-    days = F.broadcast(days)
     times = slots.select("modeling_params_id", "time")
     if current is not None:
         times = times.unionByName(current.select("modeling_params_id", "time"))
+    if model_id is not None:
+        first = times.where(F.col("modeling_params_id") == model_id).agg(F.min("time")).scalar()
+        n_days = days.where(F.col("modeling_params_id") == model_id).agg(F.max("history_days")).scalar()
+        until = F.timestamp_add("DAY", F.lit(2) * n_days, first)
+        return slots.where(until.isNull() | (F.col("time") <= until))
     # At most one row per row of ``days`` (inner join on its key): bounded, so broadcast.
     limits = (times.groupBy("modeling_params_id").agg(F.min("time").alias("first_write"))
-              .join(days, "modeling_params_id")
+              .join(F.broadcast(days), "modeling_params_id")
               .select("modeling_params_id",
                       F.expr("timestampadd(DAY, 2 * history_days, first_write)").alias("__until")))
     return (slots.join(F.broadcast(limits), "modeling_params_id", "left")

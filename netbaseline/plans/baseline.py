@@ -108,12 +108,13 @@ def batch_baseline(flows: DataFrame, params: DataFrame, members: DataFrame, inte
                    apply_gate: bool = True, apply_horizon: bool = True,
                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame | None:
     """The result table after one batch run over ``flows`` (None if no model is on)."""
-    slots = baseline_slots(flows, params, members, interval, parity, zone,
-                           max_broadcast_rows=max_broadcast_rows)
-    if slots is None:
+    config = model_config(params, parity)
+    if config is None:
         return current
+    slots = baseline_slots(flows, params, members, interval, parity, zone, config=config,
+                           max_broadcast_rows=max_broadcast_rows)
     if apply_gate:
-        slots = gate(slots, params)
+        slots = gate(slots, params, model_id=config.model_id)
     if apply_horizon:
-        slots = horizon(slots, current, params)
+        slots = horizon(slots, current, params, model_id=config.model_id)
     return upsert_results(current, slots, parity)

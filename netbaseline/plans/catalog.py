@@ -217,7 +217,7 @@ def q_o21(spark, sf_dir):
 
 def q_o22(spark, sf_dir):
     slots, params = _slots(spark, sf_dir)
-    return _slot_cols(horizon(slots, None, params))
+    return _slot_cols(horizon(slots, None, params, model_id=model_config(params).model_id))
 
 
 def q_o23(spark, sf_dir):

@@ -69,7 +69,7 @@ def make_batch_sink(store: SnapshotStore, params_reader: Callable[[], DataFrame]
             if versions_reader is not None and current is not None:
                 current = clear_history(current, diff_params(versions_reader(), parity))
             slots = slot_rows(bounds, cfg.model_id, cfg.result_span, zone, parity)
-            slots = horizon(gate(slots, params), current, params)
+            slots = horizon(gate(slots, params, model_id=cfg.model_id), current, params, model_id=cfg.model_id)
             store.write(upsert_results(current, slots, parity), batch_id)
             if jdbc_options:
                 mirror_to_jdbc(store.read(batch_id), jdbc_options)

@@ -69,3 +69,11 @@ def test_hot_asset_is_split_by_windows(spark):
     m = re.search(r"Exchange hashpartitioning\(src_id#\d+[^)]*(window|__w1|_groupingexpression)#\d+", p)
     assert m, p
     assert "partial_sum(" in p[m.end():]
+
+
+def test_flagship_has_no_nested_loop_join(spark):
+    import __spark_entry__ as E
+    df = E.flagship(spark, SF_SMALL)
+    df.collect()
+    p = plan_text(df)
+    assert "NestedLoopJoin" not in p and "CartesianProduct" not in p, p
