@@ -20,7 +20,7 @@ from netbaseline.functions.time import MODEL_ZONE
 from netbaseline.operators.params import clear_history, diff_params, resolve_assets
 from netbaseline.operators.profile import gate, horizon, slot_rows, upsert_results
 from netbaseline.plans.baseline import baseline_bounds, model_config
-from netbaseline.session import fresh_folder
+from netbaseline.session import fresh_folder, scratch_root
 from netbaseline.streaming.store import SnapshotStore, mirror_to_jdbc
 
 
@@ -86,16 +86,22 @@ def start_stream_baseline(flows: DataFrame, params_reader: Callable[[], DataFram
                           jdbc_options: dict | None = None, state_partitions: int | None = None):
     """Start the streaming job; returns the ``StreamingQuery``.
 
-    The asset set is resolved from the control tables at start; restart the
-    query (e.g. ``availableNow`` on a schedule) to pick up new group members.
+    The asset set is resolved from the control tables at start and
+    checkpointed; restart the query (e.g. ``availableNow`` on a schedule) to
+    pick up new group members.
     """
     params = params_reader()
     cfg = model_config(params, parity)
     if cfg is None:
         raise ValueError("no model is switched on")
-    assets = resolve_assets(params, members, parity=parity, model_ids=[cfg.model_id], distinct=False)
+    spark = flows.sparkSession
+    # Resolve the asset set once and keep it in the shared checkpoint folder: the
+    # stream-static join then neither re-reads membership every micro-batch nor
+    # outgrows the broadcast bound checked here, and it survives executor loss.
+    scratch_root(spark)
+    assets = resolve_assets(params, members, parity=parity, model_ids=[cfg.model_id]).checkpoint()
     bounds = baseline_bounds(flows, assets, interval, cfg.z, parity, zone)
-    store = SnapshotStore(flows.sparkSession, store_root)
+    store = SnapshotStore(spark, store_root)
     writer = (bounds.writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint)
               .foreachBatch(make_batch_sink(store, params_reader, versions_reader, parity, zone, jdbc_options)))
