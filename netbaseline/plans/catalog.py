@@ -442,7 +442,8 @@ def _levels_sql(src: str, prefix: str = "", model: bool = False, parity: bool =
     return f"""
 {prefix}l1 AS (
   SELECT {mk}src_id, src_ip, area_id, protocol, epoch_us(ts) // {W1_US} AS b1,
-         sum(in_flow) AS in_sum, sum(out_flow) AS out_sum, count(*) AS total_count
+         CAST(sum(in_flow) AS BIGINT) AS in_sum, CAST(sum(out_flow) AS BIGINT) AS out_sum,
+         count(*) AS total_count
   FROM {src} GROUP BY ALL),
 {prefix}l1d AS (
   SELECT {mk}src_id, src_ip, area_id, protocol, b1, 0 AS direction, in_sum AS flow_size, total_count FROM {prefix}l1
@@ -451,7 +452,7 @@ def _levels_sql(src: str, prefix: str = "", model: bool = False, parity: bool =
   FROM {prefix}l1),
 {prefix}l2 AS (
   SELECT {mk}src_id, src_ip, area_id, protocol, direction, ((b1 + 1) * {W1_US} - 1) // {W2_US} AS b2,
-         sum(flow_size) AS sum_flow, sum(total_count) AS sum_count,
+         CAST(sum(flow_size) AS BIGINT) AS sum_flow, CAST(sum(total_count) AS BIGINT) AS sum_count,
          stddev_pop(flow_size) AS sd_flow, count(*) AS n_windows
   FROM {prefix}l1d GROUP BY ALL),
 {prefix}bounds AS (
@@ -513,7 +514,7 @@ def _results_sql(src: str, name: str = "results") -> str:
 {name}_first AS (
   SELECT modeling_params_id, src_id, protocol, up_down,
          arg_min(src_ip, b2) AS src_ip, arg_min(in_out, b2) AS in_out, min(time) AS time,
-         count(DISTINCT name) AS n_slots
+         CAST(count(DISTINCT name) AS INTEGER) AS n_slots
   FROM {src} GROUP BY ALL),
 {name} AS (
   SELECT {rid} AS id, modeling_params_id, src_id, src_ip, protocol, up_down, in_out, time, n_slots
@@ -671,7 +672,7 @@ FROM l2"""
 firsts AS (
   SELECT modeling_params_id, src_id, protocol,
          arg_min(src_ip, (b2, up_down)) AS src_ip, arg_min(in_out, (b2, up_down)) AS in_out,
-         arg_min(up_down, (b2, up_down)) AS up_down, min(time) AS time, count(DISTINCT name) AS n_slots
+         arg_min(up_down, (b2, up_down)) AS up_down, min(time) AS time, CAST(count(DISTINCT name) AS INTEGER) AS n_slots
   FROM slots GROUP BY ALL),""") + """
 SELECT 'msf_' || substr(sha256(concat_ws('|', modeling_params_id, src_id, coalesce(protocol, ''))), 1, 22) AS id,
        src_id, src_ip, protocol, up_down, in_out, strftime(time, '%Y-%m-%d %H:%M:%S') AS time_local, n_slots
