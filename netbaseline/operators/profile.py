@@ -106,7 +106,8 @@ def horizon(slots: DataFrame, current: DataFrame | None, params: DataFrame,
 
 
 def empty_results(spark) -> DataFrame:
-    return spark.createDataFrame([], RESULT_SCHEMA)
+    """An empty result table (a zero-row JVM relation, no Python-side data)."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in RESULT_SCHEMA.fields])
 
 
 def upsert_results(current: DataFrame | None, slots: DataFrame, parity: bool = False) -> DataFrame:
