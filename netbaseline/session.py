@@ -41,9 +41,10 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     It is the folder the cluster names in ``spark.checkpoint.dir``.  Only when
-    that is unset (a bare local session, as in tests) is one chosen here,
-    below the warehouse folder, and registered with the SparkContext so that
-    ``DataFrame.checkpoint()`` uses the same place.
+    that is unset in a local session (as in tests) is one chosen here, below
+    the warehouse folder, and registered with the SparkContext so that
+    ``DataFrame.checkpoint()`` uses the same place.  On a cluster an unset
+    folder is an error: no machine's own folder is shared.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +54,8 @@ def scratch_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir().rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
     sc.setCheckpointDir(f"{warehouse.rstrip('/')}/_netbaseline_checkpoints")
     return sc.getCheckpointDir().rstrip("/")
