@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, mixing, substring_dedup, token_counts, url_reputation
+from . import bpe, mixing, quality, substring_dedup, token_counts, url_reputation
 from .common import read_table
 
 #: The vocabulary file; a path that every executor can read.
@@ -27,6 +27,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(read_table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(read_table(spark, sf_dir, "documents"), TOKENIZER)
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
@@ -44,6 +48,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_substring_dedup": op3_substring_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op7_token_counts": op7_token_counts,
     "op9_url_reputation": op9_url_reputation,
     "op10_mixing": op10_mixing,
