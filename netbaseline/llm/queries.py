@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, mixing, quality, substring_dedup, token_counts, url_reputation
+from . import bpe, html_text, line_dedup, mixing, quality, substring_dedup, token_counts, url_reputation
 from .common import read_table
 
 #: The vocabulary file; a path that every executor can read.
@@ -27,6 +27,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(read_table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return lines.select("doc_id", "text", F.col("l_lines").alias("n_lines"), F.col("l_removed").alias("n_removed"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -36,6 +41,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(read_table(spark, sf_dir, "pages"))
+
+
 def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_reputation.judge_urls(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -48,8 +57,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op7_token_counts": op7_token_counts,
+    "op8_html_text": op8_html_text,
     "op9_url_reputation": op9_url_reputation,
     "op10_mixing": op10_mixing,
 }
