@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, html_text, line_dedup, mixing, quality, substring_dedup, token_counts, url_reputation
+from . import bpe, html_text, line_dedup, mixing, multi_index, quality, substring_dedup, token_counts, url_reputation
 from .common import read_table
 
 #: The vocabulary file; a path that every executor can read.
@@ -36,6 +36,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.vector_links(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.count_tokens(read_table(spark, sf_dir, "documents"), TOKENIZER)
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
@@ -59,6 +63,7 @@ QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_html_text": op8_html_text,
     "op9_url_reputation": op9_url_reputation,
