@@ -7,7 +7,7 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, html_text, line_dedup, mixing, multi_index, quality, substring_dedup, token_counts, url_reputation
+from . import bpe, html_text, jaccard_groups, line_dedup, mixing, multi_index, quality, substring_dedup, token_counts, url_reputation
 from .common import read_table
 
 #: The vocabulary file; a path that every executor can read.
@@ -23,6 +23,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups.jaccard_components(read_table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(read_table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
