@@ -39,6 +39,7 @@ BUCKET_TOKENS = 3_000_000    # tokens counted in one group of the matrix count,
 FLUSH_TOKENS = 2_000_000     # tokens a map task holds before it packs them
 
 _M = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
+_ALL = (1 << 64) - 1
 
 
 class _Hashes(dict):
@@ -60,6 +61,11 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _placed(h: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of words as the k-th of a shingle."""
+    return _mix(h + np.uint64(k * int(_M[0]) & _ALL))
+
+
 def token_sets(texts: list[str], width: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes per text (A-Z lower-cased; fewer words than ``width``: all as one)."""
     # bytes.lower and bytes.split know ASCII only: exactly A-Z and the blanks of the contract.
@@ -67,16 +73,16 @@ def token_sets(texts: list[str], width: int) -> list[np.ndarray]:
     sizes = [len(w) for w in lists]
     h = np.fromiter((x for words in lists for x in map(_known.__getitem__, words)), np.uint64, sum(sizes))
     rolled = np.zeros(len(h), np.uint64)
-    for k in range(width):
-        rolled[:len(h) - k] += np.roll(_mix(h + np.uint64(k) * _M[0]), -k)[:len(h) - k] if k else _mix(h)
+    for k in range(min(width, len(h))):
+        rolled[:len(h) - k] += _placed(h[k:], k)
     rolled = _mix(rolled)
     out, at = [], 0
     for n in sizes:
         if n >= width:
             out.append(np.unique(rolled[at:at + n - width + 1]))
         elif n:
-            whole = sum((int(_mix(h[at + k:at + k + 1] + np.uint64(k) * _M[0])[0]) for k in range(n)), n << 8)
-            out.append(_mix(np.array([whole & (1 << 64) - 1], np.uint64)))
+            whole = sum(int(_placed(h[at + k:at + k + 1], k)[0]) for k in range(n)) + (n << 8)
+            out.append(_mix(np.array([whole & _ALL], np.uint64)))
         else:
             out.append(np.zeros(0, np.uint64))
         at += n
@@ -84,7 +90,7 @@ def token_sets(texts: list[str], width: int) -> list[np.ndarray]:
 
 
 def _sketch(width: int):
-    odd = [np.uint64((int(_M[0]) * (2 * k + 1) ^ (k << 40)) & (1 << 64) - 1 | 1) for k in range(KEYS * ROWS)]
+    odd = [np.uint64((int(_M[0]) * (2 * k + 1) ^ (k << 40)) & _ALL | 1) for k in range(KEYS * ROWS)]
 
     @F.pandas_udf("n long, f1 long, f2 long, keys array<long>")
     def sketch(texts: pd.Series) -> pd.DataFrame:
@@ -116,9 +122,13 @@ def _tokens(width: int):
     return tokens
 
 
-@F.pandas_udf("long")
-def _common(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a, b)], dtype="int64")
+def _common(a: str, b: str) -> Column:
+    """Size of the intersection of two columns of distinct tokens."""
+    @F.pandas_udf("long")
+    def common(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([len(np.intersect1d(s, t, assume_unique=True)) for s, t in zip(x, y)], dtype="int64")
+
+    return common(a, b)
 
 
 def _small(df: DataFrame) -> DataFrame:
