@@ -15,10 +15,12 @@ bounded per-worker table, so that frequent words cost one dictionary lookup.
 from __future__ import annotations
 
 import functools
+import gc
 import heapq
 import json
 import re
 from collections.abc import Iterable
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -34,7 +36,7 @@ BLANK = "\t-\r \x85\xa0" + "".join(map(chr, (0x1680, 0x2000))) + "-" + "".join(m
 
 MAX_UNITS = 250_000        # remembered units per worker and generation (two generations are kept)
 MAX_UNIT_CHARS = 48        # longer units are encoded each time
-SUB_BATCH_CHARS = 1 << 21  # texts whose new units are verified together
+SUB_BATCH_CHARS = 1 << 18  # texts whose new units are verified together
 NO_RANK = np.iinfo(np.int64).max
 HASH = np.uint64(0x9E3779B97F4A7C15)  # multiplicative hashing by the golden ratio
 
@@ -46,6 +48,16 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+class Known(dict):
+    """Unit -> packed ids; a unit that isn't there is noted in ``missing`` and gives None."""
+
+    def __init__(self) -> None:
+        self.missing: list[str] = []
+
+    def __missing__(self, unit: str) -> None:
+        self.missing.append(unit)
+
+
 class ByteBpe:
     """Tables of one tokenizer file (``tokenizers`` JSON: byte-level BPE without normaliser)."""
 
@@ -101,7 +113,7 @@ class ByteBpe:
         self.units = re.compile(f"[{BLANK}]*[^{BLANK}]+|[{BLANK}]+")
         self.specials = (re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
                          if self.special else None)
-        self.known: dict[str, bytes] = {}                      # this generation of remembered units
+        self.known = Known()                                   # this generation of remembered units
         self.older: dict[str, bytes] = {}                      # the one before
         self.checked = self.merged = 0                         # pieces verified, pieces merged exactly
 
@@ -163,15 +175,13 @@ class ByteBpe:
             py[b], y[b] = ry[~undo_x], self.left[ys[~undo_x]]
         return ok
 
-    def _propose(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _propose(self, joined: str, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Leftmost longest matches over all pieces in one pass: (token, number of its piece).
 
         No token holds the character between two pieces, so no match spans them.
         """
-        joined = "\u0100".join([p.decode("latin-1") for p in pieces])
-        hits = np.fromiter((x for hit in self.matcher.iter_long(joined) for x in hit), np.int64).reshape(-1, 2)
-        ends = np.cumsum([len(p) + 1 for p in pieces]) - 1
-        return hits[:, 1], np.searchsorted(ends, hits[:, 0], side="right")
+        hits = np.fromiter(chain.from_iterable(self.matcher.iter_long(joined)), np.int64).reshape(-1, 2)
+        return hits[:, 1], np.searchsorted(np.cumsum(sizes + 1) - 1, hits[:, 0], side="right")
 
     def merge(self, piece: bytes) -> list[int]:
         """Exact merging: lowest rank first, leftmost among equals (a heap over a linked list)."""
@@ -193,73 +203,85 @@ class ByteBpe:
                     heapq.heappush(heap, (hit[0], p, ids[p], ids[q]))
         return [t for t in ids if t >= 0]
 
-    def merge_all(self, pieces: list[bytes]) -> list[list[int]]:
-        """Exact merging of many pieces side by side.
+    def merge_all(self, raw: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exact merging of many pieces side by side: (their tokens in order, tokens per piece).
 
         In each step every piece applies its lowest-ranked merge wherever it
         occurs, from the left.  This is the sequential order, as a merge can
         only open pairs of higher rank (checked when the file was loaded).
         """
+        ends = np.cumsum(sizes)
         if not self.ordered:
-            return [self.merge(p) for p in pieces]
-        out: list[list[int]] = [[] for _ in pieces]
-        ids = np.array(self.byte_ids, np.int64)[np.frombuffer(b"".join(pieces), np.uint8)]
-        owner = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
+            lists = [self.merge(raw[b - n:b]) for b, n in zip(ends.tolist(), sizes.tolist())]
+            return np.array([t for ids in lists for t in ids], np.int64), np.array([len(ids) for ids in lists], np.int64)
+        ids = np.array(self.byte_ids, np.int64)[np.frombuffer(raw, np.uint8)]
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        done: list[tuple[np.ndarray, np.ndarray]] = []
         while len(ids):
             slot = np.full(len(ids), -1, np.int64)
             slot[:-1] = self._merge_slot(ids[:-1].astype(np.uint64), ids[1:].astype(np.uint64))
             slot[:-1][owner[:-1] != owner[1:]] = -1
             rank = np.where(slot >= 0, self.key_ranks[slot], NO_RANK)
             starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            sizes = np.diff(np.r_[starts, len(ids)])
-            least = np.repeat(np.minimum.reduceat(rank, starts), sizes)
-            over = least == NO_RANK
-            if over.any():
-                done, whose = ids[over], owner[over]
-                cuts = np.flatnonzero(np.r_[True, whose[1:] != whose[:-1], True])
-                done = done.tolist()
-                for k, a, b in zip(whose[cuts[:-1]].tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
-                    out[k] = done[a:b]
-            at = np.flatnonzero((rank == least) & ~over)
+            least = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.r_[starts, len(ids)]))
+            drop = least == NO_RANK
+            done.append((owner[drop], ids[drop]))
+            at = np.flatnonzero((rank == least) & ~drop)
             if len(at):
                 # Overlapping occurrences (x x x): every second one of a run, from its left end.
                 head = np.r_[True, np.diff(at) != 1]
                 at = at[(at - at[head][np.cumsum(head) - 1]) % 2 == 0]
                 ids[at] = self.key_ids[slot[at]]
-                over[at + 1] = True
-            ids, owner = ids[~over], owner[~over]
-        return out
+                drop[at + 1] = True
+            ids, owner = ids[~drop], owner[~drop]
+        owner, ids = (np.concatenate(x) for x in zip(*done))
+        return ids[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(sizes))
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Speculate, verify all adjacent pairs at once, merge exactly where a pair failed.
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        """Speculate, verify all adjacent pairs at once, merge exactly where a pair failed."""
+        Returns the tokens of all (non-empty) pieces in order and the number of each piece's tokens.
+        """
         if not pieces:
-            return []
-        tokens, owner = self._propose(pieces)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        spelling = [p if p.isascii() else p.encode().decode("latin-1") for p in pieces]  # a character per byte
+        sizes = np.fromiter(map(len, spelling), np.int64, len(spelling))
+        tokens, owner = self._propose(chr(256).join(spelling), sizes)
         # A proposal must spell its piece and each of its neighbouring pairs must be compatible.
-        spelt = np.bincount(owner, self.lengths[tokens], minlength=len(pieces))
-        good = spelt == np.array([len(p) for p in pieces])
+        good = np.bincount(owner, self.lengths[tokens], minlength=len(pieces)) == sizes
         inner = np.flatnonzero(owner[1:] == owner[:-1])
         pairs, where = np.unique(tokens[inner] * self.size + tokens[inner + 1], return_inverse=True)
         fits = self.compatible(pairs // self.size, pairs % self.size)[where]
         good[owner[inner[~fits]]] = False
-        flat, cuts = tokens.tolist(), np.searchsorted(owner, np.arange(len(pieces) + 1)).tolist()
-        out = [flat[a:b] for a, b in zip(cuts, cuts[1:])]
-        failed = np.flatnonzero(~good).tolist()
-        for k, ids in zip(failed, self.merge_all([pieces[k] for k in failed])):
-            out[k] = ids
-        self.merged += len(failed)
+        counts = np.bincount(owner, minlength=len(pieces))
+        failed = np.flatnonzero(~good)
         self.checked += len(pieces)
-        return out
+        self.merged += len(failed)
+        if not len(failed):
+            return tokens, counts
+        merged, n = self.merge_all("".join([spelling[k] for k in failed.tolist()]).encode("latin-1"), sizes[failed])
+        counts[failed] = n
+        out = np.empty(int(counts.sum()), np.int64)
+        ours = np.repeat(good, counts)
+        out[ours], out[~ours] = tokens[good[owner]], merged
+        return out, counts
 
     def _learn(self, units: Iterable[str]) -> dict[str, bytes]:
         """Encodings (little-endian unsigned 32-bit) of units not met before."""
-        parts = {u: [p.encode() for p in self.split.findall(u)] for u in units}
-        distinct = list(dict.fromkeys(p for ps in parts.values() for p in ps))
-        encoded = self.encode_pieces(distinct)
-        flat = np.fromiter((t for ids in encoded for t in ids), "<u4").tobytes()
-        ends = (4 * np.cumsum([len(ids) for ids in encoded])).tolist()
-        ids = {p: flat[a:b] for p, a, b in zip(distinct, [0, *ends], ends)}
-        return {u: ids[ps[0]] if len(ps) == 1 else b"".join([ids[p] for p in ps]) for u, ps in parts.items()}
+        single, parts = [], {}
+        for u in units:
+            if (u[1:] if u[0] == " " else u).isalpha():
+                single.append(u)                       # letters after at most one space: one piece
+            else:
+                parts[u] = self.split.findall(u)
+        shared = list({p for ps in parts.values() for p in ps})
+        tokens, counts = self.encode_pieces(single + shared)
+        flat, ends = tokens.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+        ids = [flat[a:b] for a, b in zip([0, *ends], ends)]
+        of = dict(zip(shared, ids[len(single):]))
+        out = dict(zip(single, ids))
+        out.update((u, b"".join([of[p] for p in ps])) for u, ps in parts.items())
+        return out
 
     def segments(self, text: str) -> list[str]:
         """The text cut at its units; a special string is a segment of its own."""
@@ -272,18 +294,20 @@ class ByteBpe:
 
     def encode_units(self, unit_lists: list[list[str]]) -> list[list[bytes]]:
         """The packed ids of every unit; what is new in the batch is learnt together."""
-        known, older = self.known, self.older
-        missing = set().union(*unit_lists).difference(known)
-        known |= {u: older[u] for u in missing if u in older}
-        missing.difference_update(older)
-        special = missing & self.special.keys()
-        known |= self._learn(missing - special) | {s: np.asarray([self.special[s]], "<u4").tobytes() for s in special}
+        known, older, missing = self.known, self.older, self.known.missing
+        missing.clear()
         out = [list(map(known.__getitem__, units)) for units in unit_lists]
-        for u in missing:
-            if len(u) > MAX_UNIT_CHARS:
-                del known[u]
-        if len(known) > MAX_UNITS:
-            self.older, self.known = known, {}
+        if missing:
+            new = set(missing)
+            found = {u: older[u] for u in new if u in older}
+            new.difference_update(found)
+            special = new & self.special.keys()
+            found.update((s, np.asarray([self.special[s]], "<u4").tobytes()) for s in special)
+            found.update(self._learn(new - special))
+            out = [[found[u] if x is None else x for u, x in zip(units, ids)] for units, ids in zip(unit_lists, out)]
+            known.update((u, x) for u, x in found.items() if len(u) <= MAX_UNIT_CHARS)
+            if len(known) > MAX_UNITS:
+                self.older, self.known = known, Known()
         return out
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
@@ -296,8 +320,10 @@ class ByteBpe:
 
 @functools.lru_cache(maxsize=2)
 def load(path: str) -> ByteBpe:
-    """One set of tables per worker process."""
-    return ByteBpe(path)
+    """One set of tables per worker process (left out of later garbage collections)."""
+    tables = ByteBpe(path)
+    gc.freeze()
+    return tables
 
 
 def sub_batches(texts: Iterable[str | None], limit: int = SUB_BATCH_CHARS) -> Iterable[list[str]]:
