@@ -101,7 +101,7 @@ def _sketch(width: int):
             if full:
                 flat = np.concatenate(full)
                 starts = np.cumsum([0, *(len(s) for s in full)])[:-1]
-                least = np.stack([np.minimum.reduceat(_mix(flat * c), starts) for c in odd], 1)
+                least = np.stack([np.minimum.reduceat(flat * c, starts) for c in odd], 1)
                 keys = [[xxhash.xxh3_64_intdigest(bytes([b]) + row[b * ROWS:(b + 1) * ROWS].tobytes()) - (1 << 63)
                          for b in range(KEYS)] for row in least]
             made = iter(keys if full else ())
@@ -257,17 +257,28 @@ def _open_groups(left: DataFrame, docs: DataFrame, width: int, percent: int) ->
     return pairs.distinct()
 
 
+def _one_text(docs: DataFrame) -> DataFrame:
+    """Rows of an id that comes several times get the smallest of its texts."""
+    several = docs.where("j_id is not null").groupBy("j_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    if several.isEmpty():
+        return docs
+    least = (docs.join(several, "j_id", "left_semi").groupBy(F.col("j_id").alias("s_id"))
+             .agg(F.min("j_text").alias("s_text"), F.lit(True).alias("s_hit")))
+    return (docs.join(least, F.col("j_id") == F.col("s_id"), "left")
+            .select("j_id", F.when(F.col("s_hit"), F.col("s_text")).otherwise(F.col("j_text")).alias("j_text")))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3,
                        percent: int = 90) -> DataFrame:
     """``(id, n_shingles, component_id)``, one row per document.
 
     Two documents link when 100 * common >= percent * union; component_id is
     the smallest id reachable by links.  Null texts and texts without words
-    have an empty set and link with nothing.  Rows with equal ids are one
-    document: what links to one of their texts links to all.  Rows without an
-    id take no part (component null).
+    have an empty set and link with nothing.  Of rows with
+    equal ids the smallest text stands for all.  Rows without an id take no
+    part (component null).
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("j_id"), F.col(text_col).alias("j_text"))
+    docs = _one_text(docs.select(F.col(id_col).cast("long").alias("j_id"), F.col(text_col).alias("j_text")))
     sets = stored(docs.withColumn("s", _sketch(width)("j_text")).select("j_id", "s.*"), "jaccard-sketches")
     full = sets.where("n > 0 and j_id is not null")
     classes = stored(full.groupBy("n", "f1", "f2").agg(
@@ -299,7 +310,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .select("j_id", "n", F.coalesce(F.when(F.col("n") > 0, F.col("c_rep")), F.col("j_id")).alias("rep")))
     out = mapped.join(_small(parts), F.col("rep") == F.col("node"), "left")
     return out.select(F.col("j_id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.coalesce("component", "rep").alias("component_id"))
+                      F.when(F.col("j_id").isNotNull(), F.coalesce("component", "rep")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,

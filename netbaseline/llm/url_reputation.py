@@ -99,7 +99,7 @@ def page_outcomes(pages: DataFrame, labels: DataFrame, url_col: str = "url") ->
 
     Bad: low quality or toxic.  Pages without such a number or label give nothing.
     """
-    number = F.regexp_extract(url_path(F.col(url_col)), r"/([0-9]{1,18})/?$", 1)
+    number = F.regexp_extract(url_path(F.col(url_col)), r"/([0-9]{1,18})(?:\.[a-z]+)?/?$", 1)
     ids = pages.select(url_host(F.col(url_col)).alias("host"), F.when(number != "", number.cast("long")).alias("l_id"))
     marks = (labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("l_id"))
              .agg(F.max(((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).cast("int"))
