@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
-from netbaseline.functions.text import _c, is_blank
+from netbaseline.functions.text import _c, is_blank, trimmed
 
 # Words read as true / false (compared without case, trimmed).
 TRUE_WORDS = ["true", "yes", "1"]
@@ -16,7 +16,7 @@ def to_int(x) -> Column:
     whole number (after trimming).
     """
     c = _c(x)
-    s = F.trim(c.cast("string"))
+    s = trimmed(c.cast("string"))
     return (F.when(is_blank(c.cast("string")), F.lit(None).cast("int"))
             .when(s.contains("."), s.try_cast("double").try_cast("int"))
             .otherwise(s.try_cast("int")))
@@ -29,16 +29,16 @@ def to_int_or_zero(x) -> Column:
 
 def to_boolean(x, default: bool = False) -> Column:
     """``true/yes/1`` and ``false/no/0`` (any case); anything else the default."""
-    s = F.lower(F.trim(_c(x).cast("string")))
+    s = F.lower(trimmed(_c(x).cast("string")))
     return (F.when(s.isin(TRUE_WORDS), F.lit(True))
             .when(s.isin(FALSE_WORDS), F.lit(False))
             .otherwise(F.lit(default)))
 
 
 def round2(x) -> Column:
-    """Round to two decimals, halves up: ``floor(v * 100 + 0.5) / 100``.
+    """Round to two decimals, halves up: ``floor(v * 100 + 0.5) / 100``; NULL gives 0.
 
     ``F.round`` rounds the decimal text of a double and so differs for values
     such as 1.005; this form matches arithmetic rounding everywhere.
     """
-    return F.floor(_c(x).cast("double") * F.lit(100.0) + F.lit(0.5)) / F.lit(100.0)
+    return F.coalesce(F.floor(_c(x).cast("double") * F.lit(100.0) + F.lit(0.5)) / F.lit(100.0), F.lit(0.0))

@@ -33,7 +33,9 @@ def window_lengths(interval: str | None) -> tuple[int, int]:
     text = (interval or "").strip().lower()
     if not text or text == "null":
         return DEFAULT_LEVEL1_MINUTES * 60, DEFAULT_LEVEL2_MINUTES * 60
-    number = int(float(text[:-1].strip()))
+    if not re.fullmatch(r"0*[1-9][0-9]*", text[:-1].strip()):
+        raise ValueError(f"interval {interval!r}: a whole number of 1 or more and a unit are needed")
+    number = int(text[:-1].strip())
     if text.endswith("m"):
         return number * 60, number * MINUTE_FACTOR * 60
     if text.endswith("h"):
@@ -47,14 +49,19 @@ def duration(seconds: int) -> str:
 
 
 def z_for_confidence(level: float | None) -> float:
-    """z of a two-sided normal interval; the tabled values where they exist."""
+    """z of a two-sided normal interval; the tabled values where they exist.
+
+    The stored column has two decimals (as a FLOAT, 0.95 is not exact), so the
+    level is rounded to two places first.  None gives 1.96.
+    """
     if level is None:
         return DEFAULT_Z
+    level = round(level, 2)
     for known, z in Z_TABLE.items():
         if abs(level - known) < 1e-9:
             return z
     if not 0.0 < level < 1.0:
-        return DEFAULT_Z
+        raise ValueError(f"confidence level {level} is not between 0 and 1")
     return NormalDist().inv_cdf((1.0 + level) / 2.0)
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from netbaseline.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from netbaseline.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, is_small
+
+SALTS = 16
 
 
 def keep_known_assets(flows: DataFrame, assets: DataFrame, key: str = "src_id",
@@ -13,11 +15,17 @@ def keep_known_assets(flows: DataFrame, assets: DataFrame, key: str = "src_id",
     """Left-semi join of flows with the asset set; returns ``(kept, broadcast_used)``.
 
     A bounded asset set is broadcast, so the filter runs map-side with no
-    shuffle of the flows.  A larger set gives a shuffled semi join; callers
-    with a grouping on ``key`` (the aggregates) should apply it after their
-    partial aggregation instead (see ``plans.baseline``), where the rows are
-    already few and a hot asset is one row per window.
+    shuffle of the flows.  A larger set gives a shuffled semi join on the id
+    and a salt, so that a hot asset's flows are dealt over ``SALTS`` tasks.
+    Batch callers with a grouping on ``key`` (the aggregates) apply it after
+    their partial aggregation instead (see ``plans.baseline``), where the rows
+    are already few and a hot asset is one row per window.
     """
     ids = assets.select(F.col(asset_col).alias("__asset"))  # repeats do not matter to a semi join
-    side, small = bounded_broadcast(ids, max_broadcast_rows)
-    return flows.join(side, flows[key] == F.col("__asset"), "left_semi"), small
+    if is_small(assets, max_broadcast_rows):
+        return flows.join(F.broadcast(ids), flows[key] == F.col("__asset"), "left_semi"), True
+    salted = ids.select("__asset", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt"))
+    salt = F.pmod(F.xxhash64("ts", "src_port", "in_flow", "out_flow"), F.lit(SALTS)).cast("int")
+    kept = (flows.withColumn("__flow_salt", salt)
+            .join(salted, (F.col(key) == F.col("__asset")) & (F.col("__flow_salt") == F.col("__salt")), "left_semi"))
+    return kept.drop("__flow_salt"), False

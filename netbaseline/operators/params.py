@@ -41,8 +41,8 @@ def resolve_assets(params: DataFrame, members: DataFrame, parity: bool = False,
     The group list is the comma-separated text at ``$.model_entity_group`` of
     ``model_alt_params``; groups match exactly.  ``parity=True`` matches a
     group when its id is a substring of the list (so ``grp_1`` matches
-    ``grp_12``), evaluated as a join against the (small, size-checked)
-    parameter rows.  ``model_ids`` restricts the models resolved.  With
+    ``grp_12``): every list is cut into its substrings of the lengths that
+    group ids have, so that this too is an equi-join.  ``model_ids`` restricts the models resolved.  With
     ``distinct=False`` a pair may repeat (an asset in two listed groups),
     which a semi join ignores; this saves a shuffle.
     """
@@ -58,10 +58,14 @@ def resolve_assets(params: DataFrame, members: DataFrame, parity: bool = False,
         # one row per (model, listed group): bounded by the checked parameter table
         pairs = members.join(broadcast_if(wanted, small), "group_id")
     else:
-        if not small:
-            raise ValueError("parity group matching needs a parameter table of bounded size")
-        side = F.broadcast(params.select(F.col("id").alias("model_id"), groups.alias("group_list")))
-        pairs = members.join(side, F.col("group_list").contains(F.col("group_id")))
+        # As many numbers as group ids have different lengths.
+        lengths = [r[0] for r in members.select(F.length("group_id")).distinct().collect() if r[0]]
+        lists = params.select(F.col("id").alias("model_id"), groups.alias("group_list")).where("group_list is not null")
+        cuts = lists.select("model_id", "group_list", F.explode(F.array(*map(F.lit, lengths)).cast("array<int>")).alias("k"))
+        cuts = cuts.where(F.length("group_list") >= F.col("k")).select(
+            "model_id", F.explode(F.expr("transform(sequence(1, length(group_list) - k + 1), p -> substring(group_list, p, k))"))
+            .alias("group_id")).distinct()
+        pairs = members.join(cuts, "group_id")
     pairs = pairs.select("model_id", "entity_id").where(F.col("entity_id").isNotNull())
     return pairs.distinct() if distinct else pairs
 

@@ -16,10 +16,12 @@ from netbaseline.functions.bounds import interval_text, kib_bounds
 from netbaseline.functions.convert import to_int
 from netbaseline.functions.ids import result_id
 from netbaseline.functions.network import internal_flag
+from netbaseline.functions.text import blank_to_empty
 from netbaseline.functions.time import MODEL_ZONE, local_ntz, slot_key
 from netbaseline.operators.params import active_models
 from netbaseline.operators.sizing import broadcast_if, is_small
 from netbaseline.schema import RESULT_SCHEMA
+from netbaseline.session import fresh_folder
 
 RESULT_COLUMNS = [f.name for f in RESULT_SCHEMA.fields]
 KEY_WITH_DIRECTION = ["modeling_params_id", "src_id", "protocol", "up_down"]
@@ -46,7 +48,7 @@ def slot_rows(bounds: DataFrame, model_id, span, zone: str = MODEL_ZONE, parity:
     end = F.col("w2.end")
     return bounds.select(
         mid.cast("string").alias("modeling_params_id"),
-        "src_id", "src_ip", "area_id", "protocol",
+        "src_id", "src_ip", "area_id", blank_to_empty("protocol").alias("protocol"),
         F.col("direction").cast("int").alias("up_down"),
         end.alias("window_end"),
         slot_key(end, sp, zone).alias("name"),
@@ -77,16 +79,15 @@ def horizon(slots: DataFrame, current: DataFrame | None, params: DataFrame,
     The first write is the earliest ``time`` of the model in the result table
     or in this batch; history days come from ``model_history_data_span``
     (1 when unset).  Rows of models without parameters pass (the gate is
-    separate).  The limits are one row per switched-on model: the size is
-    checked on the parameter side, so no pass over the slots is spent on it.
-    With ``model_id`` (all rows of one model) the limit is a scalar subquery
-    evaluated once; otherwise a broadcast join on the model id.
+    separate).  The limits are one row per switched-on model; they are
+    broadcast if the parameter table is small, else joined.  With ``model_id``
+    (all rows of one model) the limit is a scalar subquery evaluated once.
+    ``slots`` is read twice on a first run (``current`` is None): pass it
+    written or cached then, as :func:`written_slots` does.
     """
     days = (active_models(params)
             .groupBy(F.col("id").alias("modeling_params_id"))
             .agg(F.max(F.coalesce(to_int("model_history_data_span"), F.lit(1))).alias("history_days")))
-    if not is_small(params):
-        raise ValueError("the parameter table is too large to broadcast its per-model limits")
     times = slots.select("modeling_params_id", "time")
     if current is not None:
         times = times.unionByName(current.select("modeling_params_id", "time"))
@@ -95,16 +96,24 @@ def horizon(slots: DataFrame, current: DataFrame | None, params: DataFrame,
         n_days = days.where(F.col("modeling_params_id") == model_id).agg(F.max("history_days")).scalar()
         until = F.timestamp_add("DAY", F.lit(2) * n_days, first)
         return slots.where(until.isNull() | (F.col("time") <= until))
-    # At most one row per row of ``days`` (inner join on its key): bounded, so broadcast.
+    # At most one row per row of ``days`` (inner join on its key): its bound is that of the parameters.
+    small = is_small(params)
     limits = (times.groupBy("modeling_params_id").agg(F.min("time").alias("first_write"))
-              .join(F.broadcast(days), "modeling_params_id")
+              .join(broadcast_if(days, small), "modeling_params_id")
               .select("modeling_params_id",
                       F.expr("timestampadd(DAY, 2 * history_days, first_write)").alias("__until")))
-    return (slots.join(F.broadcast(limits), "modeling_params_id", "left")
+    return (slots.join(broadcast_if(limits, small), "modeling_params_id", "left")
             .where(F.col("__until").isNull() | (F.col("time") <= F.col("__until")))
             .drop("__until"))
 
 
+def written_slots(slots: DataFrame) -> DataFrame:
+    """``slots`` written to the shared scratch folder: the raw flows are read once however often slots are."""
+    path = fresh_folder(slots.sparkSession, "slots")
+    slots.write.parquet(path)
+    return slots.sparkSession.read.schema(slots.schema).parquet(path)
+
+
 def empty_results(spark) -> DataFrame:
     """An empty result table (a zero-row JVM relation, no Python-side data)."""
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in RESULT_SCHEMA.fields])
@@ -113,82 +122,52 @@ def empty_results(spark) -> DataFrame:
 def upsert_results(current: DataFrame | None, slots: DataFrame, parity: bool = False) -> DataFrame:
     """The result table after merging ``slots`` into ``current`` (keyed upsert).
 
-    Work per key is bounded by the number of distinct slots (24 hours, 7 days
-    or 12 months).  New rows are first reduced to one per key, slot and
-    series (address, area) with fixed-width buffers only (bounds of the
-    latest window, first and last window end), so this step is a hash
-    aggregate with a map-side partial.  Then they are grouped by key together
-    with the stored slots: the latest window wins per slot (ties by address,
-    area, direction), stored slots keep their place, new ones are appended by
-    first window end.  Keys not touched by ``slots`` pass unchanged.
+    New rows are first reduced to one per key and slot (bounds of the latest
+    window; ties by address, area, direction), with a map-side partial, so an
+    asset with any number of addresses sends one row per slot and task.  Only
+    then are they grouped by key together with the stored slots: a group holds
+    at most 24 + 24 entries (hours), 7 + 7 (weekdays) or 12 + 12 (months).
+    Stored slots keep their place, new ones are appended by first window end.
+    Keys not touched by ``slots`` pass unchanged.  A blank protocol is one key.
     """
     key = key_columns(parity)
     spark = slots.sparkSession
     if current is None:
         current = empty_results(spark)
     us = F.unix_micros(F.col("window_end"))
-    series = ["name", "src_ip", "area_id"] + (["up_down"] if parity else [])
-    new = (slots.groupBy(*key, *series)
-           .agg(F.max_by("lo", us).alias("lo"), F.max_by("hi", us).alias("hi"),
-                F.min(us).alias("first_us"), F.max(us).alias("last_us"),
-                F.min("time").alias("first_time"), F.min("in_out").alias("in_out")))
-    dir_col = F.col("up_down") if parity else F.lit(None).cast("int")
-    entry_fields = ["is_new", "pos", "first_us", "last_us", "first_time", "in_out", "name", "src_ip", "area_id",
-                    "dir", "lo", "hi", "value"]
+    direction = (F.col("up_down") if parity else F.lit(None)).cast("int").alias("d")
+    latest = F.struct(us.alias("u"), F.col("src_ip").alias("ip"), F.col("area_id").alias("a"), direction,
+                      F.col("lo").cast("double").alias("lo"), F.col("hi").cast("double").alias("hi"))
+    earliest = F.struct(us.alias("u"), F.col("src_ip").alias("ip"), direction, F.col("time").alias("t"),
+                        F.col("in_out").cast("int").alias("io"))
+    new = (slots.withColumn("protocol", blank_to_empty("protocol")).groupBy(*key, "name")
+           .agg(F.max(latest).alias("last"), F.min(us).alias("first_us"), F.min(earliest).alias("first_new")))
+    entry_fields = ["is_new", "pos", "first_us", "name", "value"]
     new_entries = new.select(
-        *key, F.lit(True).alias("is_new"), F.lit(None).cast("int").alias("pos"),
-        "first_us", "last_us", "first_time", F.col("in_out").cast("int").alias("in_out"),
-        "name", F.col("src_ip"), F.col("area_id").cast("int").alias("area_id"),
-        dir_col.cast("int").alias("dir"), F.col("lo").cast("double").alias("lo"),
-        F.col("hi").cast("double").alias("hi"), F.lit(None).cast("string").alias("value"),
+        *key, F.lit(True).alias("is_new"), F.lit(None).cast("int").alias("pos"), "first_us", "name",
+        interval_text(F.col("last.lo"), F.col("last.hi")).alias("value"), "first_new",
         F.lit(None).cast(_OLD_ROW).alias("old_row"),
     )
-    old = current.select(*key, "id", "src_ip", "up_down", "in_out", "time",
-                         F.posexplode_outer("flow").alias("pos", "slot"))
+    old = current.withColumn("protocol", blank_to_empty("protocol")).select(
+        *key, "id", "src_ip", "up_down", "in_out", "time", F.posexplode_outer("flow").alias("pos", "slot"))
     old_entries = old.select(
         *key, F.lit(False).alias("is_new"), F.col("pos").cast("int").alias("pos"),
-        F.lit(None).cast("long").alias("first_us"), F.lit(None).cast("long").alias("last_us"),
-        F.lit(None).cast("timestamp_ntz").alias("first_time"), F.lit(None).cast("int").alias("in_out"),
-        F.col("slot.name").alias("name"), F.lit(None).cast("string").alias("src_ip"),
-        F.lit(None).cast("int").alias("area_id"), F.lit(None).cast("int").alias("dir"),
-        F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"),
-        F.col("slot.value").alias("value"),
+        F.lit(None).cast("long").alias("first_us"), F.col("slot.name").alias("name"), F.col("slot.value").alias("value"),
+        F.lit(None).cast(new.schema["first_new"].dataType).alias("first_new"),
         F.struct("id", "src_ip", "in_out", "time", F.col("up_down").alias("dir")).cast(_OLD_ROW).alias("old_row"),
     )
     grouped = new_entries.unionByName(old_entries).groupBy(*key).agg(
-        F.collect_list(F.struct(*entry_fields)).alias("es"),
+        F.collect_list(F.struct(*entry_fields)).alias("es"), F.min("first_new").alias("first_new"),
         F.max("old_row").alias("old_row"),
     )
     # Staged selects: each intermediate array is computed once per key.
     es = F.col("es")
     staged = grouped.select(
-        *key, "old_row",
-        F.filter(es, lambda e: e["is_new"]).alias("new_es"),
+        *key, "old_row", "first_new",
+        F.transform(F.filter(es, lambda e: e["is_new"]),
+                    lambda e: F.struct(e["first_us"].alias("k"), e["name"].alias("name"), e["value"].alias("value")))
+        .alias("new_slots"),
         F.filter(es, lambda e: ~e["is_new"] & e["name"].isNotNull()).alias("old_es"))
-    new_es = F.col("new_es")
-
-    def latest(n):
-        return F.array_max(F.transform(F.filter(new_es, lambda e: e["name"] == n),
-                                       lambda e: F.struct(e["last_us"].alias("u"), e["src_ip"].alias("ip"),
-                                                          e["area_id"].alias("a"), e["dir"].alias("d"),
-                                                          e["lo"].alias("lo"), e["hi"].alias("hi"))))
-
-    def first_seen(n):
-        return F.array_min(F.transform(F.filter(new_es, lambda e: e["name"] == n), lambda e: e["first_us"]))
-
-    staged = staged.select(
-        *key, "old_row", "old_es",
-        F.transform(F.array_distinct(F.transform(new_es, lambda e: e["name"])),
-                    lambda n: F.struct(n.alias("name"), first_seen(n).alias("first_us"), latest(n).alias("last")))
-        .alias("per_name"),
-        F.array_min(F.transform(new_es, lambda e: F.struct(
-            e["first_us"].alias("u"), e["src_ip"].alias("ip"), e["dir"].alias("d"), e["first_time"].alias("t"),
-            e["in_out"].alias("io")))).alias("first_new"))
-    staged = staged.select(
-        *key, "old_row", "old_es", "first_new",
-        F.transform("per_name", lambda x: F.struct(x["first_us"].alias("k"), x["name"].alias("name"),
-                                                   interval_text(x["last"]["lo"], x["last"]["hi"]).alias("value")))
-        .alias("new_slots"))
     staged = staged.select(
         *key, "old_row", "old_es", "first_new", "new_slots",
         F.map_from_entries(F.transform("new_slots", lambda x: F.struct(x["name"], x["value"]))).alias("new_map"),

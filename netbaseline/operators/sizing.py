@@ -17,7 +17,9 @@ _checked: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.Weak
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_CONTROL_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (counts at most ``max_rows + 1``).
+    """Whether ``df`` has at most ``max_rows`` rows.
+
+    A partial count: every task sends one number, never rows.
 
     The answer is remembered per DataFrame object, so a control table used by
     several operators of one plan is counted once.  Sides derived from it
@@ -27,7 +29,7 @@ def is_small(df: DataFrame, max_rows: int = MAX_CONTROL_ROWS) -> bool:
         return False
     seen = _checked.setdefault(df, {})
     if max_rows not in seen:
-        seen[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+        seen[max_rows] = df.count() <= max_rows
     return seen[max_rows]
 
 

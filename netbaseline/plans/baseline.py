@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, functions as F
 from netbaseline.functions.convert import to_int
 from netbaseline.functions.time import MODEL_ZONE, window_lengths, z_for_confidence
 from netbaseline.operators.aggregate import interval_bounds, level1, level2, split_directions
-from netbaseline.operators.params import ACTIVE_PREDICATE, resolve_assets
-from netbaseline.operators.profile import gate, horizon, slot_rows, upsert_results
-from netbaseline.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if, is_small, remember_size
+from netbaseline.operators.membership import keep_known_assets
+from netbaseline.operators.params import ACTIVE_PREDICATE, active_models, resolve_assets
+from netbaseline.operators.profile import gate, horizon, slot_rows, upsert_results, written_slots
+from netbaseline.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, is_small, remember_size
 
 
 @dataclass(frozen=True)
@@ -45,12 +46,20 @@ def model_config(params: DataFrame, parity: bool = False) -> ModelConfig | None:
     if row is None:
         return None
     z = 1.96 if parity else z_for_confidence(row["conf"])
-    return ModelConfig(row["id"], row["span"] if row["span"] is not None else 1, z,
+    if row["span"] is None:
+        raise ValueError(f"model {row['id']}: model_result_span is not set")
+    return ModelConfig(row["id"], row["span"], z,
                        row["hist"] if row["hist"] is not None else 1)
 
 
 def model_assets(params: DataFrame, members: DataFrame, config: ModelConfig, parity: bool = False) -> DataFrame:
-    """The asset ids of the model in force (pairs may repeat; fine for the semi join)."""
+    """The asset ids of the model in force (pairs may repeat; fine for the semi join).
+
+    ``parity=True`` takes the union over all models that are switched on, as
+    the reference does.
+    """
+    if parity:
+        return resolve_assets(active_models(params), members, parity=True, distinct=False)
     return resolve_assets(params, members, parity=parity, model_ids=[config.model_id], distinct=False)
 
 
@@ -60,9 +69,11 @@ def baseline_bounds(flows: DataFrame, assets: DataFrame | None, interval: str |
     """Level-2 interval bounds per series, direction and window for the modelled assets.
 
     The asset filter is a broadcast semi join on the raw flows when the asset
-    set is within ``max_broadcast_rows``; otherwise it is a shuffled semi join
-    placed after level 1, whose partial aggregation has already reduced the
-    rows (and any hot asset) to one per series and window.
+    set is within ``max_broadcast_rows``; otherwise, in a batch, a join placed
+    after level 1, whose partial aggregation has already reduced the rows (and
+    any hot asset) to one per series and window.  A stream is always filtered
+    before its watermark is set (salted beyond the bound): the watermark
+    follows the modelled assets' flows alone, whatever the size of the set.
     """
     d1, d2 = window_lengths(interval)
     if assets is None:
@@ -70,10 +81,8 @@ def baseline_bounds(flows: DataFrame, assets: DataFrame | None, interval: str |
     else:
         # a semi join ignores repeated keys on its right side: no distinct (and no shuffle) needed
         ids = assets.select(F.col("entity_id").alias("__asset"))
-        small = is_small(assets, max_broadcast_rows)  # remembered per assets DataFrame
-        side = broadcast_if(ids, small)
-        if small:
-            l1 = level1(flows.join(side, F.col("src_id") == F.col("__asset"), "left_semi"), d1)
+        if flows.isStreaming or is_small(assets, max_broadcast_rows):  # remembered per assets DataFrame
+            l1 = level1(keep_known_assets(flows, assets, max_broadcast_rows=max_broadcast_rows)[0], d1)
         else:
             # An inner join with the distinct ids, not a semi join: Catalyst pushes a
             # semi join on grouping keys back below the aggregate, onto the raw rows.
@@ -116,5 +125,7 @@ def batch_baseline(flows: DataFrame, params: DataFrame, members: DataFrame, inte
     if apply_gate:
         slots = gate(slots, params, model_id=config.model_id)
     if apply_horizon:
+        if current is None:
+            slots = written_slots(slots)
         slots = horizon(slots, current, params, model_id=config.model_id)
     return upsert_results(current, slots, parity)

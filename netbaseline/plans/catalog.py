@@ -22,17 +22,21 @@ from netbaseline.functions.text import blank_aware_equals, blank_aware_equals_ci
 from netbaseline.functions.time import local_ntz, slot_key, window_lengths, zone_date
 from netbaseline.operators.aggregate import level1, level2, split_directions
 from netbaseline.operators.params import active_model, active_models, clear_history, diff_params, resolve_assets
-from netbaseline.operators.profile import explode_profiles, gate, horizon, slot_rows, upsert_results
+from netbaseline.operators.profile import explode_profiles, gate, horizon, slot_rows, upsert_results, written_slots
+from netbaseline.operators.aggregate import interval_bounds
+from netbaseline.operators.membership import keep_known_assets
 from netbaseline.plans.baseline import baseline_bounds, baseline_slots, model_assets, model_config
 from netbaseline.sources.control import (
-    TEST_INTERVAL, group_members_from_events, modeling_params_fixture, modeling_params_sql,
-    param_versions_from_events,
+    GROUP_COUNT, TEST_INTERVAL, decode_profiles, encode_profiles, group_members_from_events, modeling_params_fixture,
+    modeling_params_sql, output_records, param_versions_from_events, read_control_table,
 )
 from netbaseline.sources.flows import (
-    EDGE_BLANK_SOURCE, EDGE_NO_INFLOW, EDGE_NO_RTIME, EDGE_NOT_JSON, flows_from_events,
+    EDGE_BAD_NUMBER, EDGE_BLANK_SOURCE, EDGE_NO_INFLOW, EDGE_NO_RTIME, EDGE_NOT_JSON, flows_from_events,
     messages_from_events, parse_flows,
 )
 
+# Fixed values of the test stream: files in time order, and which records of the first come with the last.
+STREAM_FILES, LATE_EVERY = 4, 97
 D1, D2 = window_lengths(TEST_INTERVAL)
 W1_US, W2_US = D1 * 1_000_000, D2 * 1_000_000
 # A level-2 window boundary near the middle of the test month: the first
@@ -71,7 +75,18 @@ def _slot_cols(df: DataFrame) -> DataFrame:
 
 def _result_cols(df: DataFrame) -> DataFrame:
     return df.select("id", "modeling_params_id", "src_id", "src_ip", "protocol", "up_down", "in_out",
-                     F.date_format("time", TS_FMT).alias("time_local"), F.size("flow").alias("n_slots"))
+                     F.date_format("time", TS_FMT).alias("time_local"), F.size("flow").alias("n_slots"), _profile_text())
+
+
+def _profile_text() -> F.Column:
+    """All slots of a profile in order, as ``name=low-high,...``."""
+    return F.array_join(F.transform("flow", lambda s: F.concat(s["name"], F.lit("="), s["value"])), ",").alias("profile")
+
+
+def _halves(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Flows before and after ``SPLIT_AT``; the filter is on the stored column, so it reaches the scan."""
+    split = F.lit(SPLIT_AT).cast("timestamp_ntz")
+    return flows_from_events(ev.where(F.col("ts") < split)), flows_from_events(ev.where(F.col("ts") >= split))
 
 
 # ---------------------------------------------------------------- Spark side
@@ -99,8 +114,7 @@ def q_o02_rejects(spark, sf_dir):
 def q_o05(spark, sf_dir):
     _, flows, params, members = _inputs(spark, sf_dir)
     assets = resolve_assets(active_model(params), members)
-    kept = flows.join(assets.select(F.col("entity_id").alias("src_id")), "src_id", "left_semi")
-    rows = split_directions(level1(kept, D1))
+    rows = split_directions(level1(keep_known_assets(flows, assets)[0], D1))
     return rows.select("src_id", "src_ip", "area_id", "protocol", _utc_text(F.col("w1.end")).alias("w1_end"),
                        "direction", "flow_size", "total_count")
 
@@ -110,8 +124,9 @@ def q_o07(spark, sf_dir):
     model = active_model(params)
     assets = resolve_assets(model, members)
     n_assets = assets.groupBy("model_id").agg(F.count(F.lit(1)).alias("n_assets"))
-    n_flows = (flows.join(assets, flows["src_id"] == assets["entity_id"])
-               .groupBy("model_id").agg(F.count(F.lit(1)).alias("n_flows")))
+    per_asset = flows.groupBy("src_id").agg(F.count(F.lit(1)).alias("n"))  # a hot asset is one row a task
+    n_flows = (per_asset.join(assets, per_asset["src_id"] == assets["entity_id"])
+               .groupBy("model_id").agg(F.sum("n").alias("n_flows")))
     return (model.select(F.col("id").alias("model_id"), to_int("model_result_span").alias("result_span"),
                          F.col("model_confidence_interval").alias("confidence"),
                          F.coalesce(to_int("model_history_data_span"), F.lit(1)).alias("history_days"))
@@ -131,7 +146,6 @@ def q_o08_parity(spark, sf_dir):
 def q_o09(spark, sf_dir):
     _, flows, params, members = _inputs(spark, sf_dir)
     assets = resolve_assets(active_model(params), members)
-    from netbaseline.operators.membership import keep_known_assets
     kept, _ = keep_known_assets(flows, assets)
     return kept.drop("ts")
 
@@ -171,9 +185,7 @@ def _slots(spark, sf_dir, flows=None):
 
 def q_o10_o19(spark, sf_dir):
     ev, flows, params, members = _inputs(spark, sf_dir)
-    split = F.lit(SPLIT_AT).cast("timestamp_ntz")
-    first = flows.where(F.col("ts").cast("timestamp_ntz") < split)
-    second = flows.where(F.col("ts").cast("timestamp_ntz") >= split)
+    first, second = _halves(ev)
     cfg = model_config(params)
     assets = model_assets(params, members, cfg)
     s1 = baseline_slots(first, params, members, TEST_INTERVAL, config=cfg, assets=assets)
@@ -185,14 +197,51 @@ def q_o10_o19(spark, sf_dir):
 
 def q_o20(spark, sf_dir):
     ev, flows, params, members = _inputs(spark, sf_dir)
-    split = F.lit(SPLIT_AT).cast("timestamp_ntz")
+    s1, s2 = _half_slots(ev, params, members)
+    return _result_cols(upsert_results(upsert_results(None, s1), s2))
+
+
+def _half_slots(ev, params, members):
     cfg = model_config(params)
     assets = model_assets(params, members, cfg)
-    s1 = baseline_slots(flows.where(F.col("ts").cast("timestamp_ntz") < split), params, members, TEST_INTERVAL,
-                        config=cfg, assets=assets)
-    s2 = baseline_slots(flows.where(F.col("ts").cast("timestamp_ntz") >= split), params, members, TEST_INTERVAL,
-                        config=cfg, assets=assets)
-    return _result_cols(upsert_results(upsert_results(None, s1), s2))
+    return tuple(baseline_slots(part, params, members, TEST_INTERVAL, config=cfg, assets=assets) for part in _halves(ev))
+
+
+def _as_parquet(df: DataFrame, name: str) -> DataFrame:
+    """A control table written to the scratch folder and read as a Parquet source."""
+    from netbaseline.session import fresh_folder
+    path = fresh_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return read_control_table(df.sparkSession, name, path=path)
+
+
+def q_s02_s03(spark, sf_dir):
+    _, _, params, members = _inputs(spark, sf_dir)
+    return resolve_assets(active_models(_as_parquet(params, "modeling_params")), _as_parquet(members, "group_members"))
+
+
+def q_s04(spark, sf_dir):
+    """The second half merged into stored results whose profiles are JSON text."""
+    ev, _, params, members = _inputs(spark, sf_dir)
+    s1, s2 = _half_slots(ev, params, members)
+    before = decode_profiles(_as_parquet(encode_profiles(upsert_results(None, s1)), "model_result"))
+    return _result_cols(upsert_results(before, s2))
+
+
+def q_o06(spark, sf_dir):
+    _, flows, params, members = _inputs(spark, sf_dir)
+    assets = resolve_assets(active_model(params), members)
+    out = output_records(baseline_bounds(flows, assets, TEST_INTERVAL, z=1.96))
+    at = lambda k: F.get_json_object("record", f"$.{k}")
+    return out.select("direction", at("srcId").alias("src_id"), at("srcIp").alias("src_ip"),
+                      at("areaId").cast("int").alias("area_id"), at("protocol").alias("protocol"),
+                      round2(at("min").cast("double")).alias("min_flow"), round2(at("max").cast("double")).alias("max_flow"),
+                      F.array_join(F.json_object_keys("record"), ",").alias("keys"))
+
+
+def q_o08_union_parity(spark, sf_dir):
+    _, _, params, members = _inputs(spark, sf_dir)
+    return model_assets(params, members, model_config(params), parity=True).select("entity_id").distinct()
 
 
 def q_o20_parity(spark, sf_dir):
@@ -200,16 +249,17 @@ def q_o20_parity(spark, sf_dir):
     slots = baseline_slots(flows, params, members, TEST_INTERVAL, parity=True)
     res = upsert_results(None, slots, parity=True)
     return res.select("id", "src_id", "src_ip", "protocol", "up_down", "in_out",
-                      F.date_format("time", TS_FMT).alias("time_local"), F.size("flow").alias("n_slots"))
+                      F.date_format("time", TS_FMT).alias("time_local"), F.size("flow").alias("n_slots"), _profile_text())
 
 
 def q_o21(spark, sf_dir):
     ev, flows, params, members = _inputs(spark, sf_dir)
     candidates = params.where("model_type = 1 AND model_child_type = 1")
     assets = resolve_assets(candidates, members)
-    tagged = flows.join(assets.select(F.col("model_id").alias("modeling_params_id"),
-                                      F.col("entity_id").alias("src_id")), "src_id")
-    bounds = baseline_bounds(tagged, None, TEST_INTERVAL, z=1.96)
+    # Level 1 once per series; its rows, not the raw flows, are repeated per model.
+    tagged = level1(flows, D1).join(assets.select(F.col("model_id").alias("modeling_params_id"),
+                                                  F.col("entity_id").alias("src_id")), "src_id")
+    bounds = interval_bounds(level2(split_directions(tagged), D2))
     spans = candidates.select(F.col("id").alias("modeling_params_id"), to_int("model_result_span").alias("span"))
     slots = slot_rows(bounds.join(spans, "modeling_params_id"), None, F.col("span"))
     return _slot_cols(gate(slots, params))
@@ -217,7 +267,7 @@ def q_o21(spark, sf_dir):
 
 def q_o22(spark, sf_dir):
     slots, params = _slots(spark, sf_dir)
-    return _slot_cols(horizon(slots, None, params, model_id=model_config(params).model_id))
+    return _slot_cols(horizon(written_slots(slots), None, params, model_id=model_config(params).model_id))
 
 
 def q_o23(spark, sf_dir):
@@ -234,12 +284,7 @@ def q_o23_parity(spark, sf_dir):
 def q_o24(spark, sf_dir):
     ev, flows, params, members = _inputs(spark, sf_dir)
     split = F.lit(SPLIT_AT).cast("timestamp_ntz")
-    cfg = model_config(params)
-    assets = model_assets(params, members, cfg)
-    s1 = baseline_slots(flows.where(F.col("ts").cast("timestamp_ntz") < split), params, members, TEST_INTERVAL,
-                        config=cfg, assets=assets)
-    s2 = baseline_slots(flows.where(F.col("ts").cast("timestamp_ntz") >= split), params, members, TEST_INTERVAL,
-                        config=cfg, assets=assets)
+    s1, s2 = _half_slots(ev, params, members)
     stored = upsert_results(None, s1)
     changes = diff_params(param_versions_from_events(ev)).where(F.col("modify_time") < split)
     return _result_cols(upsert_results(clear_history(stored, changes), s2))
@@ -247,8 +292,9 @@ def q_o24(spark, sf_dir):
 
 def q_f01_f04(spark, sf_dir):
     ev = _events(spark, sf_dir)
-    k = F.col("event_id") % 6
+    k = F.col("event_id") % 8
     a = (F.when(k == 0, F.lit(None)).when(k == 1, F.lit(" ")).when(k == 2, F.lit("null"))
+         .when(k == 6, F.lit("\t")).when(k == 7, F.lit("\n "))
          .when(k == 3, F.upper(F.col("event_type"))).otherwise(F.col("event_type")))
     b = F.when(F.col("event_id") % 4 == 0, F.lit("")).otherwise(F.col("event_type"))
     return ev.select("event_id", is_blank(a).alias("a_blank"), blank_aware_equals(a, b).alias("same"),
@@ -260,16 +306,16 @@ def q_f05_f07(spark, sf_dir):
     k = F.col("event_id") % 7
     s = (F.when(k == 0, F.col("value").cast("string"))
          .when(k == 1, F.get_json_object("props", "$.k"))
-         .when(k == 2, F.concat(F.lit(" "), F.get_json_object("props", "$.k"), F.lit(" ")))
+         .when(k == 2, F.concat(F.lit(" \t"), F.get_json_object("props", "$.k"), F.lit("\n")))
          .when(k == 3, F.lit("abc"))
          .when(k == 4, F.lit(""))
          .when(k == 5, F.lit("null"))
          .otherwise(F.concat(F.lit("-"), F.col("value").cast("string"))))
-    words = F.element_at(F.array(*[F.lit(w) for w in ["TRUE", "yes", "1", "False", "no", "0", "maybe", " Yes "]]),
+    words = F.element_at(F.array(*[F.lit(w) for w in ["TRUE", "yes", "1", "False", "no", "0", "\tyes", " Yes "]]),
                          (F.col("event_id") % 8 + 1).cast("int"))
     return ev.select("event_id", s.alias("s"), to_int(s).alias("as_int"), to_boolean(words).alias("as_bool"),
                      to_boolean(words, True).alias("as_bool_default_true"),
-                     round2(F.col("value") * 1.005).alias("r2"))
+                     round2(F.when(k != 4, F.col("value") * 1.005)).alias("r2"))
 
 
 def q_f08(spark, sf_dir):
@@ -319,7 +365,6 @@ def q_f15(spark, sf_dir):
 
 def q_o04_sql_entry(spark, sf_dir):
     from netbaseline.functions.time import zone_date
-    from netbaseline.operators.membership import keep_known_assets
     from netbaseline.plans.sql import sql_bounds
     _, flows, params, members = _inputs(spark, sf_dir)
     kept, _ = keep_known_assets(flows, resolve_assets(active_model(params), members))
@@ -345,6 +390,12 @@ def q_o14_o18(spark, sf_dir):
     return _bounds_cols(stream_bounds_from_files(spark, sf_dir))
 
 
+def q_o14_o18_large(spark, sf_dir):
+    """The same with an asset set beyond the broadcast bound."""
+    from netbaseline.streaming.baseline import stream_bounds_from_files
+    return _bounds_cols(stream_bounds_from_files(spark, sf_dir, max_broadcast_rows=0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "o01_has_source_asset": q_o01,
     "o02_parse_flows": q_o02,
@@ -376,7 +427,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "o04_sql_entry": q_o04_sql_entry,
     "f12_interval_text": q_f12,
     "o14_o18_stream_baseline": q_o14_o18,
+    "o14_o18_stream_large_assets": q_o14_o18_large,
     "o20_o22_stream_sink": q_o20_o22_stream,
+    "s02_s03_control_tables": q_s02_s03,
+    "s04_initial_results": q_s04,
+    "o06_output_records": q_o06,
+    "o08_union_of_models_parity": q_o08_union_parity,
 }
 
 
@@ -386,6 +442,18 @@ def _r2(x: str) -> str:
     return f"(floor(({x}) * 100 + 0.5) / 100)"
 
 
+def _trim_sql(x: str) -> str:
+    return f"trim({x}, E' \\t\\n\\r')"
+
+
+def _blank_sql(x: str) -> str:
+    return f"({x} IS NULL OR {_trim_sql(x)} = '' OR {x} = 'null')"
+
+
+def _id_sql(*parts: str) -> str:
+    return f"'msf_' || substr(sha256(CAST(to_json([{', '.join(parts)}]) AS VARCHAR)), 1, 22)"
+
+
 def _ts_text(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d %H:%M:%S')"
 
@@ -406,10 +474,10 @@ flows AS (
          CAST(round(value * 100) AS BIGINT) AS in_flow,
          CAST(json_extract_string(props, '$.k') AS BIGINT) * 100 AS out_flow,
          epoch_us(ts) // 1000 AS r_time,
-         ts
+         ts, event_id
   FROM events),
 members AS (
-  SELECT DISTINCT 'grp_' || CAST(user_id % 5 AS VARCHAR) AS group_id,
+  SELECT DISTINCT 'grp_' || CAST(user_id % {GROUP_COUNT} AS VARCHAR) AS group_id,
                   'ast_' || CAST(user_id AS VARCHAR) AS entity_id
   FROM events),
 modeling_params AS {modeling_params_sql()},
@@ -508,17 +576,23 @@ FROM {src}"""
 
 def _results_sql(src: str, name: str = "results") -> str:
     """Result rows of a full run: first row attributes, profile from the latest value per slot."""
-    rid = ("'msf_' || substr(sha256(concat_ws('|', modeling_params_id, src_id, coalesce(protocol, ''), "
-           "CAST(up_down AS VARCHAR))), 1, 22)")
+    rid = _id_sql("modeling_params_id", "src_id", "coalesce(protocol, '')", "CAST(up_down AS VARCHAR)")
     return f"""
 {name}_first AS (
   SELECT modeling_params_id, src_id, protocol, up_down,
          arg_min(src_ip, b2) AS src_ip, arg_min(in_out, b2) AS in_out, min(time) AS time,
          CAST(count(DISTINCT name) AS INTEGER) AS n_slots
   FROM {src} GROUP BY ALL),
+{name}_slots AS (
+  SELECT modeling_params_id, src_id, protocol, up_down, name, min(b2) AS first_b2,
+         CAST(arg_max(lo, b2) AS VARCHAR) || '-' || CAST(arg_max(hi, b2) AS VARCHAR) AS value
+  FROM {src} GROUP BY ALL),
+{name}_profiles AS (
+  SELECT modeling_params_id, src_id, protocol, up_down, string_agg(name || '=' || value, ',' ORDER BY first_b2) AS profile
+  FROM {name}_slots GROUP BY ALL),
 {name} AS (
-  SELECT {rid} AS id, modeling_params_id, src_id, src_ip, protocol, up_down, in_out, time, n_slots
-  FROM {name}_first),"""
+  SELECT {rid} AS id, modeling_params_id, src_id, src_ip, protocol, up_down, in_out, time, n_slots, profile
+  FROM {name}_first JOIN {name}_profiles USING (modeling_params_id, src_id, protocol, up_down)),"""
 
 
 def _with(*parts: str) -> str:
@@ -529,8 +603,14 @@ def _with(*parts: str) -> str:
 KEPT_SQL = _assets_sql("assets", "active") + """
 kept AS (SELECT * FROM flows WHERE src_id IN (SELECT entity_id FROM assets)),"""
 
+# The late records of the test stream: every LATE_EVERY-th one of its first file.
+ON_TIME_SQL = f"""
+on_time AS (
+  SELECT * FROM kept
+  WHERE NOT (event_id * {STREAM_FILES} // (SELECT max(event_id) + 1 FROM events) = 0 AND event_id % {LATE_EVERY} = 0)),"""
+
 RESULT_SELECT = f"""
-SELECT id, modeling_params_id, src_id, src_ip, protocol, up_down, in_out, {_ts_text('time')} AS time_local, n_slots
+SELECT id, modeling_params_id, src_id, src_ip, protocol, up_down, in_out, {_ts_text('time')} AS time_local, n_slots, profile
 FROM results"""
 
 
@@ -557,10 +637,10 @@ daily AS (
 versions AS (
   SELECT id, modify_time,
          CASE WHEN k_max % 3 = 0 THEN 'hh' ELSE 'mm' END AS unit,
-         CAST(1 + k_min % 2 AS INTEGER) AS num,
+         CAST(1 + (k_min + day_of_month_ // 2) % 2 AS INTEGER) AS num,
          CAST(1 + n % 2 AS INTEGER) AS span,
          CASE WHEN day_of_month_ % 7 = 3 THEN NULL ELSE CAST(1 + k_sum % 3 AS INTEGER) END AS hist,
-         CASE WHEN day_of_month_ % 5 = 0 THEN NULL ELSE CAST(k_max % 2 AS INTEGER) END AS upd
+         CASE WHEN day_of_month_ % 5 = 0 THEN NULL ELSE CAST((k_max + day_of_month_) % 2 AS INTEGER) END AS upd
   FROM (SELECT *, dayofmonth(day) AS day_of_month_ FROM daily)),
 lagged AS (
   SELECT *,
@@ -592,21 +672,21 @@ def _split_us() -> int:
 
 
 def _stream_sql() -> str:
-    # Append mode emits a window once the watermark (latest event time - 5 s) passes its end.
-    return _with(FLOWS_SQL, KEPT_SQL, _levels_sql("kept"), f"""
+    # Append mode emits a window once the watermark (latest event time of a kept flow - 5 s) passes its end.
+    return _with(FLOWS_SQL, KEPT_SQL, ON_TIME_SQL, _levels_sql("on_time"), f"""
 closed AS (
   SELECT * FROM bounds
-  WHERE (b2 + 1) * {W2_US} <= (SELECT epoch_us(max(ts)) - 5000000 FROM events)),""") + _bounds_select().replace(
+  WHERE (b2 + 1) * {W2_US} <= (SELECT epoch_us(max(ts)) - 5000000 FROM on_time)),""") + _bounds_select().replace(
         "FROM bounds", "FROM closed")
 
 
 def _stream_sink_sql() -> str:
-    # Finished windows only (watermark = latest event time - 5 s), then the horizon of the
-    # model in force (first write + 2 * history days), then the result rows.
-    return _with(FLOWS_SQL, KEPT_SQL, _levels_sql("kept"), _slots_sql(""), f"""
+    # Finished windows only (watermark = latest event time of a kept flow - 5 s), then the
+    # horizon of the model in force (first write + 2 * history days), then the result rows.
+    return _with(FLOWS_SQL, KEPT_SQL, ON_TIME_SQL, _levels_sql("on_time"), _slots_sql(""), f"""
 closed_slots AS (
   SELECT * FROM slots
-  WHERE (b2 + 1) * {W2_US} <= (SELECT epoch_us(max(ts)) - 5000000 FROM events)),
+  WHERE (b2 + 1) * {W2_US} <= (SELECT epoch_us(max(ts)) - 5000000 FROM on_time)),
 limits AS (
   SELECT s.modeling_params_id,
          min(s.time) + to_days(CAST(2 * max(coalesce(a.model_history_data_span, 1)) AS INTEGER)) AS until
@@ -620,20 +700,22 @@ def oracle_sql() -> dict[str, str]:
     k = "event_id % 100"
     src_o01 = "'ast_' || CAST(user_id AS VARCHAR)"
     blanks = " ".join(
-        f"WHEN {k} = {code} THEN {'NULL' if v is None else repr(v)}" for code, v in EDGE_BLANK_SOURCE.items())
+        f"WHEN {k} = {code} THEN {'NULL' if v is None else 'E' + repr(v)}" for code, v in EDGE_BLANK_SOURCE.items())
     o01 = f"""
 SELECT event_id, src_id FROM (
   SELECT event_id, CASE {blanks} ELSE {src_o01} END AS src_id FROM events)
-WHERE NOT (src_id IS NULL OR trim(src_id) = '' OR src_id = 'null')"""
+WHERE NOT {_blank_sql('src_id')}"""
     blank_codes = ", ".join(str(c) for c in EDGE_BLANK_SOURCE)
-    o02 = _with(FLOWS_SQL.replace("         ts\n  FROM events)", f"         ts, event_id % 100 AS k\n  FROM events)")) + f"""
+    o02 = _with(FLOWS_SQL.replace("ts, event_id\n  FROM events)", "ts, event_id % 100 AS k\n  FROM events)")) + f"""
 SELECT src_id, src_ip, src_port, area_id, protocol,
        CASE WHEN k = {EDGE_NO_INFLOW} THEN CAST(0 AS BIGINT) ELSE in_flow END AS in_flow, out_flow, r_time
 FROM flows
-WHERE k NOT IN ({EDGE_NOT_JSON}, {EDGE_NO_RTIME}, {blank_codes})"""
+WHERE k NOT IN ({EDGE_NOT_JSON}, {EDGE_NO_RTIME}, {EDGE_BAD_NUMBER}, {blank_codes})"""
     o02_rejects = f"""
 SELECT reject_reason, count(*) AS n FROM (
-  SELECT CASE WHEN event_id % 100 IN ({EDGE_NOT_JSON}, {blank_codes}) THEN 'no_source_asset'
+  SELECT CASE WHEN event_id % 100 = {EDGE_NOT_JSON} THEN 'not_json'
+              WHEN event_id % 100 IN ({blank_codes}) THEN 'no_source_asset'
+              WHEN event_id % 100 = {EDGE_BAD_NUMBER} THEN 'bad_number'
               WHEN event_id % 100 = {EDGE_NO_RTIME} THEN 'no_event_time' END AS reject_reason
   FROM events)
 WHERE reject_reason IS NOT NULL GROUP BY reject_reason"""
@@ -668,15 +750,27 @@ FROM l2"""
     slots_full = _with(FLOWS_SQL, KEPT_SQL, _levels_sql("kept"), _slots_sql(""))
     o10_o19 = _profile_sql()
     o20 = _with(FLOWS_SQL, KEPT_SQL, _levels_sql("kept"), _slots_sql(""), _results_sql("slots")) + RESULT_SELECT
-    o20_parity = _with(FLOWS_SQL, KEPT_SQL, _levels_sql("kept", parity=True), _slots_sql(""), """
+    kept_parity = """
+kept AS (
+  SELECT * FROM flows WHERE src_id IN (
+    SELECT m.entity_id FROM actives p JOIN members m
+      ON contains(json_extract_string(p.model_alt_params, '$.model_entity_group'), m.group_id))),"""
+    o20_parity = _with(FLOWS_SQL, kept_parity, _levels_sql("kept", parity=True), _slots_sql(""), """
+slot_values AS (
+  SELECT modeling_params_id, src_id, protocol, name, min(b2) AS first_b2,
+         CAST(arg_max(lo, (b2, up_down)) AS VARCHAR) || '-' || CAST(arg_max(hi, (b2, up_down)) AS VARCHAR) AS value
+  FROM slots GROUP BY ALL),
+profiles AS (
+  SELECT modeling_params_id, src_id, protocol, string_agg(name || '=' || value, ',' ORDER BY first_b2) AS profile
+  FROM slot_values GROUP BY ALL),
 firsts AS (
   SELECT modeling_params_id, src_id, protocol,
          arg_min(src_ip, (b2, up_down)) AS src_ip, arg_min(in_out, (b2, up_down)) AS in_out,
          arg_min(up_down, (b2, up_down)) AS up_down, min(time) AS time, CAST(count(DISTINCT name) AS INTEGER) AS n_slots
   FROM slots GROUP BY ALL),""") + """
-SELECT 'msf_' || substr(sha256(concat_ws('|', modeling_params_id, src_id, coalesce(protocol, ''))), 1, 22) AS id,
-       src_id, src_ip, protocol, up_down, in_out, strftime(time, '%Y-%m-%d %H:%M:%S') AS time_local, n_slots
-FROM firsts"""
+SELECT """ + _id_sql("modeling_params_id", "src_id", "coalesce(protocol, '')") + """ AS id, src_id, src_ip, protocol,
+       up_down, in_out, strftime(time, '%Y-%m-%d %H:%M:%S') AS time_local, n_slots, profile
+FROM firsts JOIN profiles USING (modeling_params_id, src_id, protocol)"""
     o21 = _with(FLOWS_SQL, _assets_sql("cand_assets", "candidates"), """
 tagged AS (
   SELECT a.model_id AS modeling_params_id, f.* FROM flows f JOIN cand_assets a ON f.src_id = a.entity_id),""",
@@ -716,38 +810,34 @@ contributing AS (
      OR EXISTS (SELECT 1 FROM survivors v WHERE v.modeling_params_id = s.modeling_params_id
                 AND v.src_id = s.src_id AND v.protocol = s.protocol AND v.up_down = s.up_down)),""",
                 _results_sql("contributing")) + RESULT_SELECT
-    f01 = """
-SELECT event_id,
-       (a IS NULL OR trim(a) = '' OR a = 'null') AS a_blank,
-       CASE WHEN (a IS NULL OR trim(a) = '' OR a = 'null') AND (b IS NULL OR trim(b) = '' OR b = 'null') THEN true
-            WHEN (a IS NULL OR trim(a) = '' OR a = 'null') OR (b IS NULL OR trim(b) = '' OR b = 'null') THEN false
-            ELSE a = b END AS same,
-       CASE WHEN (a IS NULL OR trim(a) = '' OR a = 'null') AND (b IS NULL OR trim(b) = '' OR b = 'null') THEN true
-            WHEN (a IS NULL OR trim(a) = '' OR a = 'null') OR (b IS NULL OR trim(b) = '' OR b = 'null') THEN false
-            ELSE lower(a) = lower(b) END AS same_ci,
+    a, b = _blank_sql("a"), _blank_sql("b")
+    f01 = f"""
+SELECT event_id, {a} AS a_blank,
+       CASE WHEN {a} AND {b} THEN true WHEN {a} OR {b} THEN false ELSE a = b END AS same,
+       CASE WHEN {a} AND {b} THEN true WHEN {a} OR {b} THEN false ELSE lower(a) = lower(b) END AS same_ci,
        coalesce(a, '') AS a_text
 FROM (SELECT event_id,
-             CASE event_id % 6 WHEN 0 THEN NULL WHEN 1 THEN ' ' WHEN 2 THEN 'null' WHEN 3 THEN upper(event_type)
+             CASE event_id % 8 WHEN 6 THEN E'\\t' WHEN 7 THEN E'\\n ' WHEN 0 THEN NULL WHEN 1 THEN ' ' WHEN 2 THEN 'null' WHEN 3 THEN upper(event_type)
                   ELSE event_type END AS a,
              CASE WHEN event_id % 4 = 0 THEN '' ELSE event_type END AS b
       FROM events)"""
     f05 = f"""
 SELECT event_id, s,
-       CASE WHEN s IS NULL OR trim(s) = '' OR s = 'null' THEN NULL
-            WHEN contains(trim(s), '.') THEN CAST(trunc(TRY_CAST(trim(s) AS DOUBLE)) AS INTEGER)
-            ELSE TRY_CAST(trim(s) AS INTEGER) END AS as_int,
-       CASE WHEN lower(trim(w)) IN ('true', 'yes', '1') THEN true
-            WHEN lower(trim(w)) IN ('false', 'no', '0') THEN false ELSE false END AS as_bool,
-       CASE WHEN lower(trim(w)) IN ('true', 'yes', '1') THEN true
-            WHEN lower(trim(w)) IN ('false', 'no', '0') THEN false ELSE true END AS as_bool_default_true,
-       {_r2('value * 1.005')} AS r2
+       CASE WHEN {_blank_sql('s')} THEN NULL
+            WHEN contains({_trim_sql('s')}, '.') THEN CAST(trunc(TRY_CAST({_trim_sql('s')} AS DOUBLE)) AS INTEGER)
+            ELSE TRY_CAST({_trim_sql('s')} AS INTEGER) END AS as_int,
+       CASE WHEN lower({_trim_sql('w')}) IN ('true', 'yes', '1') THEN true
+            WHEN lower({_trim_sql('w')}) IN ('false', 'no', '0') THEN false ELSE false END AS as_bool,
+       CASE WHEN lower({_trim_sql('w')}) IN ('true', 'yes', '1') THEN true
+            WHEN lower({_trim_sql('w')}) IN ('false', 'no', '0') THEN false ELSE true END AS as_bool_default_true,
+       CASE WHEN event_id % 7 = 4 THEN 0.0 ELSE {_r2('value * 1.005')} END AS r2
 FROM (SELECT event_id, value,
              CASE event_id % 7 WHEN 0 THEN CAST(value AS VARCHAR)
                   WHEN 1 THEN json_extract_string(props, '$.k')
-                  WHEN 2 THEN ' ' || json_extract_string(props, '$.k') || ' '
+                  WHEN 2 THEN E' \\t' || json_extract_string(props, '$.k') || E'\\n'
                   WHEN 3 THEN 'abc' WHEN 4 THEN '' WHEN 5 THEN 'null'
                   ELSE '-' || CAST(value AS VARCHAR) END AS s,
-             (['TRUE', 'yes', '1', 'False', 'no', '0', 'maybe', ' Yes '])[event_id % 8 + 1] AS w
+             (['TRUE', 'yes', '1', 'False', 'no', '0', E'\\tyes', ' Yes '])[event_id % 8 + 1] AS w
       FROM events)"""
     f08 = _with(FLOWS_SQL) + """
 SELECT r_time, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS date_local,
@@ -787,7 +877,7 @@ SELECT event_id, CAST(lo AS VARCHAR) || '-' || CAST(hi AS VARCHAR) AS value FROM
   FROM events)"""
     f15 = _with(FLOWS_SQL) + """
 SELECT src_id, protocol,
-       'msf_' || substr(sha256(concat_ws('|', 'msf_base', src_id, coalesce(protocol, ''), '0')), 1, 22) AS id
+       """ + _id_sql("'msf_base'", "src_id", "coalesce(protocol, '')", "'0'") + """ AS id
 FROM (SELECT DISTINCT src_id, protocol FROM flows)"""
     return {
         "o01_has_source_asset": o01,
@@ -820,5 +910,15 @@ FROM (SELECT DISTINCT src_id, protocol FROM flows)"""
         "o04_sql_entry": o13,
         "f12_interval_text": f12,
         "o14_o18_stream_baseline": _stream_sql(),
+        "o14_o18_stream_large_assets": _stream_sql(),
         "o20_o22_stream_sink": _stream_sink_sql(),
+        "s02_s03_control_tables": o08,
+        "s04_initial_results": o20,
+        "o06_output_records": _with(FLOWS_SQL, KEPT_SQL, _levels_sql("kept")) + f"""
+SELECT direction, src_id, src_ip, area_id, protocol, {_r2('min_flow')} AS min_flow, {_r2('max_flow')} AS max_flow,
+       'srcId,srcIp,areaId,protocol,min,max' AS keys
+FROM bounds""",
+        "o08_union_of_models_parity": _with(FLOWS_SQL) + """
+SELECT DISTINCT m.entity_id FROM actives p JOIN members m
+  ON contains(json_extract_string(p.model_alt_params, '$.model_entity_group'), m.group_id)""",
     }

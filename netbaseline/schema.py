@@ -15,7 +15,10 @@ WIRE_FIELDS = [
     ("rTime", T.LongType(), "r_time"),
 ]
 
-WIRE_SCHEMA = T.StructType([T.StructField(k, t, True) for k, t, _ in WIRE_FIELDS])
+# Values are read as text first: a sender may quote its numbers or give them decimals.
+CORRUPT = "_not_json"
+WIRE_TEXT_SCHEMA = T.StructType([T.StructField(k, T.StringType(), True) for k, _, _ in WIRE_FIELDS]
+                                + [T.StructField(CORRUPT, T.StringType(), True)])
 
 FLOW_COLUMNS = [name for _, _, name in WIRE_FIELDS] + ["ts"]
 

@@ -36,13 +36,25 @@ def decode_profiles(results: DataFrame, col: str = "flow") -> DataFrame:
     return results
 
 
+def output_records(bounds: DataFrame) -> DataFrame:
+    """``(direction, record)``: the interval of each level-2 result as a JSON record.
+
+    Keys ``srcId``, ``srcIp``, ``areaId``, ``protocol``, ``min``, ``max``
+    (bytes); absent values are left out.
+    """
+    record = F.to_json(F.struct(F.col("src_id").alias("srcId"), F.col("src_ip").alias("srcIp"),
+                                F.col("area_id").alias("areaId"), "protocol", F.col("min_flow").alias("min"),
+                                F.col("max_flow").alias("max")))
+    return bounds.select("direction", record.alias("record"))
+
+
 def encode_profiles(results: DataFrame, col: str = "flow") -> DataFrame:
     """The profile as JSON text, for stores that keep text (e.g. a JDBC table)."""
     return results.withColumn(col, F.to_json(F.col(col)))
 
 
-# The test mapping of asset groups, 'grp_' || user_id % 5.
-GROUP_COUNT = 5
+# The test mapping of asset groups, 'grp_' || user_id % 13.
+GROUP_COUNT = 13
 
 
 def group_members_from_events(events: DataFrame) -> DataFrame:
@@ -58,13 +70,13 @@ def group_members_from_events(events: DataFrame) -> DataFrame:
 # one of another model type.  Columns follow MODELING_PARAMS_SCHEMA.
 MODELING_PARAMS_ROWS = [
     ("msf_base", 1, 1, "mm", 360, 1, None, 0.95, 7, 1, 1, 1,
-     '{"model_entity_group": "grp_0,grp_1,grp_3"}', "running", dt.datetime(2024, 1, 1, 0, 0, 0)),
+     '{"model_entity_group": "grp_0,grp_12, grp_3,grp_5,grp_7,grp_9"}', "running", dt.datetime(2024, 1, 1, 0, 0, 0)),
     ("msf_prev", 1, 1, "hh", 1, 2, None, 0.99, 1, 1, 1, 1,
-     '{"model_entity_group": "grp_2"}', "stop", dt.datetime(2023, 12, 1, 0, 0, 0)),
+     '{"model_entity_group": "grp_2,grp_11"}', "stop", dt.datetime(2023, 12, 1, 0, 0, 0)),
     ("msf_off", 1, 1, "mm", 5, 1, None, 0.95, 1, 0, 0, 1,
      '{"model_entity_group": "grp_4"}', "failed", dt.datetime(2024, 1, 2, 0, 0, 0)),
     ("msf_scan", 2, 0, "mm", 5, 1, None, 0.90, 1, 1, 1, 1,
-     '{"model_entity_group": "grp_0,grp_1,grp_2,grp_3,grp_4"}', "running", dt.datetime(2024, 1, 3, 0, 0, 0)),
+     '{"model_entity_group": "grp_0,grp_1,grp_2,grp_3,grp_4,grp_6"}', "running", dt.datetime(2024, 1, 3, 0, 0, 0)),
 ]
 # The ``interval`` option the test set runs with: 360 minutes, so 6 h and 30 h windows.
 TEST_INTERVAL = "360m"
@@ -139,13 +151,13 @@ def param_versions_from_events(events: DataFrame) -> DataFrame:
         "id",
         F.lit(1).alias("model_type"), F.lit(1).alias("model_child_type"),
         F.when(F.col("k_max") % 3 == 0, F.lit("hh")).otherwise(F.lit("mm")).alias("model_rate_timeunit"),
-        (F.lit(1) + F.col("k_min") % 2).cast("int").alias("model_rate_timeunit_num"),
+        (F.lit(1) + (F.col("k_min") + F.floor(dom / 2)) % 2).cast("int").alias("model_rate_timeunit_num"),
         (F.lit(1) + F.col("n") % 2).cast("int").alias("model_result_span"),
         F.lit(None).cast("string").alias("model_result_template"),
         F.lit(0.95).alias("model_confidence_interval"),
         F.when(dom % 7 == 3, F.lit(None)).otherwise(F.lit(1) + F.col("k_sum") % 3).cast("int")
         .alias("model_history_data_span"),
-        F.when(dom % 5 == 0, F.lit(None)).otherwise(F.col("k_max") % 2).cast("int").alias("model_update"),
+        F.when(dom % 5 == 0, F.lit(None)).otherwise((F.col("k_max") + dom) % 2).cast("int").alias("model_update"),
         F.when(F.col("k_min") % 4 == 0, F.lit(0)).otherwise(F.lit(1)).cast("int").alias("model_switch"),
         F.lit(1).alias("model_switch_2"),
         F.lit(None).cast("string").alias("model_alt_params"),

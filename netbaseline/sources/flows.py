@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from netbaseline.functions.text import is_blank
+from netbaseline.functions.text import is_blank, trimmed
 from netbaseline.functions.time import instant_from_ntz
-from netbaseline.schema import WIRE_FIELDS, WIRE_SCHEMA, FLOW_COLUMNS
+from netbaseline.schema import CORRUPT, FLOW_COLUMNS, WIRE_FIELDS, WIRE_TEXT_SCHEMA
 
 
 def read_flow_messages(spark: SparkSession, fmt: str = "kafka", stream: bool = True,
@@ -25,29 +25,58 @@ def read_flow_messages(spark: SparkSession, fmt: str = "kafka", stream: bool = T
     return df.select(F.col("value").cast("string").alias("value"))
 
 
-def parse_flows(df: DataFrame, value_col: str = "value", keep_rejects: bool = False) -> DataFrame:
+# Reject reasons, in the order in which they are tested.
+NOT_JSON, NO_SOURCE, NO_TIME, BAD_NUMBER = "not_json", "no_source_asset", "no_event_time", "bad_number"
+
+
+def _number(text, kind):
+    """``(value, is_bad)`` of a JSON value bound to a whole number.
+
+    Quoted numbers count as numbers and decimals lose their fraction; blank is
+    absent; any other text, and what is out of range, is bad.
+    """
+    s = trimmed(text)
+    value = F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast(kind)).otherwise(s.try_cast("double").try_cast(kind))
+    value = F.when(is_blank(text), F.lit(None).cast(kind)).otherwise(value)
+    return value, ~is_blank(text) & value.isNull()
+
+
+def parse_flows(df: DataFrame, value_col: str = "value", keep_rejects: bool = False,
+                observation: Observation | str | None = None) -> DataFrame:
     """JSON messages to typed flow records (the message is parsed once).
 
-    Kept: messages with a non-blank ``SrcID`` and an ``rTime``.  Byte counts
-    and port default to 0 when missing.  Rejected rows (not JSON, blank
-    source, no time) are dropped, or with ``keep_rejects=True`` kept with a
-    ``reject_reason`` so they can be counted.
+    Kept: messages with a non-blank ``SrcID`` and an ``rTime`` whose numbers
+    can be read.  Byte counts and port default to 0 when absent.  Other rows
+    (``not_json``, ``no_source_asset``, ``no_event_time``, ``bad_number``) are
+    dropped, or with ``keep_rejects=True`` kept with a ``reject_reason``.  With
+    an ``observation`` (batch) or its name (a stream: see the query's progress)
+    the rejects of every run are counted on the way.
     """
-    parsed = df.select(F.from_json(F.col(value_col), WIRE_SCHEMA).alias("m"))
-    cols = []
-    for key, _, name in WIRE_FIELDS:
+    parsed = df.select(F.from_json(F.col(value_col), WIRE_TEXT_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT}).alias("m"))
+    cols, bad = [], F.lit(False)
+    for key, kind, name in WIRE_FIELDS:
         c = F.col(f"m.{key}")
-        if name in ("in_flow", "out_flow"):
-            c = F.coalesce(c, F.lit(0).cast("bigint"))
-        elif name == "src_port":
-            c = F.coalesce(c, F.lit(0))
+        if kind.typeName() != "string":
+            c, odd = _number(c, kind.simpleString())
+            bad = bad | odd
+        if name in ("in_flow", "out_flow", "src_port"):
+            c = F.coalesce(c, F.lit(0).cast(kind))
         cols.append(c.alias(name))
-    flows = parsed.select(*cols).withColumn("ts", F.timestamp_millis("r_time"))
-    reason = (F.when(is_blank("src_id"), F.lit("no_source_asset"))
-              .when(F.col("r_time").isNull(), F.lit("no_event_time")))
+    broken = F.col("m").isNull() | F.col(f"m.{CORRUPT}").isNotNull()
+    flows = parsed.select(*cols, broken.alias("__broken"), F.coalesce(bad, F.lit(False)).alias("__bad"))
+    time_is_bad = F.col("r_time").isNull() & F.col("__bad")
+    reason = (F.when(F.col("__broken"), F.lit(NOT_JSON))
+              .when(is_blank("src_id"), F.lit(NO_SOURCE))
+              .when(F.col("r_time").isNull() & ~time_is_bad, F.lit(NO_TIME))
+              .when(F.col("__bad"), F.lit(BAD_NUMBER)))
+    flows = (flows.withColumn("ts", F.timestamp_millis("r_time")).withColumn("reject_reason", reason)
+             .drop("__broken", "__bad"))
+    if observation is not None:
+        counts = [F.count(F.when(F.col("reject_reason") == r, 1)).alias(r) for r in (NOT_JSON, NO_SOURCE, NO_TIME, BAD_NUMBER)]
+        flows = flows.observe(observation, F.count(F.lit(1)).alias("messages"), *counts)
     if keep_rejects:
-        return flows.withColumn("reject_reason", reason)
-    return flows.where(~is_blank("src_id") & F.col("r_time").isNotNull()).select(*FLOW_COLUMNS)
+        return flows
+    return flows.where(F.col("reject_reason").isNull()).select(*FLOW_COLUMNS)
 
 
 # How the driver's ``events`` table stands in for flow records.
@@ -97,14 +126,17 @@ def flows_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFram
 EDGE_NOT_JSON = 13
 EDGE_NO_INFLOW = 7
 EDGE_NO_RTIME = 29
-EDGE_BLANK_SOURCE = {41: None, 42: "", 43: "  ", 44: "null"}
+EDGE_BLANK_SOURCE = {41: None, 42: "", 43: "  ", 44: "null", 45: "\t\n"}
+EDGE_QUOTED = 51      # "InFlow":"1950", and likewise rTime and AreaID
+EDGE_DECIMAL = 52     # "OutFlow":1350.75
+EDGE_BAD_NUMBER = 53  # "InFlow":"12x"
 
 
 def messages_from_events(events: DataFrame, plant_edges: bool = True) -> DataFrame:
     """Wire-format JSON messages (column ``value``) built from ``events``.
 
     With ``plant_edges`` some rows become edge cases: not JSON, no ``InFlow``,
-    no ``rTime``, a blank ``SrcID``; an extra ignored key is always present.
+    no ``rTime``, a blank ``SrcID``, quoted, decimal and bad numbers; an extra ignored key is always present.
     """
     f = flows_from_events(events.withColumn("_k", F.col("event_id") % 100), keep=("_k",))
     src = F.col("src_id")
@@ -122,5 +154,9 @@ def messages_from_events(events: DataFrame, plant_edges: bool = True) -> DataFra
         F.col("out_flow").alias("OutFlow"), r_time.alias("rTime"), F.lit("tls").alias("L7P"),
     ))
     if plant_edges:
+        msg = (F.when(k == EDGE_QUOTED, F.regexp_replace(msg, r'"(InFlow|rTime|AreaID)":([0-9]+)', r'"$1":"$2"'))
+               .when(k == EDGE_DECIMAL, F.regexp_replace(msg, r'"OutFlow":([0-9]+)', r'"OutFlow":$1.75'))
+               .when(k == EDGE_BAD_NUMBER, F.regexp_replace(msg, r'"InFlow":([0-9]+)', r'"InFlow":"$1x"'))
+               .otherwise(msg))
         msg = F.when(k == EDGE_NOT_JSON, F.concat(F.lit("not json "), F.col("src_id"))).otherwise(msg)
     return f.select(msg.alias("value"))

@@ -11,17 +11,20 @@ writes a new snapshot.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from netbaseline.functions.time import MODEL_ZONE
-from netbaseline.operators.params import clear_history, diff_params, resolve_assets
-from netbaseline.operators.profile import gate, horizon, slot_rows, upsert_results
-from netbaseline.plans.baseline import baseline_bounds, model_config
+from netbaseline.operators.params import diff_params
+from netbaseline.operators.profile import RESULT_COLUMNS, gate, horizon, key_columns, slot_rows, upsert_results
+from netbaseline.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS
+from netbaseline.plans.baseline import baseline_bounds, model_assets, model_config
 from netbaseline.session import fresh_folder, scratch_root
-from netbaseline.streaming.store import SnapshotStore, mirror_to_jdbc
+from netbaseline.sources.control import decode_profiles
+from netbaseline.streaming.store import SnapshotStore, upsert_to_jdbc
 
 
 @contextmanager
@@ -44,19 +47,42 @@ def _state_partitions(spark: SparkSession, n: int | None):
         spark.conf.set(key, old)
 
 
+def newest_clears(versions: DataFrame, parity: bool = False) -> dict[str, str]:
+    """Per model the time of its newest history clear (one entry per model of the control table)."""
+    rows = (diff_params(versions, parity).where("clear_history").groupBy("id")
+            .agg(F.date_format(F.max("modify_time"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t")).collect())
+    return {r["id"]: r["t"] for r in rows}
+
+
 def make_batch_sink(store: SnapshotStore, params_reader: Callable[[], DataFrame],
                     versions_reader: Callable[[], DataFrame] | None = None,
-                    parity: bool = False, zone: str = MODEL_ZONE, jdbc_options: dict | None = None):
-    """The ``foreachBatch`` function: bounds of one micro-batch -> new result snapshot.
+                    parity: bool = False, zone: str = MODEL_ZONE, jdbc_options: dict | None = None,
+                    query_id: Callable[[], str] = lambda: "", model_id: str | None = None,
+                    initial: DataFrame | None = None, jdbc_execute=None):
+    """The ``foreachBatch`` function: bounds of one micro-batch -> new version of the result table.
 
     A micro-batch in which no window finished writes nothing (the control
-    checks, like the reference's, run when results arrive).  With
-    ``jdbc_options`` each new snapshot is also copied to a JDBC table.
+    checks, like the reference's, run when results arrive).  A batch that
+    ``query_id()`` has already written is not written again.  Each history
+    clear drops its model's stored rows once, when it is first seen; those
+    that are there when a table begins are its baseline.  ``initial`` is the
+    table to start from (profiles as JSON text or arrays) while the store is
+    empty.  With ``model_id`` the sink stops the query when another model
+    comes into force, as its windows were computed for that one.  With
+    ``jdbc_options`` the rows of the touched keys are merged into a JDBC table
+    after each write, and again on a replay.
     """
 
+    def touched(bounds: DataFrame, cfg) -> DataFrame:
+        slots = slot_rows(bounds, cfg.model_id, cfg.result_span, zone, parity)
+        return slots.select(*key_columns(parity)).distinct()
+
+    def mirror(number: int, bounds: DataFrame, cfg) -> None:
+        if jdbc_options:
+            rows = store.read(number).join(touched(bounds, cfg), key_columns(parity), "left_semi")
+            upsert_to_jdbc(rows, jdbc_options, jdbc_execute)
+
     def sink(bounds: DataFrame, batch_id: int) -> None:
-        if store.is_committed(batch_id):
-            return  # replay of a batch already written
         bounds = bounds.persist()
         try:
             if bounds.isEmpty():
@@ -65,14 +91,27 @@ def make_batch_sink(store: SnapshotStore, params_reader: Callable[[], DataFrame]
             cfg = model_config(params, parity)
             if cfg is None:
                 return  # no model switched on: nothing is written
-            current = store.latest(before=batch_id)
-            if versions_reader is not None and current is not None:
-                current = clear_history(current, diff_params(versions_reader(), parity))
+            if model_id is not None and cfg.model_id != model_id:
+                raise RuntimeError(f"model {cfg.model_id} has replaced {model_id}: start a new query for it")
+            done = store.find(query_id(), batch_id)
+            if done is not None:
+                mirror(done.number, bounds, cfg)  # the run before may have ended in between
+                return
+            versions = store.versions()
+            current = store.read(versions[-1].number) if versions else None
+            if current is None and initial is not None:
+                current = decode_profiles(initial).select(*RESULT_COLUMNS)
+            clears = newest_clears(versions_reader(), parity) if versions_reader is not None else {}
+            if versions:
+                known = versions[-1].clears
+                new = [m for m, t in clears.items() if t > known.get(m, "")]
+                if new:
+                    current = current.where(~F.col("modeling_params_id").isin(new))
+                clears = known | clears
             slots = slot_rows(bounds, cfg.model_id, cfg.result_span, zone, parity)
             slots = horizon(gate(slots, params, model_id=cfg.model_id), current, params, model_id=cfg.model_id)
-            store.write(upsert_results(current, slots, parity), batch_id)
-            if jdbc_options:
-                mirror_to_jdbc(store.read(batch_id), jdbc_options)
+            number = store.write(upsert_results(current, slots, parity), query_id(), batch_id, clears)
+            mirror(number, bounds, cfg)
         finally:
             bounds.unpersist()
 
@@ -83,12 +122,15 @@ def start_stream_baseline(flows: DataFrame, params_reader: Callable[[], DataFram
                           interval: str | None, store_root: str, checkpoint: str,
                           versions_reader: Callable[[], DataFrame] | None = None,
                           parity: bool = False, zone: str = MODEL_ZONE, trigger: dict | None = None,
-                          jdbc_options: dict | None = None, state_partitions: int | None = None):
+                          jdbc_options: dict | None = None, state_partitions: int | None = None,
+                          initial: DataFrame | None = None,
+                          max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
     """Start the streaming job; returns the ``StreamingQuery``.
 
     The asset set is resolved from the control tables at start and
     checkpointed; restart the query (e.g. ``availableNow`` on a schedule) to
-    pick up new group members.
+    pick up new group members.  ``initial`` is an existing result table to
+    continue while the store is empty.
     """
     params = params_reader()
     cfg = model_config(params, parity)
@@ -99,35 +141,68 @@ def start_stream_baseline(flows: DataFrame, params_reader: Callable[[], DataFram
     # stream-static join then neither re-reads membership every micro-batch nor
     # outgrows the broadcast bound checked here, and it survives executor loss.
     scratch_root(spark)
-    assets = resolve_assets(params, members, parity=parity, model_ids=[cfg.model_id]).checkpoint()
-    bounds = baseline_bounds(flows, assets, interval, cfg.z, parity, zone)
+    assets = model_assets(params, members, cfg, parity).distinct().checkpoint()
+    bounds = baseline_bounds(flows, assets, interval, cfg.z, parity, zone, max_broadcast_rows)
     store = SnapshotStore(spark, store_root)
+    started, name = threading.Event(), []
+
+    def query_id() -> str:
+        started.wait()  # the first micro-batch may run before start() has returned
+        return name[0]
+
     writer = (bounds.writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(make_batch_sink(store, params_reader, versions_reader, parity, zone, jdbc_options)))
+              .foreachBatch(make_batch_sink(store, params_reader, versions_reader, parity, zone, jdbc_options,
+                                            query_id, cfg.model_id, initial)))
     writer = writer.trigger(**(trigger or {"processingTime": "30 seconds"}))
     with _state_partitions(flows.sparkSession, state_partitions):
-        return writer.start()
+        query = writer.start()
+    name.append(query.id)  # kept in the checkpoint: a new checkpoint is a new query
+    started.set()
+    return query
 
 
-def stream_bounds_from_files(spark: SparkSession, sf_dir: str, interval: str | None = None) -> DataFrame:
-    """Run the streaming bounds over the test ``events`` file (``availableNow``) and read what it emitted.
+def events_in_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The test ``events`` as ``STREAM_FILES`` files by ranges of ``event_id`` (they rise with time).
 
-    Windows are emitted once the watermark (latest event time - 5 s) passes
-    their end, so the last, still-open windows are not in the output.
+    Every ``LATE_EVERY``-th record of the first file comes with the last one
+    instead, long after its window has closed.
+    """
+    from netbaseline.plans.catalog import LATE_EVERY, STREAM_FILES
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    top = events.agg(F.max("event_id")).first()[0] + 1
+    place = F.floor(F.col("event_id") * STREAM_FILES / F.lit(top))
+    late = (place == 0) & (F.col("event_id") % LATE_EVERY == 0)
+    placed = events.withColumn("__file", F.when(late, F.lit(STREAM_FILES - 1)).otherwise(place))
+    for k in range(STREAM_FILES):  # one after the other: a file stream goes by modification time
+        placed.where(F.col("__file") == k).drop("__file").coalesce(1).write.parquet(f"{folder}/part{k}")
+
+
+def _file_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    events_in_files(spark, sf_dir, folder)
+    schema = spark.read.parquet(f"{folder}/part0").schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/part*")
+
+
+def stream_bounds_from_files(spark: SparkSession, sf_dir: str, interval: str | None = None,
+                             max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Run the streaming bounds over the test events in files (``availableNow``) and read what it emitted.
+
+    Windows are emitted once the watermark (latest event time of a modelled
+    asset - 5 s) passes their end, so the last, still-open windows are not in
+    the output, and neither are the late records.
     """
     from netbaseline.sources.control import TEST_INTERVAL, group_members_from_events, modeling_params_fixture
     from netbaseline.sources.flows import flows_from_events
-    from netbaseline.operators.params import active_model
-
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    static = spark.read.parquet(path)
-    # A file stream reads a folder or a glob, not a single file path.
-    events = spark.readStream.schema(static.schema).parquet(f"{sf_dir.rstrip('/')}/events*.parquet")
-    params = modeling_params_fixture(spark)
-    assets = resolve_assets(active_model(params), group_members_from_events(static))
-    bounds = baseline_bounds(flows_from_events(events), assets, interval or TEST_INTERVAL, z=1.96)
+    from netbaseline.operators.params import active_model, resolve_assets
+
     out = fresh_folder(spark, "stream-bounds")
+    events = _file_stream(spark, sf_dir, f"{out}/in")
+    static = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    scratch_root(spark)
+    assets = resolve_assets(active_model(modeling_params_fixture(spark)), group_members_from_events(static)).checkpoint()
+    bounds = baseline_bounds(flows_from_events(events), assets, interval or TEST_INTERVAL, z=1.96,
+                             max_broadcast_rows=max_broadcast_rows)
     with _state_partitions(spark, spark.sparkContext.defaultParallelism):
         q = (bounds.writeStream.outputMode("append").format("parquet")
              .option("checkpointLocation", f"{out}/_checkpoint")
@@ -138,25 +213,23 @@ def stream_bounds_from_files(spark: SparkSession, sf_dir: str, interval: str | N
 
 
 def stream_results_from_files(spark: SparkSession, sf_dir: str, interval: str | None = None) -> DataFrame:
-    """Run the whole streaming job over the test ``events`` file and read the final result snapshot.
+    """Run the whole streaming job over the test events in files and read the final result table.
 
     The job resolves its asset set, runs the two window levels as an
     append-mode query and merges each micro-batch of finished windows in
     ``foreachBatch`` (gate, horizon, upsert) into a snapshot store.
     """
+    from netbaseline.operators.profile import empty_results
     from netbaseline.sources.control import TEST_INTERVAL, group_members_from_events, modeling_params_fixture
     from netbaseline.sources.flows import flows_from_events
 
-    static = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    events = spark.readStream.schema(static.schema).parquet(f"{sf_dir.rstrip('/')}/events*.parquet")
     out = fresh_folder(spark, "stream-results")
+    events = _file_stream(spark, sf_dir, f"{out}/in")
+    static = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     q = start_stream_baseline(flows_from_events(events), lambda: modeling_params_fixture(spark),
                               group_members_from_events(static), interval or TEST_INTERVAL,
                               f"{out}/results", f"{out}/_checkpoint", trigger={"availableNow": True},
                               state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     latest = SnapshotStore(spark, f"{out}/results").latest()
-    if latest is None:
-        from netbaseline.operators.profile import empty_results
-        return empty_results(spark)
-    return latest
+    return empty_results(spark) if latest is None else latest

@@ -1,84 +1,124 @@
-"""A keyed result table kept as one Parquet snapshot per micro-batch.
-
-Plain Parquet has no MERGE, so each micro-batch writes the whole merged
-table as a new folder ``batch=<id>`` below the store root; Spark's commit
-protocol adds ``_SUCCESS`` when the folder is complete.  Readers take the
-highest complete folder.  A replayed batch finds its own folder complete and
-does nothing, or incomplete and rewrites it from the folder before it, so the
-sink is idempotent.  The store root belongs in a shared file system (the
-cluster's checkpoint folder or a table location), never a local temp folder.
+"""A keyed result table kept as one Parquet snapshot per version.
+
+Plain Parquet has no MERGE, so each write makes a new version: the whole
+merged table under ``version=<n>/data``, then one JSON row under
+``version=<n>/meta`` that names the streaming query and micro-batch it comes
+from and the history clears applied so far.  A version counts once its meta
+row is there (Spark commits it by a rename), so a crash leaves at most a data
+folder that the next write replaces.  Versions only grow, whatever ids the
+micro-batches have: a query with a new checkpoint, whose batch ids start at 0
+again, continues the same table.  A replayed (query, batch) is recognised by
+the meta rows.  Old versions are removed by an explicit :meth:`expire` alone,
+never under a reader.  The root belongs in a shared file system.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass, field
 
-PREFIX = "batch="
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+META_SCHEMA = "version long, query_id string, batch_id long, clears map<string, string>"
+
+
+@dataclass(frozen=True)
+class Version:
+    number: int
+    query_id: str
+    batch_id: int
+    clears: dict[str, str] = field(default_factory=dict)
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str, retain: int | None = 3):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.retain = retain
 
-    # Hadoop FileSystem calls, as any PySpark job lists and cleans folders on HDFS / S3.
-    def _fs_path(self, path: str):
+    def _folder(self, number: int) -> str:
+        return f"{self.root}/version={int(number):020d}"
+
+    def versions(self) -> list[Version]:
+        """The complete versions in order: one small row each."""
+        try:
+            rows = (self.spark.read.schema(META_SCHEMA).option("recursiveFileLookup", "true")
+                    .json(f"{self.root}/version=*/meta").collect())
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return []
+            raise
+        return sorted((Version(r["version"], r["query_id"], r["batch_id"], r["clears"] or {}) for r in rows),
+                      key=lambda v: v.number)
+
+    def find(self, query_id: str, batch_id: int) -> Version | None:
+        """The version that this micro-batch of this query has written, if any."""
+        return next((v for v in self.versions() if (v.query_id, v.batch_id) == (query_id, batch_id)), None)
+
+    def read(self, number: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self._folder(number)}/data")
+
+    def latest(self) -> DataFrame | None:
+        versions = self.versions()
+        return self.read(versions[-1].number) if versions else None
+
+    def write(self, df: DataFrame, query_id: str, batch_id: int, clears: dict[str, str] | None = None) -> int:
+        """Write the next version; returns its number."""
+        versions = self.versions()
+        number = versions[-1].number + 1 if versions else 0
+        df.write.mode("overwrite").parquet(f"{self._folder(number)}/data")
+        pairs = [x for k, v in sorted((clears or {}).items()) for x in (F.lit(k), F.lit(v))]
+        meta = self.spark.range(1, numPartitions=1).select(
+            F.lit(number).cast("long").alias("version"), F.lit(query_id).alias("query_id"),
+            F.lit(batch_id).cast("long").alias("batch_id"),
+            (F.create_map(*pairs) if pairs else F.lit(None)).cast("map<string,string>").alias("clears"))
+        meta.write.mode("overwrite").json(f"{self._folder(number)}/meta")
+        return number
+
+    def expire(self, keep: int) -> None:
+        """Remove all but the newest ``keep`` versions; for a maintenance job, when nobody reads older ones.
+
+        The newest version of every query stays, as its replay test.
+        """
+        versions = self.versions()
+        last = {v.query_id: v.number for v in versions}
         jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def _folder(self, batch_id: int) -> str:
-        return f"{self.root}/{PREFIX}{int(batch_id):020d}"
-
-    def committed(self) -> list[int]:
-        fs, root = self._fs_path(self.root)
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(PREFIX):
-                if fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                    out.append(int(name[len(PREFIX):]))
-        return sorted(out)
-
-    def is_committed(self, batch_id: int) -> bool:
-        fs, p = self._fs_path(self._folder(batch_id) + "/_SUCCESS")
-        return fs.exists(p)
-
-    def read(self, batch_id: int) -> DataFrame:
-        return self.spark.read.parquet(self._folder(batch_id))
-
-    def latest(self, before: int | None = None) -> DataFrame | None:
-        versions = [v for v in self.committed() if before is None or v < before]
-        return self.read(versions[-1]) if versions else None
-
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(self._folder(batch_id))
-        self._expire(batch_id)
-
-    def _expire(self, newest: int) -> None:
-        """Drop complete snapshots older than the ``retain`` newest ones."""
-        if not self.retain:
-            return
-        versions = [v for v in self.committed() if v <= newest]
-        for v in versions[:-self.retain]:
-            fs, p = self._fs_path(self._folder(v))
-            fs.delete(p, True)
-
-
-def mirror_to_jdbc(results: DataFrame, options: dict) -> None:
-    """Copy a result snapshot to a JDBC table (profile as JSON text), replacing its rows.
-
-    ``options`` are Spark's JDBC options (``url``, ``dbtable``, ``user``,
-    ``password``, ``driver``...).  The snapshot is the whole keyed table, so a
-    truncate-and-insert is the upsert; the JDBC driver jar must be on the
-    class path (it is not in this repository's test environment).
+        for v in versions[:-keep] if keep > 0 else []:
+            if v.number not in last.values():
+                path = jvm.org.apache.hadoop.fs.Path(self._folder(v.number))
+                path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def upsert_statement(table: str, staging: str) -> str:
+    """Keyed merge of a staging table into the result table: new keys are inserted, known ones get the new profile."""
+    columns = ("id", "modeling_params_id", "src_id", "src_ip", "protocol", "flow", "up_down", "in_out", "time")
+    names = ", ".join(f"`{c}`" for c in columns)
+    return (f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} AS s "
+            f"ON DUPLICATE KEY UPDATE `flow` = s.`flow`")
+
+
+def upsert_to_jdbc(rows: DataFrame, options: dict, execute=None) -> None:
+    """Merge result rows into a JDBC table by key, in one statement; rows of other models stay.
+
+    The rows (profile as JSON text) go to ``<dbtable>_staging`` first, which a
+    repeated call simply replaces; ``id`` must be the table's unique key.
+    ``options`` are Spark's JDBC options; ``execute`` runs a statement (default:
+    over the driver's own JDBC connection).
     """
-    from pyspark.sql import functions as F
-    out = results.withColumn("flow", F.to_json(F.col("flow")))
-    writer = out.write.format("jdbc").mode("overwrite").option("truncate", "true")
-    for k, v in options.items():
+    staging = f"{options['dbtable']}_staging"
+    writer = rows.withColumn("flow", F.to_json("flow")).write.format("jdbc").mode("overwrite")
+    for k, v in (options | {"dbtable": staging}).items():
         writer = writer.option(k, v)
     writer.save()
+    (execute or _execute_over_jdbc(rows.sparkSession, options))(upsert_statement(options["dbtable"], staging))
+
+
+def _execute_over_jdbc(spark: SparkSession, options: dict):
+    def execute(statement: str) -> None:
+        manager = spark.sparkContext._jvm.java.sql.DriverManager
+        connection = manager.getConnection(options["url"], options.get("user"), options.get("password"))
+        try:
+            connection.createStatement().executeUpdate(statement)
+        finally:
+            connection.close()
+
+    return execute

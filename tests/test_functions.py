@@ -107,8 +107,8 @@ def test_slot_key_rejects_unknown_span(spark):
 
 
 def test_internal_flag_and_parity(spark):
-    ips = ["10.1.2.3", "172.16.0.1", "172.31.255.255", "172.32.0.1", "172.168.1.1", "192.168.7.249",
-           "192.169.0.1", "47.111.111.35", "256.1.1.1", "1.2.3", "abc", None]
+    ips = ["10.1.2.3", "172.16.0.1", "172.31.255.255", "172.32.0.1", "172.168.1.1", "192.168.9.9",
+           "192.169.0.1", "198.51.100.7", "256.1.1.1", "1.2.3", "abc", None]
     df = spark.createDataFrame([(i,) for i in ips], "ip string")
     got = df.select(internal_flag("ip").alias("f"), internal_flag("ip", parity=True).alias("p")).collect()
     assert [r["f"] for r in got] == [0, 0, 0, 1, 1, 0, 1, 1, None, None, None, None]
@@ -132,3 +132,32 @@ def test_result_id_is_stable(spark):
     ids = [r[0] for r in df.select(result_id("m", "s", "p", "d")).collect()]
     assert ids[0] == ids[1] != ids[2]
     assert ids[0].startswith("msf_") and len(ids[0]) == 26
+
+
+def test_result_id_keeps_parts_apart(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ('a","b', "c")], "x string, y string")
+    assert len({r[0] for r in df.select(result_id("x", "y")).collect()}) == 3
+
+
+def test_blanks_are_all_white_space(spark):
+    from netbaseline.functions.convert import to_boolean, to_int
+    from netbaseline.functions.text import blank_to_empty, is_blank
+    df = spark.createDataFrame([(x,) for x in (None, "", " ", "\t", "\n ", "null", "x\t")], "a string")
+    assert [r[0] for r in df.select(is_blank("a")).collect()] == [True] * 6 + [False]
+    assert [r[0] for r in df.select(blank_to_empty("a")).collect()] == [""] * 6 + ["x\t"]
+    df = spark.createDataFrame([("\tyes", "\n12 ")], "b string, i string")
+    assert tuple(df.select(to_boolean("b"), to_int("i")).first()) == (True, 12)
+
+
+def test_confidence_and_interval_are_checked():
+    import numpy as np
+    import pytest
+    from netbaseline.functions.time import window_lengths, z_for_confidence
+    assert z_for_confidence(float(np.float32(0.95))) == 1.96 and z_for_confidence(None) == 1.96
+    for level in (95.0, 0.0, 1.0):
+        with pytest.raises(ValueError):
+            z_for_confidence(level)
+    for text in ("0m", "1.5m", "m", "-1h"):
+        with pytest.raises(ValueError):
+            window_lengths(text)
+    assert window_lengths("3h") == (10800, 21600) and window_lengths(None) == (300, 600)

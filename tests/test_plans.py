@@ -77,3 +77,57 @@ def test_flagship_has_no_nested_loop_join(spark):
     df.collect()
     p = plan_text(df)
     assert "NestedLoopJoin" not in p and "CartesianProduct" not in p, p
+
+
+def test_flagship_reads_the_flows_once(spark):
+    import __spark_entry__ as E
+    df = E.flagship(spark, SF_SMALL)
+    # the slots are written once; what follows reads them, not the raw flows
+    assert "events.parquet" not in plan_text(df)
+
+
+def test_time_filter_reaches_the_scan(spark):
+    from netbaseline.plans.catalog import QUERIES
+    for name in ("o10_o19_merge_profiles", "o20_upsert", "o24_clear_history"):
+        df = QUERIES[name](spark, SF_SMALL)
+        text = df._jdf.queryExecution().explainString(
+            spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        filters = re.findall(r"PushedFilters: \[([^\]]*)\]", text)
+        assert any("LessThan(ts" in f for f in filters) and any("GreaterThanOrEqual(ts" in f for f in filters), (name, filters)
+
+
+def test_size_check_moves_one_number_a_task(spark):
+    from netbaseline.operators.sizing import is_small
+    df = spark.range(100)
+    assert is_small(df, 100) and not is_small(spark.range(101), 100)
+    counted = plan_text(df.groupBy().count())
+    assert "partial_count" in counted and "Limit" not in counted
+
+
+def test_merge_groups_are_bounded(spark):
+    """One key with thousands of addresses: one row per slot reaches the list of a key."""
+    from netbaseline.operators.profile import upsert_results
+    slots = spark.range(16_000).select(
+        F.lit("m").alias("modeling_params_id"), F.lit("a").alias("src_id"), F.concat(F.lit("10.0.0."), "id").alias("src_ip"),
+        F.lit(1).alias("area_id"), F.lit("TCP").alias("protocol"), F.lit(0).alias("up_down"),
+        F.timestamp_seconds(F.col("id") * 3600).alias("window_end"), (F.col("id") % 24).cast("string").alias("name"),
+        F.lit(1.0).alias("lo"), F.col("id").cast("double").alias("hi"), F.lit(0).alias("in_out"),
+        F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("time"))
+    df = upsert_results(None, slots)
+    row = df.collect()
+    assert len(row) == 1 and len(row[0]["flow"]) == 24 and row[0]["flow"][0] == ("0", "1.0-15984.0")
+    p = plan_text(df)
+    lists = p.find("collect_list")
+    assert lists != -1 and "partial_max(struct" in p[lists:]
+
+
+def test_blank_protocols_are_one_row(spark):
+    from netbaseline.operators.profile import upsert_results
+    rows = [("m", "a", "10.0.0.1", 1, p, 0, dt.datetime(2024, 1, 1, k), str(k), 1.0, 2.0, 0, dt.datetime(2024, 1, 1, k))
+            for k, p in enumerate((None, "", "null", "\t", "TCP"))]
+    slots = spark.createDataFrame(rows, "modeling_params_id string, src_id string, src_ip string, area_id int, protocol string, "
+                                        "up_down int, window_end timestamp, name string, lo double, hi double, in_out int, "
+                                        "time timestamp_ntz")
+    out = upsert_results(None, slots).collect()
+    assert sorted((r["protocol"], len(r["flow"])) for r in out) == [("", 4), ("TCP", 1)]
+    assert len({r["id"] for r in out}) == 2

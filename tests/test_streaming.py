@@ -85,46 +85,140 @@ def test_stream_job_matches_batch_and_replay_is_idempotent(spark, scratch):
                               f"{scratch}/results", f"{scratch}/ckpt", trigger={"availableNow": True})
     q.awaitTermination()
     store = SnapshotStore(spark, f"{scratch}/results")
-    versions = store.committed()
-    assert versions and len(versions) <= 3
+    versions = store.versions()
+    assert [v.number for v in versions] == list(range(len(versions))) and len(versions) >= 2
     got = store.latest()
     want = batch_baseline(flows_from_events(events), params, members, TEST_INTERVAL)
     cols = ["id", "modeling_params_id", "src_id", "src_ip", "protocol", "flow", "up_down", "in_out", "time"]
     assert got.count() == want.count() > 0
     assert got.select(*cols).exceptAll(want.select(*cols)).count() == 0
 
-    # Replaying the last batch leaves the table as it is.
+    # Replaying the last batch writes nothing and leaves the table as it is.
     last = versions[-1]
-    before = store.read(last).collect()
-    sink = make_batch_sink(store, lambda: modeling_params_fixture(spark))
-    bounds = baseline_bounds(flows_from_events(events), None, TEST_INTERVAL)
-    sink(bounds, last)
-    assert sorted(map(str, store.read(last).collect())) == sorted(map(str, before))
+    sink = make_batch_sink(store, lambda: modeling_params_fixture(spark), query_id=lambda: last.query_id)
+    sink(baseline_bounds(flows_from_events(events), None, TEST_INTERVAL), last.batch_id)
+    assert store.versions() == versions
+    store.expire(1)
+    assert [v.number for v in store.versions()] == [last.number]
 
 
-def test_sink_applies_history_clear(spark, scratch):
-    from netbaseline.operators import active_model
-    from netbaseline.plans.catalog import SPLIT_AT
+def modelled_bounds(spark):
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    params = modeling_params_fixture(spark)
-    assets = resolve_assets(active_model(params), group_members_from_events(events))
-    bounds = baseline_bounds(flows_from_events(events), assets, TEST_INTERVAL)
-    split = F.lit(SPLIT_AT).cast("timestamp")
-    store = SnapshotStore(spark, f"{scratch}/results")
+    assets = resolve_assets(active_model(modeling_params_fixture(spark)), group_members_from_events(events))
+    return baseline_bounds(flows_from_events(events), assets, TEST_INTERVAL).cache()
+
+
+def slots_of(df):
+    return sorted((r["src_id"], r["protocol"], r["up_down"], x["name"], x["value"]) for r in df.collect() for x in r["flow"])
+
+
+def halves(bounds):
+    split = F.lit(dt.datetime(2024, 1, 8)).cast("timestamp")  # within the write horizon of 14 days
+    return bounds.where(F.col("w2.end") <= split), bounds.where(F.col("w2.end") > split)
+
+
+def versions_of(spark, *times_and_modes):
     schema = ("id string, modify_time timestamp_ntz, model_result_span int, model_rate_timeunit string, "
               "model_rate_timeunit_num int, model_update int, model_history_data_span int")
-    # update mode 1 -> 0 after the first batch's writes: a clear of model msf_base
-    versions = spark.createDataFrame([("msf_base", dt.datetime(2023, 12, 1), 1, "mm", 360, 1, 7),
-                                      ("msf_base", dt.datetime(2024, 1, 10), 1, "mm", 360, 0, 7)], schema)
-    sink = make_batch_sink(store, lambda: modeling_params_fixture(spark), lambda: versions)
-    sink(bounds.where(F.col("w2.end") <= split), 0)
-    first = store.read(0)
-    assert first.count() > 0
-    sink(bounds.where(F.col("w2.end") > split), 1)
-    after = store.read(1)
-    # every row now was (re)written after the clear; none keeps a first write from before it
-    assert after.where(F.col("time") < F.lit(dt.datetime(2024, 1, 10))).count() == 0
-    assert after.count() > 0
+    return spark.createDataFrame([("msf_base", t, 1, "mm", 360, m, 7) for t, m in times_and_modes], schema)
+
+
+def test_a_new_checkpoint_continues_an_old_store(spark, scratch):
+    """Batch ids start at 0 again, yet nothing is taken for a replay and nothing is lost."""
+    first, second = halves(modelled_bounds(spark))
+    params, store = (lambda: modeling_params_fixture(spark)), SnapshotStore(spark, f"{scratch}/results")
+    make_batch_sink(store, params, query_id=lambda: "one")(first, 0)
+    make_batch_sink(store, params, query_id=lambda: "two")(second, 0)
+    assert [(v.number, v.query_id, v.batch_id) for v in store.versions()] == [(0, "one", 0), (1, "two", 0)]
+    other = SnapshotStore(spark, f"{scratch}/other")
+    sink = make_batch_sink(other, params, query_id=lambda: "one")
+    sink(first, 0)
+    sink(second, 1)
+    assert slots_of(store.latest()) == slots_of(other.latest()) != slots_of(store.read(0))
+
+
+def test_sink_applies_each_history_clear_once(spark, scratch):
+    first, second = halves(modelled_bounds(spark))
+    params = lambda: modeling_params_fixture(spark)
+    plain = SnapshotStore(spark, f"{scratch}/plain")
+    for k, part in enumerate((first, second)):
+        make_batch_sink(plain, params)(part, k)
+    # A clear that is there from the start, dated after all data, is the baseline: nothing is dropped.
+    late = versions_of(spark, (dt.datetime(2023, 12, 1), 1), (dt.datetime(2025, 1, 1), 0))
+    kept = SnapshotStore(spark, f"{scratch}/kept")
+    for k, part in enumerate((first, second)):
+        make_batch_sink(kept, params, lambda: late)(part, k)
+    assert slots_of(kept.latest()) == slots_of(plain.latest())
+    # A clear that appears between two batches drops what is stored, once.
+    start = versions_of(spark, (dt.datetime(2023, 12, 1), 1))
+    cleared = SnapshotStore(spark, f"{scratch}/cleared")
+    make_batch_sink(cleared, params, lambda: start)(first, 0)
+    make_batch_sink(cleared, params, lambda: late)(second, 1)
+    only_second = SnapshotStore(spark, f"{scratch}/second")
+    make_batch_sink(only_second, params)(second, 0)
+    assert slots_of(cleared.latest()) == slots_of(only_second.latest())
+    make_batch_sink(cleared, params, lambda: late)(first, 2)
+    assert set(slots_of(cleared.latest())) > set()
+    assert {x[:3] for x in slots_of(only_second.latest())} <= {x[:3] for x in slots_of(cleared.latest())}
+
+
+def test_mirror_is_repeated_after_a_crash(spark, scratch, monkeypatch):
+    from netbaseline.streaming import baseline as B, store as S
+    done = []
+    monkeypatch.setattr(B, "upsert_to_jdbc", lambda rows, options, execute: done.append(rows.count()))
+    bounds = modelled_bounds(spark)
+    store = SnapshotStore(spark, f"{scratch}/results")
+    sink = make_batch_sink(store, lambda: modeling_params_fixture(spark), jdbc_options={"dbtable": "t"}, query_id=lambda: "q")
+    sink(bounds, 0)
+    sink(bounds, 0)  # the replay of a batch whose mirror may be missing
+    assert len(store.versions()) == 1 and len(done) == 2 and done[0] == done[1] > 0
+    text = S.upsert_statement("results", "results_staging")
+    assert text.startswith("INSERT INTO results (") and "FROM results_staging" in text
+    assert text.endswith("ON DUPLICATE KEY UPDATE `flow` = s.`flow`") and "TRUNCATE" not in text.upper()
+
+
+def test_sink_stops_when_another_model_comes_into_force(spark, scratch):
+    import pytest
+    store = SnapshotStore(spark, f"{scratch}/results")
+    sink = make_batch_sink(store, lambda: modeling_params_fixture(spark), model_id="msf_older")
+    with pytest.raises(RuntimeError, match="has replaced"):
+        sink(modelled_bounds(spark), 0)
+    assert store.versions() == []
+
+
+def test_sink_starts_from_an_existing_table(spark, scratch):
+    from netbaseline.sources.control import encode_profiles
+    first, second = halves(modelled_bounds(spark))
+    params = lambda: modeling_params_fixture(spark)
+    whole = SnapshotStore(spark, f"{scratch}/whole")
+    for k, part in enumerate((first, second)):
+        make_batch_sink(whole, params)(part, k)
+    store = SnapshotStore(spark, f"{scratch}/results")
+    make_batch_sink(store, params, initial=encode_profiles(whole.read(0)))(second, 0)
+    assert slots_of(store.latest()) == slots_of(whole.latest())
+
+
+def test_watermark_follows_modelled_assets_whatever_their_number(spark, scratch):
+    """A far-ahead record of an asset outside the model closes no window, with a small and with a large asset set."""
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    t = dt.datetime(2024, 1, 1)
+
+    def ev(i, seconds, value, user=0):
+        return (i, t + dt.timedelta(seconds=seconds), user, "click", value, '{"k": 1}')
+
+    files = [[ev(1, 10, 1.0)], [ev(2, 90_000, 9.0, user=5)], [ev(3, 95_000, 9.0, user=5)], [ev(4, 20, 2.0)], [ev(5, 10 ** 8, 64.0)]]
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{scratch}/in/part{i}")
+        time.sleep(0.05)
+    assets = spark.createDataFrame([("m", "ast_0")], "model_id string, entity_id string")
+    sums = []
+    for bound in (1000, 0):
+        stream = flows_from_events(stream_of(spark, f"{scratch}/in", schema))
+        q = (baseline_bounds(stream, assets, "", max_broadcast_rows=bound).writeStream.outputMode("append").format("parquet")
+             .option("checkpointLocation", f"{scratch}/ckpt{bound}").trigger(availableNow=True).start(f"{scratch}/out{bound}"))
+        q.awaitTermination()
+        sums.append(spark.read.parquet(f"{scratch}/out{bound}").where("direction = 0").agg(F.sum("sum_flow")).first()[0])
+    assert sums == [300, 300]
 
 
 def test_text_message_stream_source(spark, scratch):
