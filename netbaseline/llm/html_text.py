@@ -45,10 +45,11 @@ _markup = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
                      r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _attribute = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 _unwanted = re.compile(
-    r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar\w*|menu\w*|nav|navbar|navigation|breadcrumbs?|footer|"
-    r"header|masthead|topbar|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|"
-    r"subscription|signup|login|shar(?:e|ing)|social|related|recommend\w*|comments?|commentlist|repl(?:y|ies)|respond|"
-    r"disqus|discussion|widgets?|toolbar|pagination|pager|search|copyright|disclaimer|contentinfo|complementary")
+    r"ads?|adsby\w*|advert\w*|adsense|sponsor\w*|promo\w*|banners?|\w*sidebar\w*|rail|"
+    r"(?:top|side|sub|main|site|bottom)?(?:nav\w*|menu\w*)|breadcrumbs?|footer|header|masthead|topbar|cookies?|consent|"
+    r"gdpr|notices?|alerts?|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|shar(?:e|ing)|social|"
+    r"related|recommend\w*|comments?|commentlist|feedback|repl(?:y|ies)|respond|disqus|discussion|widgets?|toolbar|"
+    r"pagination|pager|search|copyright|disclaimer|contentinfo|complementary")
 
 
 class Page:
@@ -68,32 +69,37 @@ class Page:
         for k in range(1, len(self.tag)):            # parents come before their children
             self.out[k] = self.out[k] or k in self.soft or self.out[self.parent[k]]
 
+    @staticmethod
+    def _attributes(text: str) -> tuple[dict[str, str], bool, bool]:
+        """Attributes of an element, whether their words are unwanted, and whether it is hidden."""
+        found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _attribute.finditer(text)}
+        words = re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", " ".join(
+            found.get(a, "") for a in ("class", "id", "role"))).lower())
+        hidden = ("hidden" in found or found.get("aria-hidden", "").lower() == "true"
+                  or "display:none" in found.get("style", "").replace(" ", "").lower())
+        return found, any(map(_unwanted.fullmatch, words)), hidden
+
     def _open(self, tag: str, attributes: str, under: int) -> int:
-        words, path = [], tag
+        path, unwanted, hidden = tag, False, False
         if attributes and not attributes.isspace():
-            found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _attribute.finditer(attributes)}
+            found, unwanted, hidden = self._attributes(attributes)
             kinds = sorted(set(re.sub(r"\d+", "", found.get("class", "")).split()))
             path = ".".join([tag, *kinds])
-            words = re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", " ".join(
-                found.get(a, "") for a in ("class", "id", "role"))).lower())
-            hidden = ("hidden" in found or found.get("aria-hidden", "").lower() == "true"
-                      or "display:none" in found.get("style", "").replace(" ", "").lower())
-        else:
-            hidden = False
         k = len(self.tag)
         self.tag.append(tag)
         self.parent.append(under)
         self.path.append(f"{self.path[under]}>{path}")
         self.out.append(hidden or (tag in LEFT_OUT and tag != "form"))
-        if tag not in ("html", "body") and (tag == "form" or any(map(_unwanted.fullmatch, words))):
+        if tag not in ("html", "body") and (tag == "form" or unwanted):
             self.soft.add(k)
         return k
 
     def _build(self, source: str) -> None:
         stack, pieces, at, n = [0], [], 0, len(source)
+        cut_out: list[str] = []                       # open inline elements whose text is left out
 
         def text(piece: str) -> None:
-            if piece:
+            if piece and not cut_out:
                 pieces.append(html.unescape(piece) if "&" in piece else piece)
 
         def flush() -> None:
@@ -120,8 +126,15 @@ class Page:
             if tag in ("br", "hr"):
                 flush()
                 continue
-            if tag in VOID or tag not in BLOCKS:
-                continue                              # inline markup
+            if tag in VOID:
+                continue
+            if tag not in BLOCKS:                     # inline markup: not seen, unless it is left out
+                if closing and tag not in cut_out or not closing and not (
+                        m[3] and "=" in m[3] and any(self._attributes(m[3])[1:])):
+                    continue
+                cut_out.remove(tag) if closing else cut_out.append(tag)
+                continue
+            cut_out.clear()                           # a block ends what was left open
             flush()
             if closing:
                 for depth in range(len(stack) - 1, 0, -1):

@@ -23,6 +23,8 @@ ARTICLE = f"<p>{TEXT[0]}</p>\n<p>Second &amp; last line,\n a &lt;  b, of <b>the<
     f"<table><tr><td class='nav'>n</td><td>{ARTICLE}</td></tr></table><div class='cookie-notice'><p>We use cookies on it.</p></div>",
     f"<article><p>{TEXT[0]}<p>Second &amp; last line, a &lt; b, of the same story here.</article>",
     f"<article><p><b>{TEXT[0]}<br><p><i>Second &amp; last line, a &lt; b, of the same story here.",
+    f"<div id=topNav><a>a</a></div><div>{ARTICLE.replace('the story', 'the<span class=ad-slot>Buy <b>now</b></span> story', 1)}<ins class='adsbygoogle'>"
+    f"Advert text</ins><div class='share-buttons'>Share</div><ul class=commentList><li>{'I agree with it. ' * 9}</li></ul></div>",
     f"<aside>{'Some words aside. ' * 30}</aside><div><div>{ARTICLE}</div></div><!-- <p>comment</p> --><script>if(a<b){{}}",
 ])
 def test_templates(body):
