@@ -40,8 +40,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    encoded = docs.select("doc_id", "source", bpe.bpe_encode(F.col("text"), TOKENIZER).alias("ids"))
-    both = encoded.withColumn("decoded", bpe.bpe_decode(F.col("ids"), TOKENIZER))
+    coded = docs.select("doc_id", "source", bpe.bpe_round_trip(F.col("text"), TOKENIZER).alias("b"))
+    both = coded.select("doc_id", "source", "b.*")
     return both.select("doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -365,3 +365,19 @@ def bpe_decode(ids: Column, path: str) -> Column:
         return pd.Series([bpe.decode(x or b"") for x in packed], dtype=object)
 
     return decode(ids)
+
+
+def bpe_round_trip(text: Column, path: str) -> Column:
+    """Struct of ``ids`` (as :func:`bpe_encode` gives them) and ``decoded``, their decoding.
+
+    One Python function: chained ones would encode every text a second time
+    to decode it.
+    """
+    @F.pandas_udf("ids binary, decoded string")
+    def both(texts: pd.Series) -> pd.DataFrame:
+        bpe = load(path)
+        ids = [x for batch in sub_batches(texts) for x in bpe.encode_batch(batch)]
+        return pd.DataFrame({"ids": pd.Series(ids, dtype=object),
+                             "decoded": pd.Series([bpe.decode(x) for x in ids], dtype=object)})
+
+    return both(text)

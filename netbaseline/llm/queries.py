@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bpe, html_text, jaccard_groups, line_dedup, mixing, multi_index, quality, substring_dedup, token_counts, url_reputation
 from .common import read_table
+from .oracles import ORACLE_SQL  # noqa: F401  (registered with the queries)
 
 #: The vocabulary file; a path that every executor can read.
 TOKENIZER = os.environ.get("NETBASELINE_TOKENIZER") or public_tokenizers.path("byte_bpe_50k.json")
@@ -17,8 +18,7 @@ MAX_TOKENS = 1024
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    encoded = docs.select("doc_id", bpe.bpe_encode(F.col("text"), TOKENIZER).alias("ids"))
-    both = encoded.withColumn("decoded", bpe.bpe_decode(F.col("ids"), TOKENIZER))
+    both = docs.select("doc_id", bpe.bpe_round_trip(F.col("text"), TOKENIZER).alias("b")).select("doc_id", "b.*")
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -74,5 +74,3 @@ QUERIES = {
     "op9_url_reputation": op9_url_reputation,
     "op10_mixing": op10_mixing,
 }
-
-ORACLE_SQL: dict[str, str] = {}
