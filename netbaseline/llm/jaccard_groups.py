@@ -35,8 +35,8 @@ from .components import connected_components
 KEYS, ROWS = 8, 3
 MAX_KNOWN_WORDS = 300_000
 MAX_BROADCAST = 1_000_000    # rows of two longs
-BUCKET_TOKENS = 3_000_000    # tokens counted in one group of the matrix count, about
-FLUSH_TOKENS = 2_000_000     # tokens a map task holds before it packs them
+BUCKET_TOKENS = 1_500_000    # tokens counted in one group of the matrix count, about
+FLUSH_TOKENS = 500_000       # tokens a map task holds before it packs them
 
 _M = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _ALL = (1 << 64) - 1
@@ -195,7 +195,7 @@ def _pack(width: int, buckets: int):
         reps, grps, sets, held = [], [], [], 0
         for batch in batches:
             at = 0
-            for texts in sub_batches(batch["j_text"], 1 << 20):
+            for texts in sub_batches(batch["j_text"], 1 << 18):
                 for s in token_sets(texts, width):
                     if len(s):
                         reps.append(int(batch["rep"].iat[at]))
