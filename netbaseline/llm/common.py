@@ -16,13 +16,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 _shipped: set[str] = set()
 
+# Rows an Arrow batch takes to a Python worker: texts are long, and two workers
+# share an executor's memory with its JVM.
+ARROW_ROWS = 2_000
+_ARROW_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package's modules, once per application.
+    """Give the executors this package's modules, once per application, and bound Arrow batches.
 
     The driver zips the sources and Spark's file server hands them out, so
     that Python functions run on executors where the package isn't installed.
+    Arrow batches get ``ARROW_ROWS`` rows unless the application sets a number.
     """
+    if not spark.sparkContext.getConf().contains(_ARROW_KEY):
+        spark.conf.set(_ARROW_KEY, str(ARROW_ROWS))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

@@ -11,7 +11,8 @@
 4. For the documents left, the rarest of their shared tokens (as many as may
    be missing from a partner, and one) are looked up in the matrix; of every
    group they meet the overlap with the group's token union is counted; only
-   groups that reach the bound are opened and their members verified.
+   groups that reach the bound are opened and their members verified.  Tokens
+   that no other group has tighten the bound on both sides.
 
 Steps 3 and 4 lose no link: a set Q and a member S of a group with union U
 have |Q & S| <= |Q & U|, and similarity t needs |Q & S| >= t |Q|.
@@ -33,7 +34,7 @@ from .common import stored
 from .components import connected_components
 
 KEYS, ROWS = 8, 3
-MAX_KNOWN_WORDS = 300_000
+MAX_KNOWN_WORDS = 150_000
 MAX_BROADCAST = 1_000_000    # rows of two longs
 BUCKET_TOKENS = 1_500_000    # tokens counted in one group of the matrix count, about
 FLUSH_TOKENS = 500_000       # tokens a map task holds before it packs them
@@ -231,28 +232,44 @@ def _count_shared(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _open_groups(left: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` across groups that step 4 leaves, for ``left(rep, grp, n)``."""
+    """Pairs ``(a, b)`` across groups that step 4 leaves, for ``left(rep, grp, n)``.
+
+    Let a document's own tokens be those in no other group, u of its n.  They
+    are missing from every partner, so a link of Q and S needs
+    n_Q - u_Q >= |Q & S| >= t (n_Q + u_S): a document with many own tokens can
+    only have partners with very few.  Links are looked for from the end with
+    fewer own tokens, which has u (1 + t) <= n (1 - t), and only in groups
+    whose smallest and largest u allow it.
+    """
     texts = docs.join(_small(left.select("rep", "grp", "n")), F.col("j_id") == F.col("rep"))
     tokens = stored(texts.groupBy("rep", "grp", "n").agg(F.min("j_text").alias("j_text"))
                     .select("rep", "grp", "n", F.explode(_tokens(width)("j_text")).alias("t")), "jaccard-tokens")
-    matrix = stored(tokens.select("t", "grp").distinct(), "jaccard-matrix")
-    spread = matrix.groupBy("t").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1")
-    need = F.ceil(F.lit(percent) * F.col("n") / 100)
+    spread = tokens.groupBy("t").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1")).where("g0 <> g1").select("t")
     mine = (tokens.join(spread, "t")
-            .withColumn("shared", F.count(F.lit(1)).over(Window.partitionBy("rep")))
-            .withColumn("need", need).where("shared >= need"))
+            .withColumn("u", F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("rep")))
+            .where(f"100 * (n - u) >= {percent} * n"))
     mine = stored(mine, "jaccard-shared")
+    ranges = mine.groupBy("grp").agg(F.min("u").alias("u_min"), F.max("u").alias("u_max"))
+    matrix = stored(mine.select("t", "grp").distinct().join(ranges, "grp").withColumnRenamed("grp", "other"),
+                    "jaccard-matrix")
+    groups = matrix.groupBy("t").agg(F.count(F.lit(1)).alias("groups"))
+    asked = mine.where(f"{100 + percent} * u <= {100 - percent} * n").join(groups, "t").withColumn(
+        "need", F.ceil(F.lit(percent) * (F.col("n") + F.col("u")) / 100))
     rarest = F.row_number().over(Window.partitionBy("rep").orderBy("groups", "t"))
-    probes = mine.withColumn("place", rarest).where("place <= shared - need + 1").select("rep", "grp", "t")
-    met = (probes.join(matrix.withColumnRenamed("grp", "other"), "t").where("grp <> other")
-           .select("rep", "other").distinct())
-    reach = (met.join(mine.select("rep", "t", "need"), "rep")
-             .join(matrix.withColumnRenamed("grp", "other"), ["t", "other"])
-             .groupBy("rep", "other").agg(F.count(F.lit(1)).alias("c"), F.first("need").alias("need")).where("c >= need"))
-    sizes = left.select("rep", "n")
-    inside = left.select(F.col("rep").alias("b"), F.col("grp").alias("other"), F.col("n").alias("nb"))
-    pairs = (reach.join(sizes, "rep").join(inside, "other")
-             .where(f"100 * least(n, nb) >= {percent} * greatest(n, nb)")
+    probes = (asked.withColumn("place", rarest).where("groups > 1 and place <= n - u - need + 1")
+              .select("rep", "grp", "n", "u", "t"))
+    meets = matrix.select(F.col("t").alias("m_t"), "other", "u_min", "u_max")
+    fits = f"grp <> other and u_max >= u and {percent} * greatest(u_min, u) + 100 * u <= {100 - percent} * n"
+    met = (probes.join(meets, (F.col("t") == F.col("m_t")) & F.expr(fits))
+           .select("rep", "n", "u", "other", "u_min").distinct())
+    reach = (met.join(asked.select("rep", "t"), "rep").join(matrix.select("t", "other"), ["t", "other"])
+             .groupBy("rep", "n", "u", "other", "u_min").agg(F.count(F.lit(1)).alias("c"))
+             .where(f"100 * c >= {percent} * (n + greatest(u_min, u))"))
+    inside = mine.select(F.col("rep").alias("b"), F.col("grp").alias("other"), F.col("n").alias("nb"),
+                         F.col("u").alias("ub")).distinct()
+    pairs = (reach.join(inside, "other")
+             .where(f"ub >= u and {percent} * ub + 100 * u <= {100 - percent} * n and "
+                    f"100 * least(n, nb) >= {percent} * greatest(n, nb)")
              .select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")))
     return pairs.distinct()
 
@@ -317,6 +334,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component; rows without an id stay."""
     parts = jaccard_components(docs, id_col, text_col, width, percent)
-    keep = (parts.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("k_id")).distinct())
-    kept = docs.join(keep, F.col(id_col) == F.col("k_id"), "left_semi")
+    keep = parts.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).cast("long").alias("k_id")).distinct()
+    # The row travels as one column, so that no column of it can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("k_row"), F.col(id_col).cast("long").alias("k_own"))
+    kept = rows.join(keep, F.col("k_own") == F.col("k_id"), "left_semi").select("k_row.*")
     return kept.unionByName(docs.where(F.col(id_col).isNull()))
