@@ -34,9 +34,9 @@ def test_equals_brute_force(spark):
             (8, "z" * 20_000 + "\n" + "ab " * 5000), (9, "ab " * 5000), (10, "Entirely different words here\r"),
             (11, "entirely different words here"), (None, BASE + "\nA line without an id stays because it is new"), (4, "second row")]
     rows += [(20 + k, f"Line number {k} speaks of {k * 7919} things and {k * 104729} others, all of them unlike") for k in range(60)]
-    df = spark.createDataFrame([(d, t, 5) for d, t in rows], "doc_id long, text string, n_lines int")
+    df = spark.createDataFrame([(d, t, 5) for d, t in rows], "doc_id long, text string, l_gone int")
     out = L.dedup_lines(df)
-    assert out.columns == ["doc_id", "text", "n_lines", "l_lines", "l_removed"]
+    assert out.columns == ["doc_id", "text", "l_gone", "l_lines", "l_removed"]
     assert sorted(str((r["doc_id"], r["text"])) for r in out.collect()) == brute(rows)
     left = {r["doc_id"]: r["text"] for r in L.without_repeats(df).collect()}
     assert 9 not in left and 11 not in left and left[5] == "" and left[6] == "\n\n"
