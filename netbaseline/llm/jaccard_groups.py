@@ -3,8 +3,9 @@
 1. Every document becomes the set of its distinct word shingles (64-bit
    hashes).  Documents with equal sets are one class.
 2. Similar classes are put into groups: MinHash keys propose the smallest and
-   the largest member of a key's bucket as partners, exact verification
-   confirms them, union-find makes the groups.
+   the largest member of a key's bucket as partners, those that share half of
+   their tokens are united, large groups are cut into blocks.  The members of
+   a group are compared in one task, as a product of their 0/1 matrix.
 3. The matrix token -> groups is built by a distributed count.  A document
    can only have a partner outside its group if a share of ``threshold`` of
    its tokens occurs in other groups; all others are done here.
@@ -37,6 +38,10 @@ KEYS, ROWS = 8, 3
 MAX_KNOWN_WORDS = 150_000
 MAX_BROADCAST = 1_000_000    # rows of two longs
 BUCKET_TOKENS = 1_500_000    # tokens counted in one group of the matrix count, about
+GROUP_PERCENT = 50           # classes this similar are put into one group
+GROUP_ROWS = 512             # members of a group and
+GROUP_TOKENS = 400_000       # their tokens at most, about (larger ones are cut into blocks)
+QUERY_ROWS = 4_096           # queries that open a group in one task, about
 FLUSH_TOKENS = 500_000       # tokens a map task holds before it packs them
 
 _M = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -262,16 +267,92 @@ def _open_groups(left: DataFrame, docs: DataFrame, width: int, percent: int) ->
     fits = f"grp <> other and u_max >= u and {percent} * greatest(u_min, u) + 100 * u <= {100 - percent} * n"
     met = (probes.join(meets, (F.col("t") == F.col("m_t")) & F.expr(fits))
            .select("rep", "n", "u", "other", "u_min").distinct())
-    reach = (met.join(asked.select("rep", "t"), "rep").join(matrix.select("t", "other"), ["t", "other"])
-             .groupBy("rep", "n", "u", "other", "u_min").agg(F.count(F.lit(1)).alias("c"))
-             .where(f"100 * c >= {percent} * (n + greatest(u_min, u))"))
-    inside = mine.select(F.col("rep").alias("b"), F.col("grp").alias("other"), F.col("n").alias("nb"),
-                         F.col("u").alias("ub")).distinct()
-    pairs = (reach.join(inside, "other")
-             .where(f"ub >= u and {percent} * ub + 100 * u <= {100 - percent} * n and "
-                    f"100 * least(n, nb) >= {percent} * greatest(n, nb)")
-             .select(F.least("rep", "b").alias("a"), F.greatest("rep", "b").alias("b")))
-    return pairs.distinct()
+    reach = stored(met.join(asked.select("rep", "t"), "rep").join(matrix.select("t", "other"), ["t", "other"])
+                   .groupBy("rep", "n", "u", "other", "u_min").agg(F.count(F.lit(1)).alias("c"))
+                   .where(f"100 * c >= {percent} * (n + greatest(u_min, u))")
+                   .select("rep", F.col("other").alias("grp")), "jaccard-reach")
+    # Members and queries of an opened group meet in one task; many queries are dealt over several.
+    chunks = reach.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("chunks"))
+    inside = (mine.select("rep", "grp").distinct().join(chunks, "grp")
+              .select("rep", "grp", F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")))
+    queries = (reach.join(chunks, "grp")
+               .select("rep", "grp", F.lit(True).alias("asks"), F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int").alias("chunk")))
+    return _links_in_groups(inside.unionByName(queries), docs, width, percent)
+
+
+def _links_in_groups(placed: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` that connect what is linked within each ``(grp, chunk)`` of ``placed(rep, grp, asks, chunk)``.
+
+    Without queries all members are compared, else the queries with the
+    members.  Only a spanning forest of the links leaves the task.
+    """
+    wanted = stored(placed.select("rep").distinct(), "jaccard-members")
+    texts = docs.join(_small(wanted.withColumnRenamed("rep", "w")), F.col("j_id") == F.col("w"), "left_semi")
+    sets = stored(texts.groupBy("j_id").agg(F.min("j_text").alias("j_text"))
+                  .select("j_id", _tokens(width)("j_text").alias("t")), "jaccard-member-sets")
+
+    def open_group(rows: pd.DataFrame) -> pd.DataFrame:
+        return _spanning_links(rows["rep"].to_numpy(), list(rows["t"]), rows["asks"].to_numpy(bool), percent)
+
+    return (placed.join(sets, F.col("rep") == F.col("j_id")).select("rep", "grp", "asks", "chunk", "t")
+            .groupBy("grp", "chunk").applyInPandas(open_group, "a long, b long"))
+
+
+def _spanning_links(reps: np.ndarray, sets: list[np.ndarray], asks: np.ndarray, percent: int) -> pd.DataFrame:
+    """Spanning forest of the links among some sets: a 0/1 matrix of the shared tokens times its transpose."""
+    members = np.flatnonzero(~asks)
+    left = np.flatnonzero(asks) if asks.any() else members
+    sizes = np.array([len(s) for s in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    tokens, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1
+    seen = times[at] > 1
+    owner, at = owner[seen], column[at[seen]]
+    top = {int(r): int(r) for r in reps}
+
+    def find(x: int) -> int:
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    edges, width = [], max(1, int(column[-1]) + 1 if len(column) else 1)
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    for lo in range(0, len(left), GROUP_ROWS):
+        rows = left[lo:lo + GROUP_ROWS]
+        common = np.zeros((len(rows), len(members)), np.float32)
+        place_l, place_m = np.full(len(sets), -1), np.full(len(sets), -1)
+        place_l[rows], place_m[members] = np.arange(len(rows)), np.arange(len(members))
+        for first in range(0, width, 8_192):
+            cut = slice(*np.searchsorted(at, (first, first + 8_192)))
+            x, y = (np.zeros((k, 8_192), np.float32) for k in (len(rows), len(members)))
+            for matrix, place in ((x, place_l), (y, place_m)):
+                mine = place[owner[cut]]
+                matrix[mine[mine >= 0], at[cut][mine >= 0] - first] = 1
+            common += x @ y.T
+        total = sizes[rows][:, None] + sizes[members][None] - common
+        for i, j in zip(*np.nonzero((100 * common >= percent * total) & (common > 0))):
+            p, q = int(reps[rows[i]]), int(reps[members[j]])
+            a, b = find(p), find(q)
+            if a != b:
+                top[max(a, b)] = min(a, b)
+                edges.append((p, q))
+    return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
+
+
+def _groups(reps: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``(rep, grp, n)``: classes that MinHash proposes and that share half of their tokens, in blocks of bounded size."""
+    similar = _verified(stored(_seed_pairs(reps), "jaccard-seeds"), docs, width, min(percent, GROUP_PERCENT))
+    parts = connected_components(similar, "jaccard-groups")
+    blocks = (parts.join(reps.select(F.col("rep").alias("node"), "n"), "node").groupBy("component")
+              .agg(F.ceil(F.greatest(F.count(F.lit(1)) / GROUP_ROWS, F.sum("n") / GROUP_TOKENS)).cast("int").alias("blocks")))
+    cut = parts.join(_small(blocks), "component").select(
+        F.col("node").alias("g_rep"),
+        F.when(F.col("blocks") == 1, F.col("component")).otherwise(
+            F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("blocks")))).alias("g"))
+    return (reps.select("rep", "n").join(cut, F.col("rep") == F.col("g_rep"), "left")
+            .select("rep", F.coalesce("g", "rep").alias("grp"), "n"))
 
 
 def _one_text(docs: DataFrame) -> DataFrame:
@@ -304,10 +385,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     reps = full.join(classes.select(F.col("rep").alias("j_id"), "rep", F.col("f1").alias("g1"), F.col("f2").alias("g2")),
                      "j_id").where("f1 = g1 and f2 = g2").select("rep", "n", "keys").dropDuplicates(["rep", "n"])
     reps = stored(reps, "jaccard-reps")
-    links = stored(_verified(stored(_seed_pairs(reps), "jaccard-seeds"), named, width, percent), "jaccard-links")
-    groups = connected_components(links, "jaccard-groups")
-    grouped = stored(reps.select("rep", "n").join(groups, F.col("rep") == F.col("node"), "left")
-                     .select("rep", F.coalesce("component", "rep").alias("grp"), "n"), "jaccard-grouped")
+    grouped = stored(_groups(reps, named, width, percent), "jaccard-grouped")
+    several = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("grp")
+    inside = grouped.join(_small(several), "grp").select("rep", "grp", F.lit(False).alias("asks"), F.lit(0).alias("chunk"))
+    links = _links_in_groups(inside, named, width, percent)
     total = grouped.agg(F.sum("n")).first()[0] or 0
     buckets = int(max(32, total // BUCKET_TOKENS))
     packed = (named.join(_small(grouped.select("rep", "grp")), F.col("j_id") == F.col("rep")).select("rep", "grp", "j_text")
@@ -316,8 +397,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
               .groupBy("rep").agg(F.sum("shared").alias("shared")))
     left = stored(grouped.join(shared, "rep").where(f"100 * shared >= {percent} * n").select("rep", "grp", "n"),
                   "jaccard-left")
-    more = _verified(stored(_open_groups(left, named, width, percent), "jaccard-pairs"), named, width, percent)
-    edges = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
+    edges = links.unionByName(_open_groups(left, named, width, percent))
     parts = connected_components(edges, "jaccard-components")
     # Copies point to the smallest id of their class; only classes of two and more need a look-up.
     copies = classes.where("last <> rep").select(F.col("n").alias("cn"), F.col("f1").alias("c1"), F.col("f2").alias("c2"),
