@@ -39,9 +39,10 @@ MAX_KNOWN_WORDS = 150_000
 MAX_BROADCAST = 1_000_000    # rows of two longs
 BUCKET_TOKENS = 1_500_000    # tokens counted in one group of the matrix count, about
 GROUP_PERCENT = 50           # classes this similar are put into one group
-GROUP_ROWS = 512             # members of a group and
-GROUP_TOKENS = 400_000       # their tokens at most, about (larger ones are cut into blocks)
+GROUP_ROWS = 4_096           # members of a group and
+GROUP_TOKENS = 500_000       # their tokens at most, about (larger ones are cut into blocks)
 QUERY_ROWS = 4_096           # queries that open a group in one task, about
+MATRIX = (256, 1_024)        # rows and columns of the 0/1 matrix that are multiplied at a time
 FLUSH_TOKENS = 500_000       # tokens a map task holds before it packs them
 
 _M = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -319,14 +320,14 @@ def _spanning_links(reps: np.ndarray, sets: list[np.ndarray], asks: np.ndarray,
     edges, width = [], max(1, int(column[-1]) + 1 if len(column) else 1)
     order = np.argsort(at, kind="stable")
     owner, at = owner[order], at[order]
-    for lo in range(0, len(left), GROUP_ROWS):
-        rows = left[lo:lo + GROUP_ROWS]
+    for lo in range(0, len(left), MATRIX[0]):
+        rows = left[lo:lo + MATRIX[0]]
         common = np.zeros((len(rows), len(members)), np.float32)
         place_l, place_m = np.full(len(sets), -1), np.full(len(sets), -1)
         place_l[rows], place_m[members] = np.arange(len(rows)), np.arange(len(members))
-        for first in range(0, width, 8_192):
-            cut = slice(*np.searchsorted(at, (first, first + 8_192)))
-            x, y = (np.zeros((k, 8_192), np.float32) for k in (len(rows), len(members)))
+        for first in range(0, width, MATRIX[1]):
+            cut = slice(*np.searchsorted(at, (first, first + MATRIX[1])))
+            x, y = (np.zeros((k, MATRIX[1]), np.float32) for k in (len(rows), len(members)))
             for matrix, place in ((x, place_l), (y, place_m)):
                 mine = place[owner[cut]]
                 matrix[mine[mine >= 0], at[cut][mine >= 0] - first] = 1

@@ -51,9 +51,10 @@ def made():
 
 
 @pytest.mark.parametrize("width,percent", [(3, 90), (5, 80)])
-@pytest.mark.parametrize("seeds", [True, False])
-def test_equals_brute_force(spark, monkeypatch, width, percent, seeds):
-    """With and without the MinHash proposals: the matrix alone finds every link as well."""
+@pytest.mark.parametrize("seeds,block", [(True, 4096), (True, 4), (False, 4096)])
+def test_equals_brute_force(spark, monkeypatch, width, percent, seeds, block):
+    """With and without the MinHash proposals, and with groups cut into blocks: the matrix finds what is between groups."""
+    monkeypatch.setattr(J, "GROUP_ROWS", block)
     if not seeds:
         monkeypatch.setattr(J, "_seed_pairs", lambda reps: reps.where("false").selectExpr("rep as a", "rep as b"))
     rows = made()
