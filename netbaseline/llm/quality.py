@@ -28,7 +28,7 @@ MAX_TRUSTED = 100_000      # bound of the sample of labelled rows that the trust
 SMOOTHING = 50.0           # raw occurrences' worth of "no difference" in every bucket
 THRESHOLD = -0.25
 MIN_WORDS = 50
-MAX_KNOWN_WORDS = 300_000  # remembered hashes per worker
+MAX_KNOWN_WORDS = 150_000  # remembered hashes per worker
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
