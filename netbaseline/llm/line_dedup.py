@@ -3,14 +3,15 @@
 1. Lines (trimmed, lower case, ``MIN_BYTES`` or more) are reduced to distinct
    ones with the rank of their first occurrence.
 2. Character shingles: all windows of ``SHINGLE`` bytes of the UTF-8 text.
-   The signature is taken from the shingles whose hash is divisible by
-   ``SAMPLE`` (the same ones in every line, so similarity is preserved), all
-   of them in short lines: ``BANDS`` x ``ROWS`` minima of hash XOR seed.
-   Lines of similarity 0.8 share a band with probability 0.985, 0.9: 0.9998.
+   The signature is taken from all of them in every line, whatever its
+   length: ``BANDS`` x ``ROWS`` minima of hash XOR seed, each band with a hash
+   of its own.  Lines of similarity 0.8 share a band with probability 0.985,
+   0.9: 0.9998.
 3. In every band bucket the lines are linked to its smallest and its largest
    member only, so that links grow with the lines and not with the square of
    a bucket; every link is verified by the exact Jaccard similarity of all
-   shingles.
+   shingles.  Bitmaps of the shingles rule out links beforehand, but only
+   such as can not have the similarity.
 4. Distributed union-find; of every component the earliest line stays.
 
 Lines are known by a 64-bit hash: among n distinct lines about n^2 / 2^65
@@ -28,10 +29,8 @@ from .components import connected_components
 
 MIN_BYTES = 16
 SHINGLE = 8
-SAMPLE = 4
-SHORT_BYTES = 64
 BANDS, ROWS = 8, 4
-AGREEING = 17                    # minima of the 32 that must agree before a pair is verified
+BITMAP = 8                       # longs of a line's shingle bitmap
 SIMILARITY = 0.8
 LAST = (1 << 63) - 1             # rank of a document without an id
 MAX_BROADCAST = 500_000          # rows of two or three longs
@@ -56,7 +55,7 @@ def _seeds(n: int) -> list[int]:
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """``(d, rank, minima)`` per distinct line: first rank and the signature.
+    """``(d, rank, n, minima, bits)`` per distinct line: first rank, number of shingles, signature and bitmap.
 
     The shuffle by ``d`` that makes the lines distinct also serves the minima:
     shingles are made and reduced in the same stage and never travel.
@@ -64,11 +63,15 @@ def signatures(lines: DataFrame) -> DataFrame:
     distinct = lines.groupBy("d").agg(F.first("norm").alias("norm"), F.min("rank").alias("rank"))
     spread = (distinct.select("d", "rank", F.col("norm").cast("binary").alias("b"))
               .select("d", "rank", "b", F.explode(F.expr(f"sequence(1, octet_length(b) - {SHINGLE - 1})")).alias("p"))
-              .select("d", "rank", "p", F.octet_length("b").alias("n"), F.expr(f"hash(substring(b, p, {SHINGLE}))").alias("h"))
-              .where(f"pmod(h, {SAMPLE}) = 0 or n <= {SHORT_BYTES} or p = 1"))
-    minima = spread.groupBy("d").agg(F.min("rank").alias("rank"), *(
-        F.min(F.expr(f"h ^ int({s})")).alias(f"m{k}") for k, s in enumerate(_seeds(BANDS * ROWS))))
-    return minima.select("d", "rank", F.array(*(F.col(f"m{k}") for k in range(BANDS * ROWS))).alias("minima"))
+              .select("d", "rank", F.expr(f"hash(substring(b, p, {SHINGLE}))").alias("h"))
+              .select("d", "rank", "h", *(F.expr(f"hash(h, {b})").alias(f"h{b}") for b in range(BANDS))))
+    seeds = _seeds(BANDS * ROWS)
+    minima = [F.min(F.expr(f"h{k // ROWS} ^ int({s})")).alias(f"m{k}") for k, s in enumerate(seeds)]
+    bits = [F.bit_or(F.expr(f"if((h >> 6) & {BITMAP - 1} = {k}, shiftleft(1L, h & 63), 0L)")).alias(f"b{k}")
+            for k in range(BITMAP)]
+    reduced = spread.groupBy("d").agg(F.min("rank").alias("rank"), F.count(F.lit(1)).alias("n"), *minima, *bits)
+    return reduced.select("d", "rank", "n", F.array(*(F.col(f"m{k}") for k in range(BANDS * ROWS))).alias("minima"),
+                          F.array(*(F.col(f"b{k}") for k in range(BITMAP))).alias("bits"))
 
 
 def _band_keys() -> Column:
@@ -91,19 +94,24 @@ def candidate_pairs(marks: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def promising(pairs: DataFrame, marks: DataFrame) -> DataFrame:
-    """The pairs of whose minima ``AGREEING`` or more are equal.
+def _possible(a: str, b: str) -> Column:
+    """False only for lines that are less similar than ``SIMILARITY``, by ``n{a}``, ``bits{a}`` and the same of b.
 
-    At similarity 0.8 fewer than that agree once in 10,000 pairs: a cheap test
-    before texts are fetched.
+    Every bit that differs stands for another shingle that only one of the
+    lines has, and the similarity bounds the number of those.
     """
+    differ = sum((F.bit_count(F.get(f"bits{a}", k).bitwiseXOR(F.get(f"bits{b}", k))) for k in range(BITMAP)), F.lit(0))
+    return differ * (1 + SIMILARITY) <= (1 - SIMILARITY) * (F.col(f"n{a}") + F.col(f"n{b}")) + 1e-6
+
+
+def promising(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs that can have the similarity: a cheap test before texts are fetched, which loses none."""
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "line-wanted")
     side = F.broadcast(wanted) if is_small(wanted, MAX_BROADCAST) else wanted
-    seen = marks.select("d", "minima").join(side, F.col("d") == F.col("w"), "left_semi")
-    both = (pairs.join(seen.select(F.col("d").alias("a"), F.col("minima").alias("ma")), "a")
-            .join(seen.select(F.col("d").alias("b"), F.col("minima").alias("mb")), "b"))
-    equal = sum(((F.get("ma", k) == F.get("mb", k)).cast("int") for k in range(BANDS * ROWS)), F.lit(0))
-    return both.where(equal >= AGREEING).select("a", "b")
+    seen = marks.select("d", "n", "bits").join(side, F.col("d") == F.col("w"), "left_semi")
+    both = (pairs.join(seen.select(F.col("d").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bitsa")), "a")
+            .join(seen.select(F.col("d").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bitsb")), "b"))
+    return both.where(_possible("a", "b")).select("a", "b")
 
 
 def _shingles(raw: str) -> Column:

@@ -1,3 +1,6 @@
+import random
+import string
+
 from netbaseline.llm import line_dedup as L
 
 BASE = "The quick brown fox jumps over the lazy dog while the sun goes down behind the distant hills of the valley"
@@ -62,3 +65,22 @@ def test_no_python_in_the_plan(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = L.dedup_lines(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_pairs_of_any_length_are_found(spark):
+    """A line and itself plus a full stop, below, across and above 64 bytes; edits near 0.8 of 80 to 100 bytes."""
+    rng, rows = random.Random(4), []
+    for n in (40, 63, 64, 65, 90):
+        for _ in range(40):
+            x = "".join(rng.choice(string.ascii_lowercase) for _ in range(n))
+            rows += [(len(rows), x), (len(rows) + 1, x + ".")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = {r["doc_id"] for r in L.dedup_lines(df).where("l_removed = 1").collect()}
+    assert gone == {d for d, _ in rows if d % 2}
+    near = []
+    for _ in range(1000):
+        x = "".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randrange(80, 101)))
+        cut = next(k for k in range(1, len(x)) if len(shingles(x[k:])) < 0.82 * len(shingles(x)))
+        near += [(len(near), x), (len(near) + 1, x[cut:])]
+    df = spark.createDataFrame(near, "doc_id long, text string")
+    assert L.dedup_lines(df).where("l_removed = 1").count() >= 975
