@@ -8,11 +8,14 @@
    of its own.  Lines of similarity 0.8 share a band with probability 0.985,
    0.9: 0.9998.
 3. In every band bucket the lines are linked to its smallest and its largest
-   member only, so that links grow with the lines and not with the square of
-   a bucket; every link is verified by the exact Jaccard similarity of all
+   member first, so that groups of copies need links by the number of lines
+   and not by the square of a bucket; every link is verified by the exact Jaccard similarity of all
    shingles.  Bitmaps of the shingles rule out links beforehand, but only
    such as can not have the similarity.
-4. Distributed union-find; of every component the earliest line stays.
+4. Distributed union-find.  In buckets that still hold several components all
+   members are compared with those of the other components, in blocks of about
+   ``BLOCK`` times ``BLOCK`` lines, so that no pair of a bucket is left out.
+5. Union-find with these links too; of every component the earliest line stays.
 
 Lines are known by a 64-bit hash: among n distinct lines about n^2 / 2^65
 pairs collide (none to be expected below 10^9 lines).
@@ -30,6 +33,7 @@ from .components import connected_components
 MIN_BYTES = 16
 SHINGLE = 8
 BANDS, ROWS = 8, 4
+BLOCK = 256                      # lines of a bucket that meet as many others in one group of a join
 BITMAP = 8                       # longs of a line's shingle bitmap
 SIMILARITY = 0.8
 LAST = (1 << 63) - 1             # rank of a document without an id
@@ -79,15 +83,22 @@ def _band_keys() -> Column:
     return F.array(*(F.xxhash64(F.lit(b), *(F.get("minima", b * ROWS + r) for r in range(ROWS))) for b in range(BANDS)))
 
 
-def candidate_pairs(marks: DataFrame) -> DataFrame:
+def _members(marks: DataFrame) -> DataFrame:
+    return marks.select("d", F.explode(_band_keys()).alias("k"))
+
+
+def band_buckets(marks: DataFrame) -> DataFrame:
+    """``(k, lo, hi, n)`` of the buckets of two lines and more: both ends and the number of lines."""
+    return _members(marks).groupBy("k").agg(F.min("d").alias("lo"), F.max("d").alias("hi"),
+                                            F.count(F.lit(1)).alias("n")).where("n > 1 and lo <> hi")
+
+
+def candidate_pairs(marks: DataFrame, buckets: DataFrame) -> DataFrame:
     """``(a, b)``: the lines of every band bucket with its smallest and its largest member."""
-    members = marks.select("d", F.explode(_band_keys()).alias("k"))
-    buckets = stored(members.groupBy("k").agg(F.min("d").alias("lo"), F.max("d").alias("hi"),
-                                              F.count(F.lit(1)).alias("n")).where("n > 1 and lo <> hi"), "line-buckets")
     large = buckets.where("n > 2").select("k", "lo", "hi")
     if is_small(large, MAX_BROADCAST):
         large = F.broadcast(large)
-    ends = members.join(large, "k")
+    ends = _members(marks).join(large, "k")
     pairs = (buckets.select(F.col("lo").alias("a"), F.col("hi").alias("b"))
              .unionByName(ends.select(F.col("lo").alias("a"), F.col("d").alias("b")))
              .unionByName(ends.select(F.col("d").alias("a"), F.col("hi").alias("b"))))
@@ -104,6 +115,34 @@ def _possible(a: str, b: str) -> Column:
     return differ * (1 + SIMILARITY) <= (1 - SIMILARITY) * (F.col(f"n{a}") + F.col(f"n{b}")) + 1e-6
 
 
+def unsettled_pairs(marks: DataFrame, buckets: DataFrame, parts: DataFrame) -> DataFrame:
+    """``(a, b)``: the pairs of a bucket that are in different components and can have the similarity.
+
+    The ends of a bucket have met all its lines.  A line of a bucket of m
+    blocks goes to the m pairs of blocks that hold its own, and two lines meet
+    in one of them: no task has more than a few blocks of a large bucket.
+    """
+    large = buckets.where("n > 3").select("k", "lo", "hi")
+    if is_small(large, MAX_BROADCAST):
+        large = F.broadcast(large)
+    inner = _members(marks).join(large, "k").where("d <> lo and d <> hi").select("k", "d")
+    inner = stored(inner.join(parts, F.col("d") == F.col("node"), "left")
+                   .select("k", "d", F.coalesce("component", "d").alias("c")), "line-inner")
+    mixed = stored(inner.groupBy("k").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.count(F.lit(1)).alias("m"))
+                   .where("c1 <> c2").select("k", F.expr(f"int((m + {BLOCK - 1}) div {BLOCK})").alias("m")), "line-mixed")
+    if is_small(mixed, MAX_BROADCAST):
+        mixed = F.broadcast(mixed)
+    apart = (inner.join(mixed, "k").withColumn("s", F.expr("int(pmod(xxhash64(d), m))"))
+             .join(marks.select("d", "n", "bits"), "d"))
+    spread = apart.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+    spread = stored(spread.select("k", F.least("s", "o").alias("i"), F.greatest("s", "o").alias("j"), "s", "d", "c", "n", "bits"),
+                    "line-blocks")
+    x, y = (spread.select("k", "i", "j", *(F.col(c).alias(c + e) for c in ("s", "d", "c", "n", "bits"))) for e in "xy")
+    met = x.join(y, (x["k"] == y["k"]) & (x["i"] == y["i"]) & (x["j"] == y["j"]) & (F.col("dx") < F.col("dy"))
+                 & (F.col("cx") != F.col("cy")) & ((x["i"] == x["j"]) | (F.col("sx") != F.col("sy"))) & _possible("x", "y"))
+    return met.select(F.col("dx").alias("a"), F.col("dy").alias("b")).distinct()
+
+
 def promising(pairs: DataFrame, marks: DataFrame) -> DataFrame:
     """The pairs that can have the similarity: a cheap test before texts are fetched, which loses none."""
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "line-wanted")
@@ -137,9 +176,13 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     """``docs(l_doc, l_text)`` -> ``(l_doc, l_keep)``: line numbers that stay among those that take part."""
     lines = _lines(docs)
     marks = stored(signatures(lines), "line-marks")
-    pairs = stored(promising(stored(candidate_pairs(marks), "line-pairs"), marks), "line-promising")
-    links = verified(pairs, lines)
-    parts = connected_components(links, "line-components")
+    buckets = stored(band_buckets(marks), "line-buckets")
+    pairs = stored(promising(stored(candidate_pairs(marks, buckets), "line-pairs"), marks), "line-promising")
+    parts = stored(connected_components(verified(pairs, lines), "line-components"), "line-parts")
+    more = stored(unsettled_pairs(marks, buckets, parts), "line-unsettled")
+    if not more.isEmpty():
+        links = parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(verified(more, lines))
+        parts = connected_components(links, "line-components")
     first = (marks.select("d", "rank").join(parts, F.col("d") == F.col("node"), "left")
              .groupBy(F.coalesce("component", "d").alias("c")).agg(F.min("rank").alias("rank")))
     return (first.withColumn("l_doc", F.expr(f"cast(rank div {_LINE_BASE} as bigint)"))

@@ -84,3 +84,33 @@ def test_pairs_of_any_length_are_found(spark):
         near += [(len(near), x), (len(near) + 1, x[cut:])]
     df = spark.createDataFrame(near, "doc_id long, text string")
     assert L.dedup_lines(df).where("l_removed = 1").count() >= 975
+
+
+def test_large_template_family(spark):
+    """Lines of one template that are unlike each other, but for a near copy of each: every pair is found."""
+    rng, rows = random.Random(7), []
+    word = lambda n: "".join(rng.choice(string.ascii_lowercase) for _ in range(n))
+    template = word(100)
+    for k in range(500):
+        x = template + word(23)
+        rows += [(2 * k, x), (2 * k + 1, x + word(12))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {str((r["doc_id"], r["text"])) for r in L.dedup_lines(df).collect()}
+    sets = [shingles(x) for _, x in rows]
+    similar = lambda a, b: len(a & b) >= L.SIMILARITY * len(a | b)
+    gone = {b for b in range(len(sets)) for a in range(b) if similar(sets[a], sets[b])}
+    assert gone == set(range(1, 1000, 2))
+    want = {str((d, "" if d in gone else x)) for d, x in rows}
+    assert len(got ^ want) <= 2
+
+
+def test_blocks_of_a_bucket(spark, monkeypatch):
+    """Small blocks: the same links as with one block a bucket."""
+    rng = random.Random(9)
+    template, rows = "".join(rng.choice(string.ascii_lowercase) for _ in range(100)), []
+    for k in range(40):
+        x = template + "".join(rng.choice(string.ascii_lowercase) for _ in range(23))
+        rows += [(2 * k, x), (2 * k + 1, x + "abcdefghijkl")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(L, "BLOCK", 5)
+    assert {r["doc_id"] for r in L.dedup_lines(df).where("l_removed = 1").collect()} == set(range(1, 80, 2))
