@@ -1,7 +1,8 @@
 """Fuzzy line dedup by MinHash, in DataFrame functions only.
 
-1. Lines (trimmed, lower case, ``MIN_BYTES`` or more) are reduced to distinct
-   ones with the rank of their first occurrence.
+1. Lines (trimmed, lower case, not blank) are reduced to distinct ones with
+   the rank of their first occurrence.  Those shorter than a shingle end here:
+   they are repeats only of equal lines.
 2. Character shingles: all windows of ``SHINGLE`` bytes of the UTF-8 text.
    The signature is taken from all of them in every line, whatever its
    length: ``BANDS`` x ``ROWS`` minima of hash XOR seed, each band with a hash
@@ -30,7 +31,7 @@ from netbaseline.operators.sizing import is_small
 from .common import stored
 from .components import connected_components
 
-MIN_BYTES = 16
+MIN_BYTES = 1                    # blank lines take no part
 SHINGLE = 8
 BANDS, ROWS = 8, 4
 BLOCK = 256                      # lines of a bucket that meet as many others in one group of a join
@@ -62,18 +63,20 @@ def signatures(lines: DataFrame) -> DataFrame:
     """``(d, rank, n, minima, bits)`` per distinct line: first rank, number of shingles, signature and bitmap.
 
     The shuffle by ``d`` that makes the lines distinct also serves the minima:
-    shingles are made and reduced in the same stage and never travel.
+    shingles are made and reduced in the same stage and never travel.  A line
+    shorter than a shingle has ``n`` 0 and no part in the buckets.
     """
     distinct = lines.groupBy("d").agg(F.first("norm").alias("norm"), F.min("rank").alias("rank"))
     spread = (distinct.select("d", "rank", F.col("norm").cast("binary").alias("b"))
-              .select("d", "rank", "b", F.explode(F.expr(f"sequence(1, octet_length(b) - {SHINGLE - 1})")).alias("p"))
+              .select("d", "rank", "b", F.explode_outer(F.expr(
+                  f"if(octet_length(b) >= {SHINGLE}, sequence(1, octet_length(b) - {SHINGLE - 1}), null)")).alias("p"))
               .select("d", "rank", F.expr(f"hash(substring(b, p, {SHINGLE}))").alias("h"))
               .select("d", "rank", "h", *(F.expr(f"hash(h, {b})").alias(f"h{b}") for b in range(BANDS))))
     seeds = _seeds(BANDS * ROWS)
     minima = [F.min(F.expr(f"h{k // ROWS} ^ int({s})")).alias(f"m{k}") for k, s in enumerate(seeds)]
     bits = [F.bit_or(F.expr(f"if((h >> 6) & {BITMAP - 1} = {k}, shiftleft(1L, h & 63), 0L)")).alias(f"b{k}")
             for k in range(BITMAP)]
-    reduced = spread.groupBy("d").agg(F.min("rank").alias("rank"), F.count(F.lit(1)).alias("n"), *minima, *bits)
+    reduced = spread.groupBy("d").agg(F.min("rank").alias("rank"), F.count("h").alias("n"), *minima, *bits)
     return reduced.select("d", "rank", "n", F.array(*(F.col(f"m{k}") for k in range(BANDS * ROWS))).alias("minima"),
                           F.array(*(F.col(f"b{k}") for k in range(BITMAP))).alias("bits"))
 
@@ -84,7 +87,7 @@ def _band_keys() -> Column:
 
 
 def _members(marks: DataFrame) -> DataFrame:
-    return marks.select("d", F.explode(_band_keys()).alias("k"))
+    return marks.where("n > 0").select("d", F.explode(_band_keys()).alias("k"))
 
 
 def band_buckets(marks: DataFrame) -> DataFrame:
@@ -212,8 +215,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` with its columns, the text without repeated lines, and ``l_lines``, ``l_removed`` (long).
 
     The earliest line of a component is that of the smallest id, then line
-    number.  Null text stays null (no lines); lines that are too short take no
-    part and stay.  Rows with equal ids are copies of one document and keep
+    number.  Null text stays null (no lines); blank lines take no part and
+    stay.  Rows with equal ids are copies of one document and keep
     the same lines; rows without an id rank last, as one document.  Ids are
     taken as non-negative.  Columns of ``docs`` named like the two counts are
     replaced by them.

@@ -114,3 +114,10 @@ def test_blocks_of_a_bucket(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     monkeypatch.setattr(L, "BLOCK", 5)
     assert {r["doc_id"] for r in L.dedup_lines(df).where("l_removed = 1").collect()} == set(range(1, 80, 2))
+
+
+def test_short_lines_repeat_too(spark):
+    rows = [(1, "Menu\n\n你好世界\nof its own\nab"), (2, "menu \n\n 你好世界\nMenus\nab\nab"), (3, "Read more...\nx\n \nab"), (4, "read more...\ny")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: (r["text"], r["l_removed"]) for r in L.dedup_lines(df).collect()}
+    assert out == {1: (rows[0][1], 0), 2: ("\nMenus", 4), 3: ("Read more...\nx\n ", 1), 4: ("y", 1)}
