@@ -18,7 +18,7 @@ from .common import stored, word_count
 WEIGHTS = (1, 2, 3)
 CAP = 3
 SEED = "mix-1"
-ROWS_A_BUCKET = 1_000_000  # documents of one source and size are ranked in buckets of about this many
+ROWS_A_BUCKET = 1_000_000  # documents of one source and size are ranked in ranges of ids of about this many
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -50,6 +50,16 @@ def source_offset(source: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, 5), 16, 10).cast("double") / F.lit(float(1 << 20))
 
 
+def id_ranges(ids: DataFrame, buckets: int) -> list:
+    """Smallest ids of all ranges but the first; about equally many of the rows of ``ids(m_id)`` in each.
+
+    Where the borders lie changes the size of the ranges, but not the order of ids.
+    """
+    at = F.array(*(F.lit(k / buckets) for k in range(1, buckets)))
+    borders = ids.agg(F.percentile_approx("m_id", at, max(10_000, 10 * buckets))).first()[0] if buckets > 1 else []
+    return sorted(set(borders or []))
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
                 weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED,
                 carry: bool = False) -> DataFrame:
@@ -59,7 +69,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     all others.  A source without words has target 0 and no copies.  Rows with
     equal ids each count; the order among equal (size, id) does not change
     what is taken.  Reruns agree: the offset depends on seed and source only.
-    A hot source is ranked by size and bucket: no task holds all of it.
+    Documents of equal size are taken in the order of their ids, null first,
+    whatever the number of rows.  A hot source is ranked by size and range of
+    ids: no task holds all of it.
     """
     kept = [F.struct(*docs.columns).alias("row")] if carry else []
     rows = docs.select(F.col(id_col).alias("m_id"), F.col(source_col).alias("m_source"),
@@ -76,7 +88,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     places = (counts.withColumn("m_before", F.coalesce(before, F.lit(0)))
               .withColumn("m_key", key("m_source")).select("m_key", "m_size", "m_before"))
     places = places.join(targets.select(key("m_source").alias("m_key"), "m_total", "m_target"), "m_key")
-    bucket = F.pmod(F.coalesce(F.col("m_id"), F.lit(0)), F.lit(buckets))
+    # Ranges of ids in order, rows without an id in the first: ranking bucket after bucket is ranking by id.
+    borders = F.lit(id_ranges(rows.select("m_id"), buckets)).cast("array<long>")
+    bucket = F.when(F.col("m_id").isNull(), 0).otherwise(F.size(F.filter(borders, lambda b: b <= F.col("m_id"))))
     rows = rows.withColumn("m_key", key("m_source")).withColumn("m_bucket", bucket)
     inside = ["m_key", "m_size", "m_bucket"]
     if buckets > 1:

@@ -1,3 +1,5 @@
+import hashlib
+import math
 import re
 from collections import defaultdict
 
@@ -70,3 +72,18 @@ def test_query_near_targets(spark):
     out = queries.op10_mixing(spark, SF)
     by = out.groupBy("source_size", "target").agg(F.sum("taken").alias("t"), F.max("size").alias("m")).collect()
     assert all(abs(r["t"] - r["target"]) <= 2 * r["m"] for r in by)
+
+
+@pytest.mark.parametrize("bucket_rows", [1_000_000, 100, 7])
+def test_order_of_equal_sizes(spark, monkeypatch, bucket_rows):
+    """Row by row the systematic sample by (size, id) of every source, as in the SQL, for buckets of any size."""
+    monkeypatch.setattr(mixing, "ROWS_A_BUCKET", bucket_rows)
+    rows = [(i * 37 % 1009, "w " * (1 + i % 3), "ab"[i % 4 == 0]) for i in range(600)] + [(None, "w w", "a"), (-5, "w w", "a")]
+    out = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), carry=True).collect()
+    for source in "ab":
+        mine = sorted((r for r in out if r["row"]["source"] == source),
+                      key=lambda r: (r["size"], r["doc_id"] is not None, r["doc_id"] or 0))
+        digest = hashlib.md5(f"{mixing.SEED}|s{source}".encode()).hexdigest()
+        u, rate = int(digest[:5], 16) / (1 << 20), mine[0]["target"] / mine[0]["source_size"]
+        want = [math.floor(u + rate * k) - math.floor(u + rate * (k - 1)) for k in range(1, len(mine) + 1)]
+        assert [r["copies"] for r in mine] == want
