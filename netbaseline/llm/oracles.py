@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, multi_index, url_reputation
+from . import decontamination, mixing, multi_index, url_reputation, vector_codes
 from .common import WORD
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -137,9 +137,75 @@ SELECT doc_id, size, total AS source_size, target,
        CAST((floor(u + rate * r) - floor(u + rate * (r - 1))) * size AS BIGINT) AS taken
 FROM rated"""
 
+
+def _op11() -> str:
+    parts, entries, scale = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.SCALE
+
+    def assigned(name: str, book: str) -> str:
+        return f"""
+{name} AS MATERIALIZED (
+  SELECT r, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT r, p, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM cut JOIN {book} USING (p)) GROUP BY r, p),"""
+
+    rounds = ""
+    for k in range(vector_codes.ROUNDS):
+        rounds += assigned(f"a{k}", f"b{k}") + f"""
+m{k} AS (
+  SELECT p, e, i, CAST(floor(CAST(sum(x[i]) AS DOUBLE) / count(*)) AS BIGINT) AS c
+  FROM a{k} JOIN cut USING (r, p), (SELECT unnest(range(1, 1 + (SELECT max(len(x)) FROM cut))) AS i) WHERE i <= len(x) GROUP BY p, e, i),
+b{k + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(n.c, b{k}.c) AS c
+  FROM b{k} LEFT JOIN (SELECT p, e, list(c ORDER BY i) AS c FROM m{k} GROUP BY p, e) n USING (p, e)),"""
+    last = vector_codes.ROUNDS
+    return f"""
+WITH fine AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS MATERIALIZED (
+  SELECT r, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x
+  FROM fine, (SELECT unnest(range({parts})) AS p)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM cut WHERE r <= {entries}),{rounds}{assigned("last_", f"b{last}")}
+coded AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM last_ GROUP BY r),
+per AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM fine JOIN coded USING (r) GROUP BY label),
+book AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM b{last})
+SELECT vec_id, code, error, label_error, h AS codebooks_sha256
+FROM fine JOIN coded USING (r) JOIN per ON per.label IS NOT DISTINCT FROM fine.label, book"""
+
+
+OP11 = _op11()
+
+OP13 = rf"""
+WITH w AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+cuts AS (SELECT item, w, least(len(w), {decontamination.WINDOW}) AS k FROM t WHERE len(w) > 0),
+wanted AS MATERIALIZED (
+  SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT item, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM cuts)),
+runs AS (
+  SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT DISTINCT k FROM wanted) WHERE len(w) >= k)),
+met AS MATERIALIZED (SELECT r, i, k, item FROM runs JOIN wanted USING (k, s)),
+words AS (
+  SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS j FROM (SELECT DISTINCT r, i, k FROM met)) GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM met) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""
+
 ORACLE_SQL = {
     "op2_jaccard_join": OP2,
     "op6_embedding_dedup": OP6,
     "op9_url_reputation": OP9,
     "op10_mixing": OP10,
+    "op11_vector_codes": OP11,
+    "op13_decontamination": OP13,
 }

@@ -7,7 +7,8 @@ import os
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, html_text, jaccard_groups, line_dedup, mixing, multi_index, quality, substring_dedup, token_counts, url_reputation
+from . import (bpe, decontamination, html_text, jaccard_groups, line_dedup, mixing, multi_index, quality, resampling,
+               substring_dedup, token_counts, url_reputation, vector_codes)
 from .common import read_table
 from .oracles import ORACLE_SQL  # noqa: F401  (registered with the queries)
 
@@ -62,6 +63,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontamination.benchmark_hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_jaccard_join": op2_jaccard_join,
@@ -73,4 +88,7 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_url_reputation": op9_url_reputation,
     "op10_mixing": op10_mixing,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_resampling": op12_resampling,
+    "op13_decontamination": op13_decontamination,
 }
