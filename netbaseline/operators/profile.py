@@ -21,7 +21,7 @@ from netbaseline.functions.time import MODEL_ZONE, local_ntz, slot_key
 from netbaseline.operators.params import active_models
 from netbaseline.operators.sizing import broadcast_if, is_small
 from netbaseline.schema import RESULT_SCHEMA
-from netbaseline.session import fresh_folder
+from netbaseline.session import written
 
 RESULT_COLUMNS = [f.name for f in RESULT_SCHEMA.fields]
 KEY_WITH_DIRECTION = ["modeling_params_id", "src_id", "protocol", "up_down"]
@@ -109,9 +109,7 @@ def horizon(slots: DataFrame, current: DataFrame | None, params: DataFrame,
 
 def written_slots(slots: DataFrame) -> DataFrame:
     """``slots`` written to the shared scratch folder: the raw flows are read once however often slots are."""
-    path = fresh_folder(slots.sparkSession, "slots")
-    slots.write.parquet(path)
-    return slots.sparkSession.read.schema(slots.schema).parquet(path)
+    return written(slots, "slots")
 
 
 def empty_results(spark) -> DataFrame:

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from netbaseline.functions.convert import to_int
+from netbaseline.functions.text import blank_to_empty
 from netbaseline.functions.time import MODEL_ZONE, window_lengths, z_for_confidence
 from netbaseline.operators.aggregate import interval_bounds, level1, level2, split_directions
 from netbaseline.operators.membership import keep_known_assets
@@ -27,6 +28,8 @@ class ModelConfig:
     result_span: int
     z: float
     history_days: int
+    rate_unit: str = ""
+    rate_number: int | None = None
 
 
 def model_config(params: DataFrame, parity: bool = False) -> ModelConfig | None:
@@ -38,7 +41,8 @@ def model_config(params: DataFrame, parity: bool = False) -> ModelConfig | None:
     # One job: the row count (to size-check the control table once) and the model in force.
     fields = F.struct(F.col("id"), to_int("model_result_span").alias("span"),
                       F.col("model_confidence_interval").cast("double").alias("conf"),
-                      to_int("model_history_data_span").alias("hist"))
+                      to_int("model_history_data_span").alias("hist"), blank_to_empty("model_rate_timeunit").alias("unit"),
+                      to_int("model_rate_timeunit_num").alias("num"))
     order = F.when(ACTIVE_PREDICATE(), F.struct(F.col("modify_time"), F.col("id")))
     got = params.agg(F.count(F.lit(1)).alias("n"), F.max_by(fields, order).alias("p")).first()
     remember_size(params, got["n"])
@@ -49,7 +53,7 @@ def model_config(params: DataFrame, parity: bool = False) -> ModelConfig | None:
     if row["span"] is None:
         raise ValueError(f"model {row['id']}: model_result_span is not set")
     return ModelConfig(row["id"], row["span"], z,
-                       row["hist"] if row["hist"] is not None else 1)
+                       row["hist"] if row["hist"] is not None else 1, row["unit"], row["num"])
 
 
 def model_assets(params: DataFrame, members: DataFrame, config: ModelConfig, parity: bool = False) -> DataFrame:

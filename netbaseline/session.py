@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
@@ -64,3 +64,10 @@ def scratch_root(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new, unique sub-folder of :func:`scratch_root` for one run."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the scratch folder and read again: computed once, its lineage cut."""
+    path = fresh_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

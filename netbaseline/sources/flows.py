@@ -52,7 +52,10 @@ def parse_flows(df: DataFrame, value_col: str = "value", keep_rejects: bool = Fa
     an ``observation`` (batch) or its name (a stream: see the query's progress)
     the rejects of every run are counted on the way.
     """
-    parsed = df.select(F.from_json(F.col(value_col), WIRE_TEXT_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT}).alias("m"))
+    # One parse: without the generator, of exactly one row, the optimiser would push the filter on the
+    # rejects below it and write the parse out again at every use of a field.
+    message = F.from_json(F.col(value_col), WIRE_TEXT_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT})
+    parsed = df.select(F.explode(F.array(message)).alias("m"))
     cols, bad = [], F.lit(False)
     for key, kind, name in WIRE_FIELDS:
         c = F.col(f"m.{key}")

@@ -1,9 +1,9 @@
 """Structured Streaming form of the baseline job."""
 
-from netbaseline.streaming.store import SnapshotStore
+from netbaseline.streaming.log_store import Manifest, ResultStore
 from netbaseline.streaming.baseline import (
-    start_stream_baseline, stream_bounds_from_files, stream_results_from_files, make_batch_sink,
+    start_stream_baseline, stream_bounds_from_files, stream_results_from_files, make_batch_sink, merge_slots,
 )
 
-__all__ = ["SnapshotStore", "start_stream_baseline", "stream_bounds_from_files", "stream_results_from_files",
-           "make_batch_sink"]
+__all__ = ["Manifest", "ResultStore", "start_stream_baseline", "stream_bounds_from_files", "stream_results_from_files",
+           "make_batch_sink", "merge_slots"]

@@ -7,7 +7,7 @@ from netbaseline.operators import resolve_assets, active_model
 from netbaseline.plans.baseline import baseline_bounds, batch_baseline
 from netbaseline.sources import flows_from_events, group_members_from_events, modeling_params_fixture
 from netbaseline.sources.control import TEST_INTERVAL
-from netbaseline.streaming import SnapshotStore, make_batch_sink, start_stream_baseline
+from netbaseline.streaming import ResultStore, make_batch_sink, start_stream_baseline
 from tests.conftest import SF_SMALL
 
 BOUND_COLS = ["src_id", "src_ip", "area_id", "protocol", "direction", "sum_flow", "sum_count", "n_windows"]
@@ -82,9 +82,9 @@ def test_stream_job_matches_batch_and_replay_is_idempotent(spark, scratch):
     members = group_members_from_events(events)
     stream = flows_from_events(stream_of(spark, f"{scratch}/in", events.schema))
     q = start_stream_baseline(stream, lambda: modeling_params_fixture(spark), members, TEST_INTERVAL,
-                              f"{scratch}/results", f"{scratch}/ckpt", trigger={"availableNow": True})
+                              f"{scratch}/results", f"{scratch}/ckpt", trigger={"availableNow": True}, keep_versions=100)
     q.awaitTermination()
-    store = SnapshotStore(spark, f"{scratch}/results")
+    store = ResultStore(spark, f"{scratch}/results")
     versions = store.versions()
     assert [v.number for v in versions] == list(range(len(versions))) and len(versions) >= 2
     got = store.latest()
@@ -126,11 +126,11 @@ def versions_of(spark, *times_and_modes):
 def test_a_new_checkpoint_continues_an_old_store(spark, scratch):
     """Batch ids start at 0 again, yet nothing is taken for a replay and nothing is lost."""
     first, second = halves(modelled_bounds(spark))
-    params, store = (lambda: modeling_params_fixture(spark)), SnapshotStore(spark, f"{scratch}/results")
+    params, store = (lambda: modeling_params_fixture(spark)), ResultStore(spark, f"{scratch}/results")
     make_batch_sink(store, params, query_id=lambda: "one")(first, 0)
     make_batch_sink(store, params, query_id=lambda: "two")(second, 0)
     assert [(v.number, v.query_id, v.batch_id) for v in store.versions()] == [(0, "one", 0), (1, "two", 0)]
-    other = SnapshotStore(spark, f"{scratch}/other")
+    other = ResultStore(spark, f"{scratch}/other")
     sink = make_batch_sink(other, params, query_id=lambda: "one")
     sink(first, 0)
     sink(second, 1)
@@ -140,21 +140,21 @@ def test_a_new_checkpoint_continues_an_old_store(spark, scratch):
 def test_sink_applies_each_history_clear_once(spark, scratch):
     first, second = halves(modelled_bounds(spark))
     params = lambda: modeling_params_fixture(spark)
-    plain = SnapshotStore(spark, f"{scratch}/plain")
+    plain = ResultStore(spark, f"{scratch}/plain")
     for k, part in enumerate((first, second)):
         make_batch_sink(plain, params)(part, k)
     # A clear that is there from the start, dated after all data, is the baseline: nothing is dropped.
     late = versions_of(spark, (dt.datetime(2023, 12, 1), 1), (dt.datetime(2025, 1, 1), 0))
-    kept = SnapshotStore(spark, f"{scratch}/kept")
+    kept = ResultStore(spark, f"{scratch}/kept")
     for k, part in enumerate((first, second)):
         make_batch_sink(kept, params, lambda: late)(part, k)
     assert slots_of(kept.latest()) == slots_of(plain.latest())
     # A clear that appears between two batches drops what is stored, once.
     start = versions_of(spark, (dt.datetime(2023, 12, 1), 1))
-    cleared = SnapshotStore(spark, f"{scratch}/cleared")
+    cleared = ResultStore(spark, f"{scratch}/cleared")
     make_batch_sink(cleared, params, lambda: start)(first, 0)
     make_batch_sink(cleared, params, lambda: late)(second, 1)
-    only_second = SnapshotStore(spark, f"{scratch}/second")
+    only_second = ResultStore(spark, f"{scratch}/second")
     make_batch_sink(only_second, params)(second, 0)
     assert slots_of(cleared.latest()) == slots_of(only_second.latest())
     make_batch_sink(cleared, params, lambda: late)(first, 2)
@@ -163,11 +163,11 @@ def test_sink_applies_each_history_clear_once(spark, scratch):
 
 
 def test_mirror_is_repeated_after_a_crash(spark, scratch, monkeypatch):
-    from netbaseline.streaming import baseline as B, store as S
+    from netbaseline.streaming import baseline as B, jdbc as S
     done = []
     monkeypatch.setattr(B, "upsert_to_jdbc", lambda rows, options, execute: done.append(rows.count()))
     bounds = modelled_bounds(spark)
-    store = SnapshotStore(spark, f"{scratch}/results")
+    store = ResultStore(spark, f"{scratch}/results")
     sink = make_batch_sink(store, lambda: modeling_params_fixture(spark), jdbc_options={"dbtable": "t"}, query_id=lambda: "q")
     sink(bounds, 0)
     sink(bounds, 0)  # the replay of a batch whose mirror may be missing
@@ -179,7 +179,7 @@ def test_mirror_is_repeated_after_a_crash(spark, scratch, monkeypatch):
 
 def test_sink_stops_when_another_model_comes_into_force(spark, scratch):
     import pytest
-    store = SnapshotStore(spark, f"{scratch}/results")
+    store = ResultStore(spark, f"{scratch}/results")
     sink = make_batch_sink(store, lambda: modeling_params_fixture(spark), model_id="msf_older")
     with pytest.raises(RuntimeError, match="has replaced"):
         sink(modelled_bounds(spark), 0)
@@ -190,10 +190,10 @@ def test_sink_starts_from_an_existing_table(spark, scratch):
     from netbaseline.sources.control import encode_profiles
     first, second = halves(modelled_bounds(spark))
     params = lambda: modeling_params_fixture(spark)
-    whole = SnapshotStore(spark, f"{scratch}/whole")
+    whole = ResultStore(spark, f"{scratch}/whole")
     for k, part in enumerate((first, second)):
         make_batch_sink(whole, params)(part, k)
-    store = SnapshotStore(spark, f"{scratch}/results")
+    store = ResultStore(spark, f"{scratch}/results")
     make_batch_sink(store, params, initial=encode_profiles(whole.read(0)))(second, 0)
     assert slots_of(store.latest()) == slots_of(whole.latest())
 
