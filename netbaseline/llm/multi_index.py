@@ -169,7 +169,9 @@ def vector_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     Null labels and vectors that are null, empty, zero or hold null or
     non-finite components link with nothing: 0 links, a component of their
     own.  Vectors of different lengths are not compared.  Rows with equal ids
-    are vectors of their own.  What leaves a block is one row per vector and
+    are vectors of their own: equal vectors of one label are a class, known by
+    a 64-bit hash of both (among n classes about n^2 / 2^65 pairs collide).
+    What leaves a block is one row per vector and
     block: a link count and the head of a local component, never a pair.
     """
     plain = F.transform(vector_col, lambda x: x + F.lit(0.0).cast("float"))     # -0.0 becomes 0.0
@@ -177,31 +179,30 @@ def vector_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
             & F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))))
     rows = vectors.select(F.col(id_col).cast("long").alias("x_id"), F.col(label_col).alias("x_label"),
                           F.when(F.coalesce(fine & F.col(id_col).isNotNull(), F.lit(False)), plain).alias("x_vec"))
-    hashes = [F.xxhash64("x_vec").alias("x_h1"), F.xxhash64(F.lit(1), F.col("x_vec")).alias("x_h2")]
     classes = stored(rows.where("x_vec is not null").groupBy("x_label", "x_vec")
-                     .agg(F.min("x_id").alias("x_rep"), F.count(F.lit(1)).alias("x_n"))
-                     .withColumn("x_dim", F.size("x_vec")), "vector-classes")
+                     .agg(F.min("x_id").alias("x_first"), F.count(F.lit(1)).alias("x_n"))
+                     .withColumn("x_rep", F.xxhash64("x_label", "x_vec")).withColumn("x_dim", F.size("x_vec")), "vector-classes")
     results = None
     for dim, n, n_labels in classes.groupBy("x_dim").agg(F.count(F.lit(1)), F.countDistinct("x_label")).collect():
-        of = _search(classes.where(F.col("x_dim") == dim).drop("x_dim"), n, n_labels, similarity, recall)
+        of = _search(classes.where(F.col("x_dim") == dim).drop("x_dim", "x_first"), n, n_labels, similarity, recall)
         results = of if results is None else results.unionByName(of)
     if results is None:
         return rows.select(F.col("x_id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
                            F.col("x_id").alias("component_id"), F.lit(True).alias("kept"))
     results = stored(results, "vector-links")
     weights = results.groupBy(F.col("node").alias("r_rep")).agg(F.sum("weight").alias("r_weight"))
-    parts = connected_components(results.select(F.col("node").alias("a"), F.col("top").alias("b")), "vector-components")
-    per_class = (weights.join(parts, F.col("r_rep") == F.col("node"), "left")
-                 .select("r_rep", (F.col("r_weight") - 1).alias("r_links"), F.coalesce("component", "r_rep").alias("r_top")))
-    copies = (classes.where("x_n > 1").select(F.col("x_label").alias("c_label"), F.col("x_rep").alias("c_rep"),
-                                              *[h.alias(f"c_h{k + 1}") for k, h in enumerate(hashes)]))
-    keyed = rows.select("x_id", "x_label", *hashes)
-    copies = F.broadcast(copies) if is_small(copies, MAX_BROADCAST) else copies
-    mapped = (keyed.join(copies, (F.col("x_label") == F.col("c_label")) & (F.col("x_h1") == F.col("c_h1"))
-                         & (F.col("x_h2") == F.col("c_h2")), "left")
-              .select("x_id", F.coalesce("c_rep", "x_id").alias("x_rep")))
+    parts = stored(connected_components(results.select(F.col("node").alias("a"), F.col("top").alias("b")), "vector-components"),
+                   "vector-parts")
+    # The smallest id of a component of several classes; a class by itself has its own.
+    heads = (parts.join(classes.select("x_rep", "x_first"), F.col("node") == F.col("x_rep"))
+             .groupBy("component").agg(F.min("x_first").alias("h_first")))
+    tops = parts.join(heads, "component").select(F.col("node").alias("t_rep"), "h_first")
+    per_class = (classes.select("x_rep", "x_first").join(weights, F.col("x_rep") == F.col("r_rep"))
+                 .join(tops, F.col("x_rep") == F.col("t_rep"), "left")
+                 .select("r_rep", (F.col("r_weight") - 1).alias("r_links"), F.coalesce("h_first", "x_first").alias("r_top")))
+    keyed = rows.select("x_id", F.when(F.col("x_vec").isNotNull(), F.xxhash64("x_label", "x_vec")).alias("x_rep"))
     per_class = F.broadcast(per_class) if is_small(per_class, MAX_BROADCAST) else per_class
-    out = mapped.join(per_class, F.col("x_rep") == F.col("r_rep"), "left")
+    out = keyed.join(per_class, F.col("x_rep") == F.col("r_rep"), "left")
     top = F.coalesce("r_top", "x_id")
     return out.select(F.col("x_id").alias(id_col), F.coalesce("r_links", F.lit(0)).cast("long").alias("n_links"),
                       top.alias("component_id"), F.coalesce(top == F.col("x_id"), F.lit(True)).alias("kept"))

@@ -54,28 +54,28 @@ def _rules_sql() -> str:
     return out
 
 
-def _level(parents: str, level: str, prior: str) -> str:
-    """CTEs of one level of the host reputation: groups, prior strength, shrunken means."""
-    keys = f"{parents}, {level}"
+def _level(up: str, level: str, above: str, keys: str, up_keys: str) -> str:
+    """CTEs of one level: groups, their parents, the strength by moments (``above`` without replication), priors."""
     lo, hi = url_reputation.STRENGTH_MIN, url_reputation.STRENGTH_MAX
     return f"""
-g_{level} AS (SELECT {keys}, sum(bad) AS bad, sum(n) AS n FROM hosts GROUP BY {keys}),
-m_{level} AS (
-  SELECT {parents}, sum(bad) AS p_bad, sum(n) AS p_n, sum(n * n) AS p_nn FROM g_{level} GROUP BY {parents}),
-a_{level} AS (
-  SELECT sum(n * (bad / n - p_bad / p_n) * (bad / n - p_bad / p_n)) AS b, sum(n * (bad / n) * (1 - bad / n)) AS w,
-         sum(n) AS n, count(*) AS k, (SELECT count(*) FROM m_{level}) AS parents,
-         (SELECT sum(p_nn / p_n) FROM m_{level}) AS spread
-  FROM g_{level} JOIN m_{level} USING ({parents})),
-r_{level} AS (
-  SELECT CASE WHEN n IS NULL OR k <= parents OR n <= k THEN 0.0
-    WHEN b / (k - parents) + ((n - spread) / (k - parents) - 1) * (w / (n - k)) <= 0 THEN 0.0
-    ELSE (b / (k - parents) - w / (n - k)) / (b / (k - parents) + ((n - spread) / (k - parents) - 1) * (w / (n - k)))
-    END AS rho FROM a_{level}),
-s_{level} AS (SELECT CASE WHEN rho > 0 THEN least({hi}, greatest({lo}, (1 - rho) / rho)) ELSE {hi} END AS m FROM r_{level}),
-p_{level} AS (
-  SELECT {keys}, (bad + m * mean) / (n + m) AS mean, n + m AS weight
-  FROM g_{level} JOIN {prior} USING ({parents}), s_{level}),"""
+group_{level} AS (SELECT {keys}, sum(bad) AS b, sum(n) AS n FROM hosts GROUP BY {keys}),
+family_{level} AS (
+  SELECT *, sum(b) OVER f AS fb, sum(n) OVER f AS fn, sum(n * n) OVER f AS fnn, count(*) OVER f AS fk
+  FROM group_{level} WINDOW f AS (PARTITION BY {up_keys})),
+moments_{level} AS (
+  SELECT count(*) - sum(1.0 / fk) AS freedom, sum(n) - count(*) AS inner_freedom,
+         sum(n * (b / n - fb / fn) * (b / n - fb / fn)) AS apart, sum(b * (1 - b / n)) AS inside,
+         sum(n) - sum(fnn / fn / fk) AS reach
+  FROM family_{level}),
+rho_{level} AS (
+  SELECT freedom > 0.5 AND inner_freedom > 0 AS told, apart / freedom AS x, inside / inner_freedom AS y, reach / freedom - 1 AS r
+  FROM moments_{level}),
+strength_{level} AS (
+  SELECT CASE WHEN NOT coalesce(told, false) THEN {above}
+    WHEN x + r * y > 0 AND x > y THEN least({hi}, greatest({lo}, (x + r * y) / (x - y) - 1)) ELSE {hi} END AS m FROM rho_{level}),
+prior_{level} AS (
+  SELECT {keys}, g.b, g.n, (u.b - g.b + u.w * u.p) / (u.n - g.n + u.w) AS p, 1 / (1 / m + 1 / (u.n - g.n + u.w)) AS w
+  FROM group_{level} g JOIN prior_{up} u USING ({up_keys}), strength_{level}),"""
 
 
 def _op9() -> str:
@@ -96,13 +96,12 @@ hosts AS (
          string_split(host, '.')[-1] AS suffix, CAST(sum(bad) AS DOUBLE) AS bad, CAST(count(*) AS DOUBLE) AS n
   FROM rows JOIN marks ON doc_id = TRY_CAST(nullif(regexp_extract(path, '/([0-9]{{1,18}})(?:\.[a-z]+)?/?$', 1), '') AS BIGINT)
   WHERE host <> '' GROUP BY host),
-p_all AS (SELECT everything, (sum(bad) + 0.5) / (sum(n) + 1) AS mean FROM hosts GROUP BY everything),
-{_level("everything", "suffix", "p_all")}
-{_level("everything, suffix", "domain", "p_suffix")}
-{_level("everything, suffix, domain", "host", "p_domain")}
-judged AS (
-  SELECT host, mean - {url_reputation.Z} * sqrt(mean * (1 - mean) / (weight + 1)) > {url_reputation.MAX_BAD_RATE} AS blocked
-  FROM p_host),
+prior_all AS (SELECT everything, sum(bad) AS b, sum(n) AS n, 0.5 AS p, 1.0 AS w FROM hosts GROUP BY everything),
+{_level("all", "suffix", str(url_reputation.STRENGTH_MIN), "everything, suffix", "everything")}
+{_level("suffix", "domain", "(SELECT m FROM strength_suffix)", "everything, suffix, domain", "everything, suffix")}
+{_level("domain", "host", "(SELECT m FROM strength_domain)", "everything, suffix, domain, host", "everything, suffix, domain")}
+post AS (SELECT host, (b + w * p) / (n + w) AS q, n + w AS k FROM prior_host),
+judged AS (SELECT host, q - {url_reputation.Z} * sqrt(q * (1 - q) / (k + 1)) > {url_reputation.MAX_BAD_RATE} AS blocked FROM post),
 ruled AS (SELECT *, {rule} AS rule FROM rows)
 SELECT page_id, host, path, rule,
        {verdict} WHEN coalesce(blocked, false) THEN 'block' ELSE 'allow' END AS verdict

@@ -92,9 +92,8 @@ class Batch:
     def repeat_words(self) -> np.ndarray:
         """Per text: words inside a three-word window that occurs twice or more in it."""
         covered = np.zeros(len(self.doc) + 2, bool)
-        if len(self.doc) > 2:
-            h = self.word
-            start = np.flatnonzero(self.doc[2:] == self.doc[:-2])
+        h, start = self.word, np.flatnonzero(self.doc[2:] == self.doc[:-2])
+        if len(start):
             key = (h[start] * _K[0] ^ h[start + 1]) * _K[1] ^ h[start + 2]
             key = (key ^ (key >> np.uint64(29))) * _K[2] + self.doc[start].astype(np.uint64) * _K[3]
             order = np.argsort(key)

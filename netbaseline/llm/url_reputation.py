@@ -1,10 +1,22 @@
 """URL filters: explicit rules, then an empirical-Bayes reputation of the host.
 
 The reputation shrinks labelled page outcomes (bad or not) through beta
-priors along host -> registered domain -> suffix -> all pages.  The prior
-strength of each level is estimated from the spread of the rates among its
-groups (method of moments for the beta-binomial).  A host is blocked if the
-lower bound of its posterior rate of bad pages is above a limit.
+priors along host -> registered domain -> suffix -> all pages.  No outcome
+counts twice: a group's prior comes from its parent without the group.
+
+With b bad of n pages in a group, B of N in its parent, and the parent's own
+prior of mean p and weight w (all pages: mean 1/2, weight 1):
+
+    W = N - n + w                       what is known of the parent besides the group
+    prior mean   = (B - b + w p) / W
+    prior weight = 1 / (1/M + 1/W)      M: strength of the level
+
+and at the host: posterior mean q = (b + weight * mean) / (n + weight), lower
+bound q - z sqrt(q (1 - q) / (n + weight + 1)).  The strength M of a level is
+estimated from the spread of the rates among the groups of one parent (method
+of moments for the beta-binomial); where no parent has several groups, that of
+the level above holds (``STRENGTH_MIN`` at the top).  A host is blocked if its
+lower bound is above a limit: a few pages never suffice by themselves.
 """
 
 from __future__ import annotations
@@ -45,10 +57,10 @@ def domain_of(host: Column) -> Column:
     return F.substring_index(host, ".", -2)
 
 
-def _strength(groups: DataFrame, parent: list[str]) -> float:
-    """Prior strength of one level: (1 - rho) / rho with the analysis-of-variance estimate of rho.
+def _strength(groups: DataFrame, parent: list[str], above: float) -> float:
+    """Strength of one level: (1 - rho) / rho with the analysis-of-variance estimate of rho; ``above`` without replication.
 
-    ``groups(..., bad, n)`` has one row per group.  Three sums reach the driver.
+    ``groups(..., bad, n)`` has one row per group.  Some sums reach the driver.
     """
     means = groups.groupBy(*parent).agg(F.sum("bad").alias("p_bad"), F.sum("n").alias("p_n"),
                                         F.sum(F.col("n") * F.col("n")).alias("p_nn"), F.count(F.lit(1)).alias("p_k"))
@@ -59,7 +71,7 @@ def _strength(groups: DataFrame, parent: list[str]) -> float:
     b, w, n, k = joined.agg(between, within, F.sum("n"), F.count(F.lit(1))).first()
     parents, spread = means.agg(F.count(F.lit(1)), F.sum(F.col("p_nn") / F.col("p_n"))).first()
     if not n or k <= parents or n <= k:
-        return STRENGTH_MAX
+        return above
     size = (n - spread) / (k - parents)
     b, w = b / (k - parents), w / (n - k)
     rho = (b - w) / (b + (size - 1) * w) if b + (size - 1) * w > 0 else 0.0
@@ -77,21 +89,24 @@ def host_reputation(outcomes: DataFrame, max_bad: float = MAX_BAD_RATE, z: float
              .agg(F.sum("bad").cast("double").alias("bad"), F.count(F.lit(1)).cast("double").alias("n"))
              .withColumn("domain", domain_of(F.col("host")))
              .withColumn("suffix", F.substring_index("host", ".", -1)).withColumn("everything", F.lit(1)))
-    keys, prior, parent = ["everything"], None, ["everything"]
-    total = hosts.groupBy("everything").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-    prior = total.select("everything", ((F.col("bad") + 0.5) / (F.col("n") + 1)).alias("mean"))
+    keys, parent, strength = ["everything"], ["everything"], STRENGTH_MIN
+    prior = hosts.groupBy("everything").agg(F.sum("bad").alias("p_bad"), F.sum("n").alias("p_n")).select(
+        "*", F.lit(0.5).alias("p_mean"), F.lit(1.0).alias("p_weight"))
     for level in LEVELS:
         keys = keys + [level]
         groups = hosts.groupBy(*keys).agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-        strength = F.lit(_strength(groups, parent))
-        alpha = F.col("bad") + strength * F.col("mean")
-        prior = (groups.join(prior, parent)
-                 .select(*keys, (alpha / (F.col("n") + strength)).alias("mean"), (F.col("n") + strength).alias("weight")))
+        strength = _strength(groups, parent, strength)
+        known = F.col("p_n") - F.col("n") + F.col("p_weight")
+        mean = (F.col("p_bad") - F.col("bad") + F.col("p_weight") * F.col("p_mean")) / known
+        prior = groups.join(prior, parent).select(
+            *keys, F.col("bad").alias("p_bad"), F.col("n").alias("p_n"), mean.alias("p_mean"),
+            (1 / (1 / F.lit(strength) + 1 / known)).alias("p_weight"))
         parent = keys
-    spread = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))
-    return (prior.withColumn("lower", F.col("mean") - z * spread)
-            .select(F.col("host").alias("r_host"), F.col("mean").alias("posterior"), "lower",
-                    (F.col("lower") > max_bad).alias("blocked")))
+    weight = F.col("p_n") + F.col("p_weight")
+    q = (F.col("p_bad") + F.col("p_weight") * F.col("p_mean")) / weight
+    return (prior.select(F.col("host").alias("r_host"), q.alias("posterior"), weight.alias("weight"))
+            .withColumn("lower", F.col("posterior") - z * F.sqrt(F.col("posterior") * (1 - F.col("posterior")) / (F.col("weight") + 1)))
+            .select("r_host", "posterior", "lower", (F.col("lower") > max_bad).alias("blocked")))
 
 
 def page_outcomes(pages: DataFrame, labels: DataFrame, url_col: str = "url") -> DataFrame:

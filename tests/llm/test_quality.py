@@ -64,3 +64,13 @@ def test_held_out_accuracy(spark):
 def test_query_columns(spark):
     out = queries.op5_quality_rules(spark, SF)
     assert out.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_only_short_texts(spark):
+    """One partition without any text of three words."""
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    df = spark.createDataFrame([(1, "a b"), (2, "c"), (3, ""), (4, None)], "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: (r["n_words"], r["n_repeat_words"]) for r in Q.quality_rules(df, labels).collect()}
+    assert got == {1: (2, 0), 2: (1, 0), 3: (0, 0), 4: (0, 0)}
+    one = spark.createDataFrame([(1, "a b c"), (2, "c d"), (3, "e")], "doc_id long, text string").coalesce(1)
+    assert {r["n_words"] for r in Q.quality_rules(one, labels).collect()} == {1, 2, 3}

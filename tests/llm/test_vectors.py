@@ -61,3 +61,13 @@ def test_query(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()
     out = queries.op6_embedding_dedup(spark, "/root/testdata/sf0.001").collect()
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in out) == brute([tuple(r) for r in rows])
+
+
+def test_repeated_ids(spark):
+    """Different vectors of one id, also under different labels, are vectors of their own."""
+    a, b = [1.0] + [0.0] * 7, [0.0] * 7 + [1.0]
+    rows = [(1, a, 1), (1, b, 1), (2, a, 1), (3, a, 2), (3, b, 3), (4, b, 3), (None, a, 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in M.vector_links(df).collect()), key=repr)
+    assert got == sorted([(1, 1, 1, True), (1, 0, 1, True), (2, 1, 1, False), (3, 0, 3, True), (3, 1, 3, True), (4, 1, 3, False),
+                          (None, 0, None, True)], key=repr)
