@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import weakref
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -51,6 +52,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_folders: "weakref.WeakKeyDictionary[DataFrame, str]" = weakref.WeakKeyDictionary()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the cluster's shared scratch folder and read again.
 
@@ -60,7 +64,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _folders[out] = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove tables made by :func:`stored` from the scratch folder, once nothing that is still to run reads them."""
+    for df in tables:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(_folders.pop(df))
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def word_count(text: Column) -> Column:

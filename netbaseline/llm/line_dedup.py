@@ -6,16 +6,17 @@
 2. Character shingles: all windows of ``SHINGLE`` bytes of the UTF-8 text.
    The signature is taken from all of them in every line, whatever its
    length: ``BANDS`` x ``ROWS`` minima of hash XOR seed, each band with a hash
-   of its own.  Lines of similarity 0.8 share a band with probability 0.985,
-   0.9: 0.9998.
-3. In every band bucket the lines are linked to its smallest and its largest
-   member first, so that groups of copies need links by the number of lines
-   and not by the square of a bucket; every link is verified by the exact Jaccard similarity of all
-   shingles.  Bitmaps of the shingles rule out links beforehand, but only
-   such as can not have the similarity.
-4. Distributed union-find.  In buckets that still hold several components all
-   members are compared with those of the other components, in blocks of about
-   ``BLOCK`` times ``BLOCK`` lines, so that no pair of a bucket is left out.
+   of its own.  Lines of similarity 0.8 share a band with probability 0.986,
+   0.9: 0.9996.
+3. In every band bucket the lines are linked to three of its lines first: the
+   most frequent one and both ends of an order of the bucket's own, so that
+   groups of copies need links by the number of lines and not by the square of
+   a bucket; every link is verified by the exact Jaccard similarity of all shingles.
+4. Distributed union-find.  In buckets that still hold several components the
+   lines outside the largest one meet all lines of the others, in blocks of
+   ``BLOCK`` times ``BLOCK`` lines.  Bitmaps of their shingles rule out pairs,
+   but only such as can not have the similarity; of a line and a component the
+   likeliest pair is verified first and the others only if it is no link.
 5. Union-find with these links too; of every component the earliest line stays.
 
 Lines are known by a 64-bit hash: among n distinct lines about n^2 / 2^65
@@ -33,13 +34,21 @@ from .components import connected_components
 
 MIN_BYTES = 1                    # blank lines take no part
 SHINGLE = 8
-BANDS, ROWS = 8, 4
-BLOCK = 256                      # lines of a bucket that meet as many others in one group of a join
-BITMAP = 8                       # longs of a line's shingle bitmap
+BANDS, ROWS = 6, 3
+BLOCK = 2048                     # lines of a bucket that meet as many others in one group of a join
+BITMAP = 32                      # longs of a line's shingle bitmap
 SIMILARITY = 0.8
 LAST = (1 << 63) - 1             # rank of a document without an id
 MAX_BROADCAST = 500_000          # rows of two or three longs
-_LINE_BASE = 1 << 32             # rank = document * base + line number
+_LINE_BASE = 1 << 32             # rank = document's key * base + line number
+_TEXT_BASE = 1 << 31             # document's key = id * base + bits of the text's hash
+
+
+def document_key(id_col: Column, text: Column) -> Column:
+    """The order of documents: by id (none: last), and by a hash of the text where ids repeat or lack."""
+    sub = F.pmod(F.xxhash64(text), F.lit(_TEXT_BASE)).cast("decimal(10,0)")
+    return (F.coalesce(id_col.cast("long"), F.lit(LAST)).cast("decimal(19,0)") * F.lit(_TEXT_BASE).cast("decimal(10,0)")
+            + sub).cast("decimal(29,0)")
 
 
 def _normal(line: Column) -> Column:
@@ -48,10 +57,10 @@ def _normal(line: Column) -> Column:
 
 def _lines(rows: DataFrame) -> DataFrame:
     """``(d, norm, rank)`` of every line that takes part."""
-    split = rows.where("l_text is not null").select("l_doc", F.posexplode(F.split("l_text", "\n")).alias("pos", "line"))
-    rank = F.col("l_doc").cast("decimal(20,0)") * F.lit(_LINE_BASE).cast("decimal(10,0)") + F.col("pos")
+    split = rows.where("l_text is not null").select("l_key", F.posexplode(F.split("l_text", "\n")).alias("pos", "line"))
+    rank = (F.col("l_key") * F.lit(_LINE_BASE).cast("decimal(10,0)")).cast("decimal(38,0)") + F.col("pos")
     return (split.withColumn("norm", _normal(F.col("line"))).where(F.octet_length("norm") >= MIN_BYTES)
-            .select(F.xxhash64("norm").alias("d"), "norm", rank.cast("decimal(32,0)").alias("rank")))
+            .select(F.xxhash64("norm").alias("d"), "norm", rank.cast("decimal(38,0)").alias("rank")))
 
 
 def _seeds(n: int) -> list[int]:
@@ -60,25 +69,22 @@ def _seeds(n: int) -> list[int]:
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """``(d, rank, n, minima, bits)`` per distinct line: first rank, number of shingles, signature and bitmap.
+    """``(d, rank, f, n, minima)`` per distinct line: first rank, occurrences, number of shingles, signature.
 
     The shuffle by ``d`` that makes the lines distinct also serves the minima:
     shingles are made and reduced in the same stage and never travel.  A line
     shorter than a shingle has ``n`` 0 and no part in the buckets.
     """
-    distinct = lines.groupBy("d").agg(F.first("norm").alias("norm"), F.min("rank").alias("rank"))
-    spread = (distinct.select("d", "rank", F.col("norm").cast("binary").alias("b"))
-              .select("d", "rank", "b", F.explode_outer(F.expr(
+    distinct = lines.groupBy("d").agg(F.first("norm").alias("norm"), F.min("rank").alias("rank"), F.count(F.lit(1)).alias("f"))
+    spread = (distinct.select("d", "rank", "f", F.col("norm").cast("binary").alias("b"))
+              .select("d", "rank", "f", "b", F.explode_outer(F.expr(
                   f"if(octet_length(b) >= {SHINGLE}, sequence(1, octet_length(b) - {SHINGLE - 1}), null)")).alias("p"))
-              .select("d", "rank", F.expr(f"hash(substring(b, p, {SHINGLE}))").alias("h"))
-              .select("d", "rank", "h", *(F.expr(f"hash(h, {b})").alias(f"h{b}") for b in range(BANDS))))
+              .select("d", "rank", "f", F.expr(f"hash(substring(b, p, {SHINGLE}))").alias("h"))
+              .select("d", "rank", "f", "h", *(F.expr(f"hash(h, {b})").alias(f"h{b}") for b in range(BANDS))))
     seeds = _seeds(BANDS * ROWS)
     minima = [F.min(F.expr(f"h{k // ROWS} ^ int({s})")).alias(f"m{k}") for k, s in enumerate(seeds)]
-    bits = [F.bit_or(F.expr(f"if((h >> 6) & {BITMAP - 1} = {k}, shiftleft(1L, h & 63), 0L)")).alias(f"b{k}")
-            for k in range(BITMAP)]
-    reduced = spread.groupBy("d").agg(F.min("rank").alias("rank"), F.count("h").alias("n"), *minima, *bits)
-    return reduced.select("d", "rank", "n", F.array(*(F.col(f"m{k}") for k in range(BANDS * ROWS))).alias("minima"),
-                          F.array(*(F.col(f"b{k}") for k in range(BITMAP))).alias("bits"))
+    reduced = spread.groupBy("d").agg(F.min("rank").alias("rank"), F.min("f").alias("f"), F.count("h").alias("n"), *minima)
+    return reduced.select("d", "rank", "f", "n", F.array(*(F.col(f"m{k}") for k in range(BANDS * ROWS))).alias("minima"))
 
 
 def _band_keys() -> Column:
@@ -87,73 +93,26 @@ def _band_keys() -> Column:
 
 
 def _members(marks: DataFrame) -> DataFrame:
-    return marks.where("n > 0").select("d", F.explode(_band_keys()).alias("k"))
+    return marks.where("n > 0").select("d", "f", F.explode(_band_keys()).alias("k"))
 
 
 def band_buckets(marks: DataFrame) -> DataFrame:
-    """``(k, lo, hi, n)`` of the buckets of two lines and more: both ends and the number of lines."""
-    return _members(marks).groupBy("k").agg(F.min("d").alias("lo"), F.max("d").alias("hi"),
-                                            F.count(F.lit(1)).alias("n")).where("n > 1 and lo <> hi")
+    """``(k, n, top, lo, hi)`` of the buckets of two lines and more: the number of lines and the three that all others meet."""
+    often = F.expr(f"least(f, {1 << 20}) * {1 << 40} + (xxhash64(d) & {(1 << 40) - 1})")
+    own = F.xxhash64("d", "k")
+    return (_members(marks).groupBy("k")
+            .agg(F.count(F.lit(1)).alias("n"), F.max_by("d", often).alias("top"), F.min_by("d", own).alias("lo"),
+                 F.max_by("d", own).alias("hi")).where("n > 1 and lo <> hi"))
 
 
-def candidate_pairs(marks: DataFrame, buckets: DataFrame) -> DataFrame:
-    """``(a, b)``: the lines of every band bucket with its smallest and its largest member."""
-    large = buckets.where("n > 2").select("k", "lo", "hi")
-    if is_small(large, MAX_BROADCAST):
-        large = F.broadcast(large)
-    ends = _members(marks).join(large, "k")
-    pairs = (buckets.select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-             .unionByName(ends.select(F.col("lo").alias("a"), F.col("d").alias("b")))
-             .unionByName(ends.select(F.col("d").alias("a"), F.col("hi").alias("b"))))
-    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _possible(a: str, b: str) -> Column:
-    """False only for lines that are less similar than ``SIMILARITY``, by ``n{a}``, ``bits{a}`` and the same of b.
-
-    Every bit that differs stands for another shingle that only one of the
-    lines has, and the similarity bounds the number of those.
-    """
-    differ = sum((F.bit_count(F.get(f"bits{a}", k).bitwiseXOR(F.get(f"bits{b}", k))) for k in range(BITMAP)), F.lit(0))
-    return differ * (1 + SIMILARITY) <= (1 - SIMILARITY) * (F.col(f"n{a}") + F.col(f"n{b}")) + 1e-6
+def _with_buckets(marks: DataFrame, buckets: DataFrame) -> DataFrame:
+    return _members(marks).join(F.broadcast(buckets) if is_small(buckets, MAX_BROADCAST) else buckets, "k")
 
 
-def unsettled_pairs(marks: DataFrame, buckets: DataFrame, parts: DataFrame) -> DataFrame:
-    """``(a, b)``: the pairs of a bucket that are in different components and can have the similarity.
-
-    The ends of a bucket have met all its lines.  A line of a bucket of m
-    blocks goes to the m pairs of blocks that hold its own, and two lines meet
-    in one of them: no task has more than a few blocks of a large bucket.
-    """
-    large = buckets.where("n > 3").select("k", "lo", "hi")
-    if is_small(large, MAX_BROADCAST):
-        large = F.broadcast(large)
-    inner = _members(marks).join(large, "k").where("d <> lo and d <> hi").select("k", "d")
-    inner = stored(inner.join(parts, F.col("d") == F.col("node"), "left")
-                   .select("k", "d", F.coalesce("component", "d").alias("c")), "line-inner")
-    mixed = stored(inner.groupBy("k").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.count(F.lit(1)).alias("m"))
-                   .where("c1 <> c2").select("k", F.expr(f"int((m + {BLOCK - 1}) div {BLOCK})").alias("m")), "line-mixed")
-    if is_small(mixed, MAX_BROADCAST):
-        mixed = F.broadcast(mixed)
-    apart = (inner.join(mixed, "k").withColumn("s", F.expr("int(pmod(xxhash64(d), m))"))
-             .join(marks.select("d", "n", "bits"), "d"))
-    spread = apart.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    spread = stored(spread.select("k", F.least("s", "o").alias("i"), F.greatest("s", "o").alias("j"), "s", "d", "c", "n", "bits"),
-                    "line-blocks")
-    x, y = (spread.select("k", "i", "j", *(F.col(c).alias(c + e) for c in ("s", "d", "c", "n", "bits"))) for e in "xy")
-    met = x.join(y, (x["k"] == y["k"]) & (x["i"] == y["i"]) & (x["j"] == y["j"]) & (F.col("dx") < F.col("dy"))
-                 & (F.col("cx") != F.col("cy")) & ((x["i"] == x["j"]) | (F.col("sx") != F.col("sy"))) & _possible("x", "y"))
-    return met.select(F.col("dx").alias("a"), F.col("dy").alias("b")).distinct()
-
-
-def promising(pairs: DataFrame, marks: DataFrame) -> DataFrame:
-    """The pairs that can have the similarity: a cheap test before texts are fetched, which loses none."""
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "line-wanted")
-    side = F.broadcast(wanted) if is_small(wanted, MAX_BROADCAST) else wanted
-    seen = marks.select("d", "n", "bits").join(side, F.col("d") == F.col("w"), "left_semi")
-    both = (pairs.join(seen.select(F.col("d").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bitsa")), "a")
-            .join(seen.select(F.col("d").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bitsb")), "b"))
-    return both.where(_possible("a", "b")).select("a", "b")
+def candidate_pairs(marks: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``(a, b)``: the lines of every band bucket with the three lines that stand for it."""
+    met = _with_buckets(marks, buckets).select("d", F.explode(F.array("top", "lo", "hi")).alias("e")).where("d <> e")
+    return met.select(F.least("d", "e").alias("a"), F.greatest("d", "e").alias("b")).distinct()
 
 
 def _shingles(raw: str) -> Column:
@@ -161,12 +120,64 @@ def _shingles(raw: str) -> Column:
     return F.expr(f"transform(sequence(1, octet_length({raw}) - {SHINGLE - 1}), p -> xxhash64(substring({raw}, p, {SHINGLE})))")
 
 
+def _texts(wanted: DataFrame, lines: DataFrame) -> DataFrame:
+    """``(d, t)``: the normalised text of the lines ``wanted(w)``."""
+    side = F.broadcast(wanted) if is_small(wanted, MAX_BROADCAST) else wanted
+    return lines.select("d", "norm").join(side, F.col("d") == F.col("w"), "left_semi").groupBy("d").agg(F.first("norm").alias("t"))
+
+
+def bitmaps(wanted: DataFrame, lines: DataFrame) -> DataFrame:
+    """``(d, n, bits)``: shingles, repeats included, and their bitmap."""
+    spread = (_texts(wanted, lines).select("d", F.col("t").cast("binary").alias("b"))
+              .select("d", "b", F.explode(F.expr(f"sequence(1, octet_length(b) - {SHINGLE - 1})")).alias("p"))
+              .select("d", F.expr(f"hash(substring(b, p, {SHINGLE}))").alias("h")))
+    bits = [F.bit_or(F.expr(f"if((h >> 6) & {BITMAP - 1} = {k}, shiftleft(1L, h & 63), 0L)")).alias(f"b{k}")
+            for k in range(BITMAP)]
+    return spread.groupBy("d").agg(F.count("h").alias("n"), *bits).select(
+        "d", "n", F.array(*(F.col(f"b{k}") for k in range(BITMAP))).alias("bits"))
+
+
+def _differ(a: str, b: str) -> Column:
+    """Bits that differ: every one stands for another shingle that only one of the lines has."""
+    return sum((F.bit_count(F.get(f"bits{a}", k).bitwiseXOR(F.get(f"bits{b}", k))) for k in range(BITMAP)), F.lit(0))
+
+
+def unsettled_pairs(marks: DataFrame, buckets: DataFrame, parts: DataFrame, lines: DataFrame) -> DataFrame:
+    """``(a, b, c, differ)``: the pairs of a bucket that are in different components and can have the similarity; c: of b.
+
+    Lines of the largest component of a bucket need not meet each other: the
+    others (a) meet all lines (b).  A bucket of many lines is dealt in blocks, so that no task
+    has more than a few blocks of it.
+    """
+    large = buckets.where("n > 3")
+    inner = _with_buckets(marks, large).where("d <> lo and d <> hi and d <> top").select("k", "d")
+    inner = stored(inner.join(parts, F.col("d") == F.col("node"), "left")
+                   .select("k", "d", F.coalesce("component", "d").alias("c")), "line-inner")
+    sizes = inner.groupBy("k", "c").agg(F.count(F.lit(1)).alias("m"))
+    mixed = stored(sizes.groupBy("k").agg(F.max_by("c", F.expr(f"m * {1 << 24} + (xxhash64(c) & {(1 << 24) - 1})")).alias("main"),
+                                          F.sum("m").alias("m"), F.max("m").alias("most"), F.count(F.lit(1)).alias("n_c"))
+                   .where("n_c > 1").select("k", "main", F.expr(f"int((m + {BLOCK - 1}) div {BLOCK})").alias("my"),
+                                            F.expr(f"int((m - most + {BLOCK - 1}) div {BLOCK})").alias("mx")), "line-mixed")
+    apart = stored(inner.join(F.broadcast(mixed) if is_small(mixed, MAX_BROADCAST) else mixed, "k"), "line-apart")
+    maps = stored(bitmaps(apart.select(F.col("d").alias("w")).distinct(), lines), "line-bitmaps")
+    known = apart.join(maps, "d")
+    place = lambda m: F.expr(f"int(pmod(xxhash64(d), {m}))")
+    every = lambda m: F.explode(F.sequence(F.lit(0), F.col(m) - 1))
+    named = lambda df, e: df.select("k", "i", "j", *(F.col(c).alias(c + e) for c in ("d", "c", "n", "bits", "rest")))
+    known = known.withColumn("rest", F.col("c") != F.col("main"))
+    x = named(known.where("rest").withColumn("i", place("mx")).withColumn("j", every("my")), "x")
+    y = named(known.withColumn("j", place("my")).withColumn("i", every("mx")), "y")
+    possible = _differ("x", "y") * (1 + SIMILARITY) <= (1 - SIMILARITY) * (F.col("nx") + F.col("ny")) + 1e-6
+    met = x.join(y, (x["k"] == y["k"]) & (x["i"] == y["i"]) & (x["j"] == y["j"]) & (F.col("cx") != F.col("cy"))
+                 & (~F.col("resty") | (F.col("dx") < F.col("dy"))) & possible)
+    return met.groupBy(F.col("dx").alias("a"), F.col("dy").alias("b")).agg(
+        F.first("cy").alias("c"), F.min(_differ("x", "y")).alias("differ"))
+
+
 def verified(pairs: DataFrame, lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs whose shingle sets have the Jaccard similarity or more."""
+    """The pairs ``(a, b)`` whose shingle sets have the Jaccard similarity or more."""
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "line-needed")
-    side = F.broadcast(wanted) if is_small(wanted, MAX_BROADCAST) else wanted
-    texts = stored(lines.select("d", "norm").join(side, F.col("d") == F.col("w"), "left_semi")
-                   .groupBy("d").agg(F.first("norm").alias("t")), "line-texts")
+    texts = stored(_texts(wanted, lines), "line-texts")
     both = (pairs.join(texts.select(F.col("d").alias("a"), F.col("t").cast("binary").alias("ta")), "a")
             .join(texts.select(F.col("d").alias("b"), F.col("t").cast("binary").alias("tb")), "b"))
     # The row number keeps the optimiser from writing out the lists wherever the filter uses them.
@@ -175,32 +186,45 @@ def verified(pairs: DataFrame, lines: DataFrame, similarity: float = SIMILARITY)
     return sets.where(F.size(F.array_intersect("sa", "sb")) >= similarity * F.size(F.array_union("sa", "sb"))).select("a", "b")
 
 
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """The components with more links."""
+    known = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return stored(connected_components(known.unionByName(links), "line-components"), "line-parts")
+
+
 def kept_lines(docs: DataFrame) -> DataFrame:
-    """``docs(l_doc, l_text)`` -> ``(l_doc, l_keep)``: line numbers that stay among those that take part."""
+    """``docs(l_key, l_text)`` -> ``(l_key, l_keep)``: line numbers that stay among those that take part."""
     lines = _lines(docs)
     marks = stored(signatures(lines), "line-marks")
     buckets = stored(band_buckets(marks), "line-buckets")
-    pairs = stored(promising(stored(candidate_pairs(marks, buckets), "line-pairs"), marks), "line-promising")
+    pairs = stored(candidate_pairs(marks, buckets), "line-pairs")
     parts = stored(connected_components(verified(pairs, lines), "line-components"), "line-parts")
-    more = stored(unsettled_pairs(marks, buckets, parts), "line-unsettled")
+    more = stored(unsettled_pairs(marks, buckets, parts, lines), "line-unsettled")
     if not more.isEmpty():
-        links = parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(verified(more, lines))
-        parts = connected_components(links, "line-components")
+        likely = more.groupBy("a", "c").agg(F.min_by("b", F.expr(f"differ * {1 << 24} + (xxhash64(b) & {(1 << 24) - 1})")).alias("b"))
+        parts = _joined(parts, verified(stored(likely.select("a", "b"), "line-likely"), lines))
+        of = lambda e: parts.select(F.col("node").alias(f"n{e}"), F.col("component").alias(f"p{e}"))
+        left = (more.select("a", "b").join(of("a"), F.col("a") == F.col("na"), "left").join(of("b"), F.col("b") == F.col("nb"), "left")
+                .where(F.coalesce("pa", "a") != F.coalesce("pb", "b")).select("a", "b"))
+        left = stored(left, "line-left")
+        if not left.isEmpty():
+            parts = _joined(parts, verified(left, lines))
     first = (marks.select("d", "rank").join(parts, F.col("d") == F.col("node"), "left")
              .groupBy(F.coalesce("component", "d").alias("c")).agg(F.min("rank").alias("rank")))
-    return (first.withColumn("l_doc", F.expr(f"cast(rank div {_LINE_BASE} as bigint)"))
-            .select("l_doc", F.expr(f"cast(rank - l_doc * cast({_LINE_BASE} as decimal(10,0)) as int)").alias("pos"))
-            .groupBy("l_doc").agg(F.collect_list("pos").alias("l_keep")))
+    base = F.lit(_LINE_BASE).cast("decimal(10,0)")
+    return (first.withColumn("pos", F.col("rank") % base)
+            .select(((F.col("rank") - F.col("pos")) / base).cast("decimal(29,0)").alias("l_key"), F.col("pos").cast("int").alias("pos"))
+            .groupBy("l_key").agg(F.collect_list("pos").alias("l_keep")))
 
 
 def _cleaned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(l_row, l_new, l_lines, l_gone)``: the row as it was, its text afterwards, all lines, numbers of those removed."""
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("l_doc"),
+    rows = docs.select(document_key(F.col(id_col), F.col(text_col)).alias("l_key"),
                        F.struct(*docs.columns).alias("l_row"), F.col(text_col).alias("l_text"))
-    keeps = kept_lines(rows.select("l_doc", "l_text"))
+    keeps = kept_lines(rows.select("l_key", "l_text"))
     at = F.sequence(F.lit(0), F.size("l_lines") - 1)
     taking_part = F.filter(at, lambda i: F.octet_length(_normal(F.get("l_lines", i))) >= MIN_BYTES)
-    out = (rows.join(keeps, "l_doc", "left").withColumn("l_lines", F.split("l_text", "\n"))
+    out = (rows.join(keeps, "l_key", "left").withColumn("l_lines", F.split("l_text", "\n"))
            .withColumn("l_gone", F.array_except(taking_part, F.coalesce("l_keep", F.array().cast("array<int>"))))
            .withColumn("l_left", F.array_except(at, F.col("l_gone"))))
     text = F.array_join(F.transform("l_left", lambda i: F.get("l_lines", i)), "\n")
@@ -216,9 +240,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     The earliest line of a component is that of the smallest id, then line
     number.  Null text stays null (no lines); blank lines take no part and
-    stay.  Rows with equal ids are copies of one document and keep
-    the same lines; rows without an id rank last, as one document.  Ids are
-    taken as non-negative.  Columns of ``docs`` named like the two counts are
+    stay.  Rows of one id and text are copies of one document and keep the
+    same lines; rows of one id with different texts, and rows without an id
+    (they rank last), are documents of their own in the order of a 31-bit hash
+    of the text.  Ids are taken as non-negative.  Columns of ``docs`` named like the two counts are
     replaced by them.
     """
     own = [c for c, name in zip(_columns(docs, text_col), docs.columns) if name not in ("l_lines", "l_removed")]

@@ -12,9 +12,13 @@ def shingles(line):
     return {raw[k:k + L.SHINGLE] for k in range(len(raw) - L.SHINGLE + 1)}
 
 
+def key(doc, text):
+    return L.LAST if doc is None else doc, text
+
+
 def brute(rows):
     """All pairs of lines, components, the earliest line of each stays."""
-    lines = sorted(((L.LAST if d is None else d, k, x) for d, t in set(rows) if t is not None
+    lines = sorted(((key(d, t), k, x) for d, t in set(rows) if t is not None
                     for k, x in enumerate(t.split("\n")) if len(x.strip(" \t\r").lower().encode()) >= L.MIN_BYTES),
                    key=lambda r: r[:2])
     sets = [shingles(x) for _, _, x in lines]
@@ -28,7 +32,7 @@ def brute(rows):
     kept = {lines[t][:2] for t in set(top)}
     gone = {r[:2] for r in lines} - kept
     return sorted(str((d, None if t is None else "\n".join(
-        x for k, x in enumerate(t.split("\n")) if (L.LAST if d is None else d, k) not in gone))) for d, t in rows)
+        x for k, x in enumerate(t.split("\n")) if (key(d, t), k) not in gone))) for d, t in rows)
 
 
 def test_equals_brute_force(spark):
@@ -61,6 +65,15 @@ def test_near_lines_are_found(spark):
     assert len(set(got) ^ set(want)) <= 4
 
 
+def test_rows_without_id_and_of_one_id(spark):
+    """Different texts without an id, or of one, are documents of their own; equal rows are copies of one."""
+    for d in (None, 7):
+        df = spark.createDataFrame([(d, f"{BASE}\nown line {k}") for k in (1, 2, 3, 3)], "doc_id long, text string")
+        got = [r["text"] for r in L.dedup_lines(df).collect()]
+        kept = {x for x in got if BASE in x}
+        assert len(kept) == 1 and len(got) == 4 and {x.split("\n")[-1] for x in got} == {f"own line {k}" for k in (1, 2, 3)}
+
+
 def test_no_python_in_the_plan(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = L.dedup_lines(df)._jdf.queryExecution().toString()
