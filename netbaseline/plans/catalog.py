@@ -42,6 +42,8 @@ W1_US, W2_US = D1 * 1_000_000, D2 * 1_000_000
 # A level-2 window boundary near the middle of the test month: the first
 # batch of the incremental checks ends here, so no window is split.
 SPLIT_AT = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=(1_705_363_200 // D2) * D2)
+# Cuts inside level-1 and level-2 windows, off any border: the batches of the cut-anywhere checks.
+CUTS = (dt.datetime(2024, 1, 9, 15, 17, 3, 250_000), dt.datetime(2024, 1, 21, 2, 41, 59))
 TS_FMT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -396,6 +398,41 @@ def q_o14_o18_large(spark, sf_dir):
     return _bounds_cols(stream_bounds_from_files(spark, sf_dir, max_broadcast_rows=0))
 
 
+def _between(ev: DataFrame, cuts) -> list[DataFrame]:
+    """The events before, between and after some times; the filter is on the stored column."""
+    at = [F.lit(t).cast("timestamp_ntz") for t in cuts]
+    first, last = ev.where(F.col("ts") < at[0]), ev.where(F.col("ts") >= at[-1])
+    return [first, *(ev.where((F.col("ts") >= a) & (F.col("ts") < b)) for a, b in zip(at, at[1:])), last]
+
+
+def _micros(t: dt.datetime) -> int:
+    return (t - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+
+
+def q_o12_o19_cut(spark, sf_dir):
+    """Interval bounds of three batches cut inside windows: the open windows' moments are carried over."""
+    from netbaseline.plans.incremental import ALL, advance_bounds
+    ev, _, params, members = _inputs(spark, sf_dir)
+    assets = resolve_assets(active_model(params), members)
+    out, held = None, None
+    for part, until in zip(_between(ev, CUTS), [*map(_micros, CUTS), ALL]):
+        bounds, step = advance_bounds(flows_from_events(part), assets, TEST_INTERVAL, held, until)
+        out, held = bounds if out is None else out.unionByName(bounds), step.held
+    return _bounds_cols(out)
+
+
+def q_o19_o20_cut(spark, sf_dir):
+    """The result table after three runs cut inside windows, each a version of the log of changed rows."""
+    from netbaseline.plans.incremental import incremental_baseline
+    from netbaseline.session import fresh_folder
+    from netbaseline.streaming.log_store import ResultStore
+    ev, _, params, members = _inputs(spark, sf_dir)
+    store = ResultStore(spark, fresh_folder(spark, "cut-results"))
+    for k, (part, until) in enumerate(zip(_between(ev, CUTS), [*CUTS, None])):
+        incremental_baseline(flows_from_events(part), params, members, TEST_INTERVAL, store, until, k)
+    return _result_cols(store.latest())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "o01_has_source_asset": q_o01,
     "o02_parse_flows": q_o02,
@@ -429,6 +466,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "o14_o18_stream_baseline": q_o14_o18,
     "o14_o18_stream_large_assets": q_o14_o18_large,
     "o20_o22_stream_sink": q_o20_o22_stream,
+    "o12_o19_cut_windows": q_o12_o19_cut,
+    "o19_o20_cut_batches": q_o19_o20_cut,
     "s02_s03_control_tables": q_s02_s03,
     "s04_initial_results": q_s04,
     "o06_output_records": q_o06,
@@ -502,7 +541,11 @@ def _assets_sql(name: str, src: str) -> str:
   WHERE g.group_id <> '' AND m.entity_id IS NOT NULL),"""
 
 
-def _levels_sql(src: str, prefix: str = "", model: bool = False, parity: bool = False, z: float = 1.96) -> str:
+def _levels_sql(src: str, prefix: str = "", model: bool = False, parity: bool = False, z: float = 1.96,
+                exact: bool = False) -> str:
+    """Both window levels and the bounds; ``exact``: the spread from whole sums and squares."""
+    x = "CAST(flow_size AS HUGEINT)"
+    sd = (f"sqrt(CAST(count(*) * sum({x} * {x}) - sum({x}) * sum({x}) AS DOUBLE)) / count(*)" if exact else "stddev_pop(flow_size)")
     mk = "modeling_params_id, " if model else ""
     out = "in_sum" if parity else "out_sum"
     mean = ("CAST(sum_flow // sum_count AS DOUBLE)" if parity
@@ -521,7 +564,7 @@ def _levels_sql(src: str, prefix: str = "", model: bool = False, parity: bool =
 {prefix}l2 AS (
   SELECT {mk}src_id, src_ip, area_id, protocol, direction, ((b1 + 1) * {W1_US} - 1) // {W2_US} AS b2,
          CAST(sum(flow_size) AS BIGINT) AS sum_flow, CAST(sum(total_count) AS BIGINT) AS sum_count,
-         stddev_pop(flow_size) AS sd_flow, count(*) AS n_windows
+         {sd} AS sd_flow, count(*) AS n_windows
   FROM {prefix}l1d GROUP BY ALL),
 {prefix}bounds AS (
   SELECT *, {mean} AS mean_flow,
@@ -671,6 +714,17 @@ def _split_us() -> int:
     return int((SPLIT_AT - dt.datetime(1970, 1, 1)).total_seconds()) * 1_000_000
 
 
+def _horizon_sql(src: str) -> str:
+    """``written``: slots up to the horizon of their model (first write + 2 * history days)."""
+    return f"""
+limits AS (
+  SELECT s.modeling_params_id,
+         min(s.time) + to_days(CAST(2 * max(coalesce(a.model_history_data_span, 1)) AS INTEGER)) AS until
+  FROM {src} s JOIN actives a ON a.id = s.modeling_params_id GROUP BY s.modeling_params_id),
+written AS (
+  SELECT s.* FROM {src} s JOIN limits l USING (modeling_params_id) WHERE s.time <= l.until),"""
+
+
 def _stream_sql() -> str:
     # Append mode emits a window once the watermark (latest event time of a kept flow - 5 s) passes its end.
     return _with(FLOWS_SQL, KEPT_SQL, ON_TIME_SQL, _levels_sql("on_time"), f"""
@@ -686,13 +740,7 @@ def _stream_sink_sql() -> str:
     return _with(FLOWS_SQL, KEPT_SQL, ON_TIME_SQL, _levels_sql("on_time"), _slots_sql(""), f"""
 closed_slots AS (
   SELECT * FROM slots
-  WHERE (b2 + 1) * {W2_US} <= (SELECT epoch_us(max(ts)) - 5000000 FROM on_time)),
-limits AS (
-  SELECT s.modeling_params_id,
-         min(s.time) + to_days(CAST(2 * max(coalesce(a.model_history_data_span, 1)) AS INTEGER)) AS until
-  FROM closed_slots s JOIN actives a ON a.id = s.modeling_params_id GROUP BY s.modeling_params_id),
-written AS (
-  SELECT s.* FROM closed_slots s JOIN limits l USING (modeling_params_id) WHERE s.time <= l.until),""",
+  WHERE (b2 + 1) * {W2_US} <= (SELECT epoch_us(max(ts)) - 5000000 FROM on_time)),""", _horizon_sql("closed_slots"),
                  _results_sql("written")) + RESULT_SELECT
 
 
@@ -912,6 +960,9 @@ FROM (SELECT DISTINCT src_id, protocol FROM flows)"""
         "o14_o18_stream_baseline": _stream_sql(),
         "o14_o18_stream_large_assets": _stream_sql(),
         "o20_o22_stream_sink": _stream_sink_sql(),
+        "o12_o19_cut_windows": _with(FLOWS_SQL, KEPT_SQL, _levels_sql("kept", exact=True)) + _bounds_select(),
+        "o19_o20_cut_batches": _with(FLOWS_SQL, KEPT_SQL, _levels_sql("kept", exact=True), _slots_sql(""), _horizon_sql("slots"),
+                                     _results_sql("written")) + RESULT_SELECT,
         "s02_s03_control_tables": o08,
         "s04_initial_results": o20,
         "o06_output_records": _with(FLOWS_SQL, KEPT_SQL, _levels_sql("kept")) + f"""

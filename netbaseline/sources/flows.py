@@ -35,10 +35,8 @@ def _number(text, kind):
     Quoted numbers count as numbers and decimals lose their fraction; blank is
     absent; any other text, and what is out of range, is bad.
     """
-    s = trimmed(text)
-    value = F.when(s.rlike(r"^[+-]?[0-9]+$"), s.try_cast(kind)).otherwise(s.try_cast("double").try_cast(kind))
-    value = F.when(is_blank(text), F.lit(None).cast(kind)).otherwise(value)
-    return value, ~is_blank(text) & value.isNull()
+    value = F.coalesce(text.try_cast(kind), trimmed(text).try_cast("double").try_cast(kind))
+    return value, value.isNull() & ~is_blank(text)
 
 
 def parse_flows(df: DataFrame, value_col: str = "value", keep_rejects: bool = False,
@@ -52,8 +50,8 @@ def parse_flows(df: DataFrame, value_col: str = "value", keep_rejects: bool = Fa
     an ``observation`` (batch) or its name (a stream: see the query's progress)
     the rejects of every run are counted on the way.
     """
-    # One parse: without the generator, of exactly one row, the optimiser would push the filter on the
-    # rejects below it and write the parse out again at every use of a field.
+    # One parse, and one reading of every number: without the generators, of exactly one row each, the
+    # optimiser would push the filter on the rejects below them and write them out again at every use.
     message = F.from_json(F.col(value_col), WIRE_TEXT_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT})
     parsed = df.select(F.explode(F.array(message)).alias("m"))
     cols, bad = [], F.lit(False)
@@ -66,7 +64,7 @@ def parse_flows(df: DataFrame, value_col: str = "value", keep_rejects: bool = Fa
             c = F.coalesce(c, F.lit(0).cast(kind))
         cols.append(c.alias(name))
     broken = F.col("m").isNull() | F.col(f"m.{CORRUPT}").isNotNull()
-    flows = parsed.select(*cols, broken.alias("__broken"), F.coalesce(bad, F.lit(False)).alias("__bad"))
+    flows = parsed.select(F.inline(F.array(F.struct(*cols, broken.alias("__broken"), F.coalesce(bad, F.lit(False)).alias("__bad")))))
     time_is_bad = F.col("r_time").isNull() & F.col("__bad")
     reason = (F.when(F.col("__broken"), F.lit(NOT_JSON))
               .when(is_blank("src_id"), F.lit(NO_SOURCE))

@@ -6,6 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from netbaseline.operators import active_model, resolve_assets
+from netbaseline.operators.aggregate import level1
 from netbaseline.plans.baseline import baseline_bounds
 from netbaseline.sources import flows_from_events, group_members_from_events, modeling_params_fixture
 from netbaseline.sources.control import TEST_INTERVAL
@@ -131,3 +132,13 @@ def test_blank_protocols_are_one_row(spark):
     out = upsert_results(None, slots).collect()
     assert sorted((r["protocol"], len(r["flow"])) for r in out) == [("", 4), ("TCP", 1)]
     assert len({r["id"] for r in out}) == 2
+
+
+def test_messages_are_parsed_once(spark):
+    """One ``from_json`` in the optimised plan, with the rejects dropped or kept, in a whole job too."""
+    from netbaseline.sources import messages_from_events, parse_flows
+    text = messages_from_events(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    optimised = lambda df: str(df._jdf.queryExecution().optimizedPlan())
+    for flows in (parse_flows(text), parse_flows(text, keep_rejects=True), level1(parse_flows(text), 300),
+                  parse_flows(text, keep_rejects=True).where("reject_reason is not null").groupBy("reject_reason").count()):
+        assert optimised(flows).count("from_json") == 1
