@@ -37,13 +37,13 @@ from .components import connected_components
 KEYS, ROWS = 8, 3
 MAX_KNOWN_WORDS = 150_000
 MAX_BROADCAST = 1_000_000    # rows of two longs
-BUCKET_TOKENS = 1_500_000    # tokens counted in one group of the matrix count, about
+BUCKET_TOKENS = 800_000      # tokens counted in one group of the matrix count, about
 GROUP_PERCENT = 50           # classes this similar are put into one group
 GROUP_ROWS = 4_096           # members of a group and
 GROUP_TOKENS = 500_000       # their tokens at most, about (larger ones are cut into blocks)
 QUERY_ROWS = 4_096           # queries that open a group in one task, about
 MATRIX = (256, 1_024)        # rows and columns of the 0/1 matrix that are multiplied at a time
-FLUSH_TOKENS = 500_000       # tokens a map task holds before it packs them
+FLUSH_TOKENS = 150_000       # tokens a map task holds before it packs them
 
 _M = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _ALL = (1 << 64) - 1
@@ -167,7 +167,7 @@ def _seed_pairs(reps: DataFrame) -> DataFrame:
 
 
 def _pack(width: int, buckets: int):
-    """Tokens of (rep, grp, text) rows, packed per hash range; rows with bucket -1: what is known to be shared.
+    """Tokens of (rep, grp, text) rows, packed per hash range; negative buckets: what is known to be shared.
 
     A token that two groups share within one pack is settled there: its
     documents are counted at once and a single entry goes on, so that a token
@@ -185,7 +185,8 @@ def _pack(width: int, buckets: int):
         run = np.repeat(np.arange(len(head)), np.diff(np.r_[head, len(tok)]))
         shared = (np.maximum.reduceat(grp, head) != np.minimum.reduceat(grp, head))[run]
         seen, n = np.unique(rep[shared], return_counts=True)
-        rows = [(-1, seen.tobytes(), n.astype(np.int64).tobytes(), b"")]
+        # Counts need no partner: they go to one of as many groups, by any token of the pack.
+        rows = [(-1 - int(tok[0]) % buckets, seen.tobytes(), n.astype(np.int64).tobytes(), b"")]
         go = ~shared
         go[head] = True                                  # one entry of a settled token goes on
         mark = np.where(shared, np.int64(-1), rep)[go]   # without a document to count
@@ -220,7 +221,10 @@ def _pack(width: int, buckets: int):
 
 
 def _count_shared(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one hash range: per document, how many of its tokens also occur in another group."""
+    """Of one hash range: per document, how many of its tokens also occur in another group.
+
+    A group of a negative bucket holds such counts of several packs.
+    """
     tok = np.frombuffer(b"".join(rows["tok"]), np.uint64)
     rep = np.frombuffer(b"".join(rows["rep"]), np.int64)
     grp = np.frombuffer(b"".join(rows["grp"]), np.int64)
