@@ -96,7 +96,7 @@ def level2(rows: DataFrame, level2_seconds: int) -> DataFrame:
                     "sum_flow", "sum_count", "sd_flow", "n_windows"))
 
 
-def interval_bounds(l2: DataFrame, z: float = 1.96, integer_mean: bool = False,
+def interval_bounds(l2: DataFrame, z: float | F.Column = 1.96, integer_mean: bool = False,
                     zone: str = MODEL_ZONE) -> DataFrame:
     """Adds ``mean_flow``, ``min_flow``, ``max_flow`` (bytes) and ``c_date`` (date of the window end in ``zone``).
 
@@ -107,7 +107,8 @@ def interval_bounds(l2: DataFrame, z: float = 1.96, integer_mean: bool = False,
         mean = F.expr("sum_flow div sum_count").cast("double")
     else:
         mean = F.col("sum_flow") / F.col("sum_count")
-    half = F.lit(float(z)) * F.col("sd_flow") / F.sqrt(F.col("sum_count"))
+    z = z if isinstance(z, F.Column) else F.lit(float(z))
+    half = z * F.col("sd_flow") / F.sqrt(F.col("sum_count"))
     return (l2
             .withColumn("mean_flow", mean)
             .withColumn("max_flow", F.col("mean_flow") + half)

@@ -37,11 +37,12 @@ class Advance:
     late: DataFrame
 
 
-def window_sums(flows: DataFrame, level1_seconds: int) -> DataFrame:
-    """Per series and level-1 window (start in microseconds): bytes in and out and records."""
+def window_sums(flows: DataFrame, level1_seconds: int, last: bool = False) -> DataFrame:
+    """Per series and level-1 window (start in microseconds): bytes in and out and records; with ``last_us`` if asked for."""
     start = _bucket_start(F.unix_micros("ts"), level1_seconds * 1_000_000)
+    latest = [F.max(F.unix_micros("ts")).alias("last_us")] if last else []
     return (flows.where(F.col("ts").isNotNull()).groupBy(*_keys(flows), start.alias("w1"))
-            .agg(F.sum("in_flow").alias("in_sum"), F.sum("out_flow").alias("out_sum"), F.count(F.lit(1)).alias("total_count")))
+            .agg(F.sum("in_flow").alias("in_sum"), F.sum("out_flow").alias("out_sum"), F.count(F.lit(1)).alias("total_count"), *latest))
 
 
 def _added(parts: DataFrame, keys: list[str], columns: tuple[str, ...]) -> DataFrame:

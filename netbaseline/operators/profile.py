@@ -33,8 +33,9 @@ def key_columns(parity: bool = False) -> list[str]:
     return KEY_REFERENCE if parity else KEY_WITH_DIRECTION
 
 
-def slot_rows(bounds: DataFrame, model_id, span, zone: str = MODEL_ZONE, parity: bool = False) -> DataFrame:
-    """One row per level-2 result: its profile slot, bounds in KiB and row attributes.
+def slot_rows(bounds: DataFrame, model_id, span, zone: str = MODEL_ZONE, parity: bool = False,
+              keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per level-2 result: its profile slot, bounds in KiB and row attributes; columns ``keep`` follow.
 
     ``model_id`` and ``span`` are a value or a Column (e.g. after a join with
     the parameter rows).
@@ -55,7 +56,7 @@ def slot_rows(bounds: DataFrame, model_id, span, zone: str = MODEL_ZONE, parity:
         lo.alias("lo"), hi.alias("hi"),
         interval_text(lo, hi).alias("value"),
         internal_flag(F.col("src_ip"), parity).alias("in_out"),
-        local_ntz(end, zone).alias("time"),
+        local_ntz(end, zone).alias("time"), *keep,
     )
 
 

@@ -19,7 +19,7 @@ from netbaseline.functions.convert import round2, to_boolean, to_int
 from netbaseline.functions.ids import result_id
 from netbaseline.functions.network import internal_flag
 from netbaseline.functions.text import blank_aware_equals, blank_aware_equals_ci, is_blank, to_text
-from netbaseline.functions.time import local_ntz, slot_key, window_lengths, zone_date
+from netbaseline.functions.time import local_ntz, slot_key, window_lengths, z_for_confidence, zone_date
 from netbaseline.operators.aggregate import level1, level2, split_directions
 from netbaseline.operators.params import active_model, active_models, clear_history, diff_params, resolve_assets
 from netbaseline.operators.profile import explode_profiles, gate, horizon, slot_rows, upsert_results, written_slots
@@ -27,7 +27,7 @@ from netbaseline.operators.aggregate import interval_bounds
 from netbaseline.operators.membership import keep_known_assets
 from netbaseline.plans.baseline import baseline_bounds, baseline_slots, model_assets, model_config
 from netbaseline.sources.control import (
-    GROUP_COUNT, TEST_INTERVAL, decode_profiles, encode_profiles, group_members_from_events, modeling_params_fixture,
+    GROUP_COUNT, MEMBER_AGAIN, MEMBER_DAYS, MEMBER_LENGTH, MODELING_PARAMS_ROWS, TEST_INTERVAL, decode_profiles, encode_profiles, group_members_from_events, modeling_params_fixture,
     modeling_params_sql, output_records, param_versions_from_events, read_control_table,
 )
 from netbaseline.sources.flows import (
@@ -69,15 +69,15 @@ def _bounds_cols(df: DataFrame) -> DataFrame:
         round2("max_flow").alias("max_flow"))
 
 
-def _slot_cols(df: DataFrame) -> DataFrame:
+def _slot_cols(df: DataFrame, *more: str) -> DataFrame:
     return df.select("modeling_params_id", "src_id", "src_ip", "area_id", "protocol", "up_down",
                      _utc_text("window_end").alias("w2_end"), "name", "lo", "hi", "in_out",
-                     F.date_format("time", TS_FMT).alias("time_local"))
+                     F.date_format("time", TS_FMT).alias("time_local"), *more)
 
 
-def _result_cols(df: DataFrame) -> DataFrame:
+def _result_cols(df: DataFrame, *more) -> DataFrame:
     return df.select("id", "modeling_params_id", "src_id", "src_ip", "protocol", "up_down", "in_out",
-                     F.date_format("time", TS_FMT).alias("time_local"), F.size("flow").alias("n_slots"), _profile_text())
+                     F.date_format("time", TS_FMT).alias("time_local"), F.size("flow").alias("n_slots"), _profile_text(), *more)
 
 
 def _profile_text() -> F.Column:
@@ -433,6 +433,80 @@ def q_o19_o20_cut(spark, sf_dir):
     return _result_cols(store.latest())
 
 
+def _live_job(spark, sf_dir, versions=None, members=None, messages=False, **options):
+    """The live job run over the test stream to its end."""
+    from netbaseline.session import fresh_folder
+    from netbaseline.sources.flows import read_flow_messages
+    from netbaseline.streaming.baseline import events_in_files
+    from netbaseline.streaming.live import LiveJob, start_live
+    from netbaseline.streaming.log_store import ResultStore
+    ev = _events(spark, sf_dir)
+    out, files = fresh_folder(spark, "live"), {"maxFilesPerTrigger": spark.sparkContext.defaultParallelism}
+    events_in_files(spark, sf_dir, f"{out}/in", messages)
+    job = LiveJob(ResultStore(spark, f"{out}/results"), versions or (lambda: modeling_params_fixture(spark)),
+                  members or (lambda: group_members_from_events(ev)), TEST_INTERVAL, **options)
+    if messages:
+        source = read_flow_messages(spark, "text", options=files, path=f"{out}/in/part*")
+    else:
+        source = flows_from_events(spark.readStream.schema(ev.schema).options(**files).parquet(f"{out}/in/part*"))
+    start_live(source, job, f"{out}/_checkpoint", {"availableNow": True}, parsed=not messages).awaitTermination()
+    return job
+
+
+def q_live(spark, sf_dir):
+    """Messages to result table: text files, one parse, two models at once, open windows carried over."""
+    return _result_cols(_live_job(spark, sf_dir, messages=True).store.latest())
+
+
+def q_live_dropped(spark, sf_dir):
+    """What the live job left out, by reason and (late records) level-1 window."""
+    dropped = _live_job(spark, sf_dir, messages=True).store.dropped()
+    return dropped.select("reason", _utc_text("window_start").alias("window_start"), "n")
+
+
+def q_live_members(spark, sf_dir):
+    """Memberships that begin and end while the stream runs."""
+    from netbaseline.sources.control import dated_members_from_events
+    ev = _events(spark, sf_dir)
+    return _result_cols(_live_job(spark, sf_dir, members=lambda: dated_members_from_events(ev)).store.latest())
+
+
+def q_live_idle(spark, sf_dir):
+    """A source that falls silent: the windows left open are closed by the idle timer."""
+    job = _live_job(spark, sf_dir)
+    job.close_idle()
+    return _result_cols(job.store.latest())
+
+
+def q_asof(spark, sf_dir):
+    """Slots of two models judged by the parameter version in force at each window's end."""
+    from netbaseline.operators.asof import after_clears, asof_slots, version_intervals, within_horizon
+    from netbaseline.operators.membership import tag_known_assets
+    from netbaseline.operators.open_windows import window_moments, window_stats, window_sums
+    from netbaseline.sources.control import listed_versions_from_events
+    from netbaseline.streaming.live import dated_assets
+    ev, flows, _, members = _inputs(spark, sf_dir)
+    versions = listed_versions_from_events(ev)
+    intervals = _as_parquet(version_intervals(versions), "intervals")
+    sums = window_sums(tag_known_assets(flows, dated_assets(versions, members)), D1)
+    slots = asof_slots(window_stats(window_moments(sums, D1, D2), D2), intervals)
+    return _slot_cols(within_horizon(_as_parquet(after_clears(slots, intervals), "asof-slots")), "epoch")
+
+
+def q_live_epochs(spark, sf_dir):
+    """The same in the stream: switches, clears and changed dimensions while it runs; one clean profile per epoch."""
+    from netbaseline.sources.control import listed_versions_from_events
+    ev = _events(spark, sf_dir)
+    job = _live_job(spark, sf_dir, versions=lambda: listed_versions_from_events(ev))
+    m, old = job.store.manifest(), job.store.closed()
+    dim = F.lit(None).cast("string")
+    for model, text in m.dimensions.items():
+        dim = F.when(F.col("modeling_params_id") == model, F.lit(text)).otherwise(dim)
+    rows = job.store.table(m).withColumn("dimension", dim)
+    rows = rows if old is None else rows.unionByName(old.drop("epoch"))
+    return _result_cols(rows, F.substring_index("dimension", "|", 1).cast("int").alias("epoch"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "o01_has_source_asset": q_o01,
     "o02_parse_flows": q_o02,
@@ -468,6 +542,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "o20_o22_stream_sink": q_o20_o22_stream,
     "o12_o19_cut_windows": q_o12_o19_cut,
     "o19_o20_cut_batches": q_o19_o20_cut,
+    "s01_o02_live_messages": q_live,
+    "o18_dropped_records": q_live_dropped,
+    "o09_live_membership": q_live_members,
+    "o14_o16_idle_source": q_live_idle,
+    "o07_o22_asof_parameters": q_asof,
+    "o23_o24_live_epochs": q_live_epochs,
     "s02_s03_control_tables": q_s02_s03,
     "s04_initial_results": q_s04,
     "o06_output_records": q_o06,
@@ -575,7 +655,7 @@ def _levels_sql(src: str, prefix: str = "", model: bool = False, parity: bool =
   FROM {prefix}l2),"""
 
 
-def _slots_sql(prefix: str, span: str = "1", model_id: str | None = "'msf_base'") -> str:
+def _slots_sql(prefix: str, span: str = "1", model_id: str | None = "'msf_base'", more: str = "") -> str:
     mid = model_id if model_id else "modeling_params_id"
     name = (f"CAST(CASE WHEN {span} = 1 THEN hour(w2_end_local) WHEN {span} = 2 THEN isodow(w2_end_local) "
             f"WHEN {span} IN (3, 4) THEN month(w2_end_local) END AS VARCHAR)")
@@ -585,7 +665,7 @@ def _slots_sql(prefix: str, span: str = "1", model_id: str | None = "'msf_base'"
 {prefix}slots AS (
   SELECT {mid} AS modeling_params_id, src_id, src_ip, area_id, protocol, CAST(direction AS INTEGER) AS up_down,
          b2, w2_end_ts, {name} AS name, {lo} AS lo, {hi} AS hi,
-         {_internal_sql('src_ip')} AS in_out, w2_end_local AS time
+         {_internal_sql('src_ip')} AS in_out, w2_end_local AS time{more}
   FROM {prefix}bounds),"""
 
 
@@ -744,6 +824,96 @@ closed_slots AS (
                  _results_sql("written")) + RESULT_SELECT
 
 
+# ---- the live job ----
+
+def _of_model(column: int, default: str) -> str:
+    """CASE over the literal parameter rows: a column of the model's row."""
+    rows = " ".join(f"WHEN '{r[0]}' THEN {r[column]}" for r in MODELING_PARAMS_ROWS if r[column] is not None)
+    return f"CASE modeling_params_id {rows} ELSE {default} END"
+
+
+_Z_SQL = "CASE modeling_params_id " + " ".join(f"WHEN '{r[0]}' THEN {z_for_confidence(r[7])}" for r in MODELING_PARAMS_ROWS) + " END"
+_MODEL_ASSETS = _assets_sql("model_assets", "candidates")
+_IS_LATE = (f"(event_id * {STREAM_FILES} // (SELECT max(event_id) + 1 FROM events) = 0 AND event_id % {LATE_EVERY} = 0)")
+
+
+def _known_sql(flows: str = "flows", assets: str = _MODEL_ASSETS, inside: str = "") -> str:
+    """``known``: flows of the modelled assets per model; ``on_time``: those not late; ``reached``: time up to which windows are closed."""
+    return f"""{assets}
+known AS (SELECT a.model_id AS modeling_params_id, f.* FROM {flows} f JOIN model_assets a ON f.src_id = a.entity_id{inside}),
+on_time AS (SELECT * FROM known WHERE NOT {_IS_LATE}),
+reached AS (SELECT make_timestamp(epoch_us(max(ts)) - 5000000) AS t FROM on_time),"""
+
+
+def _message_flows_sql() -> str:
+    """``read_flows``: the flows as their messages say, without those that can not be read."""
+    bad = ", ".join(str(c) for c in (EDGE_NOT_JSON, EDGE_NO_RTIME, EDGE_BAD_NUMBER, *EDGE_BLANK_SOURCE))
+    return f"""
+read_flows AS (
+  SELECT * REPLACE (CASE WHEN event_id % 100 = {EDGE_NO_INFLOW} THEN 0 ELSE in_flow END AS in_flow)
+  FROM flows WHERE event_id % 100 NOT IN ({bad})),"""
+
+
+def _live_sql(known: str, before: str = "", closed: str = "w2_end_ts <= (SELECT t FROM reached)") -> str:
+    return _with(FLOWS_SQL, before, known, _levels_sql("on_time", model=True, z=_Z_SQL, exact=True),
+                 _slots_sql("", span=_of_model(5, "1"), model_id=None), f"""
+closed_slots AS (
+  SELECT s.* FROM slots s JOIN actives a ON a.id = s.modeling_params_id AND s.time >= a.modify_time WHERE {closed}),""",
+                 _horizon_sql("closed_slots"), _results_sql("written")) + RESULT_SELECT
+
+
+def _live_dropped_sql(rejects: str) -> str:
+    return _with(FLOWS_SQL, _message_flows_sql(), _known_sql("read_flows")) + f"""
+SELECT reason, window_start, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT 'late' AS reason, {_us_text(f'(epoch_us(ts) // {W1_US}) * {W1_US}')} AS window_start FROM known WHERE {_IS_LATE})
+GROUP BY ALL
+UNION ALL SELECT reject_reason, NULL, n FROM ({rejects})"""
+
+
+_DATED_ASSETS = f"""
+dated AS (
+  SELECT 'grp_' || CAST(u % {GROUP_COUNT} AS VARCHAR) AS group_id, 'ast_' || CAST(u AS VARCHAR) AS entity_id, first, until
+  FROM (SELECT u, u % {MEMBER_DAYS} AS first, u % {MEMBER_DAYS} + {MEMBER_LENGTH} AS until FROM (SELECT DISTINCT user_id AS u FROM events)
+        UNION ALL SELECT u, {MEMBER_AGAIN}, 100000 FROM (SELECT DISTINCT user_id AS u FROM events) WHERE u % 3 = 0)),
+model_assets AS (
+  SELECT model_id, entity_id, TIMESTAMP '2024-01-01' + to_days(CAST(first AS INTEGER)) AS valid_from,
+         TIMESTAMP '2024-01-01' + to_days(CAST(until AS INTEGER)) AS valid_to
+  FROM dated JOIN (
+    SELECT id AS model_id, trim(unnest(string_split(json_extract_string(model_alt_params, '$.model_entity_group'), ','))) AS group_id
+    FROM candidates) USING (group_id)),"""
+
+
+def _asof_sql(src: str, closed: str) -> str:
+    """``written``: slots of two models, judged by the version in force at the window's end, after clears and within the horizon."""
+    return _versions_sql() + f"""
+in_epochs AS (
+  SELECT c.id, c.modify_time, v.span, c.history_days, c.clear_history, d.k_min % 4 <> 0 AS is_on,
+         CAST(sum(CAST(c.dimension_changed AS INTEGER)) OVER (PARTITION BY c.id ORDER BY c.modify_time) AS INTEGER) AS epoch
+  FROM changes c JOIN versions v USING (id, modify_time) JOIN daily d USING (id, modify_time)),""" + _levels_sql(
+        src, model=True, exact=True) + f"""
+asof_bounds AS (
+  SELECT b.*, v.span, v.epoch, v.history_days FROM bounds b
+  ASOF JOIN in_epochs v ON b.modeling_params_id = v.id AND b.w2_end_local >= v.modify_time WHERE v.is_on AND {closed}),""" + _slots_sql(
+        "asof_", span="span", model_id=None, more=", epoch, history_days") + f"""
+clears AS (
+  SELECT id, epoch, max(modify_time) AS cleared FROM in_epochs
+  WHERE clear_history AND {closed.replace('w2_end_local', 'modify_time').replace('w2_end_ts', 'modify_time - INTERVAL 8 HOUR')} GROUP BY ALL),
+uncleared AS (
+  SELECT s.* FROM asof_slots s LEFT JOIN clears c ON c.id = s.modeling_params_id AND c.epoch = s.epoch
+  WHERE cleared IS NULL OR time >= cleared),
+written AS (
+  SELECT * FROM (SELECT *, min(time) OVER (PARTITION BY modeling_params_id, epoch) AS first_time FROM uncleared)
+  WHERE time <= first_time + to_days(CAST(2 * history_days AS INTEGER))),"""
+
+
+_TWO_MODELS = _assets_sql("model_assets", "(SELECT * FROM modeling_params WHERE id IN ('msf_base', 'msf_prev'))")
+
+
+def _epoch_results_sql() -> str:
+    out = _results_sql("written").replace("modeling_params_id, src_id, protocol, up_down", "modeling_params_id, epoch, src_id, protocol, up_down")
+    return out.replace(" AS id, modeling_params_id", " AS id, epoch, modeling_params_id")
+
+
 def oracle_sql() -> dict[str, str]:
     k = "event_id % 100"
     src_o01 = "'ast_' || CAST(user_id AS VARCHAR)"
@@ -963,6 +1133,14 @@ FROM (SELECT DISTINCT src_id, protocol FROM flows)"""
         "o12_o19_cut_windows": _with(FLOWS_SQL, KEPT_SQL, _levels_sql("kept", exact=True)) + _bounds_select(),
         "o19_o20_cut_batches": _with(FLOWS_SQL, KEPT_SQL, _levels_sql("kept", exact=True), _slots_sql(""), _horizon_sql("slots"),
                                      _results_sql("written")) + RESULT_SELECT,
+        "s01_o02_live_messages": _live_sql(_known_sql("read_flows"), _message_flows_sql()),
+        "o18_dropped_records": _live_dropped_sql(o02_rejects),
+        "o09_live_membership": _live_sql(_known_sql(assets=_DATED_ASSETS, inside=" AND f.ts >= a.valid_from AND f.ts < a.valid_to")),
+        "o14_o16_idle_source": _live_sql(_known_sql(), closed="true"),
+        "o07_o22_asof_parameters": _with(FLOWS_SQL, _known_sql(assets=_TWO_MODELS), _asof_sql("known", "true")) + _slot_select("written").replace(
+            "\nFROM", ", epoch\nFROM"),
+        "o23_o24_live_epochs": _with(FLOWS_SQL, _known_sql(assets=_TWO_MODELS), _asof_sql("on_time", "w2_end_ts <= (SELECT t FROM reached)"),
+                                     _epoch_results_sql()) + RESULT_SELECT.replace("\nFROM", ", epoch\nFROM"),
         "s02_s03_control_tables": o08,
         "s04_initial_results": o20,
         "o06_output_records": _with(FLOWS_SQL, KEPT_SQL, _levels_sql("kept")) + f"""

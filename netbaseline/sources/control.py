@@ -11,6 +11,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from netbaseline.functions.time import instant_from_ntz
 from netbaseline.schema import MODELING_PARAMS_SCHEMA, PROFILE_TYPE
 
 
@@ -65,6 +66,24 @@ def group_members_from_events(events: DataFrame) -> DataFrame:
         .distinct())
 
 
+# The dated memberships of the test set: user u of its group from day u % 11 of January 2024
+# for 9 days, and again from day 20 on for u % 3 = 0 (UTC).
+MEMBER_DAYS, MEMBER_LENGTH, MEMBER_AGAIN = 11, 9, 20
+
+
+def dated_members_from_events(events: DataFrame) -> DataFrame:
+    """``(group_id, entity_id, valid_from, valid_to)``: memberships that begin and end within the test month."""
+    start = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+    users = events.select("user_id").distinct().withColumn("first", (F.col("user_id") % MEMBER_DAYS).cast("int"))
+    spans = F.array(F.struct(F.col("first").alias("a"), (F.col("first") + MEMBER_LENGTH).alias("b")),
+                    F.when(F.col("user_id") % 3 == 0, F.struct(F.lit(MEMBER_AGAIN).alias("a"), F.lit(None).cast("int").alias("b"))))
+    day = lambda c: instant_from_ntz(F.timestamp_add("DAY", F.col(c), start), "UTC")
+    return (users.select("user_id", F.explode(F.filter(spans, lambda s: s.isNotNull())).alias("s")).select("user_id", "s.*")
+            .select(F.concat(F.lit("grp_"), (F.col("user_id") % GROUP_COUNT).cast("string")).alias("group_id"),
+                    F.concat(F.lit("ast_"), F.col("user_id").cast("string")).alias("entity_id"),
+                    day("a").alias("valid_from"), day("b").alias("valid_to")))
+
+
 # Literal parameter rows of the test set.  One is the model in
 # force (msf_base), one an older version also switched on, one switched off,
 # one of another model type.  Columns follow MODELING_PARAMS_SCHEMA.
@@ -164,3 +183,12 @@ def param_versions_from_events(events: DataFrame) -> DataFrame:
         F.lit("running").alias("model_task_status"),
         F.col("modify_time"),
     )
+
+
+def listed_versions_from_events(events: DataFrame) -> DataFrame:
+    """:func:`param_versions_from_events` with the group lists of the literal rows."""
+    lists = {r[0]: r[12] for r in MODELING_PARAMS_ROWS}
+    alt = F.lit(None).cast("string")
+    for model, text in lists.items():
+        alt = F.when(F.col("id") == model, F.lit(text)).otherwise(alt)
+    return param_versions_from_events(events).withColumn("model_alt_params", alt)

@@ -25,6 +25,7 @@ from netbaseline.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS
 from netbaseline.plans.baseline import baseline_bounds, model_assets, model_config
 from netbaseline.session import fresh_folder, scratch_root, written
 from netbaseline.sources.control import decode_profiles, local_table
+from netbaseline.sources.flows import messages_from_events
 from netbaseline.streaming.jdbc import upsert_to_jdbc
 from netbaseline.streaming.log_store import Manifest, ResultStore
 
@@ -201,10 +202,11 @@ def start_stream_baseline(flows: DataFrame, params_reader: Callable[[], DataFram
     return query
 
 
-def events_in_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+def events_in_files(spark: SparkSession, sf_dir: str, folder: str, as_messages: bool = False) -> None:
     """The test ``events`` as ``STREAM_FILES`` folders by ranges of ``event_id`` (they rise with time).
 
-    A folder has one file per core, which one micro-batch takes together.
+    A folder has one file per core, which one micro-batch takes together; with
+    ``as_messages`` of JSON lines with planted edge cases, else Parquet.
 
     Every ``LATE_EVERY``-th record of the first range comes with the last one
     instead, long after its window has closed.
@@ -216,8 +218,9 @@ def events_in_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
     late = (place == 0) & (F.col("event_id") % LATE_EVERY == 0)
     placed = events.withColumn("__file", F.when(late, F.lit(STREAM_FILES - 1)).otherwise(place))
     for k in range(STREAM_FILES):  # one after the other: a file stream goes by modification time
-        (placed.where(F.col("__file") == k).drop("__file").repartition(spark.sparkContext.defaultParallelism)
-         .write.parquet(f"{folder}/part{k}"))
+        part = placed.where(F.col("__file") == k).drop("__file")
+        part = (messages_from_events(part) if as_messages else part).repartition(spark.sparkContext.defaultParallelism)
+        part.write.format("text" if as_messages else "parquet").save(f"{folder}/part{k}")
 
 
 def _file_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:

@@ -17,6 +17,7 @@ The root belongs in a shared file system.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from dataclasses import dataclass, field, replace
 
@@ -31,6 +32,8 @@ from netbaseline.schema import RESULT_SCHEMA
 BUCKETS = 32
 COMPACT_SHARE = 0.25      # changed rows of a bucket, as a share of its base, that lead to a rewrite
 MAX_CHANGES = 32          # or that many folders of changes
+MAX_DROPPED = 64          # tables of dropped records before they become one
+DROPPED = ("reason", "window_start", "n")
 TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _STORED = StructType([*RESULT_SCHEMA.fields, StructField("w", LongType()), StructField("b", IntegerType())])
 
@@ -50,6 +53,8 @@ class Manifest:
     open_windows: dict | None = None                                    # write, until and window lengths
     dimensions: dict[str, str] = field(default_factory=dict)            # model -> dimension of its rows
     epochs: list[list] = field(default_factory=list)                    # closed: [model, dimension, write]
+    dropped: list[int] = field(default_factory=list)                    # writes of dropped records
+    at: float = 0.0                                                     # clock of the commit, in seconds
 
     def folders(self) -> set[tuple[int, int]]:
         return {(w, int(b)) for b, entries in self.buckets.items() for w, _ in entries}
@@ -184,7 +189,8 @@ class ResultStore:
     def commit(self, changed: DataFrame, query_id: str = "", batch_id: int = -1, clears: dict[str, str] | None = None,
                drop_models: list[str] = (), replaced: DataFrame | None = None,
                held: OpenWindows | None = None, lengths: tuple[int, int] | None = None,
-               close: dict[str, str] | None = None, dimensions: dict[str, str] | None = None) -> Manifest:
+               close: dict[str, str] | None = None, dimensions: dict[str, str] | None = None,
+               dropped: DataFrame | None = None, last: bool = True) -> Manifest:
         """Write a version in which the rows ``changed`` replace those of their keys; returns its manifest.
 
         ``replaced``: the rows of those keys in the version before
@@ -192,6 +198,8 @@ class ResultStore:
         ``close``: models (and the dimension so far) whose other rows are kept
         aside as a closed epoch.  ``held``: the windows left open, with their
         window ``lengths``.  ``dimensions``: of the models written.
+        ``dropped``: records left out, ``DROPPED`` columns.  A batch of several
+        commits is done with its ``last``.
         """
         old = self.manifest() or Manifest(-1, n_buckets=self.buckets)
         n, write = old.n_buckets, old.next_write
@@ -227,7 +235,7 @@ class ResultStore:
         full = [b for b, e in buckets.items() if len(e) > 1
                 and (len(e) > MAX_CHANGES or sum(x[1] for x in e[1:]) > COMPACT_SHARE * e[0][1])]
         new = replace(old, number=old.number + 1, query_id=query_id, batch_id=batch_id, buckets=buckets, live=live,
-                      first_write=first, done=old.done | {query_id: batch_id}, clears=old.clears | (clears or {}),
+                      first_write=first, done=old.done | ({query_id: batch_id} if last else {}), at=time.time(), clears=old.clears | (clears or {}),
                       dimensions=old.dimensions | (dimensions or {}), epochs=epochs)
         if full:
             counts = self._write(self._merged(new, full), write, n).groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -240,10 +248,28 @@ class ResultStore:
             held.level2.write.mode("overwrite").parquet(f"{folder}/level2")
             new = replace(new, open_windows={"write": write, "until": held.until, "lengths": list(lengths or ())})
             write += 1
+        if dropped is not None:
+            entries = [*new.dropped, write]
+            if len(entries) > MAX_DROPPED:           # one table again
+                dropped = self._dropped(new.dropped).unionByName(dropped).groupBy("reason", "window_start").agg(F.sum("n").alias("n"))
+                entries = [write]
+            dropped.select(*DROPPED).write.mode("overwrite").parquet(f"{self.root}/dropped/w={write}")
+            new, write = replace(new, dropped=entries), write + 1
         new = replace(new, buckets=buckets, next_write=write)
         self._publish(new)
         return new
 
+    def _dropped(self, writes: list[int]) -> DataFrame:
+        return self.spark.read.schema("reason string, window_start timestamp, n long").parquet(
+            *(f"{self.root}/dropped/w={w}" for w in writes))
+
+    def dropped(self) -> DataFrame | None:
+        """``(reason, window_start, n)``: the records left out so far, each batch's exactly once."""
+        m = self.manifest()
+        if m is None or not m.dropped:
+            return None
+        return self._dropped(m.dropped).groupBy("reason", "window_start").agg(F.sum("n").cast("long").alias("n"))
+
     def expire(self, keep: int) -> None:
         """Remove all but the newest ``keep`` versions and the folders that only they name."""
         numbers = self._numbers()
