@@ -201,7 +201,7 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     parts = stored(connected_components(verified(pairs, lines), "line-components"), "line-parts")
     more = stored(unsettled_pairs(marks, buckets, parts, lines), "line-unsettled")
     if not more.isEmpty():
-        likely = more.groupBy("a", "c").agg(F.min_by("b", F.expr(f"differ * {1 << 24} + (xxhash64(b) & {(1 << 24) - 1})")).alias("b"))
+        likely = more.groupBy("a", "c").agg(F.min_by("b", F.expr(f"bigint(differ) * {1 << 24} + (xxhash64(b) & {(1 << 24) - 1})")).alias("b"))
         parts = _joined(parts, verified(stored(likely.select("a", "b"), "line-likely"), lines))
         of = lambda e: parts.select(F.col("node").alias(f"n{e}"), F.col("component").alias(f"p{e}"))
         left = (more.select("a", "b").join(of("a"), F.col("a") == F.col("na"), "left").join(of("b"), F.col("b") == F.col("nb"), "left")

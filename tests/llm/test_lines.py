@@ -117,6 +117,21 @@ def test_large_template_family(spark):
     assert len(got ^ want) <= 2
 
 
+def test_family_of_long_lines(spark):
+    """Variants of one long line, many of them too far from the most frequent one: links through others are found."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randrange(3, 9))) for _ in range(150)]
+    rows = [(k, " ".join(words)) for k in range(3)]
+    for k in range(3, 160):
+        w = list(words)
+        for at in rng.sample(range(150), rng.randrange(4, 22)):
+            w[at] = f"edit{rng.randrange(6)}"
+        rows.append((k, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(str((r["doc_id"], r["text"])) for r in L.dedup_lines(df).collect())
+    assert len(set(got) ^ set(brute(rows))) <= 4
+
+
 def test_blocks_of_a_bucket(spark, monkeypatch):
     """Small blocks: the same links as with one block a bucket."""
     rng = random.Random(9)
