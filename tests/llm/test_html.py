@@ -31,6 +31,38 @@ def test_templates(body):
     assert H.Page(page(body)).text(None) == "\n".join(TEXT)
 
 
+LONG = "A long paragraph of the body goes on and on with many words in it. " * 6
+
+
+@pytest.mark.parametrize("body,lines", [
+    (f"<article><h1>The heading</h1><div class=intro><p>{TEXT[0]}</p></div><div class=body><p>{LONG}</p></div></article>",
+     ["The heading", TEXT[0], LONG.strip()]),
+    (f"<section class=a><p>{LONG}</p></section><section class=b><p>{LONG} Second.</p></section>", [LONG.strip(), LONG + "Second."]),
+    (f"<div class=menu2><a>Home page of it</a> <a>Other pages here</a></div><div class=post><h1>The heading</h1>"
+     f"<div class=body><p>{LONG}</p></div></div>", ["The heading", LONG.strip()]),
+    (f"<div class=x9><ul><li><a href=1>One link of a list</a></li><li><a href=2>Another link of it</a></li></ul>"
+     f"<div class=body><p>{LONG}</p><blockquote class=alert>{TEXT[0]}</blockquote></div></div>", [LONG.strip(), TEXT[0]]),
+    (f"<div class=search-results><p>{LONG}</p></div>", [LONG.strip()]),
+    (f"<div class=post><h2 class=entry-header>The heading</h2><p>{LONG}</p><p>So <math><mi>a</mi>+<mi>b</mi></math> is it.</p></div>",
+     ["The heading", LONG.strip(), "So a+b is it."]),
+])
+def test_whole_articles(body, lines):
+    """Split articles stay whole; class words do not judge quotations, headings and results; formulas stay."""
+    assert H.Page(page(body)).text(None).split("\n") == lines
+
+
+def test_deep_pages_take_little():
+    """Memory and time go with the size of a page, not with the square of its depth."""
+    import time
+    import tracemalloc
+    source = "<div class=c>" * 50_000 + "<p>deep text is here and goes on</p>"
+    tracemalloc.start()
+    start = time.time()
+    assert H.Page(source).text(None) == "deep text is here and goes on"
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20 and time.time() - start < 30
+    tracemalloc.stop()
+
+
 def test_odd_pages():
     for source in ("", "   ", "<", "<p", "<!--", "<script>", "</p></div>", "<div " * 50, "\x00<\x01>", "<p>" * 3000):
         H.Page(source).text(None)
