@@ -2,7 +2,9 @@
 
 Two multinomials over hashed n-gram buckets are estimated: one from trusted
 documents (good quality, not toxic, at most ``max_trusted`` of them), one from
-the whole raw corpus.  A document's score is the sum of log(trusted / raw)
+the whole raw corpus.  The buckets grow with the square root of the corpus, as
+the different n-grams of a text do, and the smoothing is a share of their mean
+count, so that a verdict does not depend on the size of the corpus.  A document's score is the sum of log(trusted / raw)
 over its n-grams divided by their number; it is kept if the score is not below
 ``threshold``.  N-grams: words, word pairs, and pairs of word shapes (runs of
 upper case, lower case, digits and other characters, and whether both words
@@ -18,14 +20,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .bpe import sub_batches
 from .common import WORD
 
-BUCKETS = 1 << 16
+BUCKETS_A_ROOT = 8         # buckets per square root of the corpus' bytes, rounded up to a power of two,
+MAX_BITS = 24              # 2^24 at most: the ratios are broadcast (64 MB) from 4 TB of text on
 MAX_TRUSTED = 100_000      # bound of the sample of labelled rows that the trusted model is fitted on
-SMOOTHING = 50.0           # raw occurrences' worth of "no difference" in every bucket
+SMOOTHING = 1.0            # "no difference" in every bucket, in mean counts of a bucket
 THRESHOLD = -0.25
 MIN_WORDS = 50
 MAX_KNOWN_WORDS = 150_000  # remembered hashes per worker
@@ -75,7 +78,7 @@ class WordHashes:
 class Batch:
     """Words and n-gram buckets of several texts, in flat arrays."""
 
-    def __init__(self, texts: list[str], hashes: WordHashes):
+    def __init__(self, texts: list[str], hashes: WordHashes, bits: int):
         lists = [_words.findall(t) for t in texts]
         self.texts, self.lists, self.n = texts, lists, len(texts)
         self.doc = np.repeat(np.arange(self.n), [len(w) for w in lists])
@@ -87,7 +90,7 @@ class Batch:
         self.gram_doc = np.concatenate([self.doc, of, of])
         g = np.concatenate([h, pairs, shapes ^ _K[2]])
         g = (g ^ (g >> np.uint64(31))) * _K[1]
-        self.gram = (g >> np.uint64(64 - int(math.log2(BUCKETS)))).astype(np.int64)
+        self.gram = (g >> np.uint64(64 - bits)).astype(np.int64)
 
     def repeat_words(self) -> np.ndarray:
         """Per text: words inside a three-word window that occurs twice or more in it."""
@@ -117,7 +120,7 @@ def _dup_lines(text: str) -> int:
 def score_texts(texts: list[str], ratio: np.ndarray, hashes: WordHashes, threshold: float,
                 min_words: int = MIN_WORDS) -> pd.DataFrame:
     """The columns of ``FEATURES`` for some texts; ``ratio``: log-likelihood ratio per bucket."""
-    b = Batch(texts, hashes)
+    b = Batch(texts, hashes, len(ratio).bit_length() - 1)
     n_grams = np.bincount(b.gram_doc, minlength=b.n)
     total = np.bincount(b.gram_doc, ratio[b.gram], minlength=b.n)
     out = pd.DataFrame({
@@ -129,17 +132,25 @@ def score_texts(texts: list[str], ratio: np.ndarray, hashes: WordHashes, thresho
     return out
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    raw, trusted, hashes = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64), WordHashes()
-    for batch in batches:
-        marks, at = batch["q_trusted"].to_numpy(bool), 0
-        for texts in sub_batches(batch["q_text"]):
-            b = Batch(texts, hashes)
-            raw += np.bincount(b.gram, minlength=BUCKETS)
-            trusted += np.bincount(b.gram[marks[at:at + b.n][b.gram_doc]], minlength=BUCKETS)
-            at += b.n
-    seen = np.flatnonzero(raw)
-    yield pd.DataFrame({"bucket": seen, "raw": raw[seen], "trusted": trusted[seen]})
+def bucket_bits(n_bytes: int) -> int:
+    """Bits of a bucket's number for a corpus of ``n_bytes``."""
+    return min(MAX_BITS, max(1, math.ceil(math.log2(BUCKETS_A_ROOT * math.sqrt(max(1, n_bytes))))))
+
+
+def _count(bits: int):
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        raw, trusted, hashes = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64), WordHashes()
+        for batch in batches:
+            marks, at = batch["q_trusted"].to_numpy(bool), 0
+            for texts in sub_batches(batch["q_text"]):
+                b = Batch(texts, hashes, bits)
+                raw += np.bincount(b.gram, minlength=1 << bits)
+                trusted += np.bincount(b.gram[marks[at:at + b.n][b.gram_doc]], minlength=1 << bits)
+                at += b.n
+        seen = np.flatnonzero(raw)
+        yield pd.DataFrame({"bucket": seen, "raw": raw[seen], "trusted": trusted[seen]})
+
+    return count
 
 
 def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
@@ -152,31 +163,31 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         max_trusted: int = MAX_TRUSTED, smoothing: float = SMOOTHING) -> np.ndarray:
     """Log-likelihood ratio per bucket, counted over all documents.
 
-    Every task reduces its rows to one row per bucket; the driver gets the
-    sums of the ``BUCKETS`` buckets, whatever the input's size.  The trusted
-    ids, bounded by ``max_trusted``, are broadcast.  Without trusted documents
-    all ratios are 0.
+    Every task reduces its rows to one row per bucket; the driver gets their
+    sums (:func:`bucket_bits` bounds them).  The trusted ids, bounded by
+    ``max_trusted``, are broadcast.  Without trusted documents all ratios are 0.
     """
     rows = docs.select(F.col(id_col).alias("q_id"), F.coalesce(F.col(text_col), F.lit("")).alias("q_text"))
     marked = (rows.join(F.broadcast(trusted_ids(labels, max_trusted)), F.col("q_id") == F.col("t_id"), "left")
               .select("q_text", F.col("t_id").isNotNull().alias("q_trusted")))
-    sums = (marked.mapInPandas(_count, "bucket long, raw long, trusted long").groupBy("bucket")
+    bits = bucket_bits(docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0)
+    sums = (marked.mapInPandas(_count(bits), "bucket long, raw long, trusted long").groupBy("bucket")
             .agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).toPandas())
-    raw, trusted = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    raw, trusted = np.zeros(1 << bits), np.zeros(1 << bits)
     raw[sums["bucket"]], trusted[sums["bucket"]] = sums["raw"], sums["trusted"]
     if not trusted.sum():
-        return np.zeros(BUCKETS)
-    share = trusted.sum() / raw.sum()
-    return np.log((trusted + smoothing * share) / ((raw + smoothing) * share))
+        return np.zeros(1 << bits)
+    share, prior = trusted.sum() / raw.sum(), smoothing * raw.mean()
+    return np.log((trusted + prior * share) / ((raw + prior) * share))
 
 
-def quality_column(text: Column, ratio: np.ndarray, threshold: float = THRESHOLD) -> Column:
+def quality_column(spark: SparkSession, text: Column, ratio: np.ndarray, threshold: float = THRESHOLD) -> Column:
     """Struct of ``FEATURES`` for a text (null: no words)."""
-    ratio = ratio.astype(np.float64)
+    shared = spark.sparkContext.broadcast(ratio.astype(np.float32))
 
     @F.pandas_udf(FEATURES)
     def rules(texts: pd.Series) -> pd.DataFrame:
-        hashes = _worker_hashes()
+        ratio, hashes = shared.value, _worker_hashes()
         parts = [score_texts(batch, ratio, hashes, threshold) for batch in sub_batches(texts)]
         return pd.concat(parts, ignore_index=True) if parts else score_texts([], ratio, hashes, threshold)
 
@@ -200,7 +211,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     and fail the base rules.  Extra columns are ignored.
     """
     ratio = fit(docs, labels, id_col, text_col)
-    rated = docs.select(F.col(id_col), quality_column(F.col(text_col), ratio, threshold).alias("q_rules"))
+    rated = docs.select(F.col(id_col), quality_column(docs.sparkSession, F.col(text_col), ratio, threshold).alias("q_rules"))
     return rated.select(id_col, "q_rules.*")
 
 
@@ -209,5 +220,5 @@ def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """The rows of ``docs`` that the rules keep, all columns as they were."""
     ratio = fit(docs, labels, id_col, text_col)
     rated = docs.select(F.struct(*docs.columns).alias("row"),
-                        quality_column(F.col(text_col), ratio, threshold).alias("q_rules"))
+                        quality_column(docs.sparkSession, F.col(text_col), ratio, threshold).alias("q_rules"))
     return rated.where("q_rules.kept").select("row.*")

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from netbaseline.llm import quality as Q, queries
 
@@ -38,23 +39,40 @@ def test_base_counts(spark):
     assert Q.keep_quality(df, labels).columns == df.columns
 
 
-def test_ratio_equals_brute_force(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
+def grams(text):
+    """Words, word pairs and pairs of word shapes of a text, as tuples."""
+    words = WORDS.findall(text or "")
+    kind = lambda c: "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c
+    shape = lambda w: re.sub(r"(.)\1+", r"\1", "".join(map(kind, w)), flags=re.S)[:12]
+    out = [("w", w) for w in words] + [("p", a, b) for a, b in zip(words, words[1:])]
+    return out + [("s", shape(a), shape(b), a == b) for a, b in zip(words, words[1:])]
+
+
+def test_scores_equal_counts_of_the_ngrams_themselves(spark, monkeypatch):
+    """With far more buckets than n-grams the scores are those of a model over the n-grams."""
+    monkeypatch.setattr(Q, "bucket_bits", lambda n: 24)
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.where("doc_id < 60")
     rows = docs.select("doc_id", "text").collect()
     good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1 and not r["toxic"]}
-    raw, trusted, hashes = np.zeros(Q.BUCKETS), np.zeros(Q.BUCKETS), Q.WordHashes()
+    raw, trusted = Counter(), Counter()
     for r in rows:
-        n = np.bincount(Q.Batch([r["text"]], hashes).gram, minlength=Q.BUCKETS)
-        raw += n
-        trusted += n * (r["doc_id"] in good)
-    share = trusted.sum() / raw.sum()
-    want = np.log((trusted + Q.SMOOTHING * share) / ((raw + Q.SMOOTHING) * share))
-    assert np.allclose(Q.fit(docs, labels), want)
+        found = grams(r["text"])
+        raw.update(found)
+        trusted.update(found if r["doc_id"] in good else ())
+    share, prior = sum(trusted.values()) / sum(raw.values()), Q.SMOOTHING * sum(raw.values()) / (1 << 24)
+    ratio = {g: np.log((trusted[g] + prior * share) / ((n + prior) * share)) for g, n in raw.items()}
+    got = {r["doc_id"]: (r["n_grams"], r["score"]) for r in Q.quality_rules(docs, labels).collect()}
+    for r in rows:
+        found = grams(r["text"])
+        assert got[r["doc_id"]][0] == len(found)
+        assert abs(got[r["doc_id"]][1] - sum(ratio[g] for g in found) / max(1, len(found))) < 0.02
 
 
-def test_held_out_accuracy(spark):
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
+def test_held_out_accuracy(spark, folder):
+    """The same threshold at every size of the corpus."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/{folder}/{t}.parquet") for t in ("documents", "labels"))
     fitted_on = labels.where("doc_id % 2 = 0")
     rated = Q.quality_rules(docs, fitted_on).join(labels.where("doc_id % 2 = 1"), "doc_id").where("not base_failed").collect()
     right = sum(r["kept"] == (r["quality"] == 1) for r in rated)
@@ -74,3 +92,8 @@ def test_only_short_texts(spark):
     assert got == {1: (2, 0), 2: (1, 0), 3: (0, 0), 4: (0, 0)}
     one = spark.createDataFrame([(1, "a b c"), (2, "c d"), (3, "e")], "doc_id long, text string").coalesce(1)
     assert {r["n_words"] for r in Q.quality_rules(one, labels).collect()} == {1, 2, 3}
+
+
+def test_buckets_grow_with_the_corpus():
+    bits = [Q.bucket_bits(10 ** k) for k in range(4, 16)]
+    assert bits == sorted(bits) and bits[0] == 10 and bits[2] == 13 and bits[-1] == Q.MAX_BITS
