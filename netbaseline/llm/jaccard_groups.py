@@ -37,10 +37,10 @@ from .components import connected_components
 KEYS, ROWS = 8, 3
 MAX_KNOWN_WORDS = 150_000
 MAX_BROADCAST = 1_000_000    # rows of two longs
-BUCKET_TOKENS = 800_000      # tokens counted in one group of the matrix count, about
+BUCKET_TOKENS = 1_500_000    # tokens counted in one group of the matrix count, about
 GROUP_PERCENT = 50           # classes this similar are put into one group
-GROUP_ROWS = 4_096           # members of a group and
-GROUP_TOKENS = 500_000       # their tokens at most, about (larger ones are cut into blocks)
+GROUP_ROWS = 8_192           # members of a group and
+GROUP_TOKENS = 1_000_000     # their tokens at most, about (larger ones are cut into blocks)
 QUERY_ROWS = 4_096           # queries that open a group in one task, about
 MATRIX = (256, 1_024)        # rows and columns of the 0/1 matrix that are multiplied at a time
 FLUSH_TOKENS = 150_000       # tokens a map task holds before it packs them
