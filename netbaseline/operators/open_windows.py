@@ -72,23 +72,24 @@ def window_stats(moments: DataFrame, level2_seconds: int) -> DataFrame:
 
 
 def advance(sums: DataFrame, held: OpenWindows | None, until: int, level1_seconds: int, level2_seconds: int,
-            parity: bool, keep) -> Advance:
+            parity: bool, keep, is_kept: bool = False) -> Advance:
     """Add a batch's ``window_sums`` to what is held and close all windows that end by ``until`` (microseconds).
 
     Sums of level-1 windows that an earlier batch has closed are late: they
     are left out and handed back.  ``keep(df, name)`` writes a table and
     returns it read again: it cuts the lineage, and every step is computed once.
+    ``is_kept``: the sums are such a table already.
     """
     d1, d2 = level1_seconds * 1_000_000, level2_seconds * 1_000_000
     if held is not None:
         until = max(until, held.until)
-        sums = keep(sums, "batch-sums")
+        sums = sums if is_kept else keep(sums, "batch-sums")
         late = sums.where(F.col("w1") + d1 <= held.until)
         sums = sums.where(F.col("w1") + d1 > held.until).unionByName(held.level1)
-        sums = _added(sums, [c for c in sums.columns if c not in SUMS], SUMS)
+        sums, is_kept = _added(sums, [c for c in sums.columns if c not in SUMS], SUMS), False
     else:
         late = sums.where("false")
-    sums = keep(sums, "level1-sums")
+    sums = sums if is_kept else keep(sums, "level1-sums")
     moments = window_moments(sums.where(F.col("w1") + d1 <= until), level1_seconds, level2_seconds, parity)
     if held is not None:
         moments = moments.unionByName(held.level2)

@@ -110,7 +110,7 @@ class LiveJob:
             counts = {r: n for r, n in rejects(not assets.isEmpty()).items() if r in REASONS and n}
             if until is None and not counts:
                 return old                  # nothing of a modelled asset has ever come
-            step = advance(sums.drop("last_us"), held, until if until is not None else 0, d1, d2, self.parity, written)
+            step = advance(sums.drop("last_us"), held, until if until is not None else 0, d1, d2, self.parity, written, is_kept=True)
             return self._merge(step, old, versions, counts, query_id, batch_id, (d1, d2))
 
     def _merge(self, step, old: Manifest | None, versions: DataFrame, counts: dict, query_id: str, batch_id: int,
@@ -139,18 +139,20 @@ class LiveJob:
             F.lit(LATE).alias("reason"), "window_start", "n")
         if rows:
             dropped = dropped.unionByName(spark.sql(f"SELECT c1 AS reason, CAST(NULL AS TIMESTAMP) AS window_start, c2 AS n FROM VALUES {', '.join(rows)} AS t(c1, c2)"))
-        dropped = written(dropped, "live-dropped")
+        left_out = bool(rows) or not step.late.isEmpty()
         m = old
         for k, now in enumerate(rounds):
             is_last = k == len(rounds) - 1
             m = self._round(m, slots, now, gone if k == 0 else [], newest, query_id, batch_id, is_last,
-                            step.held if is_last else None, lengths, dropped if is_last and not dropped.isEmpty() else None)
+                            step.held if is_last else None, lengths, dropped if is_last and left_out else None)
         if self.keep_versions:
             self.store.expire(self.keep_versions)
         return m
 
     def _round(self, m, slots, now, gone, clears, query_id, batch_id, is_last, held, lengths, dropped) -> Manifest:
         """Merge one epoch per model: a model whose rows are of another epoch has them closed first."""
+        if not now:                         # no window of a model that is on has ended
+            return self.store.commit(None, query_id, batch_id, clears, gone, None, held, lengths, dropped=dropped, last=is_last)
         mine = F.lit(False)
         for model, (epoch, _) in now.items():
             mine |= (F.col(MODEL_KEY) == model) & (F.col("epoch") == epoch)

@@ -186,12 +186,12 @@ class ResultStore:
          .write.mode("overwrite").partitionBy("b").parquet(path))
         return self.spark.read.schema(_STORED).option("basePath", f"{self.root}/data").parquet(path)
 
-    def commit(self, changed: DataFrame, query_id: str = "", batch_id: int = -1, clears: dict[str, str] | None = None,
+    def commit(self, changed: DataFrame | None, query_id: str = "", batch_id: int = -1, clears: dict[str, str] | None = None,
                drop_models: list[str] = (), replaced: DataFrame | None = None,
                held: OpenWindows | None = None, lengths: tuple[int, int] | None = None,
                close: dict[str, str] | None = None, dimensions: dict[str, str] | None = None,
                dropped: DataFrame | None = None, last: bool = True) -> Manifest:
-        """Write a version in which the rows ``changed`` replace those of their keys; returns its manifest.
+        """Write a version in which the rows ``changed`` (None: no rows) replace those of their keys; returns its manifest.
 
         ``replaced``: the rows of those keys in the version before
         (:meth:`touched`).  ``drop_models``: models whose other rows go;
@@ -220,8 +220,9 @@ class ResultStore:
         before = {}
         if replaced is not None:
             before = {str(r["b"]): r["n"] for r in replaced.groupBy(self.bucket(n).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        told = (self._write(changed, write, n).groupBy("b", "modeling_params_id")
-                .agg(F.count(F.lit(1)).alias("n"), F.date_format(F.min("time"), TIME).alias("t")).collect())
+        told = [] if changed is None else (
+            self._write(changed, write, n).groupBy("b", "modeling_params_id")
+            .agg(F.count(F.lit(1)).alias("n"), F.date_format(F.min("time"), TIME).alias("t")).collect())
         sizes: dict[str, int] = {}
         for r in told:                                     # at most one row per bucket and model
             sizes[str(r["b"])] = sizes.get(str(r["b"]), 0) + r["n"]
