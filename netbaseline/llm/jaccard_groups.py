@@ -37,7 +37,8 @@ from .components import connected_components
 KEYS, ROWS = 8, 3
 MAX_KNOWN_WORDS = 150_000
 MAX_BROADCAST = 1_000_000    # rows of two longs
-BUCKET_TOKENS = 1_500_000    # tokens counted in one group of the matrix count, about
+BUCKET_TOKENS = 200_000      # tokens of one hash range of the matrix count, about
+HELD_COUNTS = 500_000        # counts a task of it holds
 GROUP_PERCENT = 50           # classes this similar are put into one group
 GROUP_ROWS = 8_192           # members of a group and
 GROUP_TOKENS = 1_000_000     # their tokens at most, about (larger ones are cut into blocks)
@@ -220,16 +221,10 @@ def _pack(width: int, buckets: int):
     return pack
 
 
-def _count_shared(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one hash range: per document, how many of its tokens also occur in another group.
-
-    A group of a negative bucket holds such counts of several packs.
-    """
-    tok = np.frombuffer(b"".join(rows["tok"]), np.uint64)
-    rep = np.frombuffer(b"".join(rows["rep"]), np.int64)
-    grp = np.frombuffer(b"".join(rows["grp"]), np.int64)
-    if rows["bucket"].iat[0] < 0:
-        return pd.DataFrame({"rep": tok.view(np.int64), "shared": rep})
+def _range_counts(parts: list[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray]:
+    """Of one hash range: documents, and how many of their tokens also occur in another group."""
+    tok, rep, grp = (np.frombuffer(b"".join(x for part in parts for x in part[c]), kind)
+                     for c, kind in (("tok", np.uint64), ("rep", np.int64), ("grp", np.int64)))
     order = np.argsort(tok, kind="stable")
     head = np.flatnonzero(np.r_[True, tok[order][1:] != tok[order][:-1]])
     run = np.repeat(np.arange(len(head)), np.diff(np.r_[head, len(tok)]))
@@ -237,8 +232,43 @@ def _count_shared(rows: pd.DataFrame) -> pd.DataFrame:
     settled = np.minimum.reduceat(rep[order], head) < 0
     shared = (settled | (np.maximum.reduceat(g, head) != np.minimum.reduceat(g, head)))[run]
     mine = rep[order][shared]
-    seen, n = np.unique(mine[mine >= 0], return_counts=True)
-    return pd.DataFrame({"rep": seen, "shared": n.astype(np.int64)})
+    return np.unique(mine[mine >= 0], return_counts=True)
+
+
+def _count_shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of :func:`_pack`, sorted by hash range -> (rep, shared): one range at a time, summed up to ``HELD_COUNTS`` counts.
+
+    Rows of a negative bucket are such counts already.
+    """
+    reps, counts, held = [], [], 0
+    parts: list[pd.DataFrame] = []
+
+    def summed() -> pd.DataFrame:
+        rep, at = np.unique(np.concatenate(reps), return_inverse=True)
+        return pd.DataFrame({"rep": rep, "shared": np.bincount(at, np.concatenate(counts)).astype(np.int64)})
+
+    def add(rep: np.ndarray, n: np.ndarray) -> None:
+        nonlocal held
+        reps.append(rep)
+        counts.append(n)
+        held += len(rep)
+
+    for batch in batches:
+        for bucket, rows in batch.groupby("bucket", sort=False):
+            if parts and parts[0]["bucket"].iat[0] != bucket:
+                add(*_range_counts(parts))
+                parts = []
+            if bucket < 0:
+                add(*(np.frombuffer(b"".join(rows[c]), np.int64) for c in ("tok", "rep")))
+            else:
+                parts.append(rows)
+            if held > HELD_COUNTS:
+                yield summed()
+                reps, counts, held = [], [], 0
+    if parts:
+        add(*_range_counts(parts))
+    if held:
+        yield summed()
 
 
 def _open_groups(left: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -398,7 +428,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     buckets = int(max(32, total // BUCKET_TOKENS))
     packed = (named.join(_small(grouped.select("rep", "grp")), F.col("j_id") == F.col("rep")).select("rep", "grp", "j_text")
               .mapInPandas(_pack(width, buckets), "bucket int, tok binary, rep binary, grp binary"))
-    shared = (packed.groupBy("bucket").applyInPandas(_count_shared, "rep long, shared long")
+    # Ranges are dealt over the session's shuffle partitions and come one after the other in each.
+    dealt = packed.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "bucket").sortWithinPartitions("bucket")
+    shared = (dealt.mapInPandas(_count_shared, "rep long, shared long")
               .groupBy("rep").agg(F.sum("shared").alias("shared")))
     left = stored(grouped.join(shared, "rep").where(f"100 * shared >= {percent} * n").select("rep", "grp", "n"),
                   "jaccard-left")
