@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 MIN_WORDS = 25
 MIN_CHARS = 200
 LAST = (1 << 63) - 1       # rank of a document without an id
+HELD_DIGESTS = 50_000      # digests that leave a task together, about
 MARKS = ".!?\u3002\uff01\uff1f\uff61"   # that end a sentence; left out at the end of a unit
 BORDER = re.compile("[.!?]+[ \t\r]+|[\u3002\uff01\uff1f\uff61]+|\n+")
 
@@ -73,11 +74,27 @@ def lines_of(text: str) -> list[tuple[bytes, list[Unit]]]:
 
 
 def _digest_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The distinct digests of every document, some ``HELD_DIGESTS`` rows in a frame."""
+    docs, subs, sizes, parts, held = [], [], [], [], 0
+
+    def frame() -> pd.DataFrame:
+        halves = np.frombuffer(b"".join(parts), "<i8").reshape(-1, 2)
+        return pd.DataFrame({"u_hi": halves[:, 1], "u_lo": halves[:, 0],
+                             "u_doc": np.repeat(np.array(docs, np.int64), sizes), "u_sub": np.repeat(np.array(subs, np.int64), sizes)})
+
     for batch in batches:
         for doc, sub, text in batch.itertuples(index=False):
             digests = {d for whole, units in lines_of(text) for d in (whole, *(u.digest for u in units)) if d}
-            halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            yield pd.DataFrame({"u_hi": halves[:, 1], "u_lo": halves[:, 0], "u_doc": np.int64(doc), "u_sub": np.int64(sub)})
+            docs.append(doc)
+            subs.append(sub)
+            sizes.append(len(digests))
+            parts.extend(digests)
+            held += len(digests)
+            if held >= HELD_DIGESTS:
+                yield frame()
+                docs, subs, sizes, parts, held = [], [], [], [], 0
+    if held:
+        yield frame()
 
 
 def cut_repeats(text: str, owned: set[int], min_words: int, min_chars: int = MIN_CHARS) -> tuple[str, int, list[dict]]:

@@ -1,5 +1,6 @@
 import re
 
+import pandas as pd
 import pytest
 
 from netbaseline.llm import substring_dedup as S
@@ -101,3 +102,12 @@ def test_whole_table(spark, folder):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     out = S.dedup_substrings(spark.read.parquet(f"{folder}/documents.parquet")).collect()
     assert sorted(((r["doc_id"], r["text"]) for r in out), key=repr) == brute(rows)
+
+
+def test_digests_leave_a_task_together():
+    """One frame for many short documents: a frame a document costs more than its digests."""
+    batch = pd.DataFrame({"u_doc": range(500), "u_sub": 3, "u_text": [f"Line {k}.\nCommon line" for k in range(500)]})
+    frames = list(S._digest_rows(iter([batch, batch.assign(u_doc=batch["u_doc"] + 500)])))
+    assert len(frames) == 1
+    assert frames[0].groupby("u_doc").size().tolist() == [2] * 1000 and set(frames[0]["u_sub"]) == {3}
+    assert frames[0].groupby(["u_hi", "u_lo"])["u_doc"].nunique().max() == 1000
