@@ -35,10 +35,12 @@ from .common import stored
 from .components import connected_components
 
 KEYS, ROWS = 8, 3
-MAX_KNOWN_WORDS = 150_000
+MAX_KNOWN_WORDS = 50_000     # remembered words per worker
 MAX_BROADCAST = 1_000_000    # rows of two longs
 BUCKET_TOKENS = 200_000      # tokens of one hash range of the matrix count, about
 HELD_COUNTS = 500_000        # counts a task of it holds
+PART_COUNTS = 4_096          # counts of a part of the documents that leave it together, about
+PART_ROWS = 100_000          # documents of a part, about
 GROUP_PERCENT = 50           # classes this similar are put into one group
 GROUP_ROWS = 8_192           # members of a group and
 GROUP_TOKENS = 1_000_000     # their tokens at most, about (larger ones are cut into blocks)
@@ -235,40 +237,76 @@ def _range_counts(parts: list[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(mine[mine >= 0], return_counts=True)
 
 
-def _count_shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows of :func:`_pack`, sorted by hash range -> (rep, shared): one range at a time, summed up to ``HELD_COUNTS`` counts.
+def _summed(reps: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    rep, at = np.unique(np.concatenate(reps), return_inverse=True)
+    return rep, np.bincount(at, np.concatenate(counts), minlength=len(rep)).astype(np.int64)
 
-    Rows of a negative bucket are such counts already.
-    """
-    reps, counts, held = [], [], 0
-    parts: list[pd.DataFrame] = []
 
-    def summed() -> pd.DataFrame:
-        rep, at = np.unique(np.concatenate(reps), return_inverse=True)
-        return pd.DataFrame({"rep": rep, "shared": np.bincount(at, np.concatenate(counts)).astype(np.int64)})
+def _count_shared(parts: int):
+    """Rows of :func:`_pack`, sorted by hash range -> (part, rep, n): counts per document, packed per part of the documents.
 
-    def add(rep: np.ndarray, n: np.ndarray) -> None:
-        nonlocal held
-        reps.append(rep)
-        counts.append(n)
-        held += len(rep)
+    One range comes at a time; counts are summed up to ``HELD_COUNTS`` of them (or ``PART_COUNTS`` a part).  A
+    document has counts in nearly every task, so they leave it together:
+    rows grow with the tokens and not with documents times tasks.  Rows of a
+    negative bucket are such counts already.
+    """
+    room = max(HELD_COUNTS, parts * PART_COUNTS)
+
+    def packed(reps: list[np.ndarray], counts: list[np.ndarray]) -> pd.DataFrame:
+        rep, n = _summed(reps, counts)
+        place = _mix(rep.astype(np.uint64)) % np.uint64(parts)
+        order = np.argsort(place, kind="stable")
+        rep, n, at = rep[order], n[order], np.searchsorted(place[order], np.arange(parts + 1).astype(np.uint64))
+        return pd.DataFrame([(k, rep[at[k]:at[k + 1]].tobytes(), n[at[k]:at[k + 1]].tobytes())
+                             for k in range(parts) if at[k] < at[k + 1]], columns=["part", "rep", "n"])
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reps, counts, held = [], [], 0
+        rows_of: list[pd.DataFrame] = []
+
+        def add(rep: np.ndarray, n: np.ndarray) -> None:
+            nonlocal held
+            reps.append(rep)
+            counts.append(n)
+            held += len(rep)
 
+        for batch in batches:
+            for bucket, rows in batch.groupby("bucket", sort=False):
+                if rows_of and rows_of[0]["bucket"].iat[0] != bucket:
+                    add(*_range_counts(rows_of))
+                    rows_of = []
+                if bucket < 0:
+                    add(*(np.frombuffer(b"".join(rows[c]), np.int64) for c in ("tok", "rep")))
+                else:
+                    rows_of.append(rows)
+                if held > room:
+                    yield packed(reps, counts)
+                    reps, counts, held = [], [], 0
+        if rows_of:
+            add(*_range_counts(rows_of))
+        if held:
+            yield packed(reps, counts)
+
+    return count
+
+
+def _sum_shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of :func:`_count_shared`, sorted by part -> (rep, shared), one part at a time."""
+    part, reps, counts, held = None, [], [], 0
     for batch in batches:
-        for bucket, rows in batch.groupby("bucket", sort=False):
-            if parts and parts[0]["bucket"].iat[0] != bucket:
-                add(*_range_counts(parts))
-                parts = []
-            if bucket < 0:
-                add(*(np.frombuffer(b"".join(rows[c]), np.int64) for c in ("tok", "rep")))
-            else:
-                parts.append(rows)
-            if held > HELD_COUNTS:
-                yield summed()
+        for k, rep, n in batch.itertuples(index=False):
+            if k != part and reps:
+                yield pd.DataFrame(dict(zip(("rep", "shared"), _summed(reps, counts))))
                 reps, counts, held = [], [], 0
-    if parts:
-        add(*_range_counts(parts))
-    if held:
-        yield summed()
+            part = k
+            reps.append(np.frombuffer(rep, np.int64))
+            counts.append(np.frombuffer(n, np.int64))
+            held += len(reps[-1])
+            if held > HELD_COUNTS:
+                reps, counts = ([x] for x in _summed(reps, counts))
+                held = len(reps[0])
+    if reps:
+        yield pd.DataFrame(dict(zip(("rep", "shared"), _summed(reps, counts))))
 
 
 def _open_groups(left: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -424,14 +462,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     several = grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("grp")
     inside = grouped.join(_small(several), "grp").select("rep", "grp", F.lit(False).alias("asks"), F.lit(0).alias("chunk"))
     links = _links_in_groups(inside, named, width, percent)
-    total = grouped.agg(F.sum("n")).first()[0] or 0
+    total, documents = grouped.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     buckets = int(max(32, total // BUCKET_TOKENS))
+    width_of_shuffle = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(max(width_of_shuffle, documents // PART_ROWS))
     packed = (named.join(_small(grouped.select("rep", "grp")), F.col("j_id") == F.col("rep")).select("rep", "grp", "j_text")
               .mapInPandas(_pack(width, buckets), "bucket int, tok binary, rep binary, grp binary"))
     # Ranges are dealt over the session's shuffle partitions and come one after the other in each.
-    dealt = packed.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "bucket").sortWithinPartitions("bucket")
-    shared = (dealt.mapInPandas(_count_shared, "rep long, shared long")
-              .groupBy("rep").agg(F.sum("shared").alias("shared")))
+    dealt = packed.repartition(width_of_shuffle, "bucket").sortWithinPartitions("bucket")
+    counted = dealt.mapInPandas(_count_shared(parts), "part int, rep binary, n binary")
+    shared = (counted.repartition(width_of_shuffle, "part").sortWithinPartitions("part")
+              .mapInPandas(_sum_shared, "rep long, shared long"))
     left = stored(grouped.join(shared, "rep").where(f"100 * shared >= {percent} * n").select("rep", "grp", "n"),
                   "jaccard-left")
     edges = links.unionByName(_open_groups(left, named, width, percent))

@@ -1,5 +1,7 @@
 import re
+from collections import Counter
 
+import pandas as pd
 import pytest
 
 from netbaseline.llm import components, jaccard_groups as J
@@ -85,3 +87,16 @@ def test_components(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     got = {r["node"]: r["component"] for r in components.connected_components(df).collect()}
     assert got == {k: 200 for k in range(200, 261)} | {1: 1, 5: 1, 9: 1}
+
+
+def test_counts_leave_a_task_packed():
+    """Many documents in every hash range: rows of a task are as many as parts, not as documents."""
+    texts = [f"common words of all texts {k} and more common words" for k in range(300)]
+    batch = pd.DataFrame({"rep": range(300), "grp": range(300), "j_text": texts})
+    packed = pd.concat(J._pack(3, 64)(iter([batch.iloc[:150], batch.iloc[150:]]))).sort_values("bucket")
+    counted = pd.concat(J._count_shared(4)(iter([packed])))
+    assert len(counted) == 4
+    got = pd.concat(J._sum_shared(iter([pd.concat([counted, counted]).sort_values("part")]))).set_index("rep")["shared"]
+    sets = [set(s.tolist()) for s in J.token_sets(texts, 3)]
+    times = Counter(t for s in sets for t in s)
+    assert got.to_dict() == {k: 2 * sum(times[t] > 1 for t in s) for k, s in enumerate(sets)}
