@@ -1,12 +1,15 @@
 import hashlib
 from collections import Counter
 
+import pandas as pd
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as E
 import corpus_pipeline as P
 from netbaseline.llm import mixing, quality
+from netbaseline.llm.common import ship_package
 from tests.llm.test_jaccard import shingles
 
 SF = "/root/testdata/sf0.001"
@@ -58,3 +61,11 @@ def test_empty_documents(spark):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    """40 texts of 100 KB go to a Python worker in several batches."""
+    ship_package(spark)
+    texts = spark.range(0, 40, 1, 1).select(F.expr("repeat('a', 100000)").alias("t"))
+    sizes = [r["n"] for r in texts.mapInPandas(lambda it: (pd.DataFrame({"n": [len(b)]}) for b in it), "n int").collect()]
+    assert sum(sizes) == 40 and max(sizes) <= 12
