@@ -1,26 +1,27 @@
 """Fuzzy line dedup by MinHash, in DataFrame functions only.
 
-1. Lines (trimmed, lower case, not blank) are reduced to distinct ones with
-   the rank of their first occurrence.  Those shorter than a shingle end here:
-   they are repeats only of equal lines.
+1. Lines (trimmed, lower case, not blank) are known by a 64-bit hash.  Those
+   shorter than a shingle have no signature: they are repeats only of equal lines.
 2. Character shingles: all windows of ``SHINGLE`` bytes of the UTF-8 text.
    The signature is taken from all of them in every line, whatever its
    length: ``BANDS`` x ``ROWS`` minima of hash XOR seed, each band with a hash
    of its own.  Lines of similarity 0.8 share a band with probability 0.986,
-   0.9: 0.9996.
-3. In every band bucket the lines are linked to three of its lines first: the
-   most frequent one and both ends of an order of the bucket's own, so that
+   0.9: 0.9996.  Equal lines are one from here on.
+3. In every band bucket the lines are linked to two of its lines first: the
+   most frequent one and the first in an order of the bucket's own, so that
    groups of copies need links by the number of lines and not by the square of
-   a bucket; every link is verified by the exact Jaccard similarity of all shingles.
+   a bucket.  Bitmaps of the shingles rule out pairs, but only such as can not
+   have the similarity; every link is verified by the exact Jaccard similarity
+   of all shingles.
 4. Distributed union-find.  In buckets that still hold several components the
    lines outside the largest one meet all lines of the others, in blocks of
-   ``BLOCK`` times ``BLOCK`` lines.  Bitmaps of their shingles rule out pairs,
-   but only such as can not have the similarity; of a line and a component the
+   ``BLOCK`` times ``BLOCK`` lines, ruled out and verified the same way.  If there are
+   more such pairs than lines in buckets, of a line and a component the
    likeliest pair is verified first and the others only if it is no link.
 5. Union-find with these links too; of every component the earliest line stays.
 
-Lines are known by a 64-bit hash: among n distinct lines about n^2 / 2^65
-pairs collide (none to be expected below 10^9 lines).
+Among n distinct lines about n^2 / 2^65 pairs of hashes collide (none to be
+expected below 10^9 lines).
 """
 
 from __future__ import annotations
@@ -69,22 +70,21 @@ def _seeds(n: int) -> list[int]:
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """``(d, rank, f, n, minima)`` per distinct line: first rank, occurrences, number of shingles, signature.
+    """``(d, f, n, minima)`` per distinct line: occurrences, number of shingles, signature.
 
-    The shuffle by ``d`` that makes the lines distinct also serves the minima:
-    shingles are made and reduced in the same stage and never travel.  A line
-    shorter than a shingle has ``n`` 0 and no part in the buckets.
+    Shingles are made and reduced in the task that reads the line; neither they
+    nor the text travel.  A line shorter than a shingle has ``n`` 0 and no part
+    in the buckets.
     """
-    distinct = lines.groupBy("d").agg(F.first("norm").alias("norm"), F.min("rank").alias("rank"), F.count(F.lit(1)).alias("f"))
-    spread = (distinct.select("d", "rank", "f", F.col("norm").cast("binary").alias("b"))
-              .select("d", "rank", "f", "b", F.explode_outer(F.expr(
+    spread = (lines.select("d", F.col("norm").cast("binary").alias("b"))
+              .select("d", "b", F.explode_outer(F.expr(
                   f"if(octet_length(b) >= {SHINGLE}, sequence(1, octet_length(b) - {SHINGLE - 1}), null)")).alias("p"))
-              .select("d", "rank", "f", F.expr(f"hash(substring(b, p, {SHINGLE}))").alias("h"))
-              .select("d", "rank", "f", "h", *(F.expr(f"hash(h, {b})").alias(f"h{b}") for b in range(BANDS))))
+              .select("d", "p", F.expr(f"hash(substring(b, p, {SHINGLE}))").alias("h"))
+              .select("d", "p", *(F.expr(f"hash(h, {b})").alias(f"h{b}") for b in range(BANDS))))
     seeds = _seeds(BANDS * ROWS)
     minima = [F.min(F.expr(f"h{k // ROWS} ^ int({s})")).alias(f"m{k}") for k, s in enumerate(seeds)]
-    reduced = spread.groupBy("d").agg(F.min("rank").alias("rank"), F.min("f").alias("f"), F.count("h").alias("n"), *minima)
-    return reduced.select("d", "rank", "f", "n", F.array(*(F.col(f"m{k}") for k in range(BANDS * ROWS))).alias("minima"))
+    reduced = spread.groupBy("d").agg(F.count(F.expr("if(coalesce(p, 1) = 1, 1, null)")).alias("f"), F.count("p").alias("n"), *minima)
+    return reduced.select("d", "f", F.expr("n div f").alias("n"), F.array(*(F.col(f"m{k}") for k in range(BANDS * ROWS))).alias("minima"))
 
 
 def _band_keys() -> Column:
@@ -97,12 +97,11 @@ def _members(marks: DataFrame) -> DataFrame:
 
 
 def band_buckets(marks: DataFrame) -> DataFrame:
-    """``(k, n, top, lo, hi)`` of the buckets of two lines and more: the number of lines and the three that all others meet."""
+    """``(k, n, top, lo)`` of the buckets of two lines and more: the number of lines and the two that all others meet."""
     often = F.expr(f"least(f, {1 << 20}) * {1 << 40} + (xxhash64(d) & {(1 << 40) - 1})")
-    own = F.xxhash64("d", "k")
     return (_members(marks).groupBy("k")
-            .agg(F.count(F.lit(1)).alias("n"), F.max_by("d", often).alias("top"), F.min_by("d", own).alias("lo"),
-                 F.max_by("d", own).alias("hi")).where("n > 1 and lo <> hi"))
+            .agg(F.count(F.lit(1)).alias("n"), F.max_by("d", often).alias("top"), F.min_by("d", F.xxhash64("d", "k")).alias("lo"))
+            .where("n > 1"))
 
 
 def _with_buckets(marks: DataFrame, buckets: DataFrame) -> DataFrame:
@@ -110,8 +109,8 @@ def _with_buckets(marks: DataFrame, buckets: DataFrame) -> DataFrame:
 
 
 def candidate_pairs(marks: DataFrame, buckets: DataFrame) -> DataFrame:
-    """``(a, b)``: the lines of every band bucket with the three lines that stand for it."""
-    met = _with_buckets(marks, buckets).select("d", F.explode(F.array("top", "lo", "hi")).alias("e")).where("d <> e")
+    """``(a, b)``: the lines of every band bucket with the two lines that stand for it."""
+    met = _with_buckets(marks, buckets).select("d", F.explode(F.array("top", "lo")).alias("e")).where("d <> e")
     return met.select(F.least("d", "e").alias("a"), F.greatest("d", "e").alias("b")).distinct()
 
 
@@ -126,9 +125,9 @@ def _texts(wanted: DataFrame, lines: DataFrame) -> DataFrame:
     return lines.select("d", "norm").join(side, F.col("d") == F.col("w"), "left_semi").groupBy("d").agg(F.first("norm").alias("t"))
 
 
-def bitmaps(wanted: DataFrame, lines: DataFrame) -> DataFrame:
-    """``(d, n, bits)``: shingles, repeats included, and their bitmap."""
-    spread = (_texts(wanted, lines).select("d", F.col("t").cast("binary").alias("b"))
+def bitmaps(texts: DataFrame) -> DataFrame:
+    """``(d, n, bits)`` of ``texts(d, t)``: shingles, repeats included, and their bitmap."""
+    spread = (texts.select("d", F.col("t").cast("binary").alias("b"))
               .select("d", "b", F.explode(F.expr(f"sequence(1, octet_length(b) - {SHINGLE - 1})")).alias("p"))
               .select("d", F.expr(f"hash(substring(b, p, {SHINGLE}))").alias("h")))
     bits = [F.bit_or(F.expr(f"if((h >> 6) & {BITMAP - 1} = {k}, shiftleft(1L, h & 63), 0L)")).alias(f"b{k}")
@@ -142,15 +141,27 @@ def _differ(a: str, b: str) -> Column:
     return sum((F.bit_count(F.get(f"bits{a}", k).bitwiseXOR(F.get(f"bits{b}", k))) for k in range(BITMAP)), F.lit(0))
 
 
-def unsettled_pairs(marks: DataFrame, buckets: DataFrame, parts: DataFrame, lines: DataFrame) -> DataFrame:
+def _possible(similarity: float = SIMILARITY) -> Column:
+    """Whether the lines x and y can have the similarity."""
+    return _differ("x", "y") * (1 + similarity) <= (1 - similarity) * (F.col("nx") + F.col("ny")) + 1e-6
+
+
+def possible_pairs(pairs: DataFrame, maps: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` whose bitmaps do not rule them out."""
+    x = maps.select(F.col("d").alias("a"), F.col("n").alias("nx"), F.col("bits").alias("bitsx"))
+    y = maps.select(F.col("d").alias("b"), F.col("n").alias("ny"), F.col("bits").alias("bitsy"))
+    return pairs.join(x, "a").join(y, "b").where(_possible()).select("a", "b")
+
+
+def unsettled_pairs(marks: DataFrame, buckets: DataFrame, parts: DataFrame, maps: DataFrame) -> DataFrame:
     """``(a, b, c, differ)``: the pairs of a bucket that are in different components and can have the similarity; c: of b.
 
     Lines of the largest component of a bucket need not meet each other: the
     others (a) meet all lines (b).  A bucket of many lines is dealt in blocks, so that no task
     has more than a few blocks of it.
     """
-    large = buckets.where("n > 3")
-    inner = _with_buckets(marks, large).where("d <> lo and d <> hi and d <> top").select("k", "d")
+    large = buckets.where("n > 3 or (n = 3 and lo = top)")
+    inner = _with_buckets(marks, large).where("d <> lo and d <> top").select("k", "d")
     inner = stored(inner.join(parts, F.col("d") == F.col("node"), "left")
                    .select("k", "d", F.coalesce("component", "d").alias("c")), "line-inner")
     sizes = inner.groupBy("k", "c").agg(F.count(F.lit(1)).alias("m"))
@@ -159,7 +170,6 @@ def unsettled_pairs(marks: DataFrame, buckets: DataFrame, parts: DataFrame, line
                    .where("n_c > 1").select("k", "main", F.expr(f"int((m + {BLOCK - 1}) div {BLOCK})").alias("my"),
                                             F.expr(f"int((m - most + {BLOCK - 1}) div {BLOCK})").alias("mx")), "line-mixed")
     apart = stored(inner.join(F.broadcast(mixed) if is_small(mixed, MAX_BROADCAST) else mixed, "k"), "line-apart")
-    maps = stored(bitmaps(apart.select(F.col("d").alias("w")).distinct(), lines), "line-bitmaps")
     known = apart.join(maps, "d")
     place = lambda m: F.expr(f"int(pmod(xxhash64(d), {m}))")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.col(m) - 1))
@@ -167,65 +177,84 @@ def unsettled_pairs(marks: DataFrame, buckets: DataFrame, parts: DataFrame, line
     known = known.withColumn("rest", F.col("c") != F.col("main"))
     x = named(known.where("rest").withColumn("i", place("mx")).withColumn("j", every("my")), "x")
     y = named(known.withColumn("j", place("my")).withColumn("i", every("mx")), "y")
-    possible = _differ("x", "y") * (1 + SIMILARITY) <= (1 - SIMILARITY) * (F.col("nx") + F.col("ny")) + 1e-6
     met = x.join(y, (x["k"] == y["k"]) & (x["i"] == y["i"]) & (x["j"] == y["j"]) & (F.col("cx") != F.col("cy"))
-                 & (~F.col("resty") | (F.col("dx") < F.col("dy"))) & possible)
+                 & (~F.col("resty") | (F.col("dx") < F.col("dy"))) & _possible())
     return met.groupBy(F.col("dx").alias("a"), F.col("dy").alias("b")).agg(
         F.first("cy").alias("c"), F.min(_differ("x", "y")).alias("differ"))
 
 
-def verified(pairs: DataFrame, lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs ``(a, b)`` whose shingle sets have the Jaccard similarity or more."""
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct(), "line-needed")
-    texts = stored(_texts(wanted, lines), "line-texts")
+def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs ``(a, b)`` whose shingle sets have the Jaccard similarity or more; ``texts(d, t)`` holds their lines."""
     both = (pairs.join(texts.select(F.col("d").alias("a"), F.col("t").cast("binary").alias("ta")), "a")
             .join(texts.select(F.col("d").alias("b"), F.col("t").cast("binary").alias("tb")), "b"))
+    sets = both.select("a", "b", _shingles("ta").alias("sa"), _shingles("tb").alias("sb"))
     # The row number keeps the optimiser from writing out the lists wherever the filter uses them.
-    sets = both.select("a", "b", _shingles("ta").alias("sa"), _shingles("tb").alias("sb"),
-                       F.monotonically_increasing_id().alias("z"))
-    return sets.where(F.size(F.array_intersect("sa", "sb")) >= similarity * F.size(F.array_union("sa", "sb"))).select("a", "b")
+    common = sets.select("a", "b", "sa", "sb", F.size(F.array_intersect("sa", "sb")).alias("i"), F.monotonically_increasing_id().alias("z"))
+    # Without repeats inside a line the first test is the whole one; the union is made only if it fails.
+    return common.where((F.col("i") >= similarity * (F.size("sa") + F.size("sb") - F.col("i")))
+                        | (F.col("i") >= similarity * F.size(F.array_union("sa", "sb")))).select("a", "b")
+
+
+def _component(parts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pairs(a, b)`` with the components ``pa`` and ``pb`` of their lines."""
+    of = lambda e: parts.select(F.col("node").alias(e), F.col("component").alias(f"p{e}"))
+    return (pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+            .withColumn("pa", F.coalesce("pa", "a")).withColumn("pb", F.coalesce("pb", "b")))
 
 
 def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
-    """The components with more links."""
-    known = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return stored(connected_components(known.unionByName(links), "line-components"), "line-parts")
+    """The components with more links: union-find among the components that these join."""
+    tops = _component(parts, links).select(F.col("pa").alias("a"), F.col("pb").alias("b"))
+    wider = stored(connected_components(tops, "line-components"), "line-wider")
+    to = wider.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    old = parts.join(F.broadcast(to) if is_small(wider, MAX_BROADCAST) else to, "component", "left").select(
+        "node", F.coalesce("to", "component").alias("component"))
+    alone = wider.join(parts.select("node"), "node", "left_anti").select("node", "component")
+    return stored(old.unionByName(alone), "line-parts")
+
+
+def _all_components(marks: DataFrame, lines: DataFrame) -> DataFrame:
+    """``(node, component)`` of the lines that are linked to another line."""
+    buckets = stored(band_buckets(marks), "line-buckets")
+    inside = _with_buckets(marks, buckets).select(F.col("d").alias("w")).distinct()
+    texts = stored(_texts(stored(inside, "line-inside"), lines), "line-texts")
+    maps = stored(bitmaps(texts), "line-bitmaps")
+    pairs = possible_pairs(candidate_pairs(marks, buckets), maps)
+    parts = stored(connected_components(verified(pairs, texts), "line-components"), "line-parts")
+    more = stored(unsettled_pairs(marks, buckets, parts, maps), "line-unsettled")
+    n_more = more.count()
+    if n_more > texts.count():
+        likely = more.groupBy("a", "c").agg(F.min_by("b", F.expr(f"bigint(differ) * {1 << 24} + (xxhash64(b) & {(1 << 24) - 1})")).alias("b"))
+        parts = _joined(parts, verified(likely.select("a", "b"), texts))
+        more = stored(_component(parts, more.select("a", "b")).where("pa <> pb").select("a", "b"), "line-left")
+    return _joined(parts, verified(more.select("a", "b"), texts)) if n_more else parts
 
 
-def kept_lines(docs: DataFrame) -> DataFrame:
-    """``docs(l_key, l_text)`` -> ``(l_key, l_keep)``: line numbers that stay among those that take part."""
+def removed_lines(docs: DataFrame) -> DataFrame:
+    """``docs(l_key, l_text)`` -> ``(l_key, l_gone)``: numbers of the lines that go."""
     lines = _lines(docs)
     marks = stored(signatures(lines), "line-marks")
-    buckets = stored(band_buckets(marks), "line-buckets")
-    pairs = stored(candidate_pairs(marks, buckets), "line-pairs")
-    parts = stored(connected_components(verified(pairs, lines), "line-components"), "line-parts")
-    more = stored(unsettled_pairs(marks, buckets, parts, lines), "line-unsettled")
-    if not more.isEmpty():
-        likely = more.groupBy("a", "c").agg(F.min_by("b", F.expr(f"bigint(differ) * {1 << 24} + (xxhash64(b) & {(1 << 24) - 1})")).alias("b"))
-        parts = _joined(parts, verified(stored(likely.select("a", "b"), "line-likely"), lines))
-        of = lambda e: parts.select(F.col("node").alias(f"n{e}"), F.col("component").alias(f"p{e}"))
-        left = (more.select("a", "b").join(of("a"), F.col("a") == F.col("na"), "left").join(of("b"), F.col("b") == F.col("nb"), "left")
-                .where(F.coalesce("pa", "a") != F.coalesce("pb", "b")).select("a", "b"))
-        left = stored(left, "line-left")
-        if not left.isEmpty():
-            parts = _joined(parts, verified(left, lines))
-    first = (marks.select("d", "rank").join(parts, F.col("d") == F.col("node"), "left")
-             .groupBy(F.coalesce("component", "d").alias("c")).agg(F.min("rank").alias("rank")))
+    parts = _all_components(marks, lines)
+    named = stored(marks.select("d", "f").join(parts, F.col("d") == F.col("node"), "left").where("f > 1 or component is not null")
+                   .select("d", F.coalesce("component", "d").alias("c")), "line-named")
+    found = stored(lines.select("d", "rank").join(F.broadcast(named) if is_small(named, MAX_BROADCAST) else named, "d")
+                   .select("c", "rank"), "line-found")
+    first = stored(found.groupBy("c").agg(F.min("rank").alias("first")), "line-first")
+    later = found.join(F.broadcast(first) if is_small(first, MAX_BROADCAST) else first, "c").where("rank > first")
     base = F.lit(_LINE_BASE).cast("decimal(10,0)")
-    return (first.withColumn("pos", F.col("rank") % base)
+    return (later.withColumn("pos", F.col("rank") % base)
             .select(((F.col("rank") - F.col("pos")) / base).cast("decimal(29,0)").alias("l_key"), F.col("pos").cast("int").alias("pos"))
-            .groupBy("l_key").agg(F.collect_list("pos").alias("l_keep")))
+            .groupBy("l_key").agg(F.collect_set("pos").alias("l_gone")))
 
 
 def _cleaned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(l_row, l_new, l_lines, l_gone)``: the row as it was, its text afterwards, all lines, numbers of those removed."""
     rows = docs.select(document_key(F.col(id_col), F.col(text_col)).alias("l_key"),
                        F.struct(*docs.columns).alias("l_row"), F.col(text_col).alias("l_text"))
-    keeps = kept_lines(rows.select("l_key", "l_text"))
+    gone = removed_lines(rows.select("l_key", "l_text"))
     at = F.sequence(F.lit(0), F.size("l_lines") - 1)
-    taking_part = F.filter(at, lambda i: F.octet_length(_normal(F.get("l_lines", i))) >= MIN_BYTES)
-    out = (rows.join(keeps, "l_key", "left").withColumn("l_lines", F.split("l_text", "\n"))
-           .withColumn("l_gone", F.array_except(taking_part, F.coalesce("l_keep", F.array().cast("array<int>"))))
+    out = (rows.join(gone, "l_key", "left").withColumn("l_lines", F.split("l_text", "\n"))
+           .withColumn("l_gone", F.when(F.col("l_lines").isNotNull(), F.coalesce("l_gone", F.array().cast("array<int>"))))
            .withColumn("l_left", F.array_except(at, F.col("l_gone"))))
     text = F.array_join(F.transform("l_left", lambda i: F.get("l_lines", i)), "\n")
     return out.select("l_row", text.alias("l_new"), "l_lines", "l_gone")

@@ -149,3 +149,38 @@ def test_short_lines_repeat_too(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     out = {r["doc_id"]: (r["text"], r["l_removed"]) for r in L.dedup_lines(df).collect()}
     assert out == {1: (rows[0][1], 0), 2: ("\nMenus", 4), 3: ("Read more...\nx\n ", 1), 4: ("y", 1)}
+
+
+def test_signatures_without_texts(spark):
+    """Signatures are made before the shuffle: neither texts nor ranks travel, and nothing is sorted."""
+    rows = spark.createDataFrame([(1, f"{BASE}\n{BASE} \nab\n{EDIT}"), (2, f"{BASE.upper()}\nAB")], "l_key long, l_text string")
+    marks = L.signatures(L._lines(rows.select(rows["l_key"].cast("decimal(29,0)").alias("l_key"), "l_text")))
+    plan = marks._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") == 1 and "rank" not in plan
+    want = {len(BASE) - L.SHINGLE + 1: 3, len(EDIT) - L.SHINGLE + 1: 1, 0: 2}
+    assert {r["n"]: r["f"] for r in marks.collect()} == want
+
+
+def test_links_of_near_copies(spark):
+    """A family of near copies needs two links a line and band at most; pairs that can not be alike are ruled out unread."""
+    rng, rows = random.Random(13), []
+    for k in range(200):
+        words = BASE.split(" ") * 3
+        words[rng.randrange(len(words))] = f"edit{k}"
+        rows.append((k, " ".join(words)))
+    rows += [(1000 + k, "ab" * 20 + "".join(rng.choice(string.ascii_lowercase) for _ in range(200))) for k in range(50)]
+    docs = spark.createDataFrame(rows, "l_key long, l_text string")
+    lines = L._lines(docs.select(docs["l_key"].cast("decimal(29,0)").alias("l_key"), "l_text")).cache()
+    marks = L.signatures(lines).cache()
+    buckets = L.band_buckets(marks).cache()
+    pairs = L.candidate_pairs(marks, buckets).cache()
+    assert pairs.count() <= sum(2 * b["n"] - 2 for b in buckets.collect())
+    family = {r["d"] for r in lines.where("rank < 1000 * 4294967296").collect()}
+    texts = lines.selectExpr("d", "norm AS t")
+    left = L.possible_pairs(pairs, L.bitmaps(texts))
+    right = {(r["a"], r["b"]) for r in L.verified(pairs, texts).collect()}
+    assert right <= {(r["a"], r["b"]) for r in left.collect()}
+    other = spark.createDataFrame([sorted((x, y)) for x, y in zip(sorted(family), sorted({r["d"] for r in lines.collect()} - family))], "a long, b long")
+    assert L.possible_pairs(other, L.bitmaps(texts)).count() == 0
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(str((r["doc_id"], r["text"])) for r in L.dedup_lines(df).collect()) == brute(rows)
