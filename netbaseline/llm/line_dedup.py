@@ -15,8 +15,8 @@
    of all shingles.
 4. Distributed union-find.  In buckets that still hold several components the
    lines outside the largest one meet all lines of the others, in blocks of
-   ``BLOCK`` times ``BLOCK`` lines, ruled out and verified the same way.  If there are
-   more such pairs than lines in buckets, of a line and a component the
+   ``BLOCK`` times ``BLOCK`` lines, ruled out by bitmaps twice, the second time by
+   wider ones, and verified the same way.  If there are more such pairs than lines in buckets, of a line and a component the
    likeliest pair is verified first and the others only if it is no link.
 5. Union-find with these links too; of every component the earliest line stays.
 
@@ -38,6 +38,7 @@ SHINGLE = 8
 BANDS, ROWS = 6, 3
 BLOCK = 2048                     # lines of a bucket that meet as many others in one group of a join
 BITMAP = 32                      # longs of a line's shingle bitmap
+WIDE_BITMAP = 128                # and of the second one, of lines that would meet many others
 SIMILARITY = 0.8
 LAST = (1 << 63) - 1             # rank of a document without an id
 MAX_BROADCAST = 500_000          # rows of two or three longs
@@ -125,15 +126,15 @@ def _texts(wanted: DataFrame, lines: DataFrame) -> DataFrame:
     return lines.select("d", "norm").join(side, F.col("d") == F.col("w"), "left_semi").groupBy("d").agg(F.first("norm").alias("t"))
 
 
-def bitmaps(texts: DataFrame) -> DataFrame:
+def bitmaps(texts: DataFrame, longs: int = BITMAP) -> DataFrame:
     """``(d, n, bits)`` of ``texts(d, t)``: shingles, repeats included, and their bitmap."""
     spread = (texts.select("d", F.col("t").cast("binary").alias("b"))
               .select("d", "b", F.explode(F.expr(f"sequence(1, octet_length(b) - {SHINGLE - 1})")).alias("p"))
               .select("d", F.expr(f"hash(substring(b, p, {SHINGLE}))").alias("h")))
-    bits = [F.bit_or(F.expr(f"if((h >> 6) & {BITMAP - 1} = {k}, shiftleft(1L, h & 63), 0L)")).alias(f"b{k}")
-            for k in range(BITMAP)]
+    bits = [F.bit_or(F.expr(f"if((h >> 6) & {longs - 1} = {k}, shiftleft(1L, h & 63), 0L)")).alias(f"b{k}")
+            for k in range(longs)]
     return spread.groupBy("d").agg(F.count("h").alias("n"), *bits).select(
-        "d", "n", F.array(*(F.col(f"b{k}") for k in range(BITMAP))).alias("bits"))
+        "d", "n", F.array(*(F.col(f"b{k}") for k in range(longs))).alias("bits"))
 
 
 def _differ(a: str, b: str) -> Column:
@@ -141,16 +142,31 @@ def _differ(a: str, b: str) -> Column:
     return sum((F.bit_count(F.get(f"bits{a}", k).bitwiseXOR(F.get(f"bits{b}", k))) for k in range(BITMAP)), F.lit(0))
 
 
-def _possible(similarity: float = SIMILARITY) -> Column:
-    """Whether the lines x and y can have the similarity."""
-    return _differ("x", "y") * (1 + similarity) <= (1 - similarity) * (F.col("nx") + F.col("ny")) + 1e-6
+def _possible(differ: Column, similarity: float = SIMILARITY) -> Column:
+    """Whether the lines x and y can have the similarity, ``differ`` shingles at least being of one only."""
+    return differ * (1 + similarity) <= (1 - similarity) * (F.col("nx") + F.col("ny")) + 1e-6
 
 
 def possible_pairs(pairs: DataFrame, maps: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` whose bitmaps do not rule them out."""
     x = maps.select(F.col("d").alias("a"), F.col("n").alias("nx"), F.col("bits").alias("bitsx"))
     y = maps.select(F.col("d").alias("b"), F.col("n").alias("ny"), F.col("bits").alias("bitsy"))
-    return pairs.join(x, "a").join(y, "b").where(_possible()).select("a", "b")
+    return pairs.join(x, "a").join(y, "b").where(_possible(_differ("x", "y"))).select("a", "b")
+
+
+def likelier_pairs(more: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs ``(a, b, c, differ)`` that wider bitmaps and the numbers of distinct shingles do not rule out; ``differ`` anew."""
+    ends = more.select(F.col("a").alias("w")).distinct().unionByName(more.select(F.col("b").alias("w")).distinct())
+    needed = texts.join(ends, F.col("d") == F.col("w"), "left_semi")
+    sizes = needed.select("d", F.size(F.array_distinct(_shingles("cast(t as binary)"))).alias("m"))
+    wide = stored(bitmaps(needed, WIDE_BITMAP).drop("n").join(sizes, "d"), "line-wide")
+    x = wide.select(F.col("d").alias("a"), F.col("m").alias("nx"), F.col("bits").alias("bitsx"))
+    y = wide.select(F.col("d").alias("b"), F.col("m").alias("ny"), F.col("bits").alias("bitsy"))
+    # Written out as in _differ, so many longs would not fit a method.  The row number: summed once, not again in the filter.
+    differ = F.aggregate(F.zip_with("bitsx", "bitsy", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    told = more.drop("differ").join(x, "a").join(y, "b").select(
+        "a", "b", "c", "nx", "ny", differ.alias("differ"), F.monotonically_increasing_id().alias("z"))
+    return told.where(_possible(F.col("differ"))).select("a", "b", "c", "differ")
 
 
 def unsettled_pairs(marks: DataFrame, buckets: DataFrame, parts: DataFrame, maps: DataFrame) -> DataFrame:
@@ -178,7 +194,7 @@ def unsettled_pairs(marks: DataFrame, buckets: DataFrame, parts: DataFrame, maps
     x = named(known.where("rest").withColumn("i", place("mx")).withColumn("j", every("my")), "x")
     y = named(known.withColumn("j", place("my")).withColumn("i", every("mx")), "y")
     met = x.join(y, (x["k"] == y["k"]) & (x["i"] == y["i"]) & (x["j"] == y["j"]) & (F.col("cx") != F.col("cy"))
-                 & (~F.col("resty") | (F.col("dx") < F.col("dy"))) & _possible())
+                 & (~F.col("resty") | (F.col("dx") < F.col("dy"))) & _possible(_differ("x", "y")))
     return met.groupBy(F.col("dx").alias("a"), F.col("dy").alias("b")).agg(
         F.first("cy").alias("c"), F.min(_differ("x", "y")).alias("differ"))
 
@@ -222,6 +238,9 @@ def _all_components(marks: DataFrame, lines: DataFrame) -> DataFrame:
     pairs = possible_pairs(candidate_pairs(marks, buckets), maps)
     parts = stored(connected_components(verified(pairs, texts), "line-components"), "line-parts")
     more = stored(unsettled_pairs(marks, buckets, parts, maps), "line-unsettled")
+    if more.isEmpty():
+        return parts
+    more = stored(likelier_pairs(more, texts), "line-likelier")
     n_more = more.count()
     if n_more > texts.count():
         likely = more.groupBy("a", "c").agg(F.min_by("b", F.expr(f"bigint(differ) * {1 << 24} + (xxhash64(b) & {(1 << 24) - 1})")).alias("b"))

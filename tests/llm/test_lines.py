@@ -184,3 +184,22 @@ def test_links_of_near_copies(spark):
     assert L.possible_pairs(other, L.bitmaps(texts)).count() == 0
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(str((r["doc_id"], r["text"])) for r in L.dedup_lines(df).collect()) == brute(rows)
+
+
+def test_wide_bitmaps_leave_few_pairs(spark):
+    """Long lines a little too far from each other: wider bitmaps rule most pairs out and lose none that is alike."""
+    rng, rows = random.Random(17), []
+    words = ["".join(rng.choice(string.ascii_lowercase) for _ in range(7)) for _ in range(70)]
+    for k in range(40):
+        w = list(words)
+        for at in rng.sample(range(70), rng.randrange(1, 6)):
+            w[at] = f"word{rng.randrange(100, 1000)}"
+        rows.append((k, " ".join(w)))
+    texts = spark.createDataFrame(rows, "d long, t string").cache()
+    sets = [shingles(x) for _, x in rows]
+    alike = {(a, b) for b in range(40) for a in range(b) if len(sets[a] & sets[b]) >= L.SIMILARITY * len(sets[a] | sets[b])}
+    every = texts.selectExpr("d AS a").join(texts.selectExpr("d AS b", "d AS c", "0 AS differ")).where("a < b")
+    narrow = {(r["a"], r["b"]) for r in L.possible_pairs(every.select("a", "b"), L.bitmaps(texts)).collect()}
+    wide = {(r["a"], r["b"]) for r in L.likelier_pairs(every, texts).collect()}
+    assert alike and alike <= wide <= narrow and 2 * len(wide - alike) < len(narrow - alike)
+    assert {(r["a"], r["b"]) for r in L.verified(every.select("a", "b"), texts).collect()} == alike
