@@ -50,15 +50,19 @@ def _added(parts: DataFrame, keys: list[str], columns: tuple[str, ...]) -> DataF
     return parts.groupBy(*keys).agg(*(F.sum(c).cast(types[c]).alias(c) for c in columns))
 
 
-def window_moments(sums: DataFrame, level1_seconds: int, level2_seconds: int, parity: bool = False) -> DataFrame:
-    """Moments per series, direction and level-2 window (start in microseconds) of finished level-1 sums."""
+def window_moments(sums: DataFrame, level1_seconds: int, level2_seconds: int, parity: bool = False,
+                   held: DataFrame | None = None) -> DataFrame:
+    """Moments per series, direction and level-2 window (start in microseconds) of finished level-1 sums, added to those ``held``."""
     length = level1_seconds * 1_000_000
     rows = split_directions(sums.withColumn("w1", _window_struct(F.col("w1"), length)), parity)
     start = _bucket_start(F.unix_micros("w1.end") - F.lit(1), level2_seconds * 1_000_000)
     wide = F.col("flow_size").cast("decimal(19,0)")
-    return (rows.groupBy(*_keys(rows), "direction", start.alias("w2"))
-            .agg(F.count(F.lit(1)).alias("n_windows"), F.sum("flow_size").alias("sum_flow"),
-                 F.sum("total_count").alias("sum_count"), F.sum((wide * wide).cast(SQUARES)).cast(SQUARES).alias("sum_squares")))
+    # Every sum is the moments of one window: those of the batch and those held meet in one shuffle.
+    ones = rows.select(*_keys(rows), "direction", start.alias("w2"), F.lit(1).cast("long").alias("n_windows"),
+                       F.col("flow_size").alias("sum_flow"), F.col("total_count").alias("sum_count"),
+                       (wide * wide).cast(SQUARES).alias("sum_squares"))
+    ones = ones if held is None else ones.unionByName(held)
+    return _added(ones, [c for c in ones.columns if c not in MOMENTS], MOMENTS)
 
 
 def window_stats(moments: DataFrame, level2_seconds: int) -> DataFrame:
@@ -85,15 +89,18 @@ def advance(sums: DataFrame, held: OpenWindows | None, until: int, level1_second
         until = max(until, held.until)
         sums = sums if is_kept else keep(sums, "batch-sums")
         late = sums.where(F.col("w1") + d1 <= held.until)
-        sums = sums.where(F.col("w1") + d1 > held.until).unionByName(held.level1)
-        sums, is_kept = _added(sums, [c for c in sums.columns if c not in SUMS], SUMS), False
+        sums = sums.where(F.col("w1") + d1 > held.until)
+        last = held.level1.agg(F.max("w1")).first()[0]
+        if last is not None:
+            # Only windows up to the last one held can have a part there; sums of later ones are whole as they are.
+            shared = sums.where(F.col("w1") <= last).unionByName(held.level1)
+            shared = keep(_added(shared, [c for c in shared.columns if c not in SUMS], SUMS), "level1-sums")
+            sums = sums.where(F.col("w1") > last).unionByName(shared)
     else:
         late = sums.where("false")
-    sums = sums if is_kept else keep(sums, "level1-sums")
-    moments = window_moments(sums.where(F.col("w1") + d1 <= until), level1_seconds, level2_seconds, parity)
-    if held is not None:
-        moments = moments.unionByName(held.level2)
-        moments = _added(moments, [c for c in moments.columns if c not in MOMENTS], MOMENTS)
+        sums = sums if is_kept else keep(sums, "level1-sums")
+    moments = window_moments(sums.where(F.col("w1") + d1 <= until), level1_seconds, level2_seconds, parity,
+                             held.level2 if held is not None else None)
     moments = keep(moments, "level2-moments")
     return Advance(moments.where(F.col("w2") + d2 <= until),
                    OpenWindows(sums.where(F.col("w1") + d1 > until), moments.where(F.col("w2") + d2 > until), until), late)

@@ -209,12 +209,17 @@ def _half_slots(ev, params, members):
     return tuple(baseline_slots(part, params, members, TEST_INTERVAL, config=cfg, assets=assets) for part in _halves(ev))
 
 
-def _as_parquet(df: DataFrame, name: str) -> DataFrame:
-    """A control table written to the scratch folder and read as a Parquet source."""
+def _control_table(df: DataFrame, name: str) -> Callable[[], DataFrame]:
+    """A control table derived once and written to the scratch folder; every call reads that Parquet source anew."""
     from netbaseline.session import fresh_folder
     path = fresh_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return read_control_table(df.sparkSession, name, path=path)
+    return lambda: read_control_table(df.sparkSession, name, path=path)
+
+
+def _as_parquet(df: DataFrame, name: str) -> DataFrame:
+    """A control table written to the scratch folder and read as a Parquet source."""
+    return _control_table(df, name)()
 
 
 def q_s02_s03(spark, sf_dir):
@@ -433,8 +438,11 @@ def q_o19_o20_cut(spark, sf_dir):
     return _result_cols(store.latest())
 
 
-def _live_job(spark, sf_dir, versions=None, members=None, messages=False, **options):
-    """The live job run over the test stream to its end."""
+def _live_job(spark, sf_dir, versions=None, members=group_members_from_events, messages=False, **options):
+    """The live job run over the test stream to its end; ``versions`` (None: the literal rows) and ``members`` are made from the events.
+
+    They stand in for control tables: made once, and read anew at every batch.
+    """
     from netbaseline.session import fresh_folder
     from netbaseline.sources.flows import read_flow_messages
     from netbaseline.streaming.baseline import events_in_files
@@ -443,8 +451,8 @@ def _live_job(spark, sf_dir, versions=None, members=None, messages=False, **opti
     ev = _events(spark, sf_dir)
     out, files = fresh_folder(spark, "live"), {"maxFilesPerTrigger": spark.sparkContext.defaultParallelism}
     events_in_files(spark, sf_dir, f"{out}/in", messages)
-    job = LiveJob(ResultStore(spark, f"{out}/results"), versions or (lambda: modeling_params_fixture(spark)),
-                  members or (lambda: group_members_from_events(ev)), TEST_INTERVAL, **options)
+    params = _control_table(versions(ev), "live-params") if versions else lambda: modeling_params_fixture(spark)
+    job = LiveJob(ResultStore(spark, f"{out}/results"), params, _control_table(members(ev), "live-members"), TEST_INTERVAL, **options)
     if messages:
         source = read_flow_messages(spark, "text", options=files, path=f"{out}/in/part*")
     else:
@@ -467,8 +475,7 @@ def q_live_dropped(spark, sf_dir):
 def q_live_members(spark, sf_dir):
     """Memberships that begin and end while the stream runs."""
     from netbaseline.sources.control import dated_members_from_events
-    ev = _events(spark, sf_dir)
-    return _result_cols(_live_job(spark, sf_dir, members=lambda: dated_members_from_events(ev)).store.latest())
+    return _result_cols(_live_job(spark, sf_dir, members=dated_members_from_events).store.latest())
 
 
 def q_live_idle(spark, sf_dir):
@@ -496,8 +503,7 @@ def q_asof(spark, sf_dir):
 def q_live_epochs(spark, sf_dir):
     """The same in the stream: switches, clears and changed dimensions while it runs; one clean profile per epoch."""
     from netbaseline.sources.control import listed_versions_from_events
-    ev = _events(spark, sf_dir)
-    job = _live_job(spark, sf_dir, versions=lambda: listed_versions_from_events(ev))
+    job = _live_job(spark, sf_dir, versions=listed_versions_from_events)
     m, old = job.store.manifest(), job.store.closed()
     dim = F.lit(None).cast("string")
     for model, text in m.dimensions.items():

@@ -218,11 +218,16 @@ def events_in_files(spark: SparkSession, sf_dir: str, folder: str, as_messages:
     late = (place == 0) & (F.col("event_id") % LATE_EVERY == 0)
     placed = events.withColumn("__file", F.when(late, F.lit(STREAM_FILES - 1)).otherwise(place))
     for k in range(STREAM_FILES):  # one after the other: a file stream goes by modification time
-        part = placed.where(F.col("__file") == k).drop("__file")
-        part = (messages_from_events(part) if as_messages else part).repartition(spark.sparkContext.defaultParallelism)
+        part = _dealt(placed.where(F.col("__file") == k).drop("__file"), as_messages)
         part.write.format("text" if as_messages else "parquet").save(f"{folder}/part{k}")
 
 
+def _dealt(events: DataFrame, as_messages: bool) -> DataFrame:
+    """A range of the events over all cores; messages are made after that, as a range lies in few blocks of the table."""
+    events = events.repartition(events.sparkSession.sparkContext.defaultParallelism)
+    return messages_from_events(events) if as_messages else events
+
+
 def _file_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     events_in_files(spark, sf_dir, folder)
     schema = spark.read.parquet(f"{folder}/part0").schema

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from netbaseline.operators import active_model, resolve_assets
+from netbaseline.operators.open_windows import advance
 from netbaseline.plans.baseline import batch_baseline
 from netbaseline.plans.incremental import advance_bounds, incremental_baseline
 from netbaseline.session import written
@@ -188,3 +189,26 @@ def test_first_write_and_closed_epochs_come_from_the_manifest(spark, scratch):
     store.commit(table(spark, 1, "4.0-4.5", 9), "q", 2, drop_models=["m"])
     assert values(store.latest()) == {"ast_9": "4.0-4.59"} and store.closed().count() == 5
     assert store.open_windows(store.manifest()) is None
+
+
+def test_a_batch_writes_again_only_sums_up_to_the_last_held_window(spark):
+    """Later sums are whole as they come: they are neither merged nor written twice, and moments take one shuffle."""
+    d1, d2 = 60, 300
+    sums = lambda rows: spark.createDataFrame(
+        [("a", "i", 1, "TCP", m * 60_000_000, n, 2 * n, *(count or [1])) for m, n, *count in rows],
+        "src_id string, src_ip string, area_id int, protocol string, w1 long, in_sum long, out_sum long, total_count long")
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = (df.count(), df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return written(df, name)
+
+    first = advance(sums([(0, 5), (3, 7)]), None, 3 * 60_000_000, d1, d2, False, keep)
+    assert first.held.level1.count() == 1
+    step = advance(sums([(1, 9), (3, 1), *((m, m) for m in range(4, 40))]), first.held, 39 * 60_000_000, d1, d2, False, keep)
+    assert kept["level1-sums"][0] == 1 and kept["level2-moments"][1] == 1
+    assert [r["total_count"] for r in step.late.collect()] == [1]
+    assert [(r["w1"], r["in_sum"]) for r in step.held.level1.collect()] == [(39 * 60_000_000, 39)]
+    whole = advance(sums([(0, 5), (3, 8, 2), *((m, m) for m in range(4, 40))]), None, 39 * 60_000_000, d1, d2, False, written)
+    both = [sorted(map(tuple, x.select(sorted(x.columns)).collect()), key=str) for s in (step, whole) for x in (s.closed, s.held.level2)]
+    assert both[:2] == both[2:] and both[0]

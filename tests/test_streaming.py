@@ -246,3 +246,33 @@ def test_text_message_stream_source(spark, scratch):
         *BOUND_COLS, F.col("w2.end").alias("end"))
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_messages_are_made_after_the_events_are_dealt(spark):
+    """A range of ids lies in few blocks of the table: made before the shuffle, its messages were made by few tasks."""
+    from netbaseline.streaming.baseline import _dealt
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").where("event_id < 10")
+    plan = _dealt(events, True)._jdf.queryExecution().executedPlan().toString()
+    assert "SrcID" in plan.split("Exchange RoundRobin")[0] and "SrcID" not in plan.split("Exchange RoundRobin")[1]
+    assert _dealt(events, True).count() == 10 and _dealt(events, False).columns == events.columns
+
+
+def test_control_tables_of_the_live_queries_are_made_once(spark, scratch, monkeypatch):
+    """Every batch reads them anew, but not the whole events to make them again."""
+    from netbaseline.plans import catalog
+    from netbaseline.sources.control import group_members_from_events, listed_versions_from_events
+    from netbaseline.streaming import baseline, live
+
+    class Ended:
+        def awaitTermination(self):
+            pass
+
+    monkeypatch.setattr(baseline, "events_in_files", lambda *a: None)
+    monkeypatch.setattr(live, "start_live", lambda *a, **k: Ended())
+    monkeypatch.setattr("netbaseline.session.fresh_folder", lambda _, name: f"{scratch}/{name}")
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.limit(1).write.parquet(f"{scratch}/live/in/part0")
+    job = catalog._live_job(spark, SF_SMALL, versions=listed_versions_from_events)
+    for read, made in ((job.members, group_members_from_events(events)), (job.versions, listed_versions_from_events(events))):
+        assert not any("events.parquet" in f for f in read().inputFiles())
+        assert read().schema.names == made.schema.names and read().exceptAll(made).isEmpty() and read().count() == made.count()
