@@ -36,9 +36,11 @@ from .components import connected_components
 MIN_BYTES = 1                    # blank lines take no part
 SHINGLE = 8
 BANDS, ROWS = 6, 3
+AT_ONCE = 4                      # shingles that one row of an aggregate stands for
 BLOCK = 2048                     # lines of a bucket that meet as many others in one group of a join
 BITMAP = 32                      # longs of a line's shingle bitmap
 WIDE_BITMAP = 128                # and of the second one, of lines that would meet many others
+MANY = 64                        # lines of a bucket outside its largest component from which on they have the second one
 SIMILARITY = 0.8
 LAST = (1 << 63) - 1             # rank of a document without an id
 MAX_BROADCAST = 500_000          # rows of two or three longs
@@ -54,7 +56,10 @@ def document_key(id_col: Column, text: Column) -> Column:
 
 
 def _normal(line: Column) -> Column:
-    return F.lower(F.btrim(line, F.lit(" \t\r")))
+    """Trimmed and in lower case; btrim looks at every character, so only lines with a blank end meet it."""
+    raw = line.cast("binary")
+    blank = [F.substring(raw, at, 1).isin(*(F.lit(c) for c in (b" ", b"\t", b"\r"))) for at in (1, -1)]
+    return F.lower(F.when(blank[0] | blank[1], F.btrim(line, F.lit(" \t\r"))).otherwise(line))
 
 
 def _lines(rows: DataFrame) -> DataFrame:
@@ -70,6 +75,17 @@ def _seeds(n: int) -> list[int]:
     return [((k * 0x9E3779B1) & 0xFFFFFFFF) - (1 << 31) for k in range(1, n + 1)]
 
 
+def _spread(lines: DataFrame) -> DataFrame:
+    """``lines(d, b)`` -> ``(d, p, n, h0, h1 ...)``: hashes of ``AT_ONCE`` shingles in a row, from the ``p``-th of ``n`` on.
+
+    A row that the shingles do not fill repeats the last one.  A line without a shingle has one row, ``p`` null.
+    """
+    step = f"if(n > 0, sequence(1, n, {AT_ONCE}), null)"
+    rows = lines.select("d", "b", F.expr(f"greatest(octet_length(b) - {SHINGLE - 1}, 0)").alias("n"))
+    return rows.select("d", "b", "n", F.explode_outer(F.expr(step)).alias("p")).select(
+        "d", "p", "n", *(F.expr(f"hash(substring(b, least(p + {i}, n), {SHINGLE}))").alias(f"h{i}") for i in range(AT_ONCE)))
+
+
 def signatures(lines: DataFrame) -> DataFrame:
     """``(d, f, n, minima)`` per distinct line: occurrences, number of shingles, signature.
 
@@ -77,15 +93,12 @@ def signatures(lines: DataFrame) -> DataFrame:
     nor the text travel.  A line shorter than a shingle has ``n`` 0 and no part
     in the buckets.
     """
-    spread = (lines.select("d", F.col("norm").cast("binary").alias("b"))
-              .select("d", "b", F.explode_outer(F.expr(
-                  f"if(octet_length(b) >= {SHINGLE}, sequence(1, octet_length(b) - {SHINGLE - 1}), null)")).alias("p"))
-              .select("d", "p", F.expr(f"hash(substring(b, p, {SHINGLE}))").alias("h"))
-              .select("d", "p", *(F.expr(f"hash(h, {b})").alias(f"h{b}") for b in range(BANDS))))
-    seeds = _seeds(BANDS * ROWS)
-    minima = [F.min(F.expr(f"h{k // ROWS} ^ int({s})")).alias(f"m{k}") for k, s in enumerate(seeds)]
-    reduced = spread.groupBy("d").agg(F.count(F.expr("if(coalesce(p, 1) = 1, 1, null)")).alias("f"), F.count("p").alias("n"), *minima)
-    return reduced.select("d", "f", F.expr("n div f").alias("n"), F.array(*(F.col(f"m{k}") for k in range(BANDS * ROWS))).alias("minima"))
+    spread = _spread(lines.select("d", F.col("norm").cast("binary").alias("b")))
+    spread = spread.select("d", "p", "n", *(F.expr(f"hash(h{i}, {b})").alias(f"h{i}_{b}") for i in range(AT_ONCE) for b in range(BANDS)))
+    minima = [F.min(F.expr(f"least({', '.join(f'h{i}_{k // ROWS} ^ int({s})' for i in range(AT_ONCE))})")).alias(f"m{k}")
+              for k, s in enumerate(_seeds(BANDS * ROWS))]
+    reduced = spread.groupBy("d").agg(F.count(F.expr("if(coalesce(p, 1) = 1, 1, null)")).alias("f"), F.max("n").cast("long").alias("n"), *minima)
+    return reduced.select("d", "f", "n", F.array(*(F.col(f"m{k}") for k in range(BANDS * ROWS))).alias("minima"))
 
 
 def _band_keys() -> Column:
@@ -128,13 +141,17 @@ def _texts(wanted: DataFrame, lines: DataFrame) -> DataFrame:
 
 def bitmaps(texts: DataFrame, longs: int = BITMAP) -> DataFrame:
     """``(d, n, bits)`` of ``texts(d, t)``: shingles, repeats included, and their bitmap."""
-    spread = (texts.select("d", F.col("t").cast("binary").alias("b"))
-              .select("d", "b", F.explode(F.expr(f"sequence(1, octet_length(b) - {SHINGLE - 1})")).alias("p"))
-              .select("d", F.expr(f"hash(substring(b, p, {SHINGLE}))").alias("h")))
-    bits = [F.bit_or(F.expr(f"if((h >> 6) & {longs - 1} = {k}, shiftleft(1L, h & 63), 0L)")).alias(f"b{k}")
-            for k in range(longs)]
-    return spread.groupBy("d").agg(F.count("h").alias("n"), *bits).select(
-        "d", "n", F.array(*(F.col(f"b{k}") for k in range(longs))).alias("bits"))
+    spread = _spread(texts.select("d", F.col("t").cast("binary").alias("b"))).where("n > 0").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), F.lit(longs // BITMAP - 1))))
+    spread = spread.select("d", "n", "part", *(c for i in range(AT_ONCE) for c in (
+        F.expr(f"(shiftright(h{i}, 6) & {longs - 1}) - part * {BITMAP}").alias(f"at{i}"), F.expr(f"shiftleft(1L, h{i} & 63)").alias(f"bit{i}"))))
+    bits = [F.bit_or(F.expr(" | ".join(f"if(at{i} = {k}, bit{i}, 0L)" for i in range(AT_ONCE)))).alias(f"b{k}") for k in range(BITMAP)]
+    parts = spread.groupBy("d", "part").agg(F.max("n").alias("n"), *bits).select(
+        "d", "part", F.col("n").cast("long").alias("n"), F.array(*(F.col(f"b{k}") for k in range(BITMAP))).alias("bits"))
+    if longs == BITMAP:
+        return parts.drop("part")
+    whole = parts.groupBy("d").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("part", "bits"))).alias("parts"))
+    return whole.select("d", "n", F.flatten(F.col("parts.bits")).alias("bits"))
 
 
 def _differ(a: str, b: str) -> Column:
@@ -154,27 +171,40 @@ def possible_pairs(pairs: DataFrame, maps: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").where(_possible(_differ("x", "y"))).select("a", "b")
 
 
+def wide_maps(texts: DataFrame) -> DataFrame:
+    """``(d, m, wide)`` of ``texts(d, t)``: distinct shingles and their wider bitmap."""
+    sizes = texts.select("d", F.size(F.array_distinct(_shingles("cast(t as binary)"))).alias("m"))
+    return bitmaps(texts, WIDE_BITMAP).select("d", F.col("bits").alias("wide")).join(sizes, "d")
+
+
+def _of(ends: DataFrame, texts: DataFrame) -> DataFrame:
+    """The ``texts`` of ``ends(w)``."""
+    return texts.join(ends.distinct(), F.col("d") == F.col("w"), "left_semi")
+
+
+def _wide_differ(a: str, b: str) -> Column:
+    """As _differ; written out, so many longs would not fit a method."""
+    return F.aggregate(F.zip_with(f"wide{a}", f"wide{b}", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+
+
 def likelier_pairs(more: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``(a, b, c, differ)`` that wider bitmaps and the numbers of distinct shingles do not rule out; ``differ`` anew."""
-    ends = more.select(F.col("a").alias("w")).distinct().unionByName(more.select(F.col("b").alias("w")).distinct())
-    needed = texts.join(ends, F.col("d") == F.col("w"), "left_semi")
-    sizes = needed.select("d", F.size(F.array_distinct(_shingles("cast(t as binary)"))).alias("m"))
-    wide = stored(bitmaps(needed, WIDE_BITMAP).drop("n").join(sizes, "d"), "line-wide")
-    x = wide.select(F.col("d").alias("a"), F.col("m").alias("nx"), F.col("bits").alias("bitsx"))
-    y = wide.select(F.col("d").alias("b"), F.col("m").alias("ny"), F.col("bits").alias("bitsy"))
-    # Written out as in _differ, so many longs would not fit a method.  The row number: summed once, not again in the filter.
-    differ = F.aggregate(F.zip_with("bitsx", "bitsy", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+    wide = stored(wide_maps(_of(more.select(F.explode(F.array("a", "b")).alias("w")), texts)), "line-wide")
+    x = wide.select(F.col("d").alias("a"), F.col("m").alias("nx"), F.col("wide").alias("widex"))
+    y = wide.select(F.col("d").alias("b"), F.col("m").alias("ny"), F.col("wide").alias("widey"))
+    # The row number: summed once, not again in the filter.
     told = more.drop("differ").join(x, "a").join(y, "b").select(
-        "a", "b", "c", "nx", "ny", differ.alias("differ"), F.monotonically_increasing_id().alias("z"))
+        "a", "b", "c", "nx", "ny", _wide_differ("x", "y").alias("differ"), F.monotonically_increasing_id().alias("z"))
     return told.where(_possible(F.col("differ"))).select("a", "b", "c", "differ")
 
 
-def unsettled_pairs(marks: DataFrame, buckets: DataFrame, parts: DataFrame, maps: DataFrame) -> DataFrame:
+def unsettled_pairs(marks: DataFrame, buckets: DataFrame, parts: DataFrame, maps: DataFrame, texts: DataFrame) -> DataFrame:
     """``(a, b, c, differ)``: the pairs of a bucket that are in different components and can have the similarity; c: of b.
 
     Lines of the largest component of a bucket need not meet each other: the
     others (a) meet all lines (b).  A bucket of many lines is dealt in blocks, so that no task
-    has more than a few blocks of it.
+    has more than a few blocks of it.  In a bucket with more than ``MANY`` others the join itself asks wider bitmaps
+    too, so that unlike lines of one template leave it with few pairs; elsewhere a line meets ``MANY`` others at most.
     """
     large = buckets.where("n > 3 or (n = 3 and lo = top)")
     inner = _with_buckets(marks, large).where("d <> lo and d <> top").select("k", "d")
@@ -184,19 +214,21 @@ def unsettled_pairs(marks: DataFrame, buckets: DataFrame, parts: DataFrame, maps
     mixed = stored(sizes.groupBy("k").agg(F.max_by("c", F.expr(f"m * {1 << 24} + (xxhash64(c) & {(1 << 24) - 1})")).alias("main"),
                                           F.sum("m").alias("m"), F.max("m").alias("most"), F.count(F.lit(1)).alias("n_c"))
                    .where("n_c > 1").select("k", "main", F.expr(f"int((m + {BLOCK - 1}) div {BLOCK})").alias("my"),
-                                            F.expr(f"int((m - most + {BLOCK - 1}) div {BLOCK})").alias("mx")), "line-mixed")
+                                            F.expr(f"int((m - most + {BLOCK - 1}) div {BLOCK})").alias("mx"),
+                                            F.expr(f"m - most > {MANY}").alias("many")), "line-mixed")
     apart = stored(inner.join(F.broadcast(mixed) if is_small(mixed, MAX_BROADCAST) else mixed, "k"), "line-apart")
-    known = apart.join(maps, "d")
+    wide = stored(wide_maps(_of(apart.where("many").select(F.col("d").alias("w")), texts)), "line-wide")
+    known = apart.join(maps, "d").join(wide, "d", "left").withColumn("n", F.coalesce("m", "n"))
     place = lambda m: F.expr(f"int(pmod(xxhash64(d), {m}))")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.col(m) - 1))
-    named = lambda df, e: df.select("k", "i", "j", *(F.col(c).alias(c + e) for c in ("d", "c", "n", "bits", "rest")))
+    named = lambda df, e: df.select("k", "i", "j", *(F.col(c).alias(c + e) for c in ("d", "c", "n", "bits", "wide", "rest")))
     known = known.withColumn("rest", F.col("c") != F.col("main"))
     x = named(known.where("rest").withColumn("i", place("mx")).withColumn("j", every("my")), "x")
     y = named(known.withColumn("j", place("my")).withColumn("i", every("mx")), "y")
     met = x.join(y, (x["k"] == y["k"]) & (x["i"] == y["i"]) & (x["j"] == y["j"]) & (F.col("cx") != F.col("cy"))
-                 & (~F.col("resty") | (F.col("dx") < F.col("dy"))) & _possible(_differ("x", "y")))
+                 & (~F.col("resty") | (F.col("dx") < F.col("dy"))) & _possible(_differ("x", "y")) & F.coalesce(_possible(_wide_differ("x", "y")), F.lit(True)))
     return met.groupBy(F.col("dx").alias("a"), F.col("dy").alias("b")).agg(
-        F.first("cy").alias("c"), F.min(_differ("x", "y")).alias("differ"))
+        F.first("cy").alias("c"), F.min(F.coalesce(_wide_differ("x", "y"), _differ("x", "y"))).alias("differ"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -237,16 +269,14 @@ def _all_components(marks: DataFrame, lines: DataFrame) -> DataFrame:
     maps = stored(bitmaps(texts), "line-bitmaps")
     pairs = possible_pairs(candidate_pairs(marks, buckets), maps)
     parts = stored(connected_components(verified(pairs, texts), "line-components"), "line-parts")
-    more = stored(unsettled_pairs(marks, buckets, parts, maps), "line-unsettled")
+    more = stored(unsettled_pairs(marks, buckets, parts, maps, texts), "line-unsettled")
     if more.isEmpty():
         return parts
-    more = stored(likelier_pairs(more, texts), "line-likelier")
-    n_more = more.count()
-    if n_more > texts.count():
+    if more.count() > texts.count():
         likely = more.groupBy("a", "c").agg(F.min_by("b", F.expr(f"bigint(differ) * {1 << 24} + (xxhash64(b) & {(1 << 24) - 1})")).alias("b"))
         parts = _joined(parts, verified(likely.select("a", "b"), texts))
         more = stored(_component(parts, more.select("a", "b")).where("pa <> pb").select("a", "b"), "line-left")
-    return _joined(parts, verified(more.select("a", "b"), texts)) if n_more else parts
+    return _joined(parts, verified(more.select("a", "b"), texts))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 import random
 import string
 
+from pyspark.sql import functions as F
+
 from netbaseline.llm import line_dedup as L
 
 BASE = "The quick brown fox jumps over the lazy dog while the sun goes down behind the distant hills of the valley"
@@ -203,3 +205,74 @@ def test_wide_bitmaps_leave_few_pairs(spark):
     wide = {(r["a"], r["b"]) for r in L.likelier_pairs(every, texts).collect()}
     assert alike and alike <= wide <= narrow and 2 * len(wide - alike) < len(narrow - alike)
     assert {(r["a"], r["b"]) for r in L.verified(every.select("a", "b"), texts).collect()} == alike
+
+
+def _plan_parts(docs):
+    lines = L._lines(docs.select(docs["l_key"].cast("decimal(29,0)").alias("l_key"), "l_text")).cache()
+    marks = L.signatures(lines).cache()
+    return lines, marks, L.band_buckets(marks).cache()
+
+
+def test_blocks_leave_few_unlike_pairs(spark, monkeypatch):
+    """Unlike long lines of one template: the join of the blocks itself leaves few of their pairs, and all that are alike."""
+    monkeypatch.setattr(L, "MANY", 3)
+    rng, rows = random.Random(23), []
+    words = ["".join(rng.choice(string.ascii_lowercase) for _ in range(7)) for _ in range(300)]
+    for k in range(130):
+        w = list(words)
+        for at in rng.sample(range(300), rng.randrange(10, 20)):
+            w[at] = f"w{rng.randrange(100000, 1000000)}"
+        rows.append((k, " ".join(w)))
+    docs = spark.createDataFrame(rows, "l_key long, l_text string")
+    lines, marks, buckets = _plan_parts(docs)
+    texts = lines.selectExpr("d", "norm AS t")
+    known = {r["t"]: r["d"] for r in texts.collect()}
+    sets = {known[x]: shingles(x) for _, x in rows}
+    members = L._with_buckets(marks, buckets).select("k", "d").collect()
+    ends = {(b["k"], e) for b in buckets.collect() for e in (b["top"], b["lo"])}
+    by = {}
+    for r in members:
+        if (r["k"], r["d"]) not in ends:
+            by.setdefault(r["k"], []).append(r["d"])
+    met = {(min(a, b), max(a, b)) for ds in by.values() for a in ds for b in ds if a != b}
+    heavy = {(min(a, b), max(a, b)) for ds in by.values() if len(ds) - 1 > L.MANY for a in ds for b in ds if a != b}
+    alike = {p for p in met if len(sets[p[0]] & sets[p[1]]) >= L.SIMILARITY * len(sets[p[0]] | sets[p[1]])}
+    parts = spark.createDataFrame([], "node long, component long")
+    got = {(min(r["a"], r["b"]), max(r["a"], r["b"]))
+           for r in L.unsettled_pairs(marks, buckets, parts, L.bitmaps(texts), texts).collect()}
+    pairs = spark.createDataFrame(sorted(heavy), "a long, b long")
+    narrow = {(r["a"], r["b"]) for r in L.possible_pairs(pairs, L.bitmaps(texts)).collect()}
+    assert heavy and alike <= got <= met
+    assert 2 * len(got & heavy - alike) < len(narrow - alike)
+
+
+def test_rows_of_several_shingles(spark):
+    """One row of an aggregate stands for several shingles; signatures and bitmaps are those of all of them, whatever the length."""
+    rng = random.Random(29)
+    texts = ["".join(rng.choice("abc é") for _ in range(n)).strip() or "a" for n in (1, 7, 8, 9, 10, 11, 12, 13, 15, 16, 17, 40, 133)]
+    lines = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "d long, norm string")
+    rows = L._spread(lines.selectExpr("d", "cast(norm AS binary) AS b"))
+    size = {k: max(len(x.encode()) - L.SHINGLE + 1, 0) for k, x in enumerate(texts)}
+    assert rows.count() == sum(max(1, -(-n // L.AT_ONCE)) for n in size.values())
+    one = spark.createDataFrame([(k, x.encode()[p:p + L.SHINGLE]) for k, x in enumerate(texts) for p in range(size[k])], "d long, s binary")
+    seeds = L._seeds(L.BANDS * L.ROWS)
+    want = one.groupBy("d").agg(*(F.min(F.expr(f"hash(hash(s), {k // L.ROWS}) ^ int({s})")).alias(f"m{k}") for k, s in enumerate(seeds)),
+                                F.collect_set(F.expr("hash(s)")).alias("h")).collect()
+    got = {r["d"]: r for r in L.signatures(lines).collect()}
+    assert {k: r["n"] for k, r in got.items()} == size and len(want) == sum(n > 0 for n in size.values())
+    maps = {longs: {r["d"]: r for r in L.bitmaps(lines.where("octet_length(norm) >= 8").selectExpr("d", "norm AS t"), longs).collect()}
+            for longs in (L.BITMAP, L.WIDE_BITMAP)}
+    for r in want:
+        assert got[r["d"]]["minima"] == [r[f"m{k}"] for k in range(len(seeds))]
+        for longs, of in maps.items():
+            bits = [0] * longs
+            for h in r["h"]:
+                bits[(h >> 6) & (longs - 1)] |= 1 << (h & 63)
+            assert of[r["d"]]["n"] == size[r["d"]] and [b & ((1 << 64) - 1) for b in of[r["d"]]["bits"]] == bits
+
+
+def test_blank_ends(spark):
+    """Lines with blank ends are trimmed as before, others are not looked at: tab, space and return only."""
+    lines = ["", " ", "\t\r ", "Ab", " Ab", "Ab\r", "\t Ab\t", "Ab\x0b", "\xa0Ab\xa0", "É ", "é b"]
+    df = spark.createDataFrame([(x,) for x in lines] + [(None,)], "x string")
+    assert [r[0] for r in df.select(L._normal(F.col("x"))).collect()] == [x.strip(" \t\r").lower() for x in lines] + [None]
