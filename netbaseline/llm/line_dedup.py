@@ -40,7 +40,6 @@ AT_ONCE = 4                      # shingles that one row of an aggregate stands
 BLOCK = 2048                     # lines of a bucket that meet as many others in one group of a join
 BITMAP = 32                      # longs of a line's shingle bitmap
 WIDE_BITMAP = 128                # and of the second one, of lines that would meet many others
-MANY = 64                        # lines of a bucket outside its largest component from which on they have the second one
 SIMILARITY = 0.8
 LAST = (1 << 63) - 1             # rank of a document without an id
 MAX_BROADCAST = 500_000          # rows of two or three longs
@@ -203,8 +202,8 @@ def unsettled_pairs(marks: DataFrame, buckets: DataFrame, parts: DataFrame, maps
 
     Lines of the largest component of a bucket need not meet each other: the
     others (a) meet all lines (b).  A bucket of many lines is dealt in blocks, so that no task
-    has more than a few blocks of it.  In a bucket with more than ``MANY`` others the join itself asks wider bitmaps
-    too, so that unlike lines of one template leave it with few pairs; elsewhere a line meets ``MANY`` others at most.
+    has more than a few blocks of it.  The join itself asks wider bitmaps too, so
+    that unlike lines of one template leave it with few pairs.
     """
     large = buckets.where("n > 3 or (n = 3 and lo = top)")
     inner = _with_buckets(marks, large).where("d <> lo and d <> top").select("k", "d")
@@ -214,11 +213,10 @@ def unsettled_pairs(marks: DataFrame, buckets: DataFrame, parts: DataFrame, maps
     mixed = stored(sizes.groupBy("k").agg(F.max_by("c", F.expr(f"m * {1 << 24} + (xxhash64(c) & {(1 << 24) - 1})")).alias("main"),
                                           F.sum("m").alias("m"), F.max("m").alias("most"), F.count(F.lit(1)).alias("n_c"))
                    .where("n_c > 1").select("k", "main", F.expr(f"int((m + {BLOCK - 1}) div {BLOCK})").alias("my"),
-                                            F.expr(f"int((m - most + {BLOCK - 1}) div {BLOCK})").alias("mx"),
-                                            F.expr(f"m - most > {MANY}").alias("many")), "line-mixed")
+                                            F.expr(f"int((m - most + {BLOCK - 1}) div {BLOCK})").alias("mx")), "line-mixed")
     apart = stored(inner.join(F.broadcast(mixed) if is_small(mixed, MAX_BROADCAST) else mixed, "k"), "line-apart")
-    wide = stored(wide_maps(_of(apart.where("many").select(F.col("d").alias("w")), texts)), "line-wide")
-    known = apart.join(maps, "d").join(wide, "d", "left").withColumn("n", F.coalesce("m", "n"))
+    wide = stored(wide_maps(_of(apart.select(F.col("d").alias("w")), texts)), "line-wide")
+    known = apart.join(maps.select("d", "bits"), "d").join(wide.withColumnRenamed("m", "n"), "d")
     place = lambda m: F.expr(f"int(pmod(xxhash64(d), {m}))")
     every = lambda m: F.explode(F.sequence(F.lit(0), F.col(m) - 1))
     named = lambda df, e: df.select("k", "i", "j", *(F.col(c).alias(c + e) for c in ("d", "c", "n", "bits", "wide", "rest")))
@@ -226,9 +224,9 @@ def unsettled_pairs(marks: DataFrame, buckets: DataFrame, parts: DataFrame, maps
     x = named(known.where("rest").withColumn("i", place("mx")).withColumn("j", every("my")), "x")
     y = named(known.withColumn("j", place("my")).withColumn("i", every("mx")), "y")
     met = x.join(y, (x["k"] == y["k"]) & (x["i"] == y["i"]) & (x["j"] == y["j"]) & (F.col("cx") != F.col("cy"))
-                 & (~F.col("resty") | (F.col("dx") < F.col("dy"))) & _possible(_differ("x", "y")) & F.coalesce(_possible(_wide_differ("x", "y")), F.lit(True)))
+                 & (~F.col("resty") | (F.col("dx") < F.col("dy"))) & _possible(_differ("x", "y")) & _possible(_wide_differ("x", "y")))
     return met.groupBy(F.col("dx").alias("a"), F.col("dy").alias("b")).agg(
-        F.first("cy").alias("c"), F.min(F.coalesce(_wide_differ("x", "y"), _differ("x", "y"))).alias("differ"))
+        F.first("cy").alias("c"), F.min(_wide_differ("x", "y")).alias("differ"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
